@@ -1,0 +1 @@
+"""(filled in below)"""

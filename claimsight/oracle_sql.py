@@ -356,4 +356,7 @@ claim_events AS (
 
 def with_mapping(body: str) -> str:
     """Prefix an oracle query with the mapping relations."""
-    return "WITH " + _MAPPING.strip() + "\n" + body
+    b = body.strip()
+    if b[:5].upper() == "WITH ":
+        return "WITH " + _MAPPING.strip() + ",\n" + b[5:]
+    return "WITH " + _MAPPING.strip() + "\n" + b
