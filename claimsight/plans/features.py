@@ -1 +1,282 @@
-"""(filled in below)"""
+"""Claim-level fraud features (X01-X13, X15), point-in-time correct.
+
+Rolling counts over time use a *time-bucketed* window layout
+(:func:`rolling_counts`): rows are keyed by (entity, bucket of the largest
+window) and copied once into the next bucket, so a RANGE frame never needs
+more than two buckets of one entity.  A provider holding a third of all
+claims is therefore split into many bounded partitions instead of one giant
+sorted partition.  The as-of fraud history (:func:`asof_rate`) uses the same
+idea with month blocks: month totals are prefix-summed (one row per month)
+and only the current month is scanned row by row.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from .. import constants as K
+from ..functions.exprs import lit_date
+from ..registry import register
+
+HOUR = 3600
+DAY = 86400
+
+
+# ------------------------------------------------------------- primitives
+def rolling_counts(df: DataFrame, key: str, ts_col: str, windows: dict[str, int], id_col: str,
+                   distinct_col: str | None = None) -> DataFrame:
+    """For every row: number of rows of the same ``key`` with time in
+    ``[t - w, t]`` (current row and ties included) for each named window ``w``
+    (seconds); with ``distinct_col`` the number of distinct values instead.
+
+    Layout: bucket width = largest window; each row is a probe in its own
+    bucket and data in its own and the next bucket (2x rows), so every frame
+    fits in one (key, bucket) partition.
+    """
+    width = max(windows.values())
+    t = F.unix_seconds(F.col(ts_col).cast("timestamp")) if ts_col else None
+    base = df.select(key, id_col, t.alias("_t"), *([distinct_col] if distinct_col else []))
+    base = base.withColumn("_b", F.floor(F.col("_t") / width))
+    rows = base.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("_shift")) \
+        .withColumn("_pb", F.col("_b") + F.col("_shift"))
+    w = Window.partitionBy(key, "_pb").orderBy("_t")
+    outs = []
+    for name, sec in windows.items():
+        frame = w.rangeBetween(-sec, 0)
+        if distinct_col:
+            outs.append(F.size(F.collect_set(distinct_col).over(frame)).alias(name))
+        else:
+            outs.append(F.count(F.lit(1)).over(frame).alias(name))
+    x = rows.select(key, id_col, "_shift", *outs)
+    return x.filter(F.col("_shift") == 0).drop("_shift")
+
+
+def asof_rate(events: DataFrame, probes: DataFrame, key: str, ev_ts: str, probe_ts: str, flag: str,
+              probe_id: str) -> DataFrame:
+    """For each probe: (events of its key strictly before probe time, flagged
+    ones among them) - no event from the future leaks into a feature.
+
+    Month blocks: totals per (key, month) are prefix-summed over months, rows
+    of the probe's own month are counted in a (key, month) partition.
+    """
+    e = events.select(key, F.col(ev_ts).alias("_t"), F.col(flag).cast("int").alias("_f"))
+    e = e.withColumn("_m", F.trunc(F.to_date("_t"), "month"))
+    mt = e.groupBy(key, "_m").agg(F.count(F.lit(1)).alias("_mn"), F.sum("_f").alias("_mf"))
+    p = probes.select(key, probe_id, F.col(probe_ts).alias("_t")).withColumn("_m", F.trunc(F.to_date("_t"), "month"))
+    # within the month: probes sort before events of the same instant (strictly before)
+    u = (e.select(key, "_m", "_t", F.lit(1).alias("_ord"), F.lit(None).cast("string").alias(probe_id), "_f")
+         .unionByName(p.select(key, "_m", "_t", F.lit(0).alias("_ord"), probe_id, F.lit(0).alias("_f"))))
+    w = Window.partitionBy(key, "_m").orderBy("_t", "_ord").rowsBetween(Window.unboundedPreceding, 0)
+    u = u.select(key, "_m", "_ord", probe_id, F.sum("_ord").over(w).alias("_in"), F.sum("_f").over(w).alias("_inf"))
+    u = u.filter(F.col("_ord") == 0)
+    # month totals exist only for months with events; months without events take the last earlier total
+    mt_all = mt.select(key, "_m", "_mn", "_mf")
+    cum = mt_all.select(key, "_m", F.sum("_mn").over(Window.partitionBy(key).orderBy("_m")
+                                                    .rowsBetween(Window.unboundedPreceding, 0)).alias("_cn"),
+                        F.sum("_mf").over(Window.partitionBy(key).orderBy("_m")
+                                          .rowsBetween(Window.unboundedPreceding, 0)).alias("_cf"))
+    # prior-month totals for a probe month = cumulative total of the last event month before it
+    pm = u.select(key, "_m").distinct().join(cum.withColumnRenamed("_m", "_em"), key) \
+        .filter(F.col("_em") < F.col("_m")).groupBy(key, "_m") \
+        .agg(F.max_by(F.struct("_cn", "_cf"), "_em").alias("c"))
+    out = u.join(pm, [key, "_m"], "left").select(
+        probe_id, (F.coalesce(F.col("c._cn"), F.lit(0)) + F.col("_in")).alias("prior_events"),
+        (F.coalesce(F.col("c._cf"), F.lit(0)) + F.col("_inf")).alias("prior_flagged"))
+    return out
+
+
+# --------------------------------------------------------------- features
+def claim_features(rel) -> DataFrame:
+    """X01-X11 for every claim, one row per claim."""
+    c = rel.claims.select("claim_id", "member_id", "provider_id", "diagnosis_code", "date_of_service", "date_submitted",
+                          "amount_claimed", "amount_approved", "submitted_at", "status")
+    dx = rel.icd10_codes.select(F.col("icd10_code").alias("diagnosis_code"), "clinical_category")
+    c = c.join(dx, "diagnosis_code", "left").withColumn("clinical_category", F.coalesce("clinical_category", F.lit("Other")))
+    c = c.withColumn("days_to_submit", F.datediff("date_submitted", "date_of_service"))
+    # Z-score of the submission lag within the clinical category (two passes, small join back)
+    # exact integer sums, then one fixed double formula (same bits on any partitioning)
+    st = c.groupBy("clinical_category").agg(F.count(F.lit(1)).alias("_n"), F.sum("days_to_submit").alias("_s"),
+                                            F.sum(F.col("days_to_submit") * F.col("days_to_submit")).alias("_s2"))
+    st = st.select("clinical_category", (F.col("_s") / F.col("_n")).alias("_mu"),
+                   F.sqrt((F.col("_s2") - F.col("_s") * F.col("_s") / F.col("_n")) / F.nullif(F.col("_n") - 1, F.lit(0)))
+                   .alias("_sd"))
+    c = c.join(st, "clinical_category", "left")
+    # Amount / nearest threshold at or above it
+    a = F.col("amount_claimed")
+    prox = None
+    for t in sorted(K.THRESHOLDS_KES, reverse=True):
+        prox = F.when(a <= t, a.cast("double") / t) if prox is None else F.when(a <= t, a.cast("double") / t).otherwise(prox)
+    # Evidence flags (distinct claim ids, left joins - no row multiplication)
+    v = rel.vitals.select("claim_id").distinct().withColumn("has_matching_vitals", F.lit(True))
+    rx = rel.prescriptions.select("claim_id").distinct().withColumn("has_matching_prescription", F.lit(True))
+    c = c.join(v, "claim_id", "left").join(rx, "claim_id", "left")
+    # Provider rolling counts on submitted_at
+    pf = rolling_counts(c, "provider_id", "submitted_at",
+                        {"provider_claims_1h": HOUR, "provider_claims_6h": 6 * HOUR, "provider_claims_24h": DAY,
+                         "provider_claims_7d": 7 * DAY, "provider_claims_30d": 30 * DAY}, "claim_id")
+    # Distinct providers of the member in the 7 days up to the claim
+    mp = rolling_counts(c.withColumn("_d", F.col("date_of_service").cast("timestamp")), "member_id", "_d",
+                        {"member_provider_count_7d": 6 * DAY}, "claim_id", distinct_col="provider_id")
+    # Year-to-date approved amount of the member over the plan's annual limit
+    lim = rel.members.select("member_id", "plan_code").join(rel.plans.select("plan_code", "annual_limit_kes"), "plan_code")
+    wy = Window.partitionBy("member_id", F.year("date_of_service")).orderBy("date_of_service", "claim_id") \
+        .rowsBetween(Window.unboundedPreceding, 0)
+    # X11: days since the member's previous claim (velocity = its mean per member, see member_velocity)
+    wl = Window.partitionBy("member_id").orderBy("date_of_service", "claim_id")
+    c = c.join(lim.select("member_id", "annual_limit_kes"), "member_id", "left")
+    out = c.select(
+        "claim_id", "member_id", "provider_id", "clinical_category", "days_to_submit",
+        (F.col("days_to_submit") == 0).alias("is_same_day_submission"),
+        F.round((F.col("days_to_submit") - F.col("_mu")) / F.nullif(F.col("_sd"), F.lit(0.0)), 6).alias("days_to_submit_zscore"),
+        prox.alias("amount_vs_threshold_proximity"),
+        F.coalesce("has_matching_vitals", F.lit(False)).alias("has_matching_vitals"),
+        F.coalesce("has_matching_prescription", F.lit(False)).alias("has_matching_prescription"),
+        (F.sum(F.coalesce(F.col("amount_approved"), F.lit(0))).over(wy).cast("double")
+         / F.col("annual_limit_kes").cast("double")).alias("member_ytd_utilisation_pct"),
+        F.datediff("date_of_service", F.lag("date_of_service").over(wl)).alias("days_since_prev_claim"))
+    out = out.join(pf, ["claim_id", "provider_id"]).join(mp.drop("member_id"), "claim_id")
+    # Last 24 h against the provider's mean daily volume over 30 days
+    return out.withColumn("provider_24h_vs_30d_mean",
+                          F.col("provider_claims_24h") / (F.col("provider_claims_30d") / F.lit(30.0)))
+
+
+FEATURE_COLUMNS = ["days_to_submit", "is_same_day_submission", "days_to_submit_zscore", "amount_vs_threshold_proximity",
+                   "has_matching_vitals", "has_matching_prescription", "member_ytd_utilisation_pct", "days_since_prev_claim",
+                   "provider_claims_1h", "provider_claims_6h", "provider_claims_24h", "provider_claims_7d",
+                   "provider_claims_30d", "member_provider_count_7d", "provider_24h_vs_30d_mean"]
+
+
+def _thr_sql() -> str:
+    ts = sorted(K.THRESHOLDS_KES)
+    return "CASE " + " ".join(f"WHEN amount_claimed <= {t} THEN CAST(amount_claimed AS DOUBLE) / {t}" for t in ts) + " END"
+
+
+_FEAT_SQL = (
+    "WITH c0 AS (SELECT c.*, COALESCE(dx.clinical_category, 'Other') AS clinical_category, "
+    "CAST(date_diff('day', c.date_of_service, c.date_submitted) AS INTEGER) AS days_to_submit, "
+    "epoch(c.submitted_at) AS t FROM claims c LEFT JOIN icd10_codes dx ON dx.icd10_code = c.diagnosis_code), "
+    "st0 AS (SELECT clinical_category, COUNT(*) AS n, SUM(days_to_submit) AS s, SUM(days_to_submit * days_to_submit) AS s2 "
+    "FROM c0 GROUP BY 1), st AS (SELECT clinical_category, CAST(s AS DOUBLE) / n AS mu, "
+    "sqrt((CAST(s2 AS DOUBLE) - CAST(s AS DOUBLE) * CAST(s AS DOUBLE) / n) / NULLIF(n - 1, 0)) AS sd FROM st0), "
+    "lim AS (SELECT m.member_id, p.annual_limit_kes FROM members m JOIN plans p ON p.plan_code = m.plan_code) "
+    "SELECT c0.claim_id, c0.member_id, c0.provider_id, c0.clinical_category, c0.days_to_submit, "
+    "c0.days_to_submit = 0 AS is_same_day_submission, round((c0.days_to_submit - st.mu) / NULLIF(st.sd, 0), 6) AS days_to_submit_zscore, "
+    f"{_thr_sql()} AS amount_vs_threshold_proximity, "
+    "EXISTS (SELECT 1 FROM vitals v WHERE v.claim_id = c0.claim_id) AS has_matching_vitals, "
+    "EXISTS (SELECT 1 FROM prescriptions p WHERE p.claim_id = c0.claim_id) AS has_matching_prescription, "
+    "CAST(SUM(COALESCE(c0.amount_approved, 0)) OVER (PARTITION BY c0.member_id, year(c0.date_of_service) ORDER BY "
+    "c0.date_of_service, c0.claim_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) / "
+    "CAST(lim.annual_limit_kes AS DOUBLE) AS member_ytd_utilisation_pct, "
+    "CAST(date_diff('day', lag(c0.date_of_service) OVER (PARTITION BY c0.member_id ORDER BY c0.date_of_service, c0.claim_id), "
+    "c0.date_of_service) AS INTEGER) AS days_since_prev_claim, "
+    + ", ".join(f"COUNT(*) OVER (PARTITION BY c0.provider_id ORDER BY c0.t RANGE BETWEEN {sec} PRECEDING AND CURRENT ROW) AS {n}"
+                for n, sec in (("provider_claims_1h", HOUR), ("provider_claims_6h", 6 * HOUR), ("provider_claims_24h", DAY),
+                               ("provider_claims_7d", 7 * DAY), ("provider_claims_30d", 30 * DAY))) + ", "
+    "(SELECT COUNT(DISTINCT c2.provider_id) FROM claims c2 WHERE c2.member_id = c0.member_id AND c2.date_of_service "
+    "BETWEEN c0.date_of_service - INTERVAL 6 DAY AND c0.date_of_service) AS member_provider_count_7d "
+    "FROM c0 JOIN st ON st.clinical_category = c0.clinical_category LEFT JOIN lim ON lim.member_id = c0.member_id")
+
+register("feat_x01_x11_claim_features", sql=(
+    "SELECT *, provider_claims_24h / (provider_claims_30d / 30.0) AS provider_24h_vs_30d_mean FROM (" + _FEAT_SQL + ")"))(
+    claim_features)
+
+
+@register("feat_x07_provider_peer_zscore", sql=(
+    f"WITH c AS (SELECT c.provider_id, p.county, COALESCE(dx.clinical_category, 'Other') AS clinical_category, c.amount_claimed "
+    "FROM claims c JOIN providers p ON p.provider_id = c.provider_id LEFT JOIN icd10_codes dx ON dx.icd10_code = c.diagnosis_code "
+    f"WHERE c.date_of_service BETWEEN {K.AS_OF_DATE_SQL} - INTERVAL 29 DAY AND {K.AS_OF_DATE_SQL}), "
+    "pm AS (SELECT provider_id, county, clinical_category, CAST(SUM(amount_claimed) AS DOUBLE) / COUNT(*) AS provider_mean "
+    "FROM c GROUP BY 1, 2, 3), peer AS (SELECT county, clinical_category, AVG(provider_mean) AS peer_mean, "
+    "STDDEV_SAMP(provider_mean) AS peer_sd FROM pm GROUP BY 1, 2) "
+    "SELECT pm.provider_id, pm.county, pm.clinical_category, pm.provider_mean, round(peer.peer_mean, 6) AS peer_mean, "
+    "round(peer.peer_sd, 6) AS peer_sd, round((pm.provider_mean - peer.peer_mean) / NULLIF(peer.peer_sd, 0), 6) "
+    "AS provider_amount_zscore_30d FROM pm JOIN peer "
+    "ON peer.county = pm.county AND peer.clinical_category = pm.clinical_category"))
+def provider_peer_zscore(rel, as_of=K.AS_OF_DATE) -> DataFrame:
+    """Provider 30-day mean claim vs providers of the same county and category."""
+    d = lit_date(as_of)
+    dx = rel.icd10_codes.select(F.col("icd10_code").alias("diagnosis_code"), "clinical_category")
+    c = (rel.claims.filter(F.col("date_of_service").between(F.date_sub(d, 29), d))
+         .select("provider_id", "diagnosis_code", "amount_claimed")
+         .join(rel.providers.select("provider_id", "county"), "provider_id")
+         .join(dx, "diagnosis_code", "left").withColumn("clinical_category", F.coalesce("clinical_category", F.lit("Other"))))
+    pm = c.groupBy("provider_id", "county", "clinical_category").agg(
+        (F.sum("amount_claimed").cast("double") / F.count(F.lit(1))).alias("provider_mean"))
+    peer = pm.groupBy("county", "clinical_category").agg(F.avg("provider_mean").alias("peer_mean"),
+                                                         F.stddev_samp("provider_mean").alias("peer_sd"))
+    return pm.join(peer, ["county", "clinical_category"]).select(
+        "provider_id", "county", "clinical_category", "provider_mean", F.round("peer_mean", 6).alias("peer_mean"),
+        F.round("peer_sd", 6).alias("peer_sd"),
+        F.round((F.col("provider_mean") - F.col("peer_mean")) / F.nullif(F.col("peer_sd"), F.lit(0.0)), 6)
+        .alias("provider_amount_zscore_30d"))
+
+
+@register("feat_x08_provider_fraud_history", sql=(
+    "WITH o AS (SELECT c.provider_id, x.confirmed_at, x.final_label = 'confirmed_fraud' AS f FROM fraud_investigation_outcomes x "
+    "JOIN claims c ON c.claim_id = x.claim_id) "
+    "SELECT c.claim_id, (SELECT COUNT(*) FROM o WHERE o.provider_id = c.provider_id AND o.confirmed_at < c.submitted_at) AS prior_events, "
+    "(SELECT COUNT(*) FILTER (WHERE f) FROM o WHERE o.provider_id = c.provider_id AND o.confirmed_at < c.submitted_at) AS prior_flagged "
+    "FROM claims c"))
+def provider_fraud_history(rel) -> DataFrame:
+    """Outcomes and confirmed frauds of the claim's provider confirmed
+    strictly before the claim was submitted (as-of, no leakage)."""
+    o = rel.fraud_investigation_outcomes.select("claim_id", "confirmed_at",
+                                                (F.col("final_label") == "confirmed_fraud").alias("f")) \
+        .join(rel.claims.select("claim_id", "provider_id"), "claim_id").drop("claim_id")
+    return asof_rate(o, rel.claims.select("claim_id", "provider_id", "submitted_at"), "provider_id", "confirmed_at",
+                     "submitted_at", "f", "claim_id")
+
+
+@register("feat_x11_member_velocity", sql=(
+    "SELECT member_id, COUNT(*) AS claims, AVG(gap) AS mean_days_between_claims FROM (SELECT member_id, "
+    "date_diff('day', lag(date_of_service) OVER (PARTITION BY member_id ORDER BY date_of_service, claim_id), date_of_service) AS gap "
+    "FROM claims) GROUP BY member_id"))
+def member_velocity(rel) -> DataFrame:
+    """Mean gap in days between consecutive claims of a member."""
+    w = Window.partitionBy("member_id").orderBy("date_of_service", "claim_id")
+    g = rel.claims.select("member_id", F.datediff("date_of_service", F.lag("date_of_service").over(w)).alias("gap"))
+    return g.groupBy("member_id").agg(F.count(F.lit(1)).alias("claims"), F.avg("gap").alias("mean_days_between_claims"))
+
+
+def feature_snapshot(features: DataFrame, cols=None) -> DataFrame:
+    """Feature vector of a claim as a JSON object (for predictions.feature_snapshot)."""
+    cols = cols or ["days_to_submit", "amount_vs_threshold_proximity", "has_matching_vitals", "provider_claims_24h",
+                    "member_provider_count_7d"]
+    return features.select("claim_id", F.to_json(F.struct(*cols)).alias("feature_snapshot"))
+
+
+register("feat_x12_snapshot", sql=None)(lambda rel: feature_snapshot(claim_features(rel)))
+
+
+def label_set(features: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """Features with a verdict label (confirmed 1 / legitimate 0); unlabelled and inconclusive dropped."""
+    last = outcomes.groupBy("claim_id").agg(F.max_by("final_label", F.struct("confirmed_at", "outcome_id")).alias("lbl"))
+    lab = last.filter(F.col("lbl").isin("confirmed_fraud", "legitimate")) \
+        .select("claim_id", (F.col("lbl") == "confirmed_fraud").cast("int").alias("label"))
+    return features.join(lab, "claim_id")
+
+
+@register("feat_x13_labels", sql=(
+    "SELECT claim_id, CAST(lbl = 'confirmed_fraud' AS INTEGER) AS label FROM (SELECT claim_id, "
+    "arg_max(final_label, (confirmed_at, outcome_id)) AS lbl FROM fraud_investigation_outcomes GROUP BY claim_id) "
+    "WHERE lbl IN ('confirmed_fraud', 'legitimate') AND claim_id IN (SELECT claim_id FROM claims)"))
+def labels(rel) -> DataFrame:
+    return label_set(rel.claims.select("claim_id"), rel.fraud_investigation_outcomes)
+
+
+def split_column(key: str = "claim_id", train: float = 0.70, valid: float = 0.15):
+    """Repeatable 70/15/15 split from a hash of the key (independent of the
+    label, hence stratified in expectation; no global sort or ranking)."""
+    h = F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10).cast("bigint") % 10000
+    return (F.when(h < train * 10000, "train").when(h < (train + valid) * 10000, "valid").otherwise("test")).alias("split")
+
+
+@register("feat_x15_split", sql=(
+    "WITH l AS (SELECT claim_id, CAST(lbl = 'confirmed_fraud' AS INTEGER) AS label FROM (SELECT claim_id, "
+    "arg_max(final_label, (confirmed_at, outcome_id)) AS lbl FROM fraud_investigation_outcomes GROUP BY claim_id) "
+    "WHERE lbl IN ('confirmed_fraud', 'legitimate') AND claim_id IN (SELECT claim_id FROM claims)) "
+    "SELECT label, CASE WHEN h < 7000 THEN 'train' WHEN h < 8500 THEN 'valid' ELSE 'test' END AS split, COUNT(*) AS n "
+    "FROM (SELECT label, CAST(('0x' || substr(md5(claim_id), 1, 8)) AS BIGINT) % 10000 AS h FROM l) GROUP BY 1, 2"))
+def split_counts(rel) -> DataFrame:
+    return labels(rel).select("label", split_column()).groupBy("label", "split").agg(F.count(F.lit(1)).alias("n"))
