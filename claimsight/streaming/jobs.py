@@ -1 +1,254 @@
-"""(filled in below)"""
+"""Structured Streaming jobs (R01-R14) and their batch truths.
+
+Every windowed detector is one function that accepts a batch *or* a
+streaming DataFrame, so the batch result over the full table is the
+reference the stream must reproduce (tested in ``tests/test_streaming.py``).
+Streams read JSON files landed per day (the replay layout of
+:func:`claimsight.sources.io.write_replay`), use event-time watermarks, and
+keep their offsets and state in a checkpoint under the shared
+``spark.checkpoint.dir``; sinks are idempotent (``foreachBatch`` upserts keyed
+on the record id), so a restarted or replayed batch changes nothing.
+"""
+
+from __future__ import annotations
+
+import datetime as _dt
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
+
+from .. import constants as K
+from ..functions.exprs import lit_ts
+from ..operators.writes import VersionedTable, append_events, upsert_claims
+from ..registry import register
+from ..sources.io import publish
+from ..sources.schemas import SCHEMAS
+
+WATERMARK = "2 days"   # *decision*: lateness bound for event-time state (the reference defines none)
+
+
+def event_time(df: DataFrame, col: str) -> DataFrame:
+    """Watermarks need TIMESTAMP (session tz UTC); the data is TIMESTAMP_NTZ."""
+    return df.withColumn(col, F.col(col).cast("timestamp"))
+
+
+# ------------------------------------------------------------ ingestion
+def parse_messages(msgs: DataFrame, table: str, topic: str, failed_at: _dt.datetime | None = None) -> tuple[DataFrame, DataFrame]:
+    """(key, value) JSON messages -> (typed rows, dead letters).
+
+    A message is dead when its JSON does not parse, a required column is NULL
+    after the cast, or the key is missing.  Dead letters keep topic, error and
+    the raw payload (the dlq_events layout).
+    """
+    st = SCHEMAS[table]
+    parsed = msgs.select("key", "value", F.from_json("value", st, {"mode": "PERMISSIVE"}).alias("r"))
+    required = [f.name for f in st.fields if not f.nullable and f.name != "_loaded_at"]
+    missing = F.array_compact(F.array(*[F.when(F.col("r." + c).isNull(), F.lit(c)) for c in required]))
+    err = (F.when(F.col("key").isNull(), F.lit("missing key"))
+           .when(F.col("r").isNull(), F.lit("unparseable JSON"))
+           .when(F.size(missing) > 0, F.concat(F.lit("missing or invalid: "), F.array_join(missing, ","))))
+    x = parsed.withColumn("_err", err)
+    good = x.filter(F.col("_err").isNull()).select("r.*")
+    ts = lit_ts(failed_at) if failed_at else F.current_timestamp().cast("timestamp_ntz")
+    bad = x.filter(F.col("_err").isNotNull()).select(
+        F.concat(F.lit("DLQ-"), F.substring(F.sha2(F.concat_ws("|", F.lit(topic), F.coalesce("key", F.lit("")), "value"), 256), 1, 16))
+        .alias("dlq_id"), F.lit(topic).alias("source_topic"), ts.alias("failed_at"),
+        F.lit("E_SCHEMA").alias("error_code"), F.col("_err").alias("error_message"), F.col("value").alias("raw_payload"),
+        F.lit(0).cast("smallint").alias("retry_count"), F.lit(False).alias("resolved"),
+        F.lit(None).cast("timestamp_ntz").alias("resolved_at"), ts.alias("_loaded_at"))
+    return good, bad
+
+
+def claim_messages(rel) -> DataFrame:
+    """Claims published as topic messages (S08) with some payloads damaged:
+    truncated JSON, a missing key, an amount that is not a number."""
+    m = publish(rel.claims, "claim_id")
+    k = F.split_part(F.col("key"), F.lit("-"), F.lit(1)).cast("bigint")
+    value = (F.when(k % 53 == 0, F.substring("value", 1, 40))
+             .when(k % 59 == 0, F.regexp_replace("value", r'"amount_claimed":[0-9.]+', '"amount_claimed":"n/a"'))
+             .otherwise(F.col("value")))
+    return m.select(F.when(k % 61 == 0, F.lit(None).cast("string")).otherwise(F.col("key")).alias("key"), value.alias("value"))
+
+
+@register("stream_r01_ingest_split")
+def ingest_split(rel) -> DataFrame:
+    """Good / dead-letter counts per error of the claims topic (rows-only: JSON parsing is engine-specific)."""
+    good, bad = parse_messages(claim_messages(rel), "claims", "claims", K.AS_OF)
+    return (good.select(F.lit("ok").alias("outcome")).unionByName(bad.select(F.col("error_message").alias("outcome")))
+            .groupBy("outcome").agg(F.count(F.lit(1)).alias("messages")))
+
+
+# ---------------------------------------------------------- detectors
+def provider_bursts(claims: DataFrame, threshold: int = 40, length: str = "6 hours", slide: str = "15 minutes",
+                    ts: str = "submitted_at") -> DataFrame:
+    """Providers with >= ``threshold`` claims in a sliding event-time window."""
+    g = claims.groupBy("provider_id", F.window(F.col(ts), length, slide).alias("w")).agg(F.count(F.lit(1)).alias("claims"))
+    return g.filter(F.col("claims") >= threshold).select(
+        "provider_id", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "claims")
+
+
+def _burst_sql(th: int) -> str:
+    return ("WITH c AS (SELECT provider_id, CAST(epoch(submitted_at) AS BIGINT) AS t FROM claims), "
+            "w AS (SELECT provider_id, CAST(floor(t / 900) AS BIGINT) * 900 - k * 900 AS ws FROM c, range(0, 24) r(k)) "
+            "SELECT provider_id, make_timestamp(ws * 1000000) AS window_start, make_timestamp((ws + 21600) * 1000000) "
+            f"AS window_end, COUNT(*) AS claims FROM w GROUP BY 1, 2, 3 HAVING COUNT(*) >= {th}")
+
+
+register("stream_r05_provider_bursts", sql=_burst_sql(40))(lambda rel: provider_bursts(rel.claims, 40))
+register("stream_r05_provider_bursts_low", sql=_burst_sql(3))(lambda rel: provider_bursts(rel.claims, 3))
+
+
+def near_threshold_stream(claims: DataFrame) -> DataFrame:
+    """Stateless filter of amounts just below a threshold (F02 on a stream)."""
+    from ..operators.fraud import threshold_claims
+    return threshold_claims(claims)
+
+
+def member_spread_windows(claims: DataFrame, min_providers: int = 4, ts: str = "date_of_service") -> DataFrame:
+    """Members seen by >= ``min_providers`` distinct providers in a
+    7-day window sliding by one day (state per member and window)."""
+    c = claims.withColumn("_t", F.col(ts).cast("timestamp_ntz")) if dict(claims.dtypes)[ts] == "date" else \
+        claims.withColumn("_t", F.col(ts))
+    g = c.groupBy("member_id", F.window("_t", "7 days", "1 day").alias("w")).agg(
+        F.size(F.collect_set("provider_id")).alias("providers"))
+    return g.filter(F.col("providers") >= min_providers).select(
+        "member_id", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "providers")
+
+
+def _spread_sql(k: int) -> str:
+    return ("WITH w AS (SELECT member_id, provider_id, CAST(date_of_service AS TIMESTAMP) - r.d * INTERVAL 1 DAY AS ws "
+            "FROM claims, range(0, 7) r(d)) SELECT member_id, ws AS window_start, ws + INTERVAL 7 DAY AS window_end, "
+            f"COUNT(DISTINCT provider_id) AS providers FROM w GROUP BY 1, 2, 3 HAVING COUNT(DISTINCT provider_id) >= {k}")
+
+
+register("stream_r07_member_spread", sql=_spread_sql(8))(lambda rel: member_spread_windows(rel.claims, 8))
+
+
+def duplicate_pairs_stream(left: DataFrame, right: DataFrame, hours: int = 48, max_rel_gap: float = 0.05,
+                           ts: str = "submitted_at") -> DataFrame:
+    """Stream-stream self join on (member, provider, diagnosis) with an
+    event-time band of ``hours``; both sides carry watermarks, so state is
+    dropped once no later claim can match."""
+    cols = ["claim_id", "member_id", "provider_id", "diagnosis_code", "amount_claimed", ts]
+    a = left.select(*[F.col(c).alias("a_" + c) for c in cols])
+    b = right.select(*[F.col(c).alias("b_" + c) for c in cols])
+    cond = ((F.col("a_member_id") == F.col("b_member_id")) & (F.col("a_provider_id") == F.col("b_provider_id"))
+            & (F.col("a_diagnosis_code") == F.col("b_diagnosis_code")) & (F.col("a_claim_id") < F.col("b_claim_id"))
+            & (F.col("b_" + ts) >= F.col("a_" + ts) - F.expr(f"INTERVAL {hours} HOURS"))
+            & (F.col("b_" + ts) <= F.col("a_" + ts) + F.expr(f"INTERVAL {hours} HOURS")))
+    j = a.join(b, cond)
+    gap = F.abs(F.col("a_amount_claimed") - F.col("b_amount_claimed")).cast("double") \
+        / F.nullif(F.col("a_amount_claimed").cast("double"), F.lit(0.0))
+    return j.filter(gap < max_rel_gap).select(F.col("a_claim_id").alias("original_claim_id"),
+                                              F.col("b_claim_id").alias("potential_duplicate_id"))
+
+
+def phantom_stream(claims: DataFrame, vitals: DataFrame, grace_hours: int = 72) -> DataFrame:
+    """Consultation claims without vitals within ``grace_hours`` of
+    submission - a stream-stream left outer join; a row is emitted once the
+    watermark passes the grace period."""
+    c = claims.filter(F.col("procedure_code").startswith("CONS")) \
+        .select("claim_id", "provider_id", F.col("submitted_at").alias("c_ts"))
+    v = vitals.select(F.col("claim_id").alias("v_claim_id"), F.col("_loaded_at").alias("v_ts"))
+    cond = ((F.col("claim_id") == F.col("v_claim_id")) & (F.col("v_ts") >= F.col("c_ts") - F.expr("INTERVAL 30 DAYS"))
+            & (F.col("v_ts") <= F.col("c_ts") + F.expr(f"INTERVAL {grace_hours} HOURS")))
+    return c.join(v, cond, "left_outer").filter(F.col("v_claim_id").isNull()).select("claim_id", "provider_id", "c_ts")
+
+
+# ------------------------------------------------------------- runners
+def read_replay(spark: SparkSession, path: str, table: str, max_files_per_trigger: int = 1) -> DataFrame:
+    """Replay landed day directories in order, ``max_files_per_trigger`` per micro-batch."""
+    st = StructType(list(SCHEMAS[table].fields) + [StructField("day", StringType())])
+    return spark.readStream.schema(st).option("maxFilesPerTrigger", max_files_per_trigger).json(path)
+
+
+def run_detector(stream: DataFrame, detector, ts: str, sink_path: str, checkpoint: str, trigger_once: bool = True):
+    """Run a windowed detector with a watermark; append each closed window to Parquet."""
+    s = event_time(stream, ts).withWatermark(ts, WATERMARK)
+    q = (detector(s).writeStream.format("parquet").option("path", sink_path).option("checkpointLocation", checkpoint)
+         .outputMode("append"))
+    q = q.trigger(availableNow=True) if trigger_once else q.trigger(processingTime="30 seconds")
+    return q.start()
+
+
+def upsert_claims_sink(table: VersionedTable, load_ts: _dt.datetime | None = None):
+    """``foreachBatch`` that folds each micro-batch into the claims table
+    (U03).  Arrival order inside a batch = the file order Spark read it in."""
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        cur = table.read()
+        b = batch.drop("day").withColumn("_arrival", F.lit(batch_id).cast("bigint") * 1_000_000_000
+                                         + F.monotonically_increasing_id())
+        ts = load_ts or _dt.datetime.utcnow()
+        if cur is None:
+            cur = b.limit(0).drop("_arrival")
+        new = upsert_claims(cur, b.withColumn("updated_at", F.col("updated_at").cast("timestamp_ntz")), ts)
+        table.commit(new)
+    return sink
+
+
+def append_events_sink(table: VersionedTable):
+    """Idempotent append keyed on the event id (U04) per micro-batch."""
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        cur = table.read()
+        b = batch.drop("day").withColumn("_arrival", F.monotonically_increasing_id())
+        if cur is None:
+            cur = b.limit(0).drop("_arrival")
+        table.commit(append_events(cur, b))
+    return sink
+
+
+def stream_backlog(spark: SparkSession, landed_path: str, checkpoint: str, limit_mb: float = 100.0) -> DataFrame:
+    """N06 / 18-T03 (re-aimed): files landed but not yet consumed by the
+    stream - landed listing ``left_anti`` the file source's commit log - with
+    bytes, MB and a status."""
+    landed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(landed_path) \
+        .select(F.col("path"), "length").filter(~F.col("path").contains("/_"))
+    log = spark.read.text(f"{checkpoint}/sources/0").filter(F.col("value").startswith("{")) \
+        .select(F.get_json_object("value", "$.path").alias("path"))
+    pend = landed.join(log, "path", "left_anti")
+    g = pend.agg(F.count(F.lit(1)).alias("pending_files"), F.coalesce(F.sum("length"), F.lit(0)).alias("lag_bytes"))
+    return g.select("pending_files", "lag_bytes", F.round(F.col("lag_bytes") / 1048576.0, 2).alias("lag_mb"),
+                    F.when(F.col("lag_bytes") > limit_mb * 1048576, "HIGH LAG").otherwise("OK").alias("status"))
+
+
+def unconsumed_outcomes(outcomes: DataFrame, consumed: DataFrame) -> DataFrame:
+    """Weekly reconciliation - outcomes the label feed has not consumed."""
+    return outcomes.join(consumed.select("outcome_id"), "outcome_id", "left_anti")
+
+
+@register("stream_r13_label_feed", sql=(
+    "SELECT o.outcome_id, o.claim_id, p.prediction_id, p.model_version, CAST(p.fraud_probability AS DOUBLE) AS fraud_probability, "
+    "CAST(o.final_label = 'confirmed_fraud' AS INTEGER) AS label FROM fraud_investigation_outcomes o "
+    "JOIN fraud_predictions p ON p.claim_id = o.claim_id WHERE o.final_label IN ('confirmed_fraud', 'legitimate')"))
+def label_feed(rel) -> DataFrame:
+    """Outcome feed joined to the predictions of the claim -> labelled scores
+    (the same plan runs on a stream of outcomes against the static predictions)."""
+    o = rel.fraud_investigation_outcomes.filter(F.col("final_label").isin("confirmed_fraud", "legitimate")) \
+        .select("outcome_id", "claim_id", (F.col("final_label") == "confirmed_fraud").cast("int").alias("label"))
+    p = rel.fraud_predictions.select("claim_id", "prediction_id", "model_version", "fraud_probability")
+    return o.join(p, "claim_id").select("outcome_id", "claim_id", "prediction_id", "model_version", "fraud_probability", "label")
+
+
+@register("stream_r04_enriched", sql=(
+    "SELECT c.claim_id, c.member_id, m.plan_code, m.county AS member_county, c.provider_id, p.accreditation_status "
+    "FROM claims c LEFT JOIN members m ON m.member_id = c.member_id LEFT JOIN providers p ON p.provider_id = c.provider_id"))
+def enriched_claims(rel, claims: DataFrame | None = None) -> DataFrame:
+    """Claim enrichment with member and provider (stream-static left join
+    when ``claims`` is a stream; the static side is re-read per micro-batch)."""
+    c = (claims if claims is not None else rel.claims).select("claim_id", "member_id", "provider_id")
+    m = rel.members.select("member_id", "plan_code", F.col("county").alias("member_county"))
+    p = rel.providers.select("provider_id", "accreditation_status")
+    return c.join(m, "member_id", "left").join(p, "provider_id", "left") \
+        .select("claim_id", "member_id", "plan_code", "member_county", "provider_id", "accreditation_status")
+
+
+def score_batch(batch: DataFrame, model_log: DataFrame, models: dict, features) -> DataFrame:
+    """Score a micro-batch with the newest promoted model and record its version."""
+    from ..plans.training import score
+    row = model_log.filter(F.col("promoted")).agg(
+        F.max_by("model_version", F.struct("evaluation_date", "log_id")).alias("v")).first()
+    version = row.v if row else None
+    if version is None or version not in models:
+        raise LookupError("no promoted model available")
+    return score(models[version], batch, features).withColumn("model_version", F.lit(version))
