@@ -179,7 +179,7 @@ def upsert_claims_sink(table: VersionedTable, load_ts: _dt.datetime | None = Non
         cur = table.read()
         b = batch.drop("day").withColumn("_arrival", F.lit(batch_id).cast("bigint") * 1_000_000_000
                                          + F.monotonically_increasing_id())
-        ts = load_ts or _dt.datetime.utcnow()
+        ts = load_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         if cur is None:
             cur = b.limit(0).drop("_arrival")
         new = upsert_claims(cur, b.withColumn("updated_at", F.col("updated_at").cast("timestamp_ntz")), ts)
@@ -202,10 +202,12 @@ def stream_backlog(spark: SparkSession, landed_path: str, checkpoint: str, limit
     """N06 / 18-T03 (re-aimed): files landed but not yet consumed by the
     stream - landed listing ``left_anti`` the file source's commit log - with
     bytes, MB and a status."""
+    def norm(c):  # file:/x, file:///x and /x name the same file
+        return F.regexp_replace(c, r"^file:/+", "/")
     landed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(landed_path) \
-        .select(F.col("path"), "length").filter(~F.col("path").contains("/_"))
+        .select(norm(F.col("path")).alias("path"), "length")
     log = spark.read.text(f"{checkpoint}/sources/0").filter(F.col("value").startswith("{")) \
-        .select(F.get_json_object("value", "$.path").alias("path"))
+        .select(norm(F.get_json_object("value", "$.path")).alias("path"))
     pend = landed.join(log, "path", "left_anti")
     g = pend.agg(F.count(F.lit(1)).alias("pending_files"), F.coalesce(F.sum("length"), F.lit(0)).alias("lag_bytes"))
     return g.select("pending_files", "lag_bytes", F.round(F.col("lag_bytes") / 1048576.0, 2).alias("lag_mb"),
