@@ -33,17 +33,22 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    from claimsight.session import get_session
+    from claimsight.registry import finalize, load_all
+    from claimsight.session import checkpoint_dir, get_session
+    from claimsight.sources.mapping import materialize
     spark = get_session(f"local[{cpus}]", int(cpus) * 2)
-    import __spark_entry__ as E
-    qs = E.queries()
+    reg = load_all()
     names = sys.argv[1:] or HEADLINE
-    # warm-up: JVM, parquet footers, codegen caches
-    qs["dq_05_t02"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     times = {}
+    # load step: derive the 17 raw relations once and store them (shared dir)
+    root = f"{checkpoint_dir(spark)}/raw/{os.path.basename(sf_dir.rstrip('/'))}"
+    t0 = time.perf_counter()
+    rel = materialize(spark, sf_dir, root)
+    times["load_raw_layer"] = round(time.perf_counter() - t0, 3)
+    finalize(reg["dq_05_t02"].build(rel)).write.format("noop").mode("overwrite").save()   # warm-up
     for n in names:
         t0 = time.perf_counter()
-        qs[n](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        finalize(reg[n].build(rel)).write.format("noop").mode("overwrite").save()
         times[n] = round(time.perf_counter() - t0, 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "headline_total_sec", "value": round(sum(times.values()), 3), "unit": "sec",

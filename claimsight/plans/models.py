@@ -525,42 +525,45 @@ def provider_analytics(rel) -> DataFrame:
     trailing statistic with one sort per provider.
     """
     hi = rel.fraud_predictions.groupBy("claim_id").agg(F.max("fraud_probability").alias("pmax"))
-    c = rel.claims.select("claim_id", "provider_id", "date_of_service", F.col("amount_claimed").alias("a")) \
+    # amounts as integer cents: sums are exact BIGINTs, sums of squares exact
+    # DOUBLEs (integers below 2**53), so the result does not depend on the
+    # order in which partial sums meet, and the frames avoid DECIMAL(38) math
+    cents = (F.col("amount_claimed") * 100).cast("bigint")
+    c = rel.claims.select("claim_id", "provider_id", "date_of_service", cents.alias("a")) \
         .join(hi, "claim_id", "left")
     day = c.groupBy("provider_id", F.unix_date("date_of_service").alias("dn")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("a").alias("s"), F.sum(F.col("a") * F.col("a")).alias("ss"),
+        F.count(F.lit(1)).alias("n"), F.sum("a").alias("s"), F.sum(F.col("a").cast("double") * F.col("a")).alias("ss"),
         F.count_if(F.col("pmax") >= 0.8).alias("h"))
     w = Window.partitionBy("provider_id").orderBy("dn")
     w7, w30 = w.rangeBetween(-6, 0), w.rangeBetween(-29, 0)
-    # exact decimal window sums, converted to double once
     n30 = F.sum("n").over(w30)
-    s30, ss30 = F.sum("s").over(w30).cast("double"), F.sum("ss").over(w30).cast("double")
+    s30, ss30 = F.sum("s").over(w30).cast("double"), F.sum("ss").over(w30)
     mean30 = s30 / n30
-    var30 = (ss30 - n30 * mean30 * mean30) / F.nullif(n30 - 1, F.lit(0))
+    var30 = (ss30 - s30 * s30 / n30) / F.nullif(n30 - 1, F.lit(0))
     sd30 = F.sqrt(F.greatest(var30, F.lit(0.0)))
     day_mean = F.col("s").cast("double") / F.col("n")
     x = day.select("provider_id", "dn", F.col("n").alias("claim_count_1d"), F.sum("n").over(w7).alias("claim_count_7d"),
-                   n30.alias("claim_count_30d"), (F.sum("s").over(w7).cast("double") / F.sum("n").over(w7)).alias("avg7"),
+                   n30.alias("claim_count_30d"), (F.sum("s").over(w7).cast("double") / F.sum("n").over(w7) / 100).alias("avg7"),
                    ((day_mean - mean30) / F.nullif(sd30, F.lit(0.0))).alias("z"),
                    (F.sum("h").over(w30) / n30).alias("rate"))
     return x.select("provider_id", F.date_from_unix_date("dn").alias("analytics_date"), "claim_count_1d", "claim_count_7d",
-                    "claim_count_30d", F.col("avg7").alias("avg_amount_7d"), F.col("z").alias("amount_zscore_30d"),
+                    "claim_count_30d", F.col("avg7").alias("avg_amount_7d"), F.round("z", 6).alias("amount_zscore_30d"),
                     F.col("rate").alias("fraud_prediction_rate"), lit_ts(REFRESHED).alias("refreshed_at"))
 
 
 register("mart_m07_provider_analytics", sql=(
     "WITH hi AS (SELECT claim_id, MAX(fraud_probability) AS pmax FROM fraud_predictions GROUP BY claim_id), "
-    "day AS (SELECT c.provider_id, c.date_of_service AS d, COUNT(*) AS n, SUM(c.amount_claimed) AS s, "
-    "SUM(c.amount_claimed * c.amount_claimed) AS ss, COUNT(*) FILTER (WHERE hi.pmax >= 0.8) AS h "
-    "FROM claims c LEFT JOIN hi ON hi.claim_id = c.claim_id GROUP BY 1, 2), "
+    "day AS (SELECT c.provider_id, c.date_of_service AS d, COUNT(*) AS n, SUM(CAST(c.amount_claimed * 100 AS BIGINT)) AS s, "
+    "SUM(CAST(CAST(c.amount_claimed * 100 AS BIGINT) AS DOUBLE) * CAST(c.amount_claimed * 100 AS BIGINT)) AS ss, "
+    "COUNT(*) FILTER (WHERE hi.pmax >= 0.8) AS h FROM claims c LEFT JOIN hi ON hi.claim_id = c.claim_id GROUP BY 1, 2), "
     "x AS (SELECT provider_id, d, n, "
     "SUM(n) OVER w7 AS n7, CAST(SUM(s) OVER w7 AS DOUBLE) AS s7, SUM(n) OVER w30 AS n30, CAST(SUM(s) OVER w30 AS DOUBLE) AS s30, "
-    "CAST(SUM(ss) OVER w30 AS DOUBLE) AS ss30, SUM(h) OVER w30 AS h30, CAST(s AS DOUBLE) / n AS dm FROM day "
+    "SUM(ss) OVER w30 AS ss30, SUM(h) OVER w30 AS h30, CAST(s AS DOUBLE) / n AS dm FROM day "
     "WINDOW w7 AS (PARTITION BY provider_id ORDER BY d RANGE BETWEEN INTERVAL 6 DAY "
     "PRECEDING AND CURRENT ROW), w30 AS (PARTITION BY provider_id ORDER BY d RANGE BETWEEN INTERVAL 29 DAY PRECEDING AND CURRENT ROW)) "
     "SELECT provider_id, d AS analytics_date, n AS claim_count_1d, n7 AS claim_count_7d, n30 AS claim_count_30d, "
-    "s7 / n7 AS avg_amount_7d, (dm - s30 / n30) / NULLIF(sqrt(greatest((ss30 - n30 * (s30 / n30) * (s30 / n30)) "
-    "/ NULLIF(n30 - 1, 0), 0.0)), 0) AS amount_zscore_30d, CAST(h30 AS DOUBLE) / n30 AS fraud_prediction_rate, "
+    "s7 / n7 / 100 AS avg_amount_7d, round((dm - s30 / n30) / NULLIF(sqrt(greatest((ss30 - s30 * s30 / n30) "
+    "/ NULLIF(n30 - 1, 0), 0.0)), 0), 6) AS amount_zscore_30d, CAST(h30 AS DOUBLE) / n30 AS fraud_prediction_rate, "
     f"{REFRESHED_SQL} AS refreshed_at FROM x"))(provider_analytics)
 
 
@@ -721,3 +724,68 @@ def fct_claims_merge(rel) -> DataFrame:
     current = fct_claims(rel)  # stands for the stored mart version
     fresh = fct_claims(rel).join(touched, "claim_id", "left_semi")
     return current.join(touched, "claim_id", "left_anti").unionByName(fresh)
+
+
+# ------------------------------------------------------ more intermediates
+@register("int_i07_disease_patterns", sql=(
+    "SELECT CAST(date_trunc('week', c.date_of_service) AS DATE) AS week, p.county AS region, c.provider_id, "
+    "COALESCE(dx.clinical_category, 'Other') AS clinical_category, COUNT(*) AS claims FROM claims c "
+    "JOIN providers p ON p.provider_id = c.provider_id LEFT JOIN icd10_codes dx ON dx.icd10_code = c.diagnosis_code "
+    "GROUP BY 1, 2, 3, 4"))
+def disease_patterns(rel) -> DataFrame:
+    """Claims by week, region, provider and clinical category."""
+    dx = rel.icd10_codes.select(F.col("icd10_code").alias("diagnosis_code"), "clinical_category")
+    c = rel.claims.select("provider_id", "diagnosis_code", "date_of_service") \
+        .join(rel.providers.select("provider_id", F.col("county").alias("region")), "provider_id") \
+        .join(dx, "diagnosis_code", "left")
+    return c.groupBy(F.to_date(F.date_trunc("week", "date_of_service")).alias("week"), "region", "provider_id",
+                     F.coalesce("clinical_category", F.lit("Other")).alias("clinical_category")) \
+        .agg(F.count(F.lit(1)).alias("claims"))
+
+
+@register("int_i08_status_history", sql=(
+    "SELECT event_id, claim_id, new_status AS status, event_at AS entered_at, "
+    "lead(event_at) OVER (PARTITION BY claim_id ORDER BY event_at, event_id) AS left_at, "
+    "date_sub('second', event_at, lead(event_at) OVER (PARTITION BY claim_id ORDER BY event_at, event_id)) AS seconds_in_status "
+    "FROM claim_events"))
+def status_history(rel) -> DataFrame:
+    """Status intervals from the event log and the time spent in each
+    (``lead`` per claim; one shuffle on claim_id)."""
+    w = Window.partitionBy("claim_id").orderBy("event_at", "event_id")
+    nxt = F.lead("event_at").over(w)
+    return rel.claim_events.select("event_id", "claim_id", F.col("new_status").alias("status"),
+                                   F.col("event_at").alias("entered_at"), nxt.alias("left_at"),
+                                   F.timestamp_diff("SECOND", F.col("event_at"), nxt).alias("seconds_in_status"))
+
+
+@register("int_i08_time_in_status", sql=(
+    "SELECT status, COUNT(*) AS intervals, AVG(s) AS avg_seconds, MAX(s) AS max_seconds FROM ("
+    "SELECT new_status AS status, date_sub('second', event_at, lead(event_at) OVER (PARTITION BY claim_id "
+    "ORDER BY event_at, event_id)) AS s FROM claim_events) WHERE s IS NOT NULL GROUP BY status"))
+def time_in_status(rel) -> DataFrame:
+    h = status_history(rel).filter(F.col("seconds_in_status").isNotNull())
+    return h.groupBy("status").agg(F.count(F.lit(1)).alias("intervals"), F.avg("seconds_in_status").alias("avg_seconds"),
+                                   F.max("seconds_in_status").alias("max_seconds"))
+
+
+def claims_with_member_version(claims: DataFrame, versions: DataFrame) -> DataFrame:
+    """Each claim joined to the member version valid on its service date
+    (equi-join on member_id + validity range; a member has few versions, so
+    the range predicate filters a bounded set per claim)."""
+    v = versions.select("member_id", "member_sk", "plan_code", "county", "dbt_valid_from", "dbt_valid_to")
+    c = claims.select("claim_id", "member_id", "date_of_service",
+                      F.col("date_of_service").cast("timestamp_ntz").alias("_t"))
+    cond = ((c.member_id == v.member_id) & (c._t >= v.dbt_valid_from)
+            & (c._t < F.coalesce(v.dbt_valid_to, F.lit("9999-12-31 00:00:00").cast("timestamp_ntz"))))
+    return c.join(v, cond, "left").select(c.claim_id, c.member_id, c.date_of_service, "member_sk",
+                                          F.col("plan_code").alias("plan_code_at_service"),
+                                          F.col("county").alias("county_at_service"))
+
+
+register("int_j11_claim_member_version", sql=_scd2_sql() + (
+    ", d AS (SELECT 'M-' || substr(sha256(concat_ws('|', member_id, strftime(snapshot_ts, '%Y-%m-%d %H:%M:%S'))), 1, 16) "
+    "AS member_sk, member_id, plan_code, county, snapshot_ts AS vf, valid_to AS vt FROM v) "
+    "SELECT c.claim_id, c.member_id, c.date_of_service, d.member_sk, d.plan_code AS plan_code_at_service, "
+    "d.county AS county_at_service FROM claims c LEFT JOIN d ON d.member_id = c.member_id "
+    "AND CAST(c.date_of_service AS TIMESTAMP) >= d.vf AND CAST(c.date_of_service AS TIMESTAMP) < "
+    "COALESCE(d.vt, TIMESTAMP '9999-12-31 00:00:00')"))(lambda rel: claims_with_member_version(rel.claims, dim_members(rel)))

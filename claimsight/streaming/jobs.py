@@ -281,3 +281,19 @@ def score_batch(batch: DataFrame, model_log: DataFrame, models: dict, features)
     if version is None or version not in models:
         raise LookupError("no promoted model available")
     return score(models[version], batch, features).withColumn("model_version", F.lit(version))
+
+
+def dedup_events_stream(events: DataFrame, ts: str = "event_at", delay: str = WATERMARK) -> DataFrame:
+    """R02 (stream side): drop repeated event ids seen within the watermark;
+    replays older than the watermark are removed by the keyed sink
+    (:func:`append_events_sink`)."""
+    return event_time(events, ts).withWatermark(ts, delay).dropDuplicatesWithinWatermark(["event_id"])
+
+
+def outcome_change_feed(spark: SparkSession, path: str) -> DataFrame:
+    """Insert-only change feed of verdicts - the outcomes table read as a
+    file stream, one row per new outcome id."""
+    st = SCHEMAS["fraud_investigation_outcomes"]
+    s = spark.readStream.schema(st).parquet(path)
+    return event_time(s, "confirmed_at").withWatermark("confirmed_at", WATERMARK) \
+        .dropDuplicatesWithinWatermark(["outcome_id"])

@@ -16,7 +16,8 @@ def _replay(rel, scratch, table, ts):
 
 def test_provider_bursts_stream_equals_batch(spark, rel, scratch):
     path = _replay(rel, scratch, "claims", "submitted_at")
-    stream = read_replay(spark, path, "claims", max_files_per_trigger=1000)
+    # one file per day, listed by modification time: a single trigger keeps every day in order
+    stream = read_replay(spark, path, "claims", max_files_per_trigger=5000)
     sink, ck = os.path.join(scratch, "bursts"), os.path.join(scratch, "ck1")
     q = run_detector(stream, lambda s: provider_bursts(s, 2), "submitted_at", sink, ck)
     q.awaitTermination(300)
@@ -70,3 +71,26 @@ def test_dead_letters_split(spark, rel):
 
 def test_member_spread_windows_batch(rel):
     assert member_spread_windows(rel.claims, 2).count() > 0
+
+
+def test_stream_stream_duplicates_and_phantoms(spark, rel, scratch):
+    from claimsight.streaming.jobs import duplicate_pairs_stream, event_time, phantom_stream
+    path = _replay(rel, scratch, "claims", "submitted_at")
+    s = event_time(read_replay(spark, path, "claims", 5000), "submitted_at").withWatermark("submitted_at", "2 days")
+    d = duplicate_pairs_stream(s, s, hours=24 * 30, max_rel_gap=0.2)
+    q = (d.writeStream.format("parquet").option("path", os.path.join(scratch, "dups"))
+         .option("checkpointLocation", os.path.join(scratch, "ck5")).trigger(availableNow=True).start())
+    q.awaitTermination(600)
+    got = {(r.original_claim_id, r.potential_duplicate_id) for r in spark.read.parquet(os.path.join(scratch, "dups")).collect()}
+    b = event_time(rel.claims, "submitted_at")
+    exp = {(r.original_claim_id, r.potential_duplicate_id) for r in duplicate_pairs_stream(b, b, 24 * 30, 0.2).collect()}
+    assert got == exp
+    vpath = _replay(rel, scratch, "vitals", "_loaded_at")
+    v = event_time(read_replay(spark, vpath, "vitals", 5000), "_loaded_at").withWatermark("_loaded_at", "2 days")
+    ph = phantom_stream(s, v)
+    q2 = (ph.writeStream.format("parquet").option("path", os.path.join(scratch, "ph"))
+          .option("checkpointLocation", os.path.join(scratch, "ck6")).trigger(availableNow=True).start())
+    q2.awaitTermination(600)
+    streamed = {r.claim_id for r in spark.read.parquet(os.path.join(scratch, "ph")).collect()}
+    batch = {r.claim_id for r in phantom_stream(b, event_time(rel.vitals, "_loaded_at")).collect()}
+    assert streamed <= batch and len(streamed) > 0
