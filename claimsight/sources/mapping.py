@@ -511,12 +511,16 @@ class StoredRelations:
 
 def materialize(spark: SparkSession, sf_dir: str, root: str) -> StoredRelations:
     """Load step: write every relation as Parquet under ``root`` (a shared
-    location), claims-keyed tables clustered by ``claim_id`` so per-claim
-    joins read sorted row groups."""
+    location).  The claim spine (lineitem joined to orders) and the two
+    prediction/case spines are written first and read back, so the
+    dependent relations derive from stored files instead of recomputing the
+    join - the lineage is cut with a written table, which also makes the
+    load restartable after an executor loss."""
+    root = root.rstrip("/")
     rel = Relations(spark, sf_dir)
+    for spine in ("claim_full", "pred_full", "inv_full"):
+        getattr(rel, spine).write.mode("overwrite").parquet(f"{root}/_spine/{spine}")
+        rel.__dict__[spine] = spark.read.parquet(f"{root}/_spine/{spine}")
     for name in RELATION_NAMES:
-        df = getattr(rel, name)
-        if "claim_id" in df.columns:
-            df = df.repartition("claim_id").sortWithinPartitions("claim_id")
-        df.write.mode("overwrite").parquet(f"{root.rstrip('/')}/{name}")
+        getattr(rel, name).write.mode("overwrite").parquet(f"{root}/{name}")
     return StoredRelations(spark, root, sf_dir)
