@@ -57,7 +57,8 @@ def phantom_provider_rates(claims, vitals, prescriptions, providers, min_ratio:
     per = per.join(providers.select("provider_id", "county"), "provider_id") \
         .withColumn("phantom_rate", F.col("phantom_claims") / F.col("cons_claims"))
     county = per.groupBy("county").agg(F.avg("phantom_rate").alias("county_mean_rate"))
-    out = per.join(county, "county").withColumn(
+    # one row per county (bounded by the region dimension): broadcast
+    out = per.join(F.broadcast(county), "county").withColumn(
         "rate_vs_peers", F.col("phantom_rate") / F.nullif(F.col("county_mean_rate"), F.lit(0.0)))
     return out.filter(F.col("rate_vs_peers") >= min_ratio).select(
         "provider_id", "county", "cons_claims", "phantom_claims", F.round("phantom_rate", 6).alias("phantom_rate"),

@@ -101,7 +101,9 @@ def claim_features(rel) -> DataFrame:
     st = st.select("clinical_category", (F.col("_s") / F.col("_n")).alias("_mu"),
                    F.sqrt((F.col("_s2") - F.col("_s") * F.col("_s") / F.col("_n")) / F.nullif(F.col("_n") - 1, F.lit(0)))
                    .alias("_sd"))
-    c = c.join(st, "clinical_category", "left")
+    # one row per clinical category (bounded by the diagnosis dimension): broadcast it
+    # instead of shuffling every claim on a five-valued key
+    c = c.join(F.broadcast(st), "clinical_category", "left")
     # Amount / nearest threshold at or above it
     a = F.col("amount_claimed")
     prox = None
@@ -205,7 +207,8 @@ def provider_peer_zscore(rel, as_of=K.AS_OF_DATE) -> DataFrame:
         (F.sum("amount_claimed").cast("double") / F.count(F.lit(1))).alias("provider_mean"))
     peer = pm.groupBy("county", "clinical_category").agg(F.avg("provider_mean").alias("peer_mean"),
                                                          F.stddev_samp("provider_mean").alias("peer_sd"))
-    return pm.join(peer, ["county", "clinical_category"]).select(
+    # peer statistics: one row per (county, category) - bounded by the dimensions
+    return pm.join(F.broadcast(peer), ["county", "clinical_category"]).select(
         "provider_id", "county", "clinical_category", "provider_mean", F.round("peer_mean", 6).alias("peer_mean"),
         F.round("peer_sd", 6).alias("peer_sd"),
         F.round((F.col("provider_mean") - F.col("peer_mean")) / F.nullif(F.col("peer_sd"), F.lit(0.0)), 6)

@@ -145,7 +145,8 @@ def q08_vs_peers(rel) -> DataFrame:
         F.count(F.lit(1)).alias("claims"), F.sum("amount_claimed").alias("_s"))
     peer = pm.groupBy("county", "diagnosis_code").agg(
         (F.sum("_s").cast("double") / F.sum("claims")).alias("peer_mean"))
-    return pm.join(peer, ["county", "diagnosis_code"]).select(
+    # one row per (county, diagnosis): bounded by the two dimensions
+    return pm.join(F.broadcast(peer), ["county", "diagnosis_code"]).select(
         "provider_id", "county", "diagnosis_code", "claims", (F.col("_s").cast("double") / F.col("claims")).alias("provider_mean"),
         "peer_mean", ((F.col("_s").cast("double") / F.col("claims")) / F.col("peer_mean")).alias("ratio_to_peers"))
 
