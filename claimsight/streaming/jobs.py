@@ -297,3 +297,75 @@ def outcome_change_feed(spark: SparkSession, path: str) -> DataFrame:
     s = spark.readStream.schema(st).parquet(path)
     return event_time(s, "confirmed_at").withWatermark("confirmed_at", WATERMARK) \
         .dropDuplicatesWithinWatermark(["outcome_id"])
+
+
+# --------------------------------------------------- R10 / R14 (batch form)
+RULES_MODEL = "rules-v1"
+
+
+def signals_to_predictions(signals: DataFrame, predicted_at: _dt.datetime, model_version: str = RULES_MODEL) -> DataFrame:
+    """Rule signals (claim_id, rule) -> one prediction row per (claim,
+    model_version), rules listed in the JSON snapshot; deterministic ids, so
+    a replayed batch produces the same rows (and the keyed sink drops them)."""
+    g = signals.groupBy("claim_id").agg(F.array_sort(F.collect_set("rule")).alias("rules"))
+    return g.select(
+        F.concat(F.lit(f"P-{model_version}-"), F.col("claim_id")).alias("prediction_id"), "claim_id",
+        F.lit(model_version).alias("model_version"), F.lit(1.0).cast("decimal(6,5)").alias("fraud_probability"),
+        F.lit("critical").alias("risk_tier"), F.to_json(F.struct(F.col("rules"))).alias("feature_snapshot"),
+        lit_ts(predicted_at).alias("predicted_at"))
+
+
+def append_new_keys(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
+    """Keyed idempotent append: batch rows whose key is not yet stored (first per key wins)."""
+    first = batch.dropDuplicates(keys)
+    return target.unionByName(first.join(target.select(*keys), keys, "left_anti").select(*target.columns))
+
+
+def rule_signals(rel) -> DataFrame:
+    from ..operators.fraud import phantom_claims, threshold_claims
+    t = threshold_claims(rel.claims).select("claim_id", F.lit("threshold_band").alias("rule"))
+    p = phantom_claims(rel.claims, rel.vitals, rel.prescriptions).select("claim_id", F.lit("phantom_billing").alias("rule"))
+    return t.unionByName(p)
+
+
+@register("stream_r10_signal_predictions", sql=(
+    "WITH s AS (SELECT claim_id, 'threshold_band' AS rule FROM claims WHERE " + " OR ".join(
+        f"(amount_claimed >= {K.THRESHOLD_FACTORS[0] * t} AND amount_claimed < {K.THRESHOLD_FACTORS[1] * t})"
+        for t in K.THRESHOLDS_KES) + " UNION ALL SELECT c.claim_id, 'phantom_billing' FROM claims c WHERE c.procedure_code LIKE "
+    "'CONS%' AND NOT EXISTS (SELECT 1 FROM vitals v WHERE v.claim_id = c.claim_id) AND NOT EXISTS (SELECT 1 FROM prescriptions p "
+    "WHERE p.claim_id = c.claim_id)), g AS (SELECT claim_id, list_sort(list_distinct(list(rule))) AS rules FROM s GROUP BY claim_id) "
+    f"SELECT 'P-{RULES_MODEL}-' || claim_id AS prediction_id, claim_id, '{RULES_MODEL}' AS model_version, "
+    "CAST(1.0 AS DOUBLE) AS fraud_probability, 'critical' AS risk_tier, "
+    "'{\"rules\":[' || array_to_string(list_transform(rules, lambda x: '\"' || x || '\"'), ',') || ']}' AS feature_snapshot, "
+    f"{K.AS_OF_SQL} AS predicted_at FROM g"))
+def signal_predictions(rel) -> DataFrame:
+    return signals_to_predictions(rule_signals(rel), K.AS_OF)
+
+
+@register("stream_r10_sink_after_replay", sql=(
+    "SELECT model_version, COUNT(*) AS predictions, COUNT(DISTINCT claim_id) AS claims FROM ("
+    "SELECT claim_id, model_version FROM fraud_predictions UNION ALL SELECT DISTINCT claim_id, 'rules-v1' FROM ("
+    "SELECT claim_id FROM claims WHERE " + " OR ".join(
+        f"(amount_claimed >= {K.THRESHOLD_FACTORS[0] * t} AND amount_claimed < {K.THRESHOLD_FACTORS[1] * t})"
+        for t in K.THRESHOLDS_KES) + " UNION ALL SELECT c.claim_id FROM claims c WHERE c.procedure_code LIKE 'CONS%' AND NOT "
+    "EXISTS (SELECT 1 FROM vitals v WHERE v.claim_id = c.claim_id) AND NOT EXISTS (SELECT 1 FROM prescriptions p "
+    "WHERE p.claim_id = c.claim_id))) GROUP BY model_version"))
+def sink_after_replay(rel) -> DataFrame:
+    """The keyed sink applied twice (a replayed micro-batch): predictions per
+    model version stay one per (claim, version)."""
+    cols = ["prediction_id", "claim_id", "model_version", "fraud_probability", "risk_tier", "feature_snapshot", "predicted_at"]
+    new = signals_to_predictions(rule_signals(rel), K.AS_OF)
+    t = append_new_keys(rel.fraud_predictions.select(*cols), new, ["claim_id", "model_version"])
+    t = append_new_keys(t, new, ["claim_id", "model_version"])
+    return t.groupBy("model_version").agg(F.count(F.lit(1)).alias("predictions"),
+                                          F.count_distinct("claim_id").alias("claims"))
+
+
+@register("stream_r14_unconsumed_outcomes", sql=(
+    "SELECT o.outcome_id, o.claim_id, o.final_label FROM fraud_investigation_outcomes o WHERE NOT EXISTS ("
+    "SELECT 1 FROM fraud_investigation_outcomes x JOIN fraud_predictions p ON p.claim_id = x.claim_id "
+    "WHERE x.final_label IN ('confirmed_fraud', 'legitimate') AND x.outcome_id = o.outcome_id)"))
+def r14_unconsumed(rel) -> DataFrame:
+    """Outcomes that the label feed (R13) never turned into a training label."""
+    consumed = label_feed(rel).select("outcome_id").distinct()
+    return unconsumed_outcomes(rel.fraud_investigation_outcomes.select("outcome_id", "claim_id", "final_label"), consumed)
