@@ -585,3 +585,47 @@ def provider_risk_scores(providers: DataFrame, claims: DataFrame, outcomes: Data
     "FROM providers p LEFT JOIN per ON per.provider_id = p.provider_id CROSS JOIN g"))
 def u10_risk(rel) -> DataFrame:
     return provider_risk_scores(rel.providers, rel.claims, rel.fraud_investigation_outcomes)
+
+
+# ------------------------------------------------- touched-bucket rewrites
+class BucketedTable:
+    """A large keyed table stored as Parquet partitioned by ``bucket =
+    pmod(xxhash64(key), buckets)``; an upsert rewrites only the buckets the
+    batch touches.
+
+    ``merge(batch, fold)``: the touched buckets are read (partition pruning
+    on ``bucket``), folded with the batch (any of the upsert operators above),
+    staged under the shared checkpoint dir - so the target is never read and
+    overwritten by the same job - and swapped in with a dynamic partition
+    overwrite.  Untouched buckets are not read or written, so the cost of a
+    micro-batch follows the batch, not the table.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, key: str, buckets: int = 256):
+        self.spark, self.path, self.key, self.buckets = spark, path.rstrip("/"), key, buckets
+
+    def bucket_of(self, c=None):
+        return F.pmod(F.xxhash64(F.col(c or self.key)), F.lit(self.buckets)).cast("int")
+
+    def exists(self) -> bool:
+        return os.path.exists(self.path.replace("file:", ""))
+
+    def read(self) -> DataFrame:
+        return self.spark.read.parquet(self.path)
+
+    def write_all(self, df: DataFrame) -> None:
+        df.withColumn("bucket", self.bucket_of()).repartition("bucket") \
+            .write.mode("overwrite").partitionBy("bucket").parquet(self.path)
+
+    def merge(self, batch: DataFrame, fold) -> None:
+        b = batch.withColumn("bucket", self.bucket_of())
+        if not self.exists():
+            self.write_all(fold(batch.limit(0).drop("_arrival", "bucket"), batch).drop("bucket"))
+            return
+        touched = b.select("bucket").distinct()          # at most ``buckets`` rows
+        cur = self.read().join(F.broadcast(touched), "bucket", "left_semi").drop("bucket")
+        new = fold(cur, b.drop("bucket")).withColumn("bucket", self.bucket_of())
+        stage = os.path.join(checkpoint_dir(self.spark), "staging", uuid.uuid4().hex)
+        new.write.mode("overwrite").partitionBy("bucket").parquet(stage)
+        (self.spark.read.parquet(stage).repartition("bucket").write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(self.path))
