@@ -204,11 +204,12 @@ def label_distribution(claims: DataFrame, investigations: DataFrame, outcomes: D
     amount against the overall mean (selection bias of the labelled set)."""
     last = outcomes.groupBy("claim_id").agg(F.max_by("final_label", F.struct("confirmed_at", "outcome_id")).alias("lbl"))
     inv = investigations.select("claim_id").distinct().withColumn("inv", F.lit(True))
-    c = claims.select("claim_id", F.col("amount_claimed").cast("double").alias("amt")) \
+    c = claims.select("claim_id", F.col("amount_claimed").alias("amt")) \
         .join(last, "claim_id", "left").join(inv, "claim_id", "left")
     grp = F.coalesce(F.col("lbl"), F.when(F.col("inv"), "open_case").otherwise("not_investigated"))
-    g = c.groupBy(grp.alias("label_group")).agg(F.count(F.lit(1)).alias("claims"), F.sum("amt").alias("s"))
-    tot = c.agg(F.count(F.lit(1)).alias("n_all"), F.avg("amt").alias("mean_all"))
+    # exact decimal sums, converted once: the result does not depend on summation order
+    g = c.groupBy(grp.alias("label_group")).agg(F.count(F.lit(1)).alias("claims"), F.sum("amt").cast("double").alias("s"))
+    tot = c.agg(F.count(F.lit(1)).alias("n_all"), (F.sum("amt").cast("double") / F.count(F.lit(1))).alias("mean_all"))
     return g.crossJoin(F.broadcast(tot)).select(
         "label_group", "claims", F.round(F.col("claims") / F.col("n_all"), 6).alias("share_of_claims"),
         F.round(F.col("s") / F.col("claims"), 2).alias("mean_amount"),
@@ -219,11 +220,11 @@ def label_distribution(claims: DataFrame, investigations: DataFrame, outcomes: D
     "WITH last AS (SELECT claim_id, arg_max(final_label, (confirmed_at, outcome_id)) AS lbl "
     "FROM fraud_investigation_outcomes GROUP BY claim_id), "
     "inv AS (SELECT DISTINCT claim_id FROM fraud_investigations), "
-    "c AS (SELECT c.claim_id, CAST(c.amount_claimed AS DOUBLE) AS amt, COALESCE(l.lbl, CASE WHEN i.claim_id IS NOT NULL "
+    "c AS (SELECT c.claim_id, c.amount_claimed AS amt, COALESCE(l.lbl, CASE WHEN i.claim_id IS NOT NULL "
     "THEN 'open_case' ELSE 'not_investigated' END) AS label_group FROM claims c LEFT JOIN last l ON l.claim_id = c.claim_id "
-    "LEFT JOIN inv i ON i.claim_id = c.claim_id), tot AS (SELECT COUNT(*) AS n_all, AVG(amt) AS mean_all FROM c) "
+    "LEFT JOIN inv i ON i.claim_id = c.claim_id), tot AS (SELECT COUNT(*) AS n_all, CAST(SUM(amt) AS DOUBLE) / COUNT(*) AS mean_all FROM c) "
     "SELECT label_group, COUNT(*) AS claims, round(CAST(COUNT(*) AS DOUBLE) / MAX(n_all), 6) AS share_of_claims, "
-    "round(SUM(amt) / COUNT(*), 2) AS mean_amount, round((SUM(amt) / COUNT(*)) / MAX(mean_all), 6) AS amount_vs_all "
+    "round(CAST(SUM(amt) AS DOUBLE) / COUNT(*), 2) AS mean_amount, round((CAST(SUM(amt) AS DOUBLE) / COUNT(*)) / MAX(mean_all), 6) AS amount_vs_all "
     "FROM c CROSS JOIN tot GROUP BY label_group"))
 def f07_labels(rel) -> DataFrame:
     return label_distribution(rel.claims, rel.fraud_investigations, rel.fraud_investigation_outcomes)

@@ -265,12 +265,15 @@ def provider_risk_profile(rel, as_of: _dt.date = AS_OF_D) -> DataFrame:
     """Per provider - fraud rate, 30-day frequency and amount trend vs the
     previous 30 days, and flagged claims in the last 30 days (one aggregate)."""
     d = lit_date(as_of)
-    c = rel.claims.select("claim_id", "provider_id", "date_of_service", F.col("amount_claimed").cast("double").alias("a"), "status")
+    c = rel.claims.select("claim_id", "provider_id", "date_of_service", F.col("amount_claimed").alias("a"), "status")
     age = F.datediff(d, F.col("date_of_service"))
     cur, prev = (age >= 0) & (age < 30), (age >= 30) & (age < 60)
+
+    def mean(cond):  # exact decimal sum / count (order-independent)
+        return F.sum(F.when(cond, F.col("a"))).cast("double") / F.nullif(F.count_if(cond), F.lit(0))
     g = c.groupBy("provider_id").agg(
         F.count_if(cur).alias("claims_30d"), F.count_if(prev).alias("claims_prev_30d"),
-        F.avg(F.when(cur, F.col("a"))).alias("_m1"), F.avg(F.when(prev, F.col("a"))).alias("_m0"),
+        mean(cur).alias("_m1"), mean(prev).alias("_m0"),
         F.count_if(cur & (F.col("status") == "flagged_fraud")).alias("anomaly_count_30d"))
     o = rel.fraud_investigation_outcomes.select("claim_id", "final_label").join(c.select("claim_id", "provider_id"), "claim_id") \
         .groupBy("provider_id").agg(F.count(F.lit(1)).alias("_n"), F.count_if(F.col("final_label") == "confirmed_fraud").alias("_f"))
@@ -282,10 +285,11 @@ def provider_risk_profile(rel, as_of: _dt.date = AS_OF_D) -> DataFrame:
 
 
 register("int_i04_provider_risk", sql=(
-    f"WITH c AS (SELECT claim_id, provider_id, CAST(amount_claimed AS DOUBLE) AS a, status, date_diff('day', date_of_service, {D}) AS age "
+    f"WITH c AS (SELECT claim_id, provider_id, amount_claimed AS a, status, date_diff('day', date_of_service, {D}) AS age "
     "FROM claims), g AS (SELECT provider_id, COUNT(*) FILTER (WHERE age >= 0 AND age < 30) AS claims_30d, "
-    "COUNT(*) FILTER (WHERE age >= 30 AND age < 60) AS claims_prev_30d, AVG(a) FILTER (WHERE age >= 0 AND age < 30) AS m1, "
-    "AVG(a) FILTER (WHERE age >= 30 AND age < 60) AS m0, COUNT(*) FILTER (WHERE age >= 0 AND age < 30 AND status = 'flagged_fraud') "
+    "COUNT(*) FILTER (WHERE age >= 30 AND age < 60) AS claims_prev_30d, "
+    "CAST(SUM(a) FILTER (WHERE age >= 0 AND age < 30) AS DOUBLE) / NULLIF(COUNT(*) FILTER (WHERE age >= 0 AND age < 30), 0) AS m1, "
+    "CAST(SUM(a) FILTER (WHERE age >= 30 AND age < 60) AS DOUBLE) / NULLIF(COUNT(*) FILTER (WHERE age >= 30 AND age < 60), 0) AS m0, COUNT(*) FILTER (WHERE age >= 0 AND age < 30 AND status = 'flagged_fraud') "
     "AS anomaly_count_30d FROM c GROUP BY provider_id), o AS (SELECT c.provider_id, COUNT(*) AS n, COUNT(*) FILTER (WHERE "
     "x.final_label = 'confirmed_fraud') AS f FROM fraud_investigation_outcomes x JOIN c ON c.claim_id = x.claim_id GROUP BY 1) "
     "SELECT g.provider_id, claims_30d, claims_prev_30d, round(CAST(claims_30d AS DOUBLE) / NULLIF(CAST(claims_prev_30d AS DOUBLE), 0), 4) "
