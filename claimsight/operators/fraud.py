@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from ..functions.exprs import lit_date, phase_of, threshold_hit
+from ..functions.exprs import phase_of, threshold_hit
 from ..registry import register
 from .quality import near_duplicate_pairs
 

@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions.exprs import lit_date, lit_ts
 from ..registry import register
-from .quality import paid_per_claim
 
 AS_OF = K.AS_OF
 TS = K.AS_OF_SQL

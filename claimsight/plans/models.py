@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions.exprs import lit_date, lit_ts, safe_ratio, stable_id
-from ..operators.quality import paid_per_claim
 from ..registry import register
 
 REFRESHED = _dt.datetime(2001, 8, 2, 7, 0, 0)
