@@ -120,15 +120,18 @@ def benefit_sharing(claims: DataFrame, min_providers: int = 4, days: int = 7, sa
     """Members (optionally per diagnosis) seen by >= ``min_providers`` distinct
     providers within ``days`` consecutive days; one row per window start day.
 
-    Pre-aggregates to distinct (member[, diagnosis], day, provider) so the
-    RANGE frame holds at most ``days`` days of providers per member.
+    Pre-aggregates to distinct (member[, diagnosis], day, provider); the
+    forward distinct count uses the time-bucketed window layout, so a hot
+    member is split into bounded partitions.
     """
+    from .windows import rolling_counts
     keys = ["member_id"] + (["diagnosis_code"] if same_diagnosis else [])
-    d = claims.select(*keys, "provider_id", F.unix_date("date_of_service").alias("dn")).distinct()
-    w = Window.partitionBy(*keys).orderBy("dn").rangeBetween(0, days - 1)
-    x = d.select(*keys, "dn", F.size(F.collect_set("provider_id").over(w)).alias("providers_in_window")).distinct()
+    d = claims.select(*keys, "provider_id", F.col("date_of_service").cast("timestamp_ntz").alias("_t")).distinct() \
+        .withColumn("_day", F.to_date("_t"))
+    x = rolling_counts(d, keys, "_t", {"providers_in_window": (days - 1) * 86400}, "_day",
+                       distinct_col="provider_id", forward=True).distinct()
     return (x.filter(F.col("providers_in_window") >= min_providers)
-            .select(*keys, F.date_from_unix_date("dn").alias("window_start"), "providers_in_window"))
+            .select(*keys, F.col("_day").alias("window_start"), "providers_in_window"))
 
 
 def _sharing_sql(k: int, same_dx: bool) -> str:

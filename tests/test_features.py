@@ -25,3 +25,16 @@ def test_asof_rate_uses_only_earlier_events(spark):
                                "claim_id string, provider_id string, submitted_at timestamp_ntz")
     got = {r.claim_id: (r.prior_events, r.prior_flagged) for r in asof_rate(ev, pr, "provider_id", "t", "submitted_at", "f", "claim_id").collect()}
     assert got == {"c1": (2, 1), "c2": (3, 2), "c3": (0, 0)}
+
+
+def test_forward_distinct_counts_match_brute_force(spark):
+    rnd = random.Random(5)
+    base = dt.datetime(2001, 1, 1)
+    rows = [(f"c{i}", f"m{rnd.randrange(3)}", f"p{rnd.randrange(6)}", base + dt.timedelta(days=rnd.randrange(40)))
+            for i in range(200)]
+    df = spark.createDataFrame(rows, "claim_id string, member_id string, provider_id string, ts timestamp_ntz")
+    got = {r.claim_id: r.n for r in rolling_counts(df, "member_id", "ts", {"n": 6 * 86400}, "claim_id",
+                                                   distinct_col="provider_id", forward=True).collect()}
+    for cid, m, _, t in rows:
+        exp = len({p for _, mm, p, u in rows if mm == m and t <= u <= t + dt.timedelta(days=6)})
+        assert got[cid] == exp
