@@ -78,3 +78,31 @@ def asof_rate(events: DataFrame, probes: DataFrame, key: str, ev_ts: str, probe_
         probe_id, (F.coalesce(F.col("c._cn"), F.lit(0)) + F.col("_in")).alias("prior_events"),
         (F.coalesce(F.col("c._cf"), F.lit(0)) + F.col("_inf")).alias("prior_flagged"))
     return out
+
+
+def running_sum_by_day(df: DataFrame, key: str, date_col: str, tie_col: str, value: str, reset_col=None) -> DataFrame:
+    """Running sum of ``value`` per ``key`` in (date, tie) order, optionally
+    restarting at each value of ``reset_col`` (e.g. the year), as two windows:
+    day totals prefix-summed over the key's days (rows bounded by the
+    calendar) plus the running sum inside one (key, day).  A key with a huge
+    history never becomes one sorted partition.  Returns (key, tie_col, running)."""
+    reset = [reset_col] if reset_col is not None else []
+    day = df.groupBy(key, date_col, *reset).agg(F.sum(value).alias("_dt"))
+    wd = Window.partitionBy(key, *reset).orderBy(date_col).rowsBetween(Window.unboundedPreceding, -1)
+    prior = day.select(key, date_col, F.coalesce(F.sum("_dt").over(wd), F.lit(0)).alias("_prior"))
+    wi = Window.partitionBy(key, date_col).orderBy(tie_col).rowsBetween(Window.unboundedPreceding, 0)
+    inner = df.select(key, date_col, tie_col, F.sum(value).over(wi).alias("_in"))
+    return inner.join(prior, [key, date_col]).select(key, tie_col, (F.col("_prior") + F.col("_in")).alias("running"))
+
+
+def days_since_previous(df: DataFrame, key: str, date_col: str, tie_col: str) -> DataFrame:
+    """``lag(date)`` gap per key in (date, tie) order, computed as: 0 for all
+    but the first row of a (key, day); for the first, the gap to the key's
+    previous distinct day (a window over distinct days - bounded by the
+    calendar).  Returns (key, tie_col, gap)."""
+    days = df.select(key, date_col).distinct()
+    prev = days.select(key, date_col, F.lag(date_col).over(Window.partitionBy(key).orderBy(date_col)).alias("_prev"))
+    rn = F.row_number().over(Window.partitionBy(key, date_col).orderBy(tie_col))
+    x = df.select(key, date_col, tie_col, rn.alias("_rn")).join(prev, [key, date_col])
+    gap = F.when(F.col("_rn") == 1, F.datediff(F.col(date_col), F.col("_prev"))).otherwise(F.lit(0))
+    return x.select(key, tie_col, gap.alias("gap"))

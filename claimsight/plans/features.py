@@ -23,7 +23,7 @@ HOUR = 3600
 DAY = 86400
 
 
-from ..operators.windows import asof_rate, rolling_counts  # noqa: F401  (re-exported)
+from ..operators.windows import asof_rate, days_since_previous, rolling_counts, running_sum_by_day  # noqa: F401
 
 
 # --------------------------------------------------------------- features
@@ -62,11 +62,13 @@ def claim_features(rel) -> DataFrame:
                         {"member_provider_count_7d": 6 * DAY}, "claim_id", distinct_col="provider_id")
     # Year-to-date approved amount of the member over the plan's annual limit
     lim = rel.members.select("member_id", "plan_code").join(rel.plans.select("plan_code", "annual_limit_kes"), "plan_code")
-    wy = Window.partitionBy("member_id", F.year("date_of_service")).orderBy("date_of_service", "claim_id") \
-        .rowsBetween(Window.unboundedPreceding, 0)
+    ytd = running_sum_by_day(c.withColumn("_ap", F.coalesce(F.col("amount_approved"), F.lit(0)))
+                             .withColumn("_y", F.year("date_of_service")),
+                             "member_id", "date_of_service", "claim_id", "_ap", reset_col="_y") \
+        .select("claim_id", F.col("running").alias("_ytd"))
     # X11: days since the member's previous claim (velocity = its mean per member, see member_velocity)
-    wl = Window.partitionBy("member_id").orderBy("date_of_service", "claim_id")
-    c = c.join(lim.select("member_id", "annual_limit_kes"), "member_id", "left")
+    gap = days_since_previous(c, "member_id", "date_of_service", "claim_id").select("claim_id", F.col("gap").alias("_gap"))
+    c = c.join(lim.select("member_id", "annual_limit_kes"), "member_id", "left").join(ytd, "claim_id").join(gap, "claim_id")
     out = c.select(
         "claim_id", "member_id", "provider_id", "clinical_category", "days_to_submit",
         (F.col("days_to_submit") == 0).alias("is_same_day_submission"),
@@ -74,9 +76,8 @@ def claim_features(rel) -> DataFrame:
         prox.alias("amount_vs_threshold_proximity"),
         F.coalesce("has_matching_vitals", F.lit(False)).alias("has_matching_vitals"),
         F.coalesce("has_matching_prescription", F.lit(False)).alias("has_matching_prescription"),
-        (F.sum(F.coalesce(F.col("amount_approved"), F.lit(0))).over(wy).cast("double")
-         / F.col("annual_limit_kes").cast("double")).alias("member_ytd_utilisation_pct"),
-        F.datediff("date_of_service", F.lag("date_of_service").over(wl)).alias("days_since_prev_claim"))
+        (F.col("_ytd").cast("double") / F.col("annual_limit_kes").cast("double")).alias("member_ytd_utilisation_pct"),
+        F.col("_gap").alias("days_since_prev_claim"))
     out = out.join(pf, ["claim_id", "provider_id"]).join(mp.drop("member_id"), "claim_id")
     # Last 24 h against the provider's mean daily volume over 30 days
     return out.withColumn("provider_24h_vs_30d_mean",
@@ -177,8 +178,8 @@ def provider_fraud_history(rel) -> DataFrame:
     "FROM claims) GROUP BY member_id"))
 def member_velocity(rel) -> DataFrame:
     """Mean gap in days between consecutive claims of a member."""
-    w = Window.partitionBy("member_id").orderBy("date_of_service", "claim_id")
-    g = rel.claims.select("member_id", F.datediff("date_of_service", F.lag("date_of_service").over(w)).alias("gap"))
+    g = days_since_previous(rel.claims.select("member_id", "date_of_service", "claim_id"), "member_id",
+                            "date_of_service", "claim_id")
     return g.groupBy("member_id").agg(F.count(F.lit(1)).alias("claims"), F.avg("gap").alias("mean_days_between_claims"))
 
 
