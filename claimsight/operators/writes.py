@@ -192,7 +192,8 @@ CLAIM_COLS = ["claim_id", "member_id", "provider_id", "date_of_service", "date_s
 MUTABLE = ("amount_approved", "prior_auth_number", "status", "updated_at")
 
 
-def upsert_claims(target: DataFrame, batch: DataFrame, load_ts: _dt.datetime, arrival: str = ARRIVAL) -> DataFrame:
+def upsert_claims(target: DataFrame, batch: DataFrame, load_ts: _dt.datetime, arrival: str = ARRIVAL,
+                  block: int = 1 << 20) -> DataFrame:
     """Latest-state upsert with the recency guard, for any micro-batch split.
 
     Fold rule: rows of one claim are ordered by arrival (the stored row
@@ -201,6 +202,9 @@ def upsert_claims(target: DataFrame, batch: DataFrame, load_ts: _dt.datetime, ar
     amount_approved and prior_auth_number are the last non-NULL among accepted
     rows (COALESCE new over old), every other column comes from the first row.
     Only claims touched by the batch are shuffled; the rest pass through.
+    The running max is two-level - per (claim, arrival block of ``block``
+    rows) maxima prefixed over blocks, plus the running max inside a block -
+    so even a claim with millions of updates is never one sorted partition.
     """
     touched = batch.select("claim_id").distinct()
     t = target.join(touched, "claim_id", "left_semi")
@@ -208,8 +212,13 @@ def upsert_claims(target: DataFrame, batch: DataFrame, load_ts: _dt.datetime, ar
     rows = (t.select(*CLAIM_COLS, F.lit(-1).cast("bigint").alias(arrival), F.col("_loaded_at").alias("_old_loaded"))
             .unionByName(batch.select(*CLAIM_COLS, F.col(arrival).cast("bigint").alias(arrival),
                                       F.lit(None).cast("timestamp_ntz").alias("_old_loaded"))))
-    w = Window.partitionBy("claim_id").orderBy(arrival).rowsBetween(Window.unboundedPreceding, -1)
-    prev = F.max("updated_at").over(w)
+    rows = rows.withColumn("_blk", F.floor(F.col(arrival) / block))
+    bmax = rows.groupBy("claim_id", "_blk").agg(F.max("updated_at").alias("_bmax"))
+    wb = Window.partitionBy("claim_id").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    pblk = bmax.select("claim_id", "_blk", F.max("_bmax").over(wb).alias("_pmax"))     # one row per block
+    wi = Window.partitionBy("claim_id", "_blk").orderBy(arrival).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("_imax", F.max("updated_at").over(wi)).join(pblk, ["claim_id", "_blk"])
+    prev = F.greatest(F.col("_pmax"), F.col("_imax"))      # NULL only when no earlier row exists
     rows = rows.withColumn("_acc", prev.isNull() | (F.col("updated_at") >= prev))
     acc = F.col("_acc")
     fixed = [c for c in CLAIM_COLS if c not in MUTABLE and c != "claim_id"]

@@ -48,7 +48,8 @@ def test_claim_upsert_fold_equals_sequential_for_any_batch_split(spark):
         state, pos = target, 0
         for n in cuts:
             part = [u + (pos + i,) for i, u in enumerate(updates[pos:pos + n])]
-            state = upsert_claims(state, spark.createDataFrame(part, SCHEMA + ", _arrival bigint"), LOAD)
+            # a tiny arrival block exercises the two-level running max across many blocks
+            state = upsert_claims(state, spark.createDataFrame(part, SCHEMA + ", _arrival bigint"), LOAD, block=7)
             state = spark.createDataFrame(state.collect(), state.schema)  # materialise between batches
             pos += n
         got = {r.claim_id: (r.amount_approved, r.status, r.prior_auth_number, r.updated_at, r.member_id) for r in state.collect()}
