@@ -504,9 +504,11 @@ def record_verdicts(outcomes: DataFrame, investigations: DataFrame, batch: DataF
     """
     inv = investigations.select("investigation_id", F.col("claim_id").alias("_case_claim")).withColumn("_known", F.lit(True))
     done = outcomes.select("investigation_id").distinct().withColumn("_done", F.lit(True))
-    w = Window.partitionBy("investigation_id").orderBy("confirmed_at", "outcome_id")
-    b = batch.withColumn("_rank", F.row_number().over(w)).join(inv, "investigation_id", "left") \
-        .join(done, "investigation_id", "left")
+    # the first verdict per case by an aggregate (partial per task), not a window over the case
+    first = batch.groupBy("investigation_id").agg(F.min_by("outcome_id", F.struct("confirmed_at", "outcome_id")).alias("_first"))
+    b = batch.join(first, "investigation_id", "left") \
+        .withColumn("_rank", F.when(F.col("outcome_id") == F.col("_first"), 1).otherwise(2)) \
+        .join(inv, "investigation_id", "left").join(done, "investigation_id", "left")
     reason = (F.when(F.col("_known").isNull(), "unknown investigation")
               .when(F.col("_done").isNotNull(), "investigation already has an outcome")
               .when(F.col("_rank") > 1, "second verdict in the batch")

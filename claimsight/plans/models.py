@@ -753,12 +753,13 @@ def disease_patterns(rel) -> DataFrame:
     "FROM claim_events"))
 def status_history(rel) -> DataFrame:
     """Status intervals from the event log and the time spent in each
-    (``lead`` per claim; one shuffle on claim_id)."""
-    w = Window.partitionBy("claim_id").orderBy("event_at", "event_id")
-    nxt = F.lead("event_at").over(w)
-    return rel.claim_events.select("event_id", "claim_id", F.col("new_status").alias("status"),
-                                   F.col("event_at").alias("entered_at"), nxt.alias("left_at"),
-                                   F.timestamp_diff("SECOND", F.col("event_at"), nxt).alias("seconds_in_status"))
+    (next event per claim via day blocks - see :func:`next_time_in_key`)."""
+    from ..operators.windows import next_time_in_key
+    e = rel.claim_events.select("event_id", "claim_id", "new_status", "event_at")
+    nxt = next_time_in_key(e, "claim_id", "event_at", "event_id").select("event_id", F.col("next_ts").alias("left_at"))
+    return e.join(nxt, "event_id").select(
+        "event_id", "claim_id", F.col("new_status").alias("status"), F.col("event_at").alias("entered_at"), "left_at",
+        F.timestamp_diff("SECOND", F.col("event_at"), F.col("left_at")).alias("seconds_in_status"))
 
 
 @register("int_i08_time_in_status", sql=(

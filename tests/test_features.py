@@ -38,3 +38,23 @@ def test_forward_distinct_counts_match_brute_force(spark):
     for cid, m, _, t in rows:
         exp = len({p for _, mm, p, u in rows if mm == m and t <= u <= t + dt.timedelta(days=6)})
         assert got[cid] == exp
+
+
+def test_day_block_windows_match_plain_windows(spark):
+    from pyspark.sql import Window, functions as F
+    from claimsight.operators.windows import days_since_previous, next_time_in_key, running_sum_by_day
+    rnd = random.Random(9)
+    base = dt.datetime(2001, 1, 1)
+    rows = [(f"c{i:03d}", f"m{rnd.randrange(3)}", base + dt.timedelta(days=rnd.randrange(10), hours=rnd.choice([0, 5])),
+             rnd.randrange(100)) for i in range(150)]
+    df = spark.createDataFrame(rows, "cid string, k string, ts timestamp_ntz, v int").withColumn("d", F.to_date("ts"))
+    w = Window.partitionBy("k").orderBy("d", "cid")
+    plain = {r.cid: (r.rs, r.gap) for r in df.select(
+        "cid", F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("rs"),
+        F.datediff("d", F.lag("d").over(w)).alias("gap")).collect()}
+    rs = {r.cid: r.running for r in running_sum_by_day(df, "k", "d", "cid", "v").collect()}
+    gp = {r.cid: r.gap for r in days_since_previous(df, "k", "d", "cid").collect()}
+    assert {c: (rs[c], gp[c]) for c in rs} == plain
+    wt = Window.partitionBy("k").orderBy("ts", "cid")
+    lead = {r.cid: r.n for r in df.select("cid", F.lead("ts").over(wt).alias("n")).collect()}
+    assert {r.cid: r.next_ts for r in next_time_in_key(df, "k", "ts", "cid").collect()} == lead
