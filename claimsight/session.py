@@ -12,30 +12,35 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
                 app_name: str = "claimsight") -> SparkSession:
     """Build (or reuse) a session with the settings every job here assumes.
 
-    On a cluster the master and partition counts come from spark-submit; the
-    defaults below only apply when nothing else set them (local tests).
+    Each setting below is a default: it is applied only when neither
+    spark-submit, spark-defaults nor an explicit argument already set it, so
+    a cluster's own sizing (shuffle partitions, broadcast threshold, memory)
+    always wins.  ``master`` is only used when none is configured.
     """
-    builder = SparkSession.builder.appName(app_name)
-    if master:
-        builder = builder.master(master)
+    from pyspark import SparkConf
+    given = SparkConf()          # spark-submit / spark-defaults values
     cpus = os.environ.get("BENCH_CPUS", "8")
-    parts = shuffle_partitions or int(os.environ.get("CLAIMSIGHT_SHUFFLE_PARTITIONS", cpus))
-    builder = (
-        builder
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", str(parts))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
+    defaults = {
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.shuffle.partitions": str(shuffle_partitions or os.environ.get("CLAIMSIGHT_SHUFFLE_PARTITIONS", cpus)),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
         # broadcast is decided from measured sizes (planner statistics and AQE
-        # runtime stats); anything above this stays a sort-merge join.
-        .config("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
-        .config("spark.sql.adaptive.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("CLAIMSIGHT_DRIVER_MEMORY", "16g"))
-    )
+        # runtime stats); anything above this stays a sort-merge join
+        "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.driver.memory": os.environ.get("CLAIMSIGHT_DRIVER_MEMORY", "16g"),
+    }
+    builder = SparkSession.builder.appName(app_name)
+    if master and not given.contains("spark.master"):
+        builder = builder.master(master)
+    for k, v in defaults.items():
+        if not given.contains(k) or (k == "spark.sql.shuffle.partitions" and shuffle_partitions):
+            builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
