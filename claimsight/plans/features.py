@@ -31,7 +31,7 @@ def claim_features(rel) -> DataFrame:
     """X01-X11 for every claim, one row per claim."""
     c = rel.claims.select("claim_id", "member_id", "provider_id", "diagnosis_code", "date_of_service", "date_submitted",
                           "amount_claimed", "amount_approved", "submitted_at", "status")
-    dx = rel.icd10_codes.select(F.col("icd10_code").alias("diagnosis_code"), "clinical_category")
+    dx = F.broadcast(rel.icd10_codes.select(F.col("icd10_code").alias("diagnosis_code"), "clinical_category"))
     c = c.join(dx, "diagnosis_code", "left").withColumn("clinical_category", F.coalesce("clinical_category", F.lit("Other")))
     c = c.withColumn("days_to_submit", F.datediff("date_submitted", "date_of_service"))
     # Z-score of the submission lag within the clinical category (two passes, small join back)
@@ -61,7 +61,7 @@ def claim_features(rel) -> DataFrame:
     mp = rolling_counts(c.withColumn("_d", F.col("date_of_service").cast("timestamp")), "member_id", "_d",
                         {"member_provider_count_7d": 6 * DAY}, "claim_id", distinct_col="provider_id")
     # Year-to-date approved amount of the member over the plan's annual limit
-    lim = rel.members.select("member_id", "plan_code").join(rel.plans.select("plan_code", "annual_limit_kes"), "plan_code")
+    lim = rel.members.select("member_id", "plan_code").join(F.broadcast(rel.plans.select("plan_code", "annual_limit_kes")), "plan_code")
     ytd = running_sum_by_day(c.withColumn("_ap", F.coalesce(F.col("amount_approved"), F.lit(0)))
                              .withColumn("_y", F.year("date_of_service")),
                              "member_id", "date_of_service", "claim_id", "_ap", reset_col="_y") \
@@ -139,7 +139,7 @@ register("feat_x01_x11_claim_features", sql=(
 def provider_peer_zscore(rel, as_of=K.AS_OF_DATE) -> DataFrame:
     """Provider 30-day mean claim vs providers of the same county and category."""
     d = lit_date(as_of)
-    dx = rel.icd10_codes.select(F.col("icd10_code").alias("diagnosis_code"), "clinical_category")
+    dx = F.broadcast(rel.icd10_codes.select(F.col("icd10_code").alias("diagnosis_code"), "clinical_category"))
     c = (rel.claims.filter(F.col("date_of_service").between(F.date_sub(d, 29), d))
          .select("provider_id", "diagnosis_code", "amount_claimed")
          .join(rel.providers.select("provider_id", "county"), "provider_id")

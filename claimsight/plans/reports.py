@@ -498,7 +498,7 @@ def q31_monthly_summary(rel) -> DataFrame:
 def q32_plan_utilisation(rel) -> DataFrame:
     y = member_utilisation(rel).groupBy("member_id", F.year("utilisation_month").alias("year")) \
         .agg(F.max("ytd_utilisation_pct").alias("ytd"))
-    t = rel.members.select("member_id", "plan_code").join(rel.plans.select("plan_code", "plan_tier"), "plan_code")
+    t = rel.members.select("member_id", "plan_code").join(F.broadcast(rel.plans.select("plan_code", "plan_tier")), "plan_code")
     return y.join(t, "member_id").groupBy("plan_tier", "year").agg(
         F.count(F.lit(1)).alias("members"), F.round(F.avg("ytd"), 6).alias("avg_year_utilisation"),
         F.count_if(F.col("ytd") > 0.8).alias("members_above_80pct"))

@@ -28,9 +28,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        # broadcast is decided from measured sizes (planner statistics and AQE
-        # runtime stats); anything above this stays a sort-merge join
-        "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+        # no broadcast from plan-time size *estimates*; AQE may still turn a
+        # join into a broadcast from the *measured* size of a finished shuffle
+        # stage, and code broadcasts explicitly only tables with a proven bound
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.driver.memory": os.environ.get("CLAIMSIGHT_DRIVER_MEMORY", "16g"),
