@@ -379,3 +379,33 @@ def r14_unconsumed(rel) -> DataFrame:
     """Outcomes that the label feed (R13) never turned into a training label."""
     consumed = label_feed(rel).select("outcome_id").distinct()
     return unconsumed_outcomes(rel.fraud_investigation_outcomes.select("outcome_id", "claim_id", "final_label"), consumed)
+
+
+@register("stream_r08_duplicates_48h", sql=(
+    "SELECT a.claim_id AS original_claim_id, b.claim_id AS potential_duplicate_id FROM claims a JOIN claims b "
+    "ON a.member_id = b.member_id AND a.provider_id = b.provider_id AND a.diagnosis_code = b.diagnosis_code "
+    "AND a.claim_id < b.claim_id AND b.submitted_at BETWEEN a.submitted_at - INTERVAL 48 HOUR AND a.submitted_at + INTERVAL 48 HOUR "
+    "WHERE abs(CAST(a.amount_claimed AS DOUBLE) - CAST(b.amount_claimed AS DOUBLE)) / NULLIF(CAST(a.amount_claimed AS DOUBLE), 0) < 0.05"))
+def r08_batch(rel, hours: int = 48, gap: float = 0.05) -> DataFrame:
+    """R08 batch truth: the same pairs as the stream-stream join, computed with
+    the skew-safe bucketed band join (a hot key is split by time buckets)."""
+    from ..operators.quality import near_duplicate_pairs
+    return near_duplicate_pairs(rel.claims, max_rel_gap=gap, ts_col="submitted_at", max_seconds=hours * 3600) \
+        .select("original_claim_id", "potential_duplicate_id")
+
+
+register("stream_r08_duplicates_30d", sql=(
+    "SELECT a.claim_id AS original_claim_id, b.claim_id AS potential_duplicate_id FROM claims a JOIN claims b "
+    "ON a.member_id = b.member_id AND a.provider_id = b.provider_id AND a.diagnosis_code = b.diagnosis_code "
+    "AND a.claim_id < b.claim_id AND b.submitted_at BETWEEN a.submitted_at - INTERVAL 720 HOUR AND a.submitted_at + INTERVAL 720 HOUR "
+    "WHERE abs(CAST(a.amount_claimed AS DOUBLE) - CAST(b.amount_claimed AS DOUBLE)) / NULLIF(CAST(a.amount_claimed AS DOUBLE), 0) < 0.2"))(
+    lambda rel: r08_batch(rel, 720, 0.2))
+
+
+@register("stream_r09_phantom_72h", sql=(
+    "SELECT c.claim_id, c.provider_id, c.submitted_at AS c_ts FROM claims c WHERE c.procedure_code LIKE 'CONS%' "
+    "AND NOT EXISTS (SELECT 1 FROM vitals v WHERE v.claim_id = c.claim_id AND v._loaded_at >= c.submitted_at - INTERVAL 30 DAY "
+    "AND v._loaded_at <= c.submitted_at + INTERVAL 72 HOUR)"))
+def r09_batch(rel) -> DataFrame:
+    """R09 batch truth: consultations with no vitals inside the grace period."""
+    return phantom_stream(rel.claims, rel.vitals, 72)
