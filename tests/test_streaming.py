@@ -117,3 +117,21 @@ def test_bucketed_upsert_sink_rewrites_touched_buckets(spark, rel, scratch):
     table.merge(upd, lambda cur, b: upsert_claims(cur, b, dt.datetime(2001, 8, 3)))
     after = table.read()
     assert after.count() == len(exp) and after.filter(F.col("status") == "closed").count() >= 3
+
+
+def test_ingest_sink_routes_good_rows_and_dead_letters(spark, rel, scratch):
+    from claimsight.streaming.jobs import claim_messages, ingest_sink
+    src = os.path.join(scratch, "claims_topic")
+    claim_messages(rel).write.mode("overwrite").json(src)
+    good_p, bad_p = os.path.join(scratch, "good"), os.path.join(scratch, "dlq")
+
+    def writer(path):
+        return lambda df, bid: df.write.mode("append").parquet(path)
+    q = (spark.readStream.schema("key string, value string").json(src).writeStream
+         .foreachBatch(ingest_sink("claims", "claims", writer(good_p), writer(bad_p)))
+         .option("checkpointLocation", os.path.join(scratch, "ck8")).trigger(availableNow=True).start())
+    q.awaitTermination(600)
+    good, bad = spark.read.parquet(good_p), spark.read.parquet(bad_p)
+    assert good.count() + bad.count() == rel.claims.count() and bad.count() > 0
+    assert {r.error_message.split(":")[0] for r in bad.select("error_message").distinct().collect()} == {
+        "missing key", "unparseable JSON", "missing or invalid"}
