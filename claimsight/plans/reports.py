@@ -17,7 +17,7 @@ from .. import constants as K
 from ..functions.exprs import lit_date
 from ..registry import register
 from .features import member_velocity
-from .models import claims_enriched, current_members, member_utilisation, _ENRICHED_SQL, _UTIL_SQL
+from .models import claims_enriched, current_members, member_utilisation, _ENRICHED_SQL, _UTIL_SQL, _scd2_sql
 
 D = K.AS_OF_DATE_SQL
 AS_OF_D = K.AS_OF_DATE
@@ -207,7 +207,10 @@ def q13_fast_claimers(rel) -> DataFrame:
     return v.crossJoin(F.broadcast(cut)).filter(F.col("gap_days") < F.col("p10_gap_days"))
 
 
-@register("report_q14_retail_vs_corporate", sql=None)
+@register("report_q14_retail_vs_corporate", sql=_scd2_sql() + (
+    ", seg AS (SELECT member_id, CASE WHEN employer_id IS NULL THEN 'Retail' ELSE 'Corporate' END AS segment FROM v "
+    "WHERE valid_to IS NULL) SELECT seg.segment, COUNT(*) AS claims, CAST(SUM(c.amount_claimed) AS DOUBLE) AS amount_claimed, "
+    "COUNT(DISTINCT c.member_id) AS members FROM claims c JOIN seg ON seg.member_id = c.member_id GROUP BY seg.segment"))
 def q14_segments(rel) -> DataFrame:
     """Claims and amounts of current members by Retail / Corporate segment."""
     m = current_members(rel).select("member_id", "segment")
