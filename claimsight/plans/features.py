@@ -50,9 +50,12 @@ def claim_features(rel) -> DataFrame:
     for t in sorted(K.THRESHOLDS_KES, reverse=True):
         prox = F.when(a <= t, a.cast("double") / t) if prox is None else F.when(a <= t, a.cast("double") / t).otherwise(prox)
     # Evidence flags (distinct claim ids, left joins - no row multiplication)
-    v = rel.vitals.select("claim_id").distinct().withColumn("has_matching_vitals", F.lit(True))
-    rx = rel.prescriptions.select("claim_id").distinct().withColumn("has_matching_prescription", F.lit(True))
-    c = c.join(v, "claim_id", "left").join(rx, "claim_id", "left")
+    # one aggregate over both evidence sources -> one join with the claims
+    evid = (rel.vitals.select("claim_id", F.lit(1).alias("_v"), F.lit(0).alias("_rx"))
+            .unionByName(rel.prescriptions.select("claim_id", F.lit(0).alias("_v"), F.lit(1).alias("_rx")))
+            .groupBy("claim_id").agg((F.max("_v") == 1).alias("has_matching_vitals"),
+                                     (F.max("_rx") == 1).alias("has_matching_prescription")))
+    c = c.join(evid, "claim_id", "left")
     # Provider rolling counts on submitted_at
     pf = rolling_counts(c, "provider_id", "submitted_at",
                         {"provider_claims_1h": HOUR, "provider_claims_6h": 6 * HOUR, "provider_claims_24h": DAY,
