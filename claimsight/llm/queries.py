@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op03_byte_bpe
+from . import op03_byte_bpe, op09_pii
 from .common import table
 
 
@@ -17,9 +17,17 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data spans of every document."""
+    return op09_pii.digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": op3_byte_bpe,
+    "op9_pii": op9_pii,
 }
 
 #: DuckDB statements, where SQL can state the result
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op9_pii": op09_pii.oracle_sql(),
+}
