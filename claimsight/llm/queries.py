@@ -6,10 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op03_byte_bpe, op09_pii
+from . import op02_mixing, op03_byte_bpe, op09_pii
+from . import op10_licenses as op10_licenses_
 from .common import table
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    return op02_mixing.digests(table(spark, sf_dir, "documents"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and round trip of every document by the byte_bpe_multi_50k ranks."""
     import public_tokenizers
@@ -22,12 +28,20 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op09_pii.digests(table(spark, sf_dir, "documents"))
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices and tags of every document."""
+    return op10_licenses_.digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_mixing": op2_mixing,
     "op3_byte_bpe": op3_byte_bpe,
     "op9_pii": op9_pii,
+    "op10_licenses": op10_licenses,
 }
 
 #: DuckDB statements, where SQL can state the result
 SQL: dict[str, str] = {
+    "op2_mixing": op02_mixing.oracle_sql(),
     "op9_pii": op09_pii.oracle_sql(),
 }
