@@ -28,14 +28,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import BinaryType, StructField, StructType
+
+from .common import slices
 
 CHUNK_CHARS = 1 << 15
 OVERLAP = 1 << 10
 #: the pattern's longest literal alternative ('re, 've, 'll) and one: a cut can change splits this close to it
 CUT_CHARS = 4
 #: pieces kept per worker; the cache starts anew beyond it (memory only, never results)
-CACHE_PIECES = 300_000
+CACHE_PIECES = 100_000
 
 
 class Codec:
@@ -143,7 +145,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", k
 
     def whole(batches):
         codec = Codec.get(ranks_path, pattern)
-        for batch in batches:
+        for batch in (part for b in batches for part in slices(b, "__text")):
             ids = [codec.ids(codec.split(t)) for t in batch.column(len(keep)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), pa.array(ids, pa.binary())], names)
 

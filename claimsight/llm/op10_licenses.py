@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
 
+from .common import slices
+
 # The contract's phrases and labels.
 BASE_PHRASES = {
     "gnu general public license": "gpl",
@@ -177,7 +179,7 @@ def scan(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",
 
     def run(batches):
         found = automaton()
-        for batch in batches:
+        for batch in (part for b in batches for part in slices(b, text)):
             out = [scan_text((t or "").encode(), found) for t in batch.column(len(keep)).to_pylist()]
             yield pa.RecordBatch.from_arrays([
                 *(batch.column(i) for i in range(len(keep))),
