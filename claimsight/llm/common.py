@@ -152,7 +152,7 @@ def shingle_hashes(data: np.ndarray, offsets: np.ndarray, width: int = 5, lower:
         for k in range(width - 1):
             has = counts[short] > k
             extra[has] = extra[has] * BASE + h[first[has] + k]
-        extra = mix(extra + U(width) * MIX2 + counts[short].astype(U))
+        extra = mix(extra * MIX1 + U(width) + counts[short].astype(U))
         out, at = np.concatenate([out, extra]), np.concatenate([at, short])
         order = np.argsort(at, kind="stable")
         out, at = out[order], at[order]
@@ -166,3 +166,46 @@ def distinct_sorted(h: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.nda
     keep = np.ones(len(h), bool)
     keep[1:] = (h[1:] != h[:-1]) | (rows[1:] != rows[:-1])
     return h[keep], rows[keep]
+
+
+def lowest(h: np.ndarray, rows: np.ndarray, n_rows: int, k: int) -> list[np.ndarray]:
+    """The ``k`` smallest distinct hashes of each row, ascending; ``rows`` must not descend."""
+    counts = np.bincount(rows, minlength=n_rows)
+    starts = np.concatenate([[0], np.cumsum(counts)])
+    # hashes are uniform: all but a few of a long row cannot be among its k smallest
+    with np.errstate(divide="ignore"):
+        bound = np.where(counts > 4 * k, (k + 6 * np.sqrt(k) + 10) / np.maximum(counts, 1) * 2.0**64, 2.0**64 - 4096)
+    keep = h <= np.minimum(bound, 2.0**64 - 4096).astype(U)[rows]
+    keep |= (counts <= 4 * k)[rows]
+    sh, sr = distinct_sorted(h[keep], rows[keep])
+    at = np.searchsorted(sr, np.arange(n_rows + 1))
+    out = []
+    for i in range(n_rows):
+        own = sh[at[i]: min(at[i + 1], at[i] + k)]
+        if len(own) < k and counts[i] > 4 * k:       # many repeats: the bound was too low for this row
+            own = np.unique(h[starts[i]: starts[i + 1]])[:k]
+        out.append(own)
+    return out
+
+
+def ranges(docs: DataFrame, column: str, most: int, rows_each: int) -> list[float]:
+    """Ascending split points of a numeric column into at most ``most`` ranges of about ``rows_each`` rows."""
+    from pyspark.sql import functions as F
+    n = docs.agg(F.count(column)).first()[0]
+    parts = int(min(most, max(1, -(-n // rows_each))))
+    if parts == 1:
+        return []
+    at = docs.agg(F.percentile_approx(column, [i / parts for i in range(1, parts)], 20 * most)).first()[0]
+    return sorted({float(x) for x in at})
+
+
+def range_of(docs: DataFrame, column: str, splits: list[float], out: str) -> DataFrame:
+    """``docs`` with the range number of ``column`` (binary search; it never descends as the column grows; nulls last)."""
+    from pyspark.ml.feature import Bucketizer
+    from pyspark.sql import functions as F
+    edges = [float("-inf"), *splits, float("inf")]
+    if len(edges) < 3:
+        return docs.withColumn(out, F.when(F.col(column).isNull(), 1).otherwise(0))
+    temp = docs.withColumn("__as_double", F.col(column).cast("double"))
+    found = Bucketizer(splits=edges, inputCol="__as_double", outputCol=out, handleInvalid="keep").transform(temp)
+    return found.withColumn(out, F.col(out).cast("int")).drop("__as_double")
