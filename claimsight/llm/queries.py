@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op02_mixing, op03_byte_bpe, op05_fingerprints, op06_toxicity, op09_pii
+from . import op02_mixing, op03_byte_bpe, op05_fingerprints, op06_toxicity, op08_vantage_points, op09_pii
 from . import op10_licenses as op10_licenses_
 from .common import table
 
@@ -33,6 +33,11 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op06_toxicity.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_vantage_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows of every twentieth vector."""
+    return op08_vantage_points.digests(table(spark, sf_dir, "embeddings"))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data spans of every document."""
     return op09_pii.digests(table(spark, sf_dir, "documents"))
@@ -48,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": op3_byte_bpe,
     "op5_fingerprints": op5_fingerprints,
     "op6_toxicity": op6_toxicity,
+    "op8_vantage_points": op8_vantage_points,
     "op9_pii": op9_pii,
     "op10_licenses": op10_licenses,
 }
@@ -55,5 +61,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 #: DuckDB statements, where SQL can state the result
 SQL: dict[str, str] = {
     "op2_mixing": op02_mixing.oracle_sql(),
+    "op8_vantage_points": op08_vantage_points.SQL,
     "op9_pii": op09_pii.oracle_sql(),
 }
