@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op02_mixing, op03_byte_bpe, op05_fingerprints, op06_toxicity, op08_vantage_points, op09_pii
+from . import op02_mixing, op03_byte_bpe, op04_secrets, op05_fingerprints, op06_toxicity, op08_vantage_points, op09_pii
 from . import op10_licenses as op10_licenses_
 from .common import table
 
@@ -23,6 +23,11 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, by a forest trained on findings planted in a bounded sample."""
+    return op04_secrets.digests(table(spark, sf_dir, "documents"))
+
+
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and its edited text."""
     return op05_fingerprints.digests(table(spark, sf_dir, "documents"))
@@ -51,6 +56,7 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_secrets": op4_secrets,
     "op5_fingerprints": op5_fingerprints,
     "op6_toxicity": op6_toxicity,
     "op8_vantage_points": op8_vantage_points,
