@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op02_mixing, op03_byte_bpe, op04_secrets, op05_fingerprints, op06_toxicity, op08_vantage_points, op09_pii
+from . import op02_mixing, op03_byte_bpe, op04_secrets, op05_fingerprints, op06_toxicity, op07_ngram_join, op08_vantage_points, op09_pii
 from . import op10_licenses as op10_licenses_
 from .common import table
 
@@ -38,6 +38,11 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op06_toxicity.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose shingle sets are at least 0.8 alike."""
+    return op07_ngram_join.join(table(spark, sf_dir, "documents"))
+
+
 def op8_vantage_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest rows of every twentieth vector."""
     return op08_vantage_points.digests(table(spark, sf_dir, "embeddings"))
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_secrets": op4_secrets,
     "op5_fingerprints": op5_fingerprints,
     "op6_toxicity": op6_toxicity,
+    "op7_ngram_join": op7_ngram_join,
     "op8_vantage_points": op8_vantage_points,
     "op9_pii": op9_pii,
     "op10_licenses": op10_licenses,
@@ -67,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 #: DuckDB statements, where SQL can state the result
 SQL: dict[str, str] = {
     "op2_mixing": op02_mixing.oracle_sql(),
+    "op7_ngram_join": op07_ngram_join.SQL,
     "op8_vantage_points": op08_vantage_points.SQL,
     "op9_pii": op09_pii.oracle_sql(),
 }
