@@ -6,11 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op02_mixing, op03_byte_bpe, op04_secrets, op05_fingerprints, op06_toxicity, op07_ngram_join, op08_vantage_points, op09_pii
+from . import op01_suffix_dedup, op02_mixing, op03_byte_bpe, op04_secrets, op05_fingerprints, op06_toxicity, op07_ngram_join, op08_vantage_points, op09_pii
 from . import op10_licenses as op10_licenses_
 from .common import table
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without its repeated 100-byte strings."""
+    return op01_suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     return op02_mixing.digests(table(spark, sf_dir, "documents"))
@@ -59,6 +64,7 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_mixing": op2_mixing,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_secrets": op4_secrets,
@@ -72,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 #: DuckDB statements, where SQL can state the result
 SQL: dict[str, str] = {
+    "op1_suffix_dedup": op01_suffix_dedup.SQL,
     "op2_mixing": op02_mixing.oracle_sql(),
     "op7_ngram_join": op07_ngram_join.SQL,
     "op8_vantage_points": op08_vantage_points.SQL,
