@@ -165,7 +165,8 @@ def mix(docs: DataFrame, members: Column, size: Column, weights: tuple[float, ..
     cut = (sums.withColumn("__before", F.coalesce(F.sum("words").over(before), F.lit(0))).join(plan, "__key")
            .groupBy("__key").agg(F.first("__full").alias("__full"), F.first("__rest").alias("__rest"),
                                  F.min(F.when(F.col("__before") + F.col("words") > F.col("__rest"), F.struct("__bucket", "__before"))).alias("__cut")))
-    dealt = sized.join(cut, "__key")
+    # one row per pattern, at most ``max_patterns``: a proven bound for the broadcast, and a hot source stays spread
+    dealt = sized.join(F.broadcast(cut), "__key")
     ends = F.coalesce(F.col("__cut.__bucket"), F.lit(-1))
     # buckets before and after the cut need no order; only those of the cut are summed row by row
     whole = dealt.where(F.col("__bucket") != ends).withColumn("__extra", F.col("__bucket") < ends)
@@ -192,7 +193,8 @@ def digests(docs: DataFrame) -> DataFrame:
 def oracle_sql() -> str:
     """The contract's rows in DuckDB: the water filling in closed form, the flow of patterns of one source each."""
     return rf"""
-WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+'))::BIGINT AS size FROM documents),
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+'))::BIGINT AS size FROM documents),
 g AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS j FROM d GROUP BY source),
 w AS (SELECT *, CASE j % 3 WHEN 0 THEN 5.0 WHEN 1 THEN 2.0 ELSE 1.0 END::DOUBLE AS w FROM g),
 o AS (SELECT *, row_number() OVER (ORDER BY {MAX_REPEATS} * source_size / w, j) AS k FROM w),

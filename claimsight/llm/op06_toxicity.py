@@ -224,19 +224,19 @@ def _add_exceptions(lexicon: Lexicon, sample: DataFrame, min_docs: int = 5) -> N
     lexicon.exceptions = [r["phrase"] for r in rows]
 
 
-def score(docs: DataFrame, lexicon: Lexicon, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns with score (0 to 1), n_words and n_hits of the whole text."""
-    rows = docs.select(*keep, text)
-    schema = StructType([*(rows.schema[c] for c in keep), StructField("score", DoubleType()), StructField("n_words", LongType()), StructField("n_hits", LongType())])
-    names = schema.names
+def score(docs: DataFrame, lexicon: Lexicon, text: str = "text", keep: tuple[str, ...] = ("doc_id",), out: str = "score") -> DataFrame:
+    """``keep`` columns with ``out`` (0 to 1), n_words and n_hits of the whole text."""
+    taken = list(dict.fromkeys([*keep, text]))
+    rows = docs.select(*[F.col(f"`{c}`") for c in taken])
+    schema = StructType([*(rows.schema[c] for c in keep), StructField(out, DoubleType()), StructField("n_words", LongType()), StructField("n_hits", LongType())])
 
     def run(batches):
         automaton = lexicon.automaton()
         for batch in (part for b in batches for part in slices(b, text)):
-            out = [hits(fold(t or ""), automaton) for t in batch.column(len(keep)).to_pylist()]
-            z = features([w for w, *_ in out], [x for _, x, _ in out]) @ np.array(lexicon.fit)
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30)))),
-                                              pa.array([w for w, *_ in out], pa.int64()), pa.array([n for *_, n in out], pa.int64())], names)
+            found = [hits(fold(t or ""), automaton) for t in batch.column(taken.index(text)).to_pylist()]
+            z = features([w for w, *_ in found], [x for _, x, _ in found]) @ np.array(lexicon.fit)
+            yield pa.RecordBatch.from_arrays([*(batch.column(taken.index(c)) for c in keep), pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30)))),
+                                              pa.array([w for w, *_ in found], pa.int64()), pa.array([n for *_, n in found], pa.int64())], schema.names)
 
     return rows.mapInArrow(run, schema)
 

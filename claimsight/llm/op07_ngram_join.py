@@ -110,8 +110,8 @@ def token_sets(column: pa.Array, hot: np.ndarray | None) -> tuple[np.ndarray, np
 
 
 def _summaries(docs: DataFrame) -> DataFrame:
-    """kind 0: (doc_id, n, sig) of each document; kind 1: (token, count) of shingles frequent in a batch."""
-    out = StructType.fromDDL("kind int, n long, sig long")
+    """kind 0: (doc_id, hash of the text, n, sig) of each document; kind 1: (token, count) of shingles frequent in a batch."""
+    out = StructType.fromDDL("text_hash long, kind int, n long, sig long")
     out = StructType([docs.schema["doc_id"], *out.fields])
 
     def run(batches):
@@ -121,17 +121,21 @@ def _summaries(docs: DataFrame) -> DataFrame:
                 h, bounds, sizes, signs = token_sets(part.column(1), None)
                 seen.append(h)
                 zero = np.zeros(len(sizes), np.int32)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(zero), pa.array(sizes.astype(np.int64)), pa.array(signs)], out.names)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(zero), pa.array(sizes.astype(np.int64)), pa.array(signs)], out.names)
             every = np.sort(np.concatenate(seen)) if seen else np.zeros(0, U)
             first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])) if len(every) else np.zeros(0, int)
             counts = np.diff(np.append(first, len(every)))
             often = counts >= 8
             if often.any():
                 tokens, counts = every[first[often]].view(np.int64), counts[often].astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.nulls(len(tokens), batch.schema.field(0).type), pa.array(np.ones(len(tokens), np.int32)),
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(tokens), batch.schema.field(0).type), pa.nulls(len(tokens), pa.int64()), pa.array(np.ones(len(tokens), np.int32)),
                                                   pa.array(counts), pa.array(tokens)], out.names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, out)
+    return docs.select("doc_id", "text", text_hash().alias("text_hash")).mapInArrow(run, out)
+
+
+def text_hash(text: str = "text"):
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
 
 # ------------------------------------------------------------------ packed shuffles
@@ -450,12 +454,15 @@ def _large_families(sets: DataFrame, sizes: DataFrame, block_tokens: int) -> Dat
 
 
 # ------------------------------------------------------------------ the join
-def join(docs: DataFrame, family_tokens: int = FAMILY_TOKENS, hot_tokens: int = HOT_TOKENS) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row of ``docs`` (columns doc_id and text)."""
+def groups(docs: DataFrame, family_tokens: int = FAMILY_TOKENS, hot_tokens: int = HOT_TOKENS) -> DataFrame:
+    """doc_id, text_hash, n_shingles, component, component_id of every row of ``docs`` (columns doc_id and text).
+
+    ``component`` numbers the linked groups (null for an empty set); ``component_id`` is the smallest id of one.
+    """
     spark = docs.sparkSession
     rows = docs.select("doc_id", "text")
     seen = stored(_summaries(rows), "ngram-sets")
-    by_doc = seen.where("kind = 0").select("doc_id", "n", "sig")
+    by_doc = seen.where("kind = 0").select("doc_id", "text_hash", "n", "sig")
     # bounded by hot_tokens
     hot = seen.where("kind = 1").groupBy("sig").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "sig").limit(hot_tokens).select("sig").collect()
     hot = np.sort(np.array([r[0] for r in hot], np.int64).view(U)) if hot else np.zeros(0, U)
@@ -495,12 +502,35 @@ def join(docs: DataFrame, family_tokens: int = FAMILY_TOKENS, hot_tokens: int =
     named = classes.join(linked_classes, classes["sig"] == linked_classes["node"], "left").select(
         "sig", F.coalesce("component", "sig").alias("component"), "rep")
     least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
-    labels = named.join(least, "component").select("sig", "component_id")
-    full = by_doc.where("n > 0").join(labels, "sig").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    empty = by_doc.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    labels = named.join(least, "component").select("sig", "component", "component_id")
+    full = by_doc.where("n > 0").join(labels, "sig").select("doc_id", "text_hash", F.col("n").alias("n_shingles"), "component", "component_id")
+    empty = by_doc.where("n = 0").select("doc_id", "text_hash", F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("component"),
+                                         F.col("doc_id").alias("component_id"))
     return full.unionByName(empty)
 
 
+def join(docs: DataFrame, **options) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row of ``docs``."""
+    return groups(docs, **options).select("doc_id", "n_shingles", "component_id")
+
+
+def one_of_each(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` that stay when each group keeps its smallest id (documents without a group all stay)."""
+    found = stored(groups(docs, **options), "ngram-groups")
+    id_order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    first = found.where("component is not null").groupBy("component").agg(F.min(id_order).alias("k"), F.count_if(F.lit(True)).alias("rows"))
+    stay = (first.select("k.doc_id", "k.text_hash").unionByName(found.where("component is null").select("doc_id", "text_hash")).distinct()
+            .select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")))
+    rows = docs.withColumn("__text_hash", text_hash())
+    kept = rows.join(stay, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text_hash") == F.col("__hash")), "left_semi")
+    # equal rows (same id and text) of a group are copies of each other too
+    again = found.where("component is not null").groupBy("component", "doc_id", "text_hash").count().where("count > 1")
+    if again.limit(1).count():
+        empty = ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+        kept = kept.where(~empty).dropDuplicates(["doc_id", "__text_hash"]).unionByName(kept.where(empty))
+    return kept.drop("__text_hash")
+
+
 SQL = r"""
 WITH RECURSIVE w AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
