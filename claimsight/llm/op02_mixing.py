@@ -124,8 +124,11 @@ def min_cost_flow(patterns: list[tuple[tuple[int, ...], int]], quotas: list[int]
 
 
 def mix(docs: DataFrame, members: Column, size: Column, weights: tuple[float, ...] = WEIGHTS,
-        max_repeats: int = MAX_REPEATS, order: Column | None = None, max_patterns: int = MAX_PATTERNS) -> tuple[DataFrame, DataFrame]:
-    """(``docs`` with ``size``, ``pattern`` and ``taken``; the sources with ``source_size`` and ``target``).
+        max_repeats: int = MAX_REPEATS, order: Column | None = None, max_patterns: int = MAX_PATTERNS,
+        out: tuple[str, str, str] = ("size", "pattern", "taken")) -> tuple[DataFrame, DataFrame]:
+    """(``docs`` with its size, pattern and words taken, named by ``out``; the sources with ``source_size`` and ``target``).
+
+    Columns of ``docs`` that are named as ``out`` are replaced.
 
     ``members``: array<string> of the sources that hold a row (null element: the null source).
     ``order``: a string that decides, ascending, which documents come first for a partial repetition;
@@ -135,11 +138,12 @@ def mix(docs: DataFrame, members: Column, size: Column, weights: tuple[float, ..
     if order is None:
         order = F.md5(F.concat_ws("|", F.lit(SEED), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("string")))
     # the set of sources as JSON: a key that tells a null source from any name
-    sized = docs.select("*", size.alias("size"), F.array_sort(F.array_distinct(members)).alias("pattern"), order.alias("__order"))
-    sized = (sized.withColumn("__key", F.to_json("pattern"))
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in out]
+    sized = docs.select(*others, size.alias("__size"), F.array_sort(F.array_distinct(members)).alias("__pattern"), order.alias("__order"))
+    sized = (sized.withColumn("__key", F.to_json("__pattern"))
              .withColumn("__bucket", F.conv(F.substring("__order", 1, BUCKET_DIGITS), 16, 10).cast("int")))
     # one row per pattern and bucket of the seeded order: a hot source is summed before it is shuffled
-    sums = (sized.groupBy("__key", "__bucket").agg(F.first("pattern").alias("pattern"), F.sum("size").alias("words"))
+    sums = (sized.groupBy("__key", "__bucket").agg(F.first("__pattern").alias("pattern"), F.sum("__size").alias("words"))
             .transform(lambda df: stored(df, "mix-sums")))
     rows = (sums.groupBy("__key").agg(F.first("pattern").alias("pattern"), F.sum("words").alias("words"))
             .limit(max_patterns + 1).collect())
@@ -171,15 +175,15 @@ def mix(docs: DataFrame, members: Column, size: Column, weights: tuple[float, ..
     # buckets before and after the cut need no order; only those of the cut are summed row by row
     whole = dealt.where(F.col("__bucket") != ends).withColumn("__extra", F.col("__bucket") < ends)
     edge = dealt.where(F.col("__bucket") == ends)
-    rows_before = Window.partitionBy("__key").orderBy("__order", "size").rowsBetween(Window.unboundedPreceding, -1)
+    rows_before = Window.partitionBy("__key").orderBy("__order", "__size").rowsBetween(Window.unboundedPreceding, -1)
     # a document is taken when more than half of it lies before the cut
-    edge = edge.withColumn("__extra", F.col("__cut.__before") + F.coalesce(F.sum("size").over(rows_before), F.lit(0))
-                           + F.col("size") / 2 < F.col("__rest"))
-    out = whole.unionByName(edge).select(
-        *[F.col(f"`{c}`") for c in docs.columns], "size", "pattern",
-        (F.col("size") * (F.col("__full") + F.col("__extra").cast("long"))).alias("taken"))
+    edge = edge.withColumn("__extra", F.col("__cut.__before") + F.coalesce(F.sum("__size").over(rows_before), F.lit(0))
+                           + F.col("__size") / 2 < F.col("__rest"))
+    mixed = whole.unionByName(edge).select(
+        *others, F.col("__size").alias(out[0]), F.col("__pattern").alias(out[1]),
+        (F.col("__size") * (F.col("__full") + F.col("__extra").cast("long"))).alias(out[2]))
     sources = spark.createDataFrame(list(zip(names, held, aims, strict=True)), "source string, source_size long, target double")
-    return out, sources
+    return mixed, sources
 
 
 def digests(docs: DataFrame) -> DataFrame:

@@ -224,11 +224,13 @@ def _add_exceptions(lexicon: Lexicon, sample: DataFrame, min_docs: int = 5) -> N
     lexicon.exceptions = [r["phrase"] for r in rows]
 
 
-def score(docs: DataFrame, lexicon: Lexicon, text: str = "text", keep: tuple[str, ...] = ("doc_id",), out: str = "score") -> DataFrame:
-    """``keep`` columns with ``out`` (0 to 1), n_words and n_hits of the whole text."""
+def score(docs: DataFrame, lexicon: Lexicon, text: str = "text", keep: tuple[str, ...] = ("doc_id",),
+          out: tuple[str, str, str] = ("score", "n_words", "n_hits")) -> DataFrame:
+    """``keep`` columns with score (0 to 1), words and places of the whole text, named by ``out`` (which replaces columns named so)."""
+    keep = tuple(c for c in keep if c not in out)
     taken = list(dict.fromkeys([*keep, text]))
     rows = docs.select(*[F.col(f"`{c}`") for c in taken])
-    schema = StructType([*(rows.schema[c] for c in keep), StructField(out, DoubleType()), StructField("n_words", LongType()), StructField("n_hits", LongType())])
+    schema = StructType([*(rows.schema[c] for c in keep), StructField(out[0], DoubleType()), StructField(out[1], LongType()), StructField(out[2], LongType())])
 
     def run(batches):
         automaton = lexicon.automaton()

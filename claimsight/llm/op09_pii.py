@@ -145,7 +145,7 @@ def findings(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD,
         return spans if k.base else F.filter(spans, lambda x: x["score"] >= threshold)
 
     all_spans = F.concat(*[scored(k, F.col(n)) for k, n in zip(KINDS, names, strict=True)])
-    return df.select(*[F.col(f"`{c}`") for c in docs.columns], all_spans.alias(out))
+    return df.select(*[F.col(f"`{c}`") for c in docs.columns if c != out], all_spans.alias(out))
 
 
 def digests(docs: DataFrame, **options) -> DataFrame:

@@ -19,7 +19,7 @@ TOXIC = 0.5
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the learned lexicon does not hold for toxic."""
     lexicon = op06_toxicity.learn(op06_toxicity.training_rows(docs, table(spark, sf_dir, "labels")))
-    scored = op06_toxicity.score(docs, lexicon, keep=tuple(docs.columns), out="__score")
+    scored = op06_toxicity.score(docs, lexicon, keep=tuple(docs.columns), out=("__score", "__words", "__hits"))
     return scored.where(F.col("__score") < TOXIC).select(*docs.columns)
 
 
@@ -35,8 +35,8 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it; a document without words is not part of a mix of words and stays once."""
-    mixed, _ = op02_mixing.mix(docs, F.array("source"), op02_mixing.size_of(F.col("text")))
-    times = F.when(F.col("size") > 0, (F.col("taken") / F.col("size")).cast("int")).otherwise(1)
+    mixed, _ = op02_mixing.mix(docs, F.array("source"), op02_mixing.size_of(F.col("text")), out=("__size", "__pattern", "__taken"))
+    times = F.when(F.col("__size") > 0, (F.col("__taken") / F.col("__size")).cast("int")).otherwise(1)
     return mixed.withColumn("__times", times).where("__times > 0").select(
         *docs.columns, F.explode(F.sequence(F.lit(1), F.col("__times"))).alias("__time")).drop("__time")
 
