@@ -8,6 +8,8 @@ row for row, which the correctness run checks.
 
 from __future__ import annotations
 
+import re
+
 _MAPPING = r"""
 m_claim_base AS (
   SELECT
@@ -354,9 +356,39 @@ claim_events AS (
 """
 
 
+def _relations() -> dict[str, str]:
+    """name -> statement of each relation of the mapping, in order."""
+    parts = re.split(r"^(\w+) AS \($", _MAPPING.strip(), flags=re.MULTILINE)
+    return {n: t.strip().removesuffix(",").rstrip().removesuffix(")") for n, t in zip(parts[1::2], parts[2::2], strict=True)}
+
+
+RELATIONS = _relations()
+
+
+def _named(sql: str) -> set[str]:
+    return set(re.findall(r"\w+", sql)) & set(RELATIONS)
+
+
 def with_mapping(body: str) -> str:
-    """Prefix an oracle query with the mapping relations."""
+    """Prefix an oracle query with the mapping relations that it uses, directly or not.
+
+    A relation that more than one place reads is materialised, so the planner
+    sees its real size and computes it once.
+    """
+    need, todo = set(), _named(body)
+    while todo:
+        need |= todo
+        todo = set().union(*(_named(RELATIONS[n]) for n in todo)) - need
+    places = body + " ".join(RELATIONS[n] for n in need)
+    shared = {n for n in need if len(re.findall(rf"\b{n}\b", places)) > 1}
+    ctes = ",\n".join(f"{n} AS {'MATERIALIZED ' if n in shared else ''}({RELATIONS[n]})" for n in RELATIONS if n in need)
     b = body.strip()
+    if not ctes:
+        return b
+    # DuckDB takes RECURSIVE after WITH for the whole list
     if b[:5].upper() == "WITH ":
-        return "WITH " + _MAPPING.strip() + ",\n" + b[5:]
-    return "WITH " + _MAPPING.strip() + "\n" + b
+        rest = b[5:].lstrip()
+        if rest[:10].upper() == "RECURSIVE ":
+            return "WITH RECURSIVE " + ctes + ",\n" + rest[10:]
+        return "WITH " + ctes + ",\n" + rest
+    return "WITH " + ctes + "\n" + b

@@ -19,12 +19,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     """
     from pyspark import SparkConf
     given = SparkConf()          # spark-submit / spark-defaults values
-    cpus = os.environ.get("BENCH_CPUS", "8")
     defaults = {
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.session.timeZone": "UTC",
-        "spark.sql.shuffle.partitions": str(shuffle_partitions or os.environ.get("CLAIMSIGHT_SHUFFLE_PARTITIONS", cpus)),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -36,6 +34,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.driver.memory": os.environ.get("CLAIMSIGHT_DRIVER_MEMORY", "16g"),
     }
+    if shuffle_partitions:          # only on request: a cluster's own number, or Spark's, stays
+        defaults["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     builder = SparkSession.builder.appName(app_name)
     if master and not given.contains("spark.master"):
         builder = builder.master(master)
