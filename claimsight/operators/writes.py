@@ -2,8 +2,8 @@
 
 Parquet cannot be updated in place, so every operator here is a pure function
 ``(current state, incoming batch) -> new state``; :class:`VersionedTable`
-writes the new state as version N+1 beside N and then moves the pointer, so a
-failed job never leaves a half-written table and readers never see one.
+writes the new state as version N+1 beside N, which counts once its job has
+committed, so a failed job never leaves a half-written table.
 
 Scale: each operator shuffles once on its key (the window and the aggregate
 after it share the partitioning), unchanged rows pass through a ``left_anti``
@@ -13,44 +13,46 @@ after it share the partitioning), unchanged rows pass through a ``left_anti``
 from __future__ import annotations
 
 import datetime as _dt
-import os
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .. import constants as K
 from ..functions.exprs import lit_ts, priority_of, stable_id
 from ..registry import register
 from ..session import checkpoint_dir
+from ..sources.store import Store
 
 LOAD_TS = _dt.datetime(2001, 8, 2, 6, 0, 0)     # load time of the replayed batches in the registered queries
 LOAD_TS_SQL = "TIMESTAMP '2001-08-02 06:00:00'"
 ARRIVAL = "_arrival"
+#: an arrival order that no batch size can overflow: micro-batch, event day, file, row of the file
+ARRIVAL_FIELDS = (("batch", "bigint"), ("day", "string"), ("file", "string"), ("row", "bigint"))
 
 
 # ------------------------------------------------------------- versioned
 class VersionedTable:
     """A keyed table stored as immutable versions under ``root/v=NNNNNN``.
 
-    ``commit(df)`` writes the next version and only then updates the
-    ``_CURRENT`` pointer (a tiny text file written atomically by rename).  The
-    root must be a shared location (the cluster's checkpoint dir by default).
+    A version counts once its write job has committed (Spark's ``_SUCCESS``
+    marker, the last file of a write), so a failed job leaves no version and
+    there is no pointer to lose.  All file access goes through the Hadoop
+    FileSystem of the path; the root must be a shared location (the cluster's
+    checkpoint dir by default).  ``vacuum`` removes old versions.
     """
 
     def __init__(self, spark: SparkSession, name: str, root: str | None = None):
         self.spark = spark
-        self.root = (root or os.path.join(checkpoint_dir(spark), "tables")).rstrip("/") + "/" + name
+        self.root = (root or f"{checkpoint_dir(spark)}/tables").rstrip("/") + "/" + name
+        self.store = Store(spark, self.root)
 
-    def _pointer(self) -> str:
-        return os.path.join(self.root, "_CURRENT")
+    def _versions(self) -> list[int]:
+        return [int(n[2:]) for n in self.store.children(self.root)
+                if n.startswith("v=") and self.store.exists(f"{self.root}/{n}/_SUCCESS")]
 
     def current_version(self) -> int | None:
-        try:
-            with open(self._pointer()) as f:
-                return int(f.read().strip())
-        except FileNotFoundError:
-            return None
+        return max(self._versions(), default=None)
 
     def read(self) -> DataFrame | None:
         v = self.current_version()
@@ -58,17 +60,16 @@ class VersionedTable:
 
     def commit(self, df: DataFrame, partition_by: list[str] | None = None) -> int:
         v = (self.current_version() or 0) + 1
-        w = df.write.mode("errorifexists")
+        w = df.write.mode("overwrite")               # over what a failed attempt left
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(f"{self.root}/v={v:06d}")
-        os.makedirs(self.root, exist_ok=True)
-        tmp = f"{self._pointer()}.{uuid.uuid4().hex}"
-        with open(tmp, "w") as f:
-            f.write(str(v))
-        os.replace(tmp, self._pointer())
         return v
 
+    def vacuum(self, keep: int = 2) -> None:
+        for v in sorted(self._versions())[:-keep]:
+            self.store.delete(f"{self.root}/v={v:06d}")
+
 
 # ------------------------------------------------------------- U01 latest
 def upsert_latest(target: DataFrame, batch: DataFrame, key: str, load_ts: _dt.datetime,
@@ -202,17 +203,27 @@ def upsert_claims(target: DataFrame, batch: DataFrame, load_ts: _dt.datetime, ar
     amount_approved and prior_auth_number are the last non-NULL among accepted
     rows (COALESCE new over old), every other column comes from the first row.
     Only claims touched by the batch are shuffled; the rest pass through.
-    The running max is two-level - per (claim, arrival block of ``block``
-    rows) maxima prefixed over blocks, plus the running max inside a block -
-    so even a claim with millions of updates is never one sorted partition.
+    The running max is two-level - per (claim, arrival block) maxima prefixed
+    over blocks, plus the running max inside a block - so even a claim with
+    millions of updates is never one sorted partition.  A block is one file of a
+    replayed micro-batch, or ``block`` rows of a numbered batch.
     """
     touched = batch.select("claim_id").distinct()
     t = target.join(touched, "claim_id", "left_semi")
     rest = target.join(touched, "claim_id", "left_anti")
-    rows = (t.select(*CLAIM_COLS, F.lit(-1).cast("bigint").alias(arrival), F.col("_loaded_at").alias("_old_loaded"))
-            .unionByName(batch.select(*CLAIM_COLS, F.col(arrival).cast("bigint").alias(arrival),
+    # arrival as (batch, day, file, row): a plain number becomes (block, row)
+    if isinstance(batch.schema[arrival].dataType, StructType):
+        at = F.struct(*[F.coalesce(F.col(arrival)[c].cast(k), F.lit("").cast(k)).alias(c) if k == "string" else F.col(arrival)[c].cast(k).alias(c)
+                        for c, k in ARRIVAL_FIELDS])
+    else:
+        n = F.col(arrival).cast("bigint")
+        at = F.struct(F.floor(n / block).alias("batch"), F.lit("").alias("day"), F.lit("").alias("file"), n.alias("row"))
+    stored = F.struct(F.lit(-1).cast("bigint").alias("batch"), F.lit("").alias("day"), F.lit("").alias("file"), F.lit(0).cast("bigint").alias("row"))
+    rows = (t.select(*CLAIM_COLS, stored.alias("_at"), F.lit(False).alias("_new"), F.col("_loaded_at").alias("_old_loaded"))
+            .unionByName(batch.select(*CLAIM_COLS, at.alias("_at"), F.lit(True).alias("_new"),
                                       F.lit(None).cast("timestamp_ntz").alias("_old_loaded"))))
-    rows = rows.withColumn("_blk", F.floor(F.col(arrival) / block))
+    arrival = "_at"
+    rows = rows.withColumn("_blk", F.struct("_at.batch", "_at.day", "_at.file"))
     bmax = rows.groupBy("claim_id", "_blk").agg(F.max("updated_at").alias("_bmax"))
     wb = Window.partitionBy("claim_id").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     pblk = bmax.select("claim_id", "_blk", F.max("_bmax").over(wb).alias("_pmax"))     # one row per block
@@ -228,7 +239,7 @@ def upsert_claims(target: DataFrame, batch: DataFrame, load_ts: _dt.datetime, ar
         F.max_by("amount_approved", F.when(acc & F.col("amount_approved").isNotNull(), F.col(arrival))).alias("amount_approved"),
         F.max_by("prior_auth_number", F.when(acc & F.col("prior_auth_number").isNotNull(), F.col(arrival)))
         .alias("prior_auth_number"),
-        F.max(F.when(acc & (F.col(arrival) >= 0), F.lit(1))).alias("_changed"),
+        F.max(F.when(acc & F.col("_new"), F.lit(1))).alias("_changed"),
         F.max("_old_loaded").alias("_old_loaded"))
     new = g.select("claim_id", "f.*", "amount_approved", "prior_auth_number", "s.status", "s.updated_at",
                    F.when(F.col("_changed") == 1, lit_ts(load_ts)).otherwise(F.col("_old_loaded")).alias("_loaded_at"))
@@ -339,7 +350,7 @@ def formulary_from_json(payloads: DataFrame, payload_col: str = "payload", seq_c
     """JSON-array payloads -> one row per element, with its arrival order
     (payload sequence, then array position) so the last element of a code wins."""
     x = payloads.select(seq_col, F.posexplode(F.from_json(F.col(payload_col), FORMULARY_ITEM)).alias("pos", "d"))
-    return x.select("d.*", (F.col(seq_col) * 1_000_000 + F.col("pos")).alias(ARRIVAL))
+    return x.select("d.*", F.struct(F.col(seq_col).alias("seq"), F.col("pos")).alias(ARRIVAL))
 
 
 def refresh_formulary(target: DataFrame, payloads: DataFrame, load_ts: _dt.datetime) -> DataFrame:
@@ -600,43 +611,80 @@ def u10_risk(rel) -> DataFrame:
 
 # ------------------------------------------------- touched-bucket rewrites
 class BucketedTable:
-    """A large keyed table stored as Parquet partitioned by ``bucket =
-    pmod(xxhash64(key), buckets)``; an upsert rewrites only the buckets the
-    batch touches.
-
-    ``merge(batch, fold)``: the touched buckets are read (partition pruning
-    on ``bucket``), folded with the batch (any of the upsert operators above),
-    staged under the shared checkpoint dir - so the target is never read and
-    overwritten by the same job - and swapped in with a dynamic partition
-    overwrite.  Untouched buckets are not read or written, so the cost of a
-    micro-batch follows the batch, not the table.
+    """A large keyed table in ``buckets`` = ``pmod(xxhash64(key), n)``; an upsert
+    rewrites only the buckets the batch touches.
+
+    Layout: ``data/v=NNNNNN/bucket=B`` holds bucket B as version N wrote it, and
+    ``manifest/v=NNNNNN`` lists the version of every bucket.  ``merge`` writes the
+    touched buckets as a new data version and then one manifest; the manifest's
+    commit is the swap, so readers see all of a merge or nothing, and a failed
+    merge leaves the old state.  Reads and folds prune to the touched buckets, so
+    a micro-batch costs what it touches.
+
+    The number of buckets is chosen when the table is created, from its rows
+    (``rows_per_bucket``), and kept in the manifest.
     """
 
-    def __init__(self, spark: SparkSession, path: str, key: str, buckets: int = 256):
-        self.spark, self.path, self.key, self.buckets = spark, path.rstrip("/"), key, buckets
+    def __init__(self, spark: SparkSession, path: str, key: str, buckets: int | None = None, rows_per_bucket: int = 2_000_000):
+        self.spark, self.path, self.key = spark, path.rstrip("/"), key
+        self._buckets, self.rows_per_bucket = buckets, rows_per_bucket
+        self.store = Store(spark, self.path)
+
+    def _versions(self) -> list[int]:
+        return [int(n[2:]) for n in self.store.children(f"{self.path}/manifest")
+                if n.startswith("v=") and self.store.exists(f"{self.path}/manifest/{n}/_SUCCESS")]
 
-    def bucket_of(self, c=None):
-        return F.pmod(F.xxhash64(F.col(c or self.key)), F.lit(self.buckets)).cast("int")
+    def current_version(self) -> int | None:
+        return max(self._versions(), default=None)
 
     def exists(self) -> bool:
-        return os.path.exists(self.path.replace("file:", ""))
+        return self.current_version() is not None
+
+    def manifest(self) -> dict[int, int]:
+        """Bucket -> data version (at most ``buckets`` entries); bucket -1 holds the number of buckets."""
+        rows = self.spark.read.parquet(f"{self.path}/manifest/v={self.current_version():06d}").collect()
+        return {r["bucket"]: r["version"] for r in rows}
+
+    def _read(self, manifest: dict[int, int], only: set[int] | None = None) -> DataFrame | None:
+        paths = [f"{self.path}/data/v={v:06d}/bucket={b}" for b, v in sorted(manifest.items()) if b >= 0 and (only is None or b in only)]
+        return self.spark.read.parquet(*paths) if paths else None
 
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.path)
+        return self._read(self.manifest())
+
+    def _commit(self, df: DataFrame, manifest: dict[int, int], buckets: int) -> None:
+        v = (self.current_version() or 0) + 1
+        out = f"{self.path}/data/v={v:06d}"
+        bucket = F.pmod(F.xxhash64(F.col(self.key)), F.lit(buckets)).cast("int")
+        # rebalance: one bucket per task, and several tasks for a large one
+        df.withColumn("bucket", bucket).hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(out)
+        written = {int(n[7:]): v for n in self.store.children(out) if n.startswith("bucket=")}
+        rows = sorted((manifest | written | {-1: buckets}).items())
+        self.spark.createDataFrame(rows, "bucket int, version int").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/manifest/v={v:06d}")
 
     def write_all(self, df: DataFrame) -> None:
-        df.withColumn("bucket", self.bucket_of()).repartition("bucket") \
-            .write.mode("overwrite").partitionBy("bucket").parquet(self.path)
+        buckets = self._buckets or max(1, -(-df.count() // self.rows_per_bucket))
+        self._commit(df, {}, buckets)
 
     def merge(self, batch: DataFrame, fold) -> None:
-        b = batch.withColumn("bucket", self.bucket_of())
         if not self.exists():
-            self.write_all(fold(batch.limit(0).drop("_arrival", "bucket"), batch).drop("bucket"))
+            self.write_all(fold(batch.limit(0).drop("_arrival"), batch))
+            return
+        manifest = self.manifest()
+        buckets = manifest[-1]
+        touched = {r[0] for r in batch.select(F.pmod(F.xxhash64(F.col(self.key)), F.lit(buckets)).cast("int")).distinct().collect()}  # at most ``buckets``
+        if not touched:
             return
-        touched = b.select("bucket").distinct()          # at most ``buckets`` rows
-        cur = self.read().join(F.broadcast(touched), "bucket", "left_semi").drop("bucket")
-        new = fold(cur, b.drop("bucket")).withColumn("bucket", self.bucket_of())
-        stage = os.path.join(checkpoint_dir(self.spark), "staging", uuid.uuid4().hex)
-        new.write.mode("overwrite").partitionBy("bucket").parquet(stage)
-        (self.spark.read.parquet(stage).repartition("bucket").write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(self.path))
+        cur = self._read(manifest, touched)
+        self._commit(fold(cur if cur is not None else self.read().limit(0), batch), manifest, buckets)
+
+    def vacuum(self) -> None:
+        """Remove manifests but the last and the bucket folders it does not name."""
+        last, live = self.current_version(), self.manifest()
+        for v in self._versions():
+            if v != last:
+                self.store.delete(f"{self.path}/manifest/v={v:06d}")
+        for n in self.store.children(f"{self.path}/data"):
+            for b in self.store.children(f"{self.path}/data/{n}"):
+                if b.startswith("bucket=") and live.get(int(b[7:])) != int(n[2:]):
+                    self.store.delete(f"{self.path}/data/{n}/{b}")

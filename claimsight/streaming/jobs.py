@@ -214,10 +214,21 @@ def phantom_stream(claims: DataFrame, vitals: DataFrame, grace_hours: int = 72)
 
 
 # ------------------------------------------------------------- runners
-def read_replay(spark: SparkSession, path: str, table: str, max_files_per_trigger: int = 1) -> DataFrame:
-    """Replay landed day directories in order, ``max_files_per_trigger`` per micro-batch."""
+def read_replay(spark: SparkSession, path: str, table: str, max_files_per_trigger: int = 1,
+                from_day: _dt.date | None = None) -> DataFrame:
+    """Replay landed day directories in order (:func:`claimsight.sources.io.write_replay`
+    gives the files ascending times by day), ``max_files_per_trigger`` per
+    micro-batch; ``from_day`` resumes there (a partition filter)."""
     st = StructType(list(SCHEMAS[table].fields) + [StructField("day", StringType())])
-    return spark.readStream.schema(st).option("maxFilesPerTrigger", max_files_per_trigger).json(path)
+    stream = spark.readStream.schema(st).option("maxFilesPerTrigger", max_files_per_trigger).json(path) \
+        .withColumn("_file", F.col("_metadata.file_path"))
+    return stream if from_day is None else stream.filter(F.col("day") >= F.lit(from_day.isoformat()))
+
+
+def arrival(batch_id: int):
+    """Arrival order of a replayed micro-batch: batch, then day, file and row of the file."""
+    return F.struct(F.lit(batch_id).cast("bigint").alias("batch"), F.col("day"), F.col("_file").alias("file"),
+                    F.monotonically_increasing_id().alias("row"))
 
 
 def run_detector(stream: DataFrame, detector, ts: str, sink_path: str, checkpoint: str, trigger_once: bool = True):
@@ -234,8 +245,7 @@ def upsert_claims_sink(table: VersionedTable, load_ts: _dt.datetime | None = Non
     (U03).  Arrival order inside a batch = the file order Spark read it in."""
     def sink(batch: DataFrame, batch_id: int) -> None:
         cur = table.read()
-        b = batch.drop("day").withColumn("_arrival", F.lit(batch_id).cast("bigint") * 1_000_000_000
-                                         + F.monotonically_increasing_id())
+        b = batch.withColumn("_arrival", arrival(batch_id)).drop("day", "_file")
         ts = load_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         if cur is None:
             cur = b.limit(0).drop("_arrival")
@@ -247,8 +257,8 @@ def upsert_claims_sink(table: VersionedTable, load_ts: _dt.datetime | None = Non
 def upsert_claims_bucketed_sink(table: BucketedTable, load_ts: _dt.datetime | None = None):
     """R03 at scale: each micro-batch rewrites only the claim buckets it touches."""
     def sink(batch: DataFrame, batch_id: int) -> None:
-        b = batch.drop("day").withColumn("updated_at", F.col("updated_at").cast("timestamp_ntz")) \
-            .withColumn("_arrival", F.lit(batch_id).cast("bigint") * 1_000_000_000 + F.monotonically_increasing_id())
+        b = batch.withColumn("_arrival", arrival(batch_id)).drop("day", "_file") \
+            .withColumn("updated_at", F.col("updated_at").cast("timestamp_ntz"))
         ts = load_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         table.merge(b, lambda cur, bb: upsert_claims(cur, bb, ts))
     return sink
@@ -258,7 +268,7 @@ def append_events_sink(table: VersionedTable):
     """Idempotent append keyed on the event id (U04) per micro-batch."""
     def sink(batch: DataFrame, batch_id: int) -> None:
         cur = table.read()
-        b = batch.drop("day").withColumn("_arrival", F.monotonically_increasing_id())
+        b = batch.withColumn("_arrival", arrival(batch_id)).drop("day", "_file")
         if cur is None:
             cur = b.limit(0).drop("_arrival")
         table.commit(append_events(cur, b))

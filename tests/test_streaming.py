@@ -1,5 +1,7 @@
+import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from claimsight.operators.writes import VersionedTable, upsert_claims
@@ -14,20 +16,77 @@ def _replay(rel, scratch, table, ts):
     return path
 
 
-def test_provider_bursts_stream_equals_batch(spark, rel, scratch):
+def _closed(frame, end, last):
+    """Windows that a watermark of two days has closed by the last event."""
+    return frame.filter(F.col(end) <= F.lit(last) - F.expr("INTERVAL 2 DAYS"))
+
+
+@pytest.fixture()
+def four_writers(spark):
+    """Several writer tasks and no merging of small partitions, so days land from several tasks."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled")}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("detector,end", [(lambda s: provider_bursts(s, 1), "window_end"), (lambda s: member_spread_windows(s, 2, ts="submitted_at"), "window_end")])
+def test_detector_over_many_triggers_equals_batch(spark, rel, scratch, four_writers, detector, end):
     path = _replay(rel, scratch, "claims", "submitted_at")
-    # one file per day, listed by modification time: a single trigger keeps every day in order
-    stream = read_replay(spark, path, "claims", max_files_per_trigger=5000)
-    sink, ck = os.path.join(scratch, "bursts"), os.path.join(scratch, "ck1")
-    q = run_detector(stream, lambda s: provider_bursts(s, 2), "submitted_at", sink, ck)
+    assert len({f.split("part-")[1].split("-")[0] for f in __import__("glob").glob(f"{path}/day=*/part-*")}) >= 3      # written by several tasks
+    stream = read_replay(spark, path, "claims", max_files_per_trigger=300)
+    sink = os.path.join(scratch, "windows")
+    q = run_detector(stream, detector, "submitted_at", sink, os.path.join(scratch, "ck1"))
+    q.awaitTermination(900)
+    batch = detector(rel.claims.withColumn("submitted_at", F.col("submitted_at").cast("timestamp")))
+    last = rel.claims.agg(F.max(F.col("submitted_at").cast("timestamp"))).first()[0]
+    got, exp = spark.read.parquet(sink), _closed(batch, end, last)
+    got = _closed(got, end, last)
+    assert exp.count() > 0 and got.select(exp.columns).exceptAll(exp).count() == 0 == exp.exceptAll(got.select(exp.columns)).count()
+
+
+def test_replay_resumes_at_a_day(spark, rel, scratch):
+    path = _replay(rel, scratch, "claims", "submitted_at")
+    q = (read_replay(spark, path, "claims", 5000, from_day=dt.date(1996, 1, 1)).writeStream.format("parquet").option("path", f"{scratch}/resumed")
+         .option("checkpointLocation", f"{scratch}/ck-resume").trigger(availableNow=True).start())
     q.awaitTermination(300)
-    got = {(r.provider_id, r.window_start.replace(tzinfo=None)) for r in spark.read.parquet(sink).collect()}
-    # the last windows stay open until the watermark passes them; compare the closed ones
-    batch = provider_bursts(rel.claims.withColumn("submitted_at", F.col("submitted_at").cast("timestamp")), 2)
-    mx = rel.claims.agg(F.max("submitted_at")).first()[0]
-    exp = {(r.provider_id, r.window_start.replace(tzinfo=None)) for r in batch.collect()
-           if r.window_end.replace(tzinfo=None) <= mx.replace(tzinfo=None) - __import__("datetime").timedelta(days=2)}
-    assert exp and exp <= got
+    assert spark.read.parquet(f"{scratch}/resumed").count() == rel.claims.filter(F.col("submitted_at") >= F.lit("1996-01-01")).count() > 0
+
+
+def test_merge_keeps_old_rows_by_a_uri_and_commits_whole(spark, rel, scratch):
+    from claimsight.operators.writes import BucketedTable
+    table = BucketedTable(spark, f"file://{scratch}/by_uri", "claim_id", rows_per_bucket=500)
+    cols = [c for c in rel.claims.columns if c != "_loaded_at"]
+    batch = rel.claims.select(*cols).withColumn("_arrival", F.lit(1))
+    ts = dt.datetime(2001, 8, 2)
+    table.merge(batch, lambda cur, b: upsert_claims(rel.claims.limit(0), b, ts))
+    n, before = rel.claims.count(), table.current_version()
+    assert table.read().count() == n and table.manifest()[-1] > 4
+    one = batch.limit(1).withColumn("updated_at", F.col("updated_at") + F.expr("INTERVAL 9 DAYS")).withColumn("status", F.lit("closed"))
+
+    def broken(cur, b):
+        return upsert_claims(cur, b, ts).withColumn("status", F.raise_error(F.lit("stop")).cast("string"))
+    with pytest.raises(Exception, match="stop"):
+        table.merge(one, broken)
+    assert table.current_version() == before and table.read().count() == n          # a failed merge leaves the old state
+    table.merge(one, lambda cur, b: upsert_claims(cur, b, ts))
+    assert table.read().count() == n and table.read().filter("status = 'closed'").count() == 1 + rel.claims.filter("status = 'closed'").count()
+    table.vacuum()
+    assert table.read().count() == n
+
+
+def test_versions_by_a_uri(spark, scratch):
+    t = VersionedTable(spark, "t", root=f"file://{scratch}")
+    assert t.read() is None
+    for n in (3, 5, 7):
+        t.commit(spark.range(n))
+    assert t.read().count() == 7 and t.current_version() == 3
+    os.makedirs(f"{scratch}/t/v=000004")                                              # what a failed commit leaves
+    assert t.current_version() == 3
+    t.commit(spark.range(9))
+    t.vacuum(1)
+    assert t.read().count() == 9 and os.listdir(f"{scratch}/t") == ["v=000004"]
 
 
 def test_foreach_batch_upsert_matches_batch_upsert(spark, rel, scratch):
