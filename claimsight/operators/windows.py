@@ -47,20 +47,21 @@ def rolling_counts(df: DataFrame, key, ts_col: str, windows: dict[str, int], id_
 
 
 def asof_rate(events: DataFrame, probes: DataFrame, key: str, ev_ts: str, probe_ts: str, flag: str,
-              probe_id: str) -> DataFrame:
+              probe_id: str, cast: str = "int") -> DataFrame:
     """For each probe: (events of its key strictly before probe time, flagged
-    ones among them) - no event from the future leaks into a feature.
+    ones among them) - no event from the future leaks into a feature.  With
+    another ``cast`` than int, ``flag`` is a value and the second its sum.
 
     Month blocks: totals per (key, month) are prefix-summed over months, rows
     of the probe's own month are counted in a (key, month) partition.
     """
-    e = events.select(key, F.col(ev_ts).alias("_t"), F.col(flag).cast("int").alias("_f"))
+    e = events.select(key, F.col(ev_ts).alias("_t"), F.col(flag).cast(cast).alias("_f"))
     e = e.withColumn("_m", F.trunc(F.to_date("_t"), "month"))
     mt = e.groupBy(key, "_m").agg(F.count(F.lit(1)).alias("_mn"), F.sum("_f").alias("_mf"))
     p = probes.select(key, probe_id, F.col(probe_ts).alias("_t")).withColumn("_m", F.trunc(F.to_date("_t"), "month"))
     # within the month: probes sort before events of the same instant (strictly before)
     u = (e.select(key, "_m", "_t", F.lit(1).alias("_ord"), F.lit(None).cast("string").alias(probe_id), "_f")
-         .unionByName(p.select(key, "_m", "_t", F.lit(0).alias("_ord"), probe_id, F.lit(0).alias("_f"))))
+         .unionByName(p.select(key, "_m", "_t", F.lit(0).alias("_ord"), probe_id, F.lit(0).cast(cast).alias("_f"))))
     w = Window.partitionBy(key, "_m").orderBy("_t", "_ord").rowsBetween(Window.unboundedPreceding, 0)
     u = u.select(key, "_m", "_ord", probe_id, F.sum("_ord").over(w).alias("_in"), F.sum("_f").over(w).alias("_inf"))
     u = u.filter(F.col("_ord") == 0)

@@ -1,4 +1,6 @@
-"""Claim-level fraud features (X01-X13, X15), point-in-time correct.
+"""Claim-level fraud features (X01-X13, X15), point-in-time: each value is known
+when the claim is submitted (X02 over earlier days, X04 evidence recorded by
+then, X08 and X10 verdicts and approvals before it).
 
 Rolling counts over time use a *time-bucketed* window layout
 (:func:`rolling_counts`): rows are keyed by (entity, bucket of the largest
@@ -23,39 +25,39 @@ HOUR = 3600
 DAY = 86400
 
 
-from ..operators.windows import asof_rate, days_since_previous, rolling_counts, running_sum_by_day  # noqa: F401
+from ..operators.windows import asof_rate, days_since_previous, rolling_counts  # noqa: F401
 
 
 # --------------------------------------------------------------- features
 def claim_features(rel) -> DataFrame:
     """X01-X11 for every claim, one row per claim."""
     c = rel.claims.select("claim_id", "member_id", "provider_id", "diagnosis_code", "date_of_service", "date_submitted",
-                          "amount_claimed", "amount_approved", "submitted_at", "status")
-    dx = F.broadcast(rel.icd10_codes.select(F.col("icd10_code").alias("diagnosis_code"), "clinical_category"))
+                          "amount_claimed", "amount_approved", "submitted_at", "updated_at")
+    dx = rel.icd10_codes.select(F.col("icd10_code").alias("diagnosis_code"), "clinical_category")
     c = c.join(dx, "diagnosis_code", "left").withColumn("clinical_category", F.coalesce("clinical_category", F.lit("Other")))
     c = c.withColumn("days_to_submit", F.datediff("date_submitted", "date_of_service"))
-    # Z-score of the submission lag within the clinical category (two passes, small join back)
+    # Z-score of the submission lag within the clinical category, over the claims submitted on
+    # earlier days: day totals (categories x calendar days) prefix-summed, then one equi-join back;
     # exact integer sums, then one fixed double formula (same bits on any partitioning)
-    st = c.groupBy("clinical_category").agg(F.count(F.lit(1)).alias("_n"), F.sum("days_to_submit").alias("_s"),
-                                            F.sum(F.col("days_to_submit") * F.col("days_to_submit")).alias("_s2"))
-    st = st.select("clinical_category", (F.col("_s") / F.col("_n")).alias("_mu"),
-                   F.sqrt((F.col("_s2") - F.col("_s") * F.col("_s") / F.col("_n")) / F.nullif(F.col("_n") - 1, F.lit(0)))
-                   .alias("_sd"))
-    # one row per clinical category (bounded by the diagnosis dimension): broadcast it
-    # instead of shuffling every claim on a five-valued key
-    c = c.join(F.broadcast(st), "clinical_category", "left")
+    day = c.groupBy("clinical_category", "date_submitted").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("days_to_submit").alias("s"), F.sum(F.col("days_to_submit") * F.col("days_to_submit")).alias("s2"))
+    past = Window.partitionBy("clinical_category").orderBy("date_submitted").rowsBetween(Window.unboundedPreceding, -1)
+    st = day.select("clinical_category", "date_submitted", *[F.sum(x).over(past).alias("_" + x) for x in ("n", "s", "s2")]).select(
+        "clinical_category", "date_submitted", (F.col("_s") / F.col("_n")).alias("_mu"),
+        F.sqrt((F.col("_s2") - F.col("_s") * F.col("_s") / F.col("_n")) / F.nullif(F.col("_n") - 1, F.lit(0))).alias("_sd"))
+    c = c.join(st, ["clinical_category", "date_submitted"], "left")
     # Amount / nearest threshold at or above it
     a = F.col("amount_claimed")
     prox = None
     for t in sorted(K.THRESHOLDS_KES, reverse=True):
         prox = F.when(a <= t, a.cast("double") / t) if prox is None else F.when(a <= t, a.cast("double") / t).otherwise(prox)
-    # Evidence flags (distinct claim ids, left joins - no row multiplication)
+    # Evidence recorded by the time of submission (first record per claim, left join - no row multiplication);
     # one aggregate over both evidence sources -> one join with the claims
-    evid = (rel.vitals.select("claim_id", F.lit(1).alias("_v"), F.lit(0).alias("_rx"))
-            .unionByName(rel.prescriptions.select("claim_id", F.lit(0).alias("_v"), F.lit(1).alias("_rx")))
-            .groupBy("claim_id").agg((F.max("_v") == 1).alias("has_matching_vitals"),
-                                     (F.max("_rx") == 1).alias("has_matching_prescription")))
-    c = c.join(evid, "claim_id", "left")
+    evid = (rel.vitals.select("claim_id", F.col("_loaded_at").alias("_v"), F.lit(None).cast("timestamp_ntz").alias("_rx"))
+            .unionByName(rel.prescriptions.select("claim_id", F.lit(None).cast("timestamp_ntz").alias("_v"), F.col("_loaded_at").alias("_rx")))
+            .groupBy("claim_id").agg(F.min("_v").alias("_v"), F.min("_rx").alias("_rx")))
+    c = c.join(evid, "claim_id", "left").withColumn("has_matching_vitals", F.col("_v") <= F.col("submitted_at")) \
+        .withColumn("has_matching_prescription", F.col("_rx") <= F.col("submitted_at"))
     # Provider rolling counts on submitted_at
     pf = rolling_counts(c, "provider_id", "submitted_at",
                         {"provider_claims_1h": HOUR, "provider_claims_6h": 6 * HOUR, "provider_claims_24h": DAY,
@@ -63,12 +65,13 @@ def claim_features(rel) -> DataFrame:
     # Distinct providers of the member in the 7 days up to the claim
     mp = rolling_counts(c.withColumn("_d", F.col("date_of_service").cast("timestamp")), "member_id", "_d",
                         {"member_provider_count_7d": 6 * DAY}, "claim_id", distinct_col="provider_id")
-    # Year-to-date approved amount of the member over the plan's annual limit
-    lim = rel.members.select("member_id", "plan_code").join(F.broadcast(rel.plans.select("plan_code", "annual_limit_kes")), "plan_code")
-    ytd = running_sum_by_day(c.withColumn("_ap", F.coalesce(F.col("amount_approved"), F.lit(0)))
-                             .withColumn("_y", F.year("date_of_service")),
-                             "member_id", "date_of_service", "claim_id", "_ap", reset_col="_y") \
-        .select("claim_id", F.col("running").alias("_ytd"))
+    # Amounts of the member's service year whose approval came before this claim was submitted (its own
+    # approval never counts), over the plan's annual limit
+    lim = rel.members.select("member_id", "plan_code").join(rel.plans.select("plan_code", "annual_limit_kes"), "plan_code")
+    year = c.withColumn("_k", F.concat_ws("|", "member_id", F.year("date_of_service")))
+    ytd = asof_rate(year.filter(F.col("amount_approved").isNotNull()), year, "_k", "updated_at", "submitted_at", "amount_approved",
+                    "claim_id", cast="decimal(15,2)").select("claim_id", F.col("prior_flagged").alias("_ytd"))
+    own = F.when(F.col("updated_at") < F.col("submitted_at"), F.coalesce("amount_approved", F.lit(0))).otherwise(F.lit(0))
     # X11: days since the member's previous claim (velocity = its mean per member, see member_velocity)
     gap = days_since_previous(c, "member_id", "date_of_service", "claim_id").select("claim_id", F.col("gap").alias("_gap"))
     c = c.join(lim.select("member_id", "annual_limit_kes"), "member_id", "left").join(ytd, "claim_id").join(gap, "claim_id")
@@ -79,7 +82,7 @@ def claim_features(rel) -> DataFrame:
         prox.alias("amount_vs_threshold_proximity"),
         F.coalesce("has_matching_vitals", F.lit(False)).alias("has_matching_vitals"),
         F.coalesce("has_matching_prescription", F.lit(False)).alias("has_matching_prescription"),
-        (F.col("_ytd").cast("double") / F.col("annual_limit_kes").cast("double")).alias("member_ytd_utilisation_pct"),
+        ((F.col("_ytd") - own).cast("double") / F.col("annual_limit_kes").cast("double")).alias("member_ytd_utilisation_pct"),
         F.col("_gap").alias("days_since_prev_claim"))
     out = out.join(pf, ["claim_id", "provider_id"]).join(mp.drop("member_id"), "claim_id")
     # Last 24 h against the provider's mean daily volume over 30 days
@@ -102,17 +105,18 @@ _FEAT_SQL = (
     "WITH c0 AS (SELECT c.*, COALESCE(dx.clinical_category, 'Other') AS clinical_category, "
     "CAST(date_diff('day', c.date_of_service, c.date_submitted) AS INTEGER) AS days_to_submit, "
     "epoch(c.submitted_at) AS t FROM claims c LEFT JOIN icd10_codes dx ON dx.icd10_code = c.diagnosis_code), "
-    "st0 AS (SELECT clinical_category, COUNT(*) AS n, SUM(days_to_submit) AS s, SUM(days_to_submit * days_to_submit) AS s2 "
-    "FROM c0 GROUP BY 1), st AS (SELECT clinical_category, CAST(s AS DOUBLE) / n AS mu, "
+    "st0 AS (SELECT DISTINCT clinical_category, date_submitted, COUNT(*) OVER past AS n, SUM(days_to_submit) OVER past AS s, "
+    "SUM(days_to_submit * days_to_submit) OVER past AS s2 FROM c0 WINDOW past AS (PARTITION BY clinical_category ORDER BY date_submitted "
+    "RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 1 DAY PRECEDING)), "
+    "st AS (SELECT clinical_category, date_submitted, CAST(s AS DOUBLE) / n AS mu, "
     "sqrt((CAST(s2 AS DOUBLE) - CAST(s AS DOUBLE) * CAST(s AS DOUBLE) / n) / NULLIF(n - 1, 0)) AS sd FROM st0), "
     "lim AS (SELECT m.member_id, p.annual_limit_kes FROM members m JOIN plans p ON p.plan_code = m.plan_code) "
     "SELECT c0.claim_id, c0.member_id, c0.provider_id, c0.clinical_category, c0.days_to_submit, "
     "c0.days_to_submit = 0 AS is_same_day_submission, round((c0.days_to_submit - st.mu) / NULLIF(st.sd, 0), 6) AS days_to_submit_zscore, "
     f"{_thr_sql()} AS amount_vs_threshold_proximity, "
-    "EXISTS (SELECT 1 FROM vitals v WHERE v.claim_id = c0.claim_id) AS has_matching_vitals, "
-    "EXISTS (SELECT 1 FROM prescriptions p WHERE p.claim_id = c0.claim_id) AS has_matching_prescription, "
-    "CAST(SUM(COALESCE(c0.amount_approved, 0)) OVER (PARTITION BY c0.member_id, year(c0.date_of_service) ORDER BY "
-    "c0.date_of_service, c0.claim_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) / "
+    "EXISTS (SELECT 1 FROM vitals v WHERE v.claim_id = c0.claim_id AND v._loaded_at <= c0.submitted_at) AS has_matching_vitals, "
+    "EXISTS (SELECT 1 FROM prescriptions p WHERE p.claim_id = c0.claim_id AND p._loaded_at <= c0.submitted_at) AS has_matching_prescription, "
+    "CAST(COALESCE(y.paid, 0) AS DOUBLE) / "
     "CAST(lim.annual_limit_kes AS DOUBLE) AS member_ytd_utilisation_pct, "
     "CAST(date_diff('day', lag(c0.date_of_service) OVER (PARTITION BY c0.member_id ORDER BY c0.date_of_service, c0.claim_id), "
     "c0.date_of_service) AS INTEGER) AS days_since_prev_claim, "
@@ -121,7 +125,10 @@ _FEAT_SQL = (
                                ("provider_claims_7d", 7 * DAY), ("provider_claims_30d", 30 * DAY))) + ", "
     "(SELECT COUNT(DISTINCT c2.provider_id) FROM claims c2 WHERE c2.member_id = c0.member_id AND c2.date_of_service "
     "BETWEEN c0.date_of_service - INTERVAL 6 DAY AND c0.date_of_service) AS member_provider_count_7d "
-    "FROM c0 JOIN st ON st.clinical_category = c0.clinical_category LEFT JOIN lim ON lim.member_id = c0.member_id")
+    "FROM c0 JOIN st ON st.clinical_category = c0.clinical_category AND st.date_submitted = c0.date_submitted "
+    "LEFT JOIN (SELECT a.claim_id, SUM(b.amount_approved) AS paid FROM claims a JOIN claims b ON b.member_id = a.member_id "
+    "AND year(b.date_of_service) = year(a.date_of_service) AND b.updated_at < a.submitted_at AND b.claim_id <> a.claim_id "
+    "GROUP BY a.claim_id) y ON y.claim_id = c0.claim_id LEFT JOIN lim ON lim.member_id = c0.member_id")
 
 register("feat_x01_x11_claim_features", sql=(
     "SELECT *, provider_claims_24h / (provider_claims_30d / 30.0) AS provider_24h_vs_30d_mean FROM (" + _FEAT_SQL + ")"))(
@@ -142,7 +149,7 @@ register("feat_x01_x11_claim_features", sql=(
 def provider_peer_zscore(rel, as_of=K.AS_OF_DATE) -> DataFrame:
     """Provider 30-day mean claim vs providers of the same county and category."""
     d = lit_date(as_of)
-    dx = F.broadcast(rel.icd10_codes.select(F.col("icd10_code").alias("diagnosis_code"), "clinical_category"))
+    dx = rel.icd10_codes.select(F.col("icd10_code").alias("diagnosis_code"), "clinical_category")
     c = (rel.claims.filter(F.col("date_of_service").between(F.date_sub(d, 29), d))
          .select("provider_id", "diagnosis_code", "amount_claimed")
          .join(rel.providers.select("provider_id", "county"), "provider_id")
@@ -152,7 +159,7 @@ def provider_peer_zscore(rel, as_of=K.AS_OF_DATE) -> DataFrame:
     peer = pm.groupBy("county", "clinical_category").agg(F.avg("provider_mean").alias("peer_mean"),
                                                          F.stddev_samp("provider_mean").alias("peer_sd"))
     # peer statistics: one row per (county, category) - bounded by the dimensions
-    return pm.join(F.broadcast(peer), ["county", "clinical_category"]).select(
+    return pm.join(peer, ["county", "clinical_category"]).select(
         "provider_id", "county", "clinical_category", "provider_mean", F.round("peer_mean", 6).alias("peer_mean"),
         F.round("peer_sd", 6).alias("peer_sd"),
         F.round((F.col("provider_mean") - F.col("peer_mean")) / F.nullif(F.col("peer_sd"), F.lit(0.0)), 6)

@@ -195,9 +195,9 @@ def claims_enriched(rel) -> DataFrame:
     m = rel.members.select("member_id", "plan_code", "employer_id", F.col("county").alias("member_county"))
     p = rel.providers.select("provider_id", "facility_type", F.col("county").alias("provider_county"), "accreditation_status")
     # reference tables (plans, employers, diagnosis codes) do not grow with claim volume: broadcast
-    pl = F.broadcast(rel.plans.select("plan_code", "plan_tier", "annual_limit_kes"))
-    e = F.broadcast(rel.employers.select("employer_id", "employer_name"))
-    dx = F.broadcast(rel.icd10_codes.select(F.col("icd10_code").alias("diagnosis_code"), "clinical_category"))
+    pl = rel.plans.select("plan_code", "plan_tier", "annual_limit_kes")
+    e = rel.employers.select("employer_id", "employer_name")
+    dx = rel.icd10_codes.select(F.col("icd10_code").alias("diagnosis_code"), "clinical_category")
     pay = rel.payments.groupBy("claim_id").agg(F.sum("amount_paid_kes").alias("total_paid"),
                                                F.count(F.lit(1)).alias("payment_count"))
     return (c.join(m, "member_id", "left").join(p, "provider_id", "left").join(pl, "plan_code", "left")
@@ -348,8 +348,8 @@ def scd2(snapshots: DataFrame, key: str, tracked: tuple, ts: str = "snapshot_ts"
 def dim_members(rel) -> DataFrame:
     """SCD2 member dimension with plan and employer names."""
     v = scd2(member_snapshots(rel), "member_id", TRACKED)
-    pl = F.broadcast(rel.plans.select("plan_code", "plan_name"))            # reference tables
-    e = F.broadcast(rel.employers.select("employer_id", "employer_name"))
+    pl = rel.plans.select("plan_code", "plan_name")            # reference tables
+    e = rel.employers.select("employer_id", "employer_name")
     v = v.join(pl, "plan_code", "left").join(e, "employer_id", "left")
     return v.select(
         stable_id("M-", "member_id", "valid_from").alias("member_sk"), "member_id",
@@ -576,7 +576,7 @@ def member_utilisation(rel) -> DataFrame:
     approved share of the limit (running sum per member and year), count,
     distinct providers."""
     c = rel.claims.select("member_id", "provider_id", "date_of_service", "amount_claimed", "amount_approved", "status")
-    m = rel.members.select("member_id", "plan_code").join(F.broadcast(rel.plans.select("plan_code", "annual_limit_kes")), "plan_code")
+    m = rel.members.select("member_id", "plan_code").join(rel.plans.select("plan_code", "annual_limit_kes"), "plan_code")
     g = c.groupBy("member_id", F.trunc("date_of_service", "month").alias("utilisation_month")).agg(
         F.sum("amount_claimed").alias("total_claimed_kes"), F.sum("amount_approved").alias("total_approved_kes"),
         F.count(F.lit(1)).alias("claim_count"), F.count_distinct("provider_id").alias("distinct_providers"))
@@ -738,7 +738,7 @@ def fct_claims_merge(rel) -> DataFrame:
     "GROUP BY 1, 2, 3, 4"))
 def disease_patterns(rel) -> DataFrame:
     """Claims by week, region, provider and clinical category."""
-    dx = F.broadcast(rel.icd10_codes.select(F.col("icd10_code").alias("diagnosis_code"), "clinical_category"))
+    dx = rel.icd10_codes.select(F.col("icd10_code").alias("diagnosis_code"), "clinical_category")
     c = rel.claims.select("provider_id", "diagnosis_code", "date_of_service") \
         .join(rel.providers.select("provider_id", F.col("county").alias("region")), "provider_id") \
         .join(dx, "diagnosis_code", "left")
