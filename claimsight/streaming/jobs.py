@@ -20,7 +20,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import constants as K
 from ..functions.exprs import lit_ts
-from ..operators.writes import BucketedTable, VersionedTable, append_events, upsert_claims
+from ..operators.writes import BucketedTable, VersionedTable, append_events, upsert_claims, upsert_latest, upsert_members
 from ..registry import register
 from ..sources.io import publish
 from ..sources.schemas import SCHEMAS
@@ -34,22 +34,48 @@ def event_time(df: DataFrame, col: str) -> DataFrame:
 
 
 # ------------------------------------------------------------ ingestion
-def tag_messages(msgs: DataFrame, table: str) -> DataFrame:
+def tag_messages(msgs: DataFrame, table: str, key_col: str | None = None) -> DataFrame:
     """R01 core: (key, value) JSON messages -> parsed struct ``r`` and an error
     tag ``_err`` (NULL for a good message), in one projection.
 
-    A message is dead when the key is missing, the JSON does not parse, or a
-    required column is NULL after the cast to the declared type.
+    A message is dead when the key is missing, the JSON does not parse, a
+    required column is NULL after the cast to the declared type, an optional
+    column holds a value that its type cannot take (it would become NULL
+    silently), or the key is not the payload's ``key_col``.
     """
     st = SCHEMAS[table]
-    parsed = msgs.select("key", "value", F.from_json("value", st, {"mode": "PERMISSIVE"}).alias("r"))
+    as_text = StructType([StructField(f.name, StringType()) for f in st.fields])
+    parsed = msgs.select("key", "value", F.from_json("value", st, {"mode": "PERMISSIVE"}).alias("r"),
+                         F.from_json("value", as_text, {"mode": "PERMISSIVE"}).alias("_text"))
     required = [f.name for f in st.fields if not f.nullable and f.name != "_loaded_at"]
-    # concat_ws skips NULLs, so this lists the missing fields without a lambda
+    optional = [f.name for f in st.fields if f.nullable]
+    # concat_ws skips NULLs, so these list the fields without a lambda
     missing = F.concat_ws(",", *[F.when(F.col("r." + c).isNull(), F.lit(c)) for c in required])
+    invalid = F.concat_ws(",", *[F.when(F.col("r." + c).isNull() & F.col("_text." + c).isNotNull(), F.lit(c)) for c in optional])
     err = (F.when(F.col("key").isNull(), F.lit("missing key"))
            .when(F.try_parse_json("value").isNull() | F.col("r").isNull(), F.lit("unparseable JSON"))
-           .when(F.col("_missing") != "", F.concat(F.lit("missing or invalid: "), F.col("_missing"))))
-    return parsed.withColumn("_missing", missing).withColumn("_err", err).drop("_missing")
+           .when(F.col("_missing") != "", F.concat(F.lit("missing or invalid: "), F.col("_missing")))
+           .when(F.col("_invalid") != "", F.concat(F.lit("invalid: "), F.col("_invalid"))))
+    if key_col:
+        err = err.when(F.col("key") != F.col("r." + key_col).cast("string"), F.lit(f"key differs from {key_col}"))
+    return parsed.withColumn("_missing", missing).withColumn("_invalid", invalid).withColumn("_err", err) \
+        .drop("_missing", "_invalid", "_text")
+
+
+def tag_unknown_keys(tagged: DataFrame, references: dict[str, DataFrame]) -> DataFrame:
+    """Dead-letter a good message whose foreign key is not in its table.
+
+    ``references``: column -> a frame with that column (its keys).  Static left
+    joins, one per column; a NULL key refers to nothing and passes.
+    """
+    out, unknown = tagged, []
+    for c, ref in references.items():
+        known = ref.select(F.col(c).alias(f"_ref_{c}")).distinct()
+        out = out.join(known, F.col(f"r.{c}") == F.col(f"_ref_{c}"), "left")
+        unknown.append(F.when(F.col(f"r.{c}").isNotNull() & F.col(f"_ref_{c}").isNull(), F.lit(c)))
+    bad = F.concat_ws(",", *unknown)
+    return out.withColumn("_err", F.coalesce("_err", F.when(bad != "", F.concat(F.lit("unknown: "), bad)))) \
+        .drop(*[f"_ref_{c}" for c in references])
 
 
 def dead_letters(tagged: DataFrame, topic: str, failed_at: _dt.datetime | None = None) -> DataFrame:
@@ -70,11 +96,11 @@ def parse_messages(msgs: DataFrame, table: str, topic: str, failed_at: _dt.datet
     return tagged.filter(F.col("_err").isNull()).select("r.*"), dead_letters(tagged, topic, failed_at)
 
 
-def ingest_sink(table: str, topic: str, write_good, write_bad):
+def ingest_sink(table: str, topic: str, write_good, write_bad, key_col: str | None = None, references: dict[str, DataFrame] | None = None):
     """R01 / S15 ``foreachBatch``: parse and tag the micro-batch once
     (persisted for the two writes), route typed rows and dead letters."""
     def sink(batch: DataFrame, batch_id: int) -> None:
-        tagged = tag_messages(batch, table).persist()
+        tagged = tag_unknown_keys(tag_messages(batch, table, key_col), references or {}).persist()
         try:
             write_good(tagged.filter(F.col("_err").isNull()).select("r.*"), batch_id)
             write_bad(dead_letters(tagged, topic), batch_id)
@@ -85,13 +111,17 @@ def ingest_sink(table: str, topic: str, write_good, write_bad):
 
 def claim_messages(rel) -> DataFrame:
     """Claims published as topic messages (S08) with some payloads damaged:
-    truncated JSON, a missing key, an amount that is not a number."""
+    truncated JSON, a missing key or another one, an amount that is not a number
+    (required or optional), a member that does not exist."""
     m = publish(rel.claims, "claim_id")
     k = F.split_part(F.col("key"), F.lit("-"), F.lit(1)).cast("bigint")
     value = (F.when(k % 53 == 0, F.substring("value", 1, 40))
              .when(k % 59 == 0, F.regexp_replace("value", r'"amount_claimed":[0-9.]+', '"amount_claimed":"n/a"'))
+             .when(k % 67 == 0, F.regexp_replace("value", r'"amount_approved":[0-9.]+', '"amount_approved":"n/a"'))
+             .when(k % 71 == 0, F.regexp_replace("value", r'"member_id":"[^"]*"', '"member_id":"nobody"'))
              .otherwise(F.col("value")))
-    return m.select(F.when(k % 61 == 0, F.lit(None).cast("string")).otherwise(F.col("key")).alias("key"), value.alias("value"))
+    key = F.when(k % 61 == 0, F.lit(None).cast("string")).when(k % 73 == 0, F.concat("key", F.lit("-x"))).otherwise(F.col("key"))
+    return m.select(key.alias("key"), value.alias("value"))
 
 
 _K = "CAST(split_part(claim_id, '-', 1) AS BIGINT)"
@@ -100,12 +130,15 @@ _K = "CAST(split_part(claim_id, '-', 1) AS BIGINT)"
 @register("stream_r01_ingest_split", sql=(
     f"SELECT outcome, COUNT(*) AS messages FROM (SELECT CASE WHEN {_K} % 61 = 0 THEN 'missing key' "
     f"WHEN {_K} % 53 = 0 THEN 'unparseable JSON' WHEN {_K} % 59 = 0 THEN 'missing or invalid: amount_claimed' "
+    f"WHEN {_K} % 67 = 0 AND amount_approved IS NOT NULL THEN 'invalid: amount_approved' "
+    f"WHEN {_K} % 73 = 0 THEN 'key differs from claim_id' "
+    f"WHEN {_K} % 71 = 0 AND {_K} % 67 <> 0 OR member_id NOT IN (SELECT member_id FROM members) THEN 'unknown: member_id' "
     "ELSE 'ok' END AS outcome FROM claims) GROUP BY outcome"))
 def ingest_split(rel) -> DataFrame:
     """Good / dead-letter counts per error of the claims topic.  The oracle
     states the class each message must get from the damage planted in
     :func:`claim_messages` (key removed, JSON truncated, amount not a number)."""
-    tagged = tag_messages(claim_messages(rel), "claims")
+    tagged = tag_unknown_keys(tag_messages(claim_messages(rel), "claims", "claim_id"), {"member_id": rel.members})
     return tagged.groupBy(F.coalesce(F.col("_err"), F.lit("ok")).alias("outcome")).agg(F.count(F.lit(1)).alias("messages"))
 
 
@@ -201,13 +234,16 @@ def duplicate_pairs_stream(left: DataFrame, right: DataFrame, hours: int = 48, m
                                               F.col("b_claim_id").alias("potential_duplicate_id"))
 
 
-def phantom_stream(claims: DataFrame, vitals: DataFrame, grace_hours: int = 72) -> DataFrame:
-    """Consultation claims without vitals within ``grace_hours`` of
-    submission - a stream-stream left outer join; a row is emitted once the
-    watermark passes the grace period."""
+def phantom_stream(claims: DataFrame, vitals: DataFrame, grace_hours: int = 72, prescriptions: DataFrame | None = None) -> DataFrame:
+    """Consultation claims without vitals (and, where given, without
+    prescriptions) within ``grace_hours`` of submission - a stream-stream left
+    outer join against the evidence of both; a row is emitted once the watermark
+    passes the grace period."""
     c = claims.filter(F.col("procedure_code").startswith("CONS")) \
         .select("claim_id", "provider_id", F.col("submitted_at").alias("c_ts"))
     v = vitals.select(F.col("claim_id").alias("v_claim_id"), F.col("_loaded_at").alias("v_ts"))
+    if prescriptions is not None:
+        v = v.unionByName(prescriptions.select(F.col("claim_id").alias("v_claim_id"), F.col("_loaded_at").alias("v_ts")))
     cond = ((F.col("claim_id") == F.col("v_claim_id")) & (F.col("v_ts") >= F.col("c_ts") - F.expr("INTERVAL 30 DAYS"))
             & (F.col("v_ts") <= F.col("c_ts") + F.expr(f"INTERVAL {grace_hours} HOURS")))
     return c.join(v, cond, "left_outer").filter(F.col("v_claim_id").isNull()).select("claim_id", "provider_id", "c_ts")
@@ -275,6 +311,24 @@ def append_events_sink(table: VersionedTable):
     return sink
 
 
+#: topic -> key of its table; a message replaces the stored row of its key (members keep their identity fields)
+TOPIC_KEYS = {"plans": "plan_code", "members": "member_id", "providers": "provider_id", "vitals": "vitals_id",
+              "prescriptions": "prescription_id", "payments": "payment_id", "stock_levels": "stock_id"}
+
+
+def topic_sink(topic: str, table: BucketedTable, load_ts: _dt.datetime | None = None):
+    """``foreachBatch`` upsert sink of a topic, keyed by :data:`TOPIC_KEYS` (claims and
+    events have sinks of their own); the last arrival of a key wins, so replays change nothing."""
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        b = batch.withColumn("_arrival", arrival(batch_id)).drop("day", "_file")
+        ts = load_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        if topic == "members":
+            table.merge(b, lambda cur, bb: upsert_members(cur, bb, ts))
+        else:
+            table.merge(b, lambda cur, bb: upsert_latest(cur, bb, TOPIC_KEYS[topic], ts))
+    return sink
+
+
 def stream_backlog(spark: SparkSession, landed_path: str, checkpoint: str, limit_mb: float = 100.0) -> DataFrame:
     """N06 / 18-T03 (re-aimed): files landed but not yet consumed by the
     stream - landed listing ``left_anti`` the file source's commit log - with
@@ -445,7 +499,8 @@ register("stream_r08_duplicates_30d", sql=(
 @register("stream_r09_phantom_72h", sql=(
     "SELECT c.claim_id, c.provider_id, c.submitted_at AS c_ts FROM claims c WHERE c.procedure_code LIKE 'CONS%' "
     "AND NOT EXISTS (SELECT 1 FROM vitals v WHERE v.claim_id = c.claim_id AND v._loaded_at >= c.submitted_at - INTERVAL 30 DAY "
-    "AND v._loaded_at <= c.submitted_at + INTERVAL 72 HOUR)"))
+    "AND v._loaded_at <= c.submitted_at + INTERVAL 72 HOUR) AND NOT EXISTS (SELECT 1 FROM prescriptions x WHERE x.claim_id = c.claim_id "
+    "AND x._loaded_at BETWEEN c.submitted_at - INTERVAL 30 DAY AND c.submitted_at + INTERVAL 72 HOUR)"))
 def r09_batch(rel) -> DataFrame:
-    """R09 batch truth: consultations with no vitals inside the grace period."""
-    return phantom_stream(rel.claims, rel.vitals, 72)
+    """R09 batch truth: consultations with no vitals and no prescription inside the grace period."""
+    return phantom_stream(rel.claims, rel.vitals, 72, rel.prescriptions)

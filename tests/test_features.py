@@ -1,6 +1,8 @@
 import datetime as dt
 import random
 
+from pyspark.sql import functions as F
+
 from claimsight.plans.features import asof_rate, rolling_counts
 
 
@@ -58,3 +60,21 @@ def test_day_block_windows_match_plain_windows(spark):
     wt = Window.partitionBy("k").orderBy("ts", "cid")
     lead = {r.cid: r.n for r in df.select("cid", F.lead("ts").over(wt).alias("n")).collect()}
     assert {r.cid: r.next_ts for r in next_time_in_key(df, "k", "ts", "cid").collect()} == lead
+
+
+def test_features_know_nothing_after_submission(spark, rel):
+    """Approvals, vitals and claims from the future change no feature of the claims before them."""
+    import datetime as dt
+    from types import SimpleNamespace
+
+    from claimsight.plans.features import claim_features
+    later = F.lit(dt.datetime(2100, 1, 1)).cast("timestamp_ntz")
+    claims = rel.claims.withColumn("updated_at", F.when(F.col("amount_approved").isNull(), later).otherwise(F.col("updated_at"))) \
+        .withColumn("amount_approved", F.coalesce("amount_approved", F.lit(1000).cast("decimal(15,2)")))
+    future = rel.claims.limit(50).withColumn("claim_id", F.concat("claim_id", F.lit("-later"))).withColumn("submitted_at", later) \
+        .withColumn("updated_at", later).withColumn("date_submitted", F.lit("2100-01-01").cast("date")).withColumn("date_of_service", F.lit("2100-01-01").cast("date"))
+    vitals = rel.vitals.unionByName(rel.claims.select("claim_id").join(rel.vitals, "claim_id", "left").select(*rel.vitals.columns).withColumn("_loaded_at", later))
+    names = ("claims", "members", "plans", "icd10_codes", "vitals", "prescriptions")
+    planted = SimpleNamespace(**{n: getattr(rel, n) for n in names} | {"claims": claims.unionByName(future), "vitals": vitals})
+    a, b = claim_features(rel), claim_features(planted).filter(~F.col("claim_id").endswith("-later"))
+    assert a.count() == b.count() and a.exceptAll(b.select(a.columns)).count() == 0
