@@ -13,6 +13,7 @@ frames partitioned by the key.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -299,7 +300,7 @@ register("int_i04_provider_risk", sql=(
 
 # ------------------------------------------------------------- SCD2
 TRACKED = ("plan_code", "employer_id", "county", "term_date")
-SNAPSHOT_TS = (_dt.datetime(2001, 6, 1), _dt.datetime(2001, 7, 1), _dt.datetime(2001, 8, 1))
+SNAPSHOT_TS = (_dt.datetime(1993, 1, 1), _dt.datetime(1995, 6, 1), _dt.datetime(1998, 1, 1))   # inside the claim years
 
 
 def member_snapshots(rel) -> DataFrame:
@@ -366,10 +367,10 @@ def _snap_sql() -> str:
 
     def sel(ts, **kw):
         return ", ".join(f"{kw[c]} AS {c}" if c in kw else c for c in cols) + f", TIMESTAMP '{ts}' AS snapshot_ts"
-    return (f"snap AS (SELECT {sel('2001-06-01 00:00:00')} FROM members UNION ALL "
-            f"SELECT {sel('2001-07-01 00:00:00', county=f'CASE WHEN {k} % 5 = 0 THEN {chr(39)}NAIROBI{chr(39)} ELSE county END', plan_code=f'CASE WHEN {k} % 10 = 0 THEN {chr(39)}HOUSEHOLD{chr(39)} ELSE plan_code END')} "
+    return (f"snap AS (SELECT {sel('1993-01-01 00:00:00')} FROM members UNION ALL "
+            f"SELECT {sel('1995-06-01 00:00:00', county=f'CASE WHEN {k} % 5 = 0 THEN {chr(39)}NAIROBI{chr(39)} ELSE county END', plan_code=f'CASE WHEN {k} % 10 = 0 THEN {chr(39)}HOUSEHOLD{chr(39)} ELSE plan_code END')} "
             f"FROM members WHERE {k} % 97 <> 3 UNION ALL "
-            f"SELECT {sel('2001-08-01 00:00:00', county=f'CASE WHEN {k} % 5 = 0 AND {k} % 20 <> 0 THEN {chr(39)}NAIROBI{chr(39)} ELSE county END', plan_code=f'CASE WHEN {k} % 10 = 0 THEN {chr(39)}HOUSEHOLD{chr(39)} ELSE plan_code END', employer_id=f'CASE WHEN {k} % 33 = 0 THEN {chr(39)}7{chr(39)} ELSE employer_id END')} "
+            f"SELECT {sel('1998-01-01 00:00:00', county=f'CASE WHEN {k} % 5 = 0 AND {k} % 20 <> 0 THEN {chr(39)}NAIROBI{chr(39)} ELSE county END', plan_code=f'CASE WHEN {k} % 10 = 0 THEN {chr(39)}HOUSEHOLD{chr(39)} ELSE plan_code END', employer_id=f'CASE WHEN {k} % 33 = 0 THEN {chr(39)}7{chr(39)} ELSE employer_id END')} "
             f"FROM members WHERE {k} % 97 <> 3)")
 
 
@@ -658,29 +659,39 @@ def dim_plans(rel, cuts=AFFORDABILITY_CUTS) -> DataFrame:
                             F.when(p < cuts[0], "budget").when(p < cuts[1], "mid").otherwise("high").alias("affordability_tier"))
 
 
-def dim_date(start: DataFrame, holidays: DataFrame | None = None) -> DataFrame:
-    """One row per day between the min and max of the ``d`` column of
-    ``start`` (a one-row range), weekday and business-day flags; holidays are
-    an optional (holiday_date, holiday_name) frame (no seed is shipped)."""
+# Public holidays of the calendar, as month-day and name.
+HOLIDAYS = {"01-01": "New Year's Day", "05-01": "Labour Day", "06-01": "Madaraka Day", "10-20": "Mashujaa Day",
+            "12-12": "Jamhuri Day", "12-25": "Christmas Day", "12-26": "Boxing Day"}
+#: the calendar covers these years and every service date beyond them
+CALENDAR = (_dt.date(2020, 1, 1), _dt.date(2028, 12, 31))
+
+
+def dim_date(start: DataFrame, holidays: dict[str, str] | None = None) -> DataFrame:
+    """One row per day between the ``lo`` and ``hi`` of ``start`` (a one-row
+    range), weekday, holiday and business-day flags; ``holidays`` maps month-day
+    to a name."""
     days = start.select(F.explode(F.sequence(F.col("lo"), F.col("hi"))).alias("date_day"))
+    names = F.create_map(*[F.lit(x) for kv in (HOLIDAYS if holidays is None else holidays).items() for x in kv])
     out = days.select("date_day", F.year("date_day").alias("year"), F.month("date_day").alias("month"),
                       F.dayofweek("date_day").alias("day_of_week"),
-                      F.weekofyear("date_day").alias("iso_week"), F.quarter("date_day").alias("quarter"))
-    if holidays is not None:
-        out = out.join(F.broadcast(holidays.withColumnRenamed("holiday_date", "date_day")), "date_day", "left")
-    else:
-        out = out.withColumn("holiday_name", F.lit(None).cast("string"))
+                      F.weekofyear("date_day").alias("iso_week"), F.quarter("date_day").alias("quarter"),
+                      F.try_element_at(names, F.date_format("date_day", "MM-dd")).alias("holiday_name"))
     return out.withColumn("is_holiday", F.col("holiday_name").isNotNull()) \
         .withColumn("is_business_day", ~F.col("day_of_week").isin(1, 7) & ~F.col("is_holiday"))
 
 
+_HOLIDAY_SQL = "CASE strftime(d, '%m-%d') " + " ".join(f"WHEN '{k}' THEN '{v.replace(chr(39), chr(39) * 2)}'" for k, v in HOLIDAYS.items()) + " END"
+
+
 @register("mart_m12_dim_date", sql=(
     "SELECT CAST(d AS DATE) AS date_day, year(d) AS year, month(d) AS month, dayofweek(d) + 1 AS day_of_week, "
-    "weekofyear(d) AS iso_week, quarter(d) AS quarter, CAST(NULL AS VARCHAR) AS holiday_name, FALSE AS is_holiday, "
-    "dayofweek(d) NOT IN (0, 6) AS is_business_day FROM (SELECT unnest(generate_series(CAST(MIN(date_of_service) AS TIMESTAMP), "
-    "CAST(MAX(date_of_service) AS TIMESTAMP), INTERVAL 1 DAY)) AS d FROM claims)"))
+    f"weekofyear(d) AS iso_week, quarter(d) AS quarter, {_HOLIDAY_SQL} AS holiday_name, {_HOLIDAY_SQL} IS NOT NULL AS is_holiday, "
+    f"dayofweek(d) NOT IN (0, 6) AND {_HOLIDAY_SQL} IS NULL AS is_business_day FROM (SELECT unnest(generate_series("
+    f"CAST(least(MIN(date_of_service), DATE '{CALENDAR[0]}') AS TIMESTAMP), CAST(greatest(MAX(date_of_service), DATE '{CALENDAR[1]}') "
+    "AS TIMESTAMP), INTERVAL 1 DAY)) AS d FROM claims)"))
 def dim_date_from_claims(rel) -> DataFrame:
-    rng = rel.claims.agg(F.min("date_of_service").alias("lo"), F.max("date_of_service").alias("hi"))
+    rng = rel.claims.agg(F.least(F.min("date_of_service"), lit_date(CALENDAR[0])).alias("lo"),
+                         F.greatest(F.max("date_of_service"), lit_date(CALENDAR[1])).alias("hi"))
     return dim_date(rng)
 
 
@@ -717,17 +728,37 @@ def model_tests(rel) -> DataFrame:
     return rows.unionByName(uniq).unionByName(tl)
 
 
+class _With:
+    """A relation set with some relations replaced."""
+
+    def __init__(self, rel, **replaced):
+        self._rel, self._replaced = rel, replaced
+
+    def __getattr__(self, name):
+        return self._replaced[name] if name in self._replaced else getattr(self._rel, name)
+
+
+def merge_fct_claims(stored: DataFrame, rel, touched: DataFrame, version: int) -> DataFrame:
+    """The next version of the mart - claims in ``touched`` are recomputed
+    (only they are read and scored again), all others keep their stored row.
+    ``built_in`` is the version that computed a row."""
+    fresh = fct_claims(_With(rel, claims=rel.claims.join(touched, "claim_id", "left_semi"),
+                             fraud_predictions=rel.fraud_predictions.join(touched, "claim_id", "left_semi")))
+    return stored.join(touched, "claim_id", "left_anti").unionByName(fresh.withColumn("built_in", F.lit(version)))
+
+
 @register("upsert_u09_fct_claims_merge", sql=(
-    "WITH f AS (" + _FCT_CLAIMS_SQL + "), "
-    "touched AS (SELECT DISTINCT claim_id FROM fraud_predictions WHERE model_version = 'v2.1') "
-    "SELECT * FROM f WHERE claim_id NOT IN (SELECT claim_id FROM touched) UNION ALL SELECT * FROM f WHERE claim_id IN (SELECT claim_id FROM touched)"))
+    "WITH f AS (" + _FCT_CLAIMS_SQL + ") SELECT f.*, CASE WHEN claim_id IN (SELECT claim_id FROM fraud_predictions "
+    "WHERE model_version = 'v2.1') THEN 2 ELSE 1 END AS built_in FROM f"))
 def fct_claims_merge(rel) -> DataFrame:
-    """Incremental merge - recompute only claims touched by new
-    predictions (here: the v2.1 batch) and replace them in the mart."""
-    touched = rel.fraud_predictions.filter(F.col("model_version") == "v2.1").select("claim_id").distinct()
-    current = fct_claims(rel)  # stands for the stored mart version
-    fresh = fct_claims(rel).join(touched, "claim_id", "left_semi")
-    return current.join(touched, "claim_id", "left_anti").unionByName(fresh)
+    """Version 1 is built and stored before the v2.1 predictions exist; the
+    merge recomputes the claims that they touch."""
+    from ..operators.writes import VersionedTable
+    is_new = F.col("model_version") == "v2.1"
+    table = VersionedTable(rel.spark, f"fct_claims-{uuid.uuid4().hex}")
+    table.commit(fct_claims(_With(rel, fraud_predictions=rel.fraud_predictions.filter(~is_new))).withColumn("built_in", F.lit(1)))
+    touched = rel.fraud_predictions.filter(is_new).select("claim_id").distinct()
+    return merge_fct_claims(table.read(), rel, touched, 2)
 
 
 # ------------------------------------------------------ more intermediates

@@ -312,13 +312,16 @@ def q20_stockout_impact(rel) -> DataFrame:
     """Low-stock episodes per facility: count, days covered, prescriptions of
     the drug at the facility during an episode (equi-join on facility and drug
     plus a date band over daily prescription counts)."""
-    ep = stock_episodes(rel.stock_levels).withColumn("_ep", F.monotonically_increasing_id())
+    ep = stock_episodes(rel.stock_levels)
+    key = ["facility_id", "drug_code", "start_date"]           # an episode's identity
     rx = rel.prescriptions.select("claim_id", "drug_code", F.to_date("prescribed_at").alias("d")) \
         .join(rel.claims.select("claim_id", F.col("provider_id").alias("facility_id")), "claim_id") \
         .groupBy("facility_id", "drug_code", "d").agg(F.count(F.lit(1)).alias("n"))
-    hit = ep.join(rx, ["facility_id", "drug_code"]).filter(F.col("d").between(F.col("start_date"), F.col("end_date"))) \
-        .groupBy("_ep").agg(F.sum("n").alias("affected"))
-    e = ep.join(hit, "_ep", "left")
+    # by month: a long-lived drug's days are split, and only days of an episode's months meet it
+    months = ep.withColumn("m", F.explode(F.sequence(F.trunc("start_date", "month"), F.trunc("end_date", "month"), F.expr("INTERVAL 1 MONTH"))))
+    hit = months.join(rx.withColumn("m", F.trunc("d", "month")), ["facility_id", "drug_code", "m"]) \
+        .filter(F.col("d").between(F.col("start_date"), F.col("end_date"))).groupBy(*key).agg(F.sum("n").alias("affected"))
+    e = ep.join(hit, key, "left")
     return e.groupBy("facility_id").agg(
         F.count(F.lit(1)).alias("episodes"),
         F.sum(F.datediff("end_date", "start_date") + 1).alias("episode_days"),
@@ -350,17 +353,20 @@ def q22_on_site(rel) -> DataFrame:
 
 # -------------------------------------------------------------- diseases
 @register("report_q23_top_diagnoses", sql=(
-    "WITH g AS (SELECT p.county AS region, CAST(date_trunc('week', c.date_of_service) AS DATE) AS week, c.diagnosis_code, "
-    "COUNT(*) AS claims FROM claims c JOIN providers p ON p.provider_id = c.provider_id GROUP BY 1, 2, 3) "
-    "SELECT region, week, diagnosis_code, claims, rk FROM (SELECT *, row_number() OVER (PARTITION BY region, week "
-    "ORDER BY claims DESC, diagnosis_code) AS rk FROM g) WHERE rk <= 10"))
+    "WITH g AS (SELECT p.county AS region, CAST(date_trunc('week', c.date_of_service) AS DATE) AS week, "
+    "COALESCE(x.clinical_category, 'Other') AS clinical_category, COUNT(*) AS claims FROM claims c JOIN providers p "
+    "ON p.provider_id = c.provider_id LEFT JOIN icd10_codes x ON x.icd10_code = c.diagnosis_code GROUP BY 1, 2, 3) "
+    "SELECT region, week, clinical_category, claims, rk FROM (SELECT *, row_number() OVER (PARTITION BY region, week "
+    "ORDER BY claims DESC, clinical_category) AS rk FROM g) WHERE rk <= 10"))
 def q23_top_diagnoses(rel, k: int = 10) -> DataFrame:
-    """Top-k diagnoses per region and week (windows over aggregated rows)."""
+    """Top-k diagnosis categories per region and week (windows over aggregated rows)."""
+    dx = rel.icd10_codes.select(F.col("icd10_code").alias("diagnosis_code"), "clinical_category")
     g = rel.claims.select("provider_id", "diagnosis_code", "date_of_service") \
-        .join(rel.providers.select("provider_id", F.col("county").alias("region")), "provider_id") \
-        .groupBy("region", F.to_date(F.date_trunc("week", "date_of_service")).alias("week"), "diagnosis_code") \
+        .join(rel.providers.select("provider_id", F.col("county").alias("region")), "provider_id").join(dx, "diagnosis_code", "left") \
+        .groupBy("region", F.to_date(F.date_trunc("week", "date_of_service")).alias("week"),
+                 F.coalesce("clinical_category", F.lit("Other")).alias("clinical_category")) \
         .agg(F.count(F.lit(1)).alias("claims"))
-    rk = F.row_number().over(Window.partitionBy("region", "week").orderBy(F.desc("claims"), "diagnosis_code"))
+    rk = F.row_number().over(Window.partitionBy("region", "week").orderBy(F.desc("claims"), "clinical_category"))
     return g.withColumn("rk", rk).filter(F.col("rk") <= k)
 
 

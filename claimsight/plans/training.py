@@ -49,6 +49,14 @@ def score(model, df: DataFrame, features=FEATURE_COLUMNS) -> DataFrame:
     return out.select(*keep, vector_to_array("probability")[1].alias("score"))
 
 
+def feature_importances(model, columns=tuple(FEATURE_COLUMNS)) -> DataFrame:
+    """One row per feature with its importance in the fitted tree ensemble (bounded by the feature list)."""
+    from pyspark.sql import SparkSession
+    stage = model.stages[-1] if hasattr(model, "stages") else model
+    rows = sorted(zip(columns, (float(x) for x in stage.featureImportances.toArray()), strict=True), key=lambda r: (-r[1], r[0]))
+    return SparkSession.active().createDataFrame([(f, w, i + 1) for i, (f, w) in enumerate(rows)], "feature string, importance double, rank int")
+
+
 @register("train_x16_gbt_test_scores")
 def gbt_test_scores(rel) -> DataFrame:
     """Train on the 70% split, score the 15% test split (rows-only check)."""
@@ -67,19 +75,32 @@ def score_histogram(scored: DataFrame, score_col: str = "score", label: str = "l
 def evaluate(scored: DataFrame, score_col: str = "score", label: str = "label", threshold: float = 0.5,
              digits: int = 5) -> DataFrame:
     """One row - AUC (rank-sum with ties), precision in the top 10% by
-    score, precision / recall / F1 and confusion counts at ``threshold``."""
-    h = score_histogram(scored, score_col, label, digits)
-    asc = Window.orderBy("s").rowsBetween(Window.unboundedPreceding, -1)      # bounded: one row per score value
-    desc = Window.orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, 0)
-    h = h.select("s", "pos", "neg", F.coalesce(F.sum("neg").over(asc), F.lit(0)).alias("neg_below"),
-                 F.sum(F.col("pos") + F.col("neg")).over(desc).alias("n_at_or_above"))
+    score, precision / recall / F1 and confusion counts at ``threshold``.
+
+    Scores are compared exactly: one row per distinct score, ranked inside its
+    rounded value (``digits``), with sums over the rounded values before it (at
+    most 10**digits + 1 rows).  A group of equal scores that crosses the top-10%
+    cut counts in proportion.
+    """
+    exact = scored.groupBy(F.col(score_col).cast("double").alias("s")).agg(
+        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")).withColumn("b", F.round("s", digits))
+    blocks = exact.groupBy("b").agg(F.sum("pos").alias("bp"), F.sum("neg").alias("bn"))
+    below, above = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1), Window.orderBy(F.desc("b")).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select("b", F.coalesce(F.sum("bn").over(below), F.lit(0)).alias("nb"),
+                           F.coalesce(F.sum(F.col("bp") + F.col("bn")).over(above), F.lit(0)).alias("na"))
+    up = Window.partitionBy("b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    down = Window.partitionBy("b").orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, -1)
+    h = exact.select("b", "s", "pos", "neg", F.coalesce(F.sum("neg").over(up), F.lit(0)).alias("ib"),
+                     F.coalesce(F.sum(F.col("pos") + F.col("neg")).over(down), F.lit(0)).alias("ia")).join(blocks, "b")
+    h = h.select("s", "pos", "neg", (F.col("nb") + F.col("ib")).alias("neg_below"), (F.col("na") + F.col("ia")).alias("n_above"))
     tot = h.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     h = h.crossJoin(F.broadcast(tot))
-    top = F.col("n_at_or_above") <= F.ceil((F.col("P") + F.col("N")) * 0.10)
+    cut = F.ceil((F.col("P") + F.col("N")) * 0.10)
+    share = F.greatest(F.least(cut - F.col("n_above"), F.col("pos") + F.col("neg")), F.lit(0)) / (F.col("pos") + F.col("neg"))
     pred = F.col("s") >= threshold
     m = h.agg(
         (F.sum(F.col("pos") * (F.col("neg_below") + 0.5 * F.col("neg"))) / (F.first("P") * F.first("N"))).alias("auc_roc"),
-        (F.sum(F.when(top, F.col("pos"))) / F.sum(F.when(top, F.col("pos") + F.col("neg")))).alias("precision_at_10pct"),
+        (F.sum(F.col("pos") * share) / F.first(cut)).alias("precision_at_10pct"),
         F.sum(F.when(pred, F.col("pos"))).alias("tp"), F.sum(F.when(pred, F.col("neg"))).alias("fp"),
         F.sum(F.when(~pred, F.col("pos"))).alias("fn"), F.sum(F.when(~pred, F.col("neg"))).alias("tn"))
     m = m.fillna(0, subset=["tp", "fp", "fn", "tn"])
@@ -107,13 +128,13 @@ _LAB_SQL = (
     "h AS (SELECT round(score, 5) AS s, COUNT(*) FILTER (WHERE label = 1) AS pos, COUNT(*) FILTER (WHERE label = 0) AS neg "
     "FROM sc GROUP BY 1), "
     "h2 AS (SELECT s, pos, neg, COALESCE(SUM(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) "
-    "AS neg_below, SUM(pos + neg) OVER (ORDER BY s DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS n_at_or_above FROM h), "
+    "AS neg_below, COALESCE(SUM(pos + neg) OVER (ORDER BY s DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS n_above FROM h), "
     "tot AS (SELECT SUM(pos) AS P, SUM(neg) AS N FROM h) ")
 
 _EVAL_SQL = (
     "WITH " + _LAB_SQL + ", m AS (SELECT SUM(pos * (neg_below + 0.5 * neg)) / (MAX(P) * MAX(N)) AS auc_roc, "
-    "CAST(SUM(pos) FILTER (WHERE n_at_or_above <= ceil((P + N) * 0.10)) AS DOUBLE) / SUM(pos + neg) FILTER (WHERE n_at_or_above "
-    "<= ceil((P + N) * 0.10)) AS precision_at_10pct, COALESCE(SUM(pos) FILTER (WHERE s >= 0.5), 0) AS tp, "
+    "SUM(pos * CAST(greatest(least(ceil((P + N) * 0.10) - n_above, pos + neg), 0) AS DOUBLE) / (pos + neg)) / MAX(ceil((P + N) * 0.10)) "
+    "AS precision_at_10pct, COALESCE(SUM(pos) FILTER (WHERE s >= 0.5), 0) AS tp, "
     "COALESCE(SUM(neg) FILTER (WHERE s >= 0.5), 0) AS fp, COALESCE(SUM(pos) FILTER (WHERE s < 0.5), 0) AS fn, "
     "COALESCE(SUM(neg) FILTER (WHERE s < 0.5), 0) AS tn FROM h2 CROSS JOIN tot) "
     "SELECT round(auc_roc, 5) AS auc_roc, round(precision_at_10pct, 5) AS precision_at_10pct, "
