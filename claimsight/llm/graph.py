@@ -1,44 +1,46 @@
-"""Connected components of an edge table, by alternating large and small stars.
+"""Connected components of an edge table, by hooking and pointer jumping.
 
-Every round is two joins against per-node minima that are pre-aggregated
-before the shuffle, so a hub node is a skewed join that adaptive execution
-splits, not one task.  Each round is written to the shared folder, which cuts
-the lineage and survives lost executors.
+Edges point from a larger node (child) to a smaller one (parent).  A round
+
+* hooks: all parents of a child are linked to the least of them (one shuffle by
+  child, which also removes repeats), and
+* jumps: a child moves on to its parent's parent (a join, which adaptive
+  execution splits where many children share a parent),
+
+until a round changes nothing: then every component is one star around its least node.
+Each round is written to the shared folder, which cuts the lineage and survives
+lost executors.  Nodes never meet in one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import stored
 
 
-def _large(edges: DataFrame) -> DataFrame:
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-    return (both.where(F.col("b") > F.col("a")).join(least, "a").where(F.col("b") != F.col("m"))
-            .select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
+def _hook(edges: DataFrame) -> DataFrame:
+    """a, b, and whether the row is a new link between parents."""
+    least = F.min("b").over(Window.partitionBy("a"))
+    x = edges.repartition("a").distinct().withColumn("m", least)
+    return x.select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"),
+                    (F.col("b") != F.col("m")).alias("new"))
 
 
-def _small(edges: DataFrame) -> DataFrame:
-    down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
-    own = least.select("a", F.col("m").alias("b"))
-    rest = down.join(least, "a").where(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return own.unionByName(rest).distinct()
+def _jump(edges: DataFrame) -> DataFrame:
+    up = edges.groupBy("a").agg(F.min("b").alias("p")).withColumnRenamed("a", "c")
+    return edges.join(up, F.col("b") == F.col("c"), "left").select("a", F.coalesce("p", "b").alias("b"), (F.col("new") | F.col("p").isNotNull()).alias("new"))
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """node, component (the smallest node reachable) for every node of ``edges`` (columns a, b of type long)."""
-    now = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
-    mark = None
+    now = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     while True:
-        now = stored(_small(_large(now)), name)
-        # equal order-free digests of two rounds: a fixed point
-        digest = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if mark == tuple(digest):
+        seen = Observation()
+        now = stored(_jump(_hook(now)).observe(seen, F.count_if("new").alias("changes")).select("a", "b"), name)
+        if not seen.get["changes"]:
             break
-        mark = tuple(digest)
     roots = now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)

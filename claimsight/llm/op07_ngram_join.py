@@ -19,10 +19,10 @@ to 64-bit hashes of shingles and sets); nothing is capped or sampled.
 4. *Families.*  Classes of like size that share a key are joined to families
    (buckets emit spanning edges only, then connected components).
 5. *Prefix trees.*  Only the survivors' texts are shingled again and meet by
-   family.  Their ordered sets form a path-compressed trie; each set walks it
-   once, sharing the overlap counted along common prefixes, and leaves a subtree
-   when even all remaining tokens could not reach the needed overlap, or when all
-   of it is already in its component.  A family beyond ``FAMILY_TOKENS`` is first
+   family.  Their ordered sets form a path-compressed trie that all sets of the
+   family walk together: the overlaps counted along a common prefix are shared by
+   everything below it, and a set leaves a subtree when even all remaining tokens
+   could not reach the needed overlap.  A family beyond ``FAMILY_TOKENS`` is first
    compared with one pivot, and the rest meets in pairs of bounded blocks, so no
    task ever holds an unbounded group.
 
@@ -52,7 +52,7 @@ NUM, DEN = 80, 100
 HOT_TOKENS = 100_000
 BUCKET_BYTES = 8 << 20
 FLUSH_ROWS = 1 << 20
-FAMILY_TOKENS = 1 << 20
+FAMILY_TOKENS = 1 << 18
 
 
 def needed(n):
@@ -249,17 +249,15 @@ def _spanning(frame: pa.Table) -> pa.Table:
             i = parent[i]
         return i
 
-    edges = []
     same = np.flatnonzero(run_of[1:] == run_of[:-1]) if len(run_of) else []
     pairs = np.unique(np.stack([index[:-1][same], index[1:][same]], 1), axis=0) if len(same) else np.zeros((0, 2), int)
     for a, b in pairs.tolist():
         x, y = root(a), root(b)
-        if x != y:
-            parent[x] = y
-            edges.append((a, b))
-    a = nodes[[e[0] for e in edges]] if edges else np.zeros(0, np.int64)
-    b = nodes[[e[1] for e in edges]] if edges else np.zeros(0, np.int64)
-    return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+        parent[max(x, y)] = min(x, y)
+    # ``nodes`` ascend, so a root is the least of its component: stars keep the rounds of the components few
+    up = np.fromiter((root(i) for i in range(len(nodes))), np.int64, len(nodes))
+    moved = up != np.arange(len(nodes))
+    return pa.table([pa.array(nodes[moved], pa.int64()), pa.array(nodes[up[moved]], pa.int64())], ["a", "b"])
 
 
 # ------------------------------------------------------------------ prefix tree
@@ -307,78 +305,67 @@ class PrefixTree:
                 at = low
         return root
 
-    def links(self, q: np.ndarray, skip) -> Iterator[tuple[int, int]]:
-        """(member, overlap) of the sets linked with ``q``; ``skip(a, b)``: whether the members order[a:b] may be left out."""
-        if self.root is None:
+    def links(self, queries: list[np.ndarray], settled) -> Iterator[tuple[int, np.ndarray]]:
+        """(member, numbers of the queries linked with it), over all members.
+
+        All queries walk the tree together: a node's run is counted once, as a vector of overlaps that its
+        whole subtree shares.  A query leaves a subtree when its size is unlike all sets below or when all
+        remaining tokens could not reach the overlap it needs; a subtree without queries is not walked.
+        ``settled()``: whether nothing more can be learned.
+        """
+        if self.root is None or not queries:
             return
-        own, n = set(q.tolist()), len(q)
-        stack = [(self.root, 0)]
-        while stack:
-            node, overlap = stack.pop()
-            run, depth, small, large, ends, children, a, b = node
-            if large * DEN < NUM * n or n * DEN < NUM * small or skip(a, b):
-                continue
+        sizes = np.array([len(q) for q in queries], np.int64)
+        tokens = np.concatenate(queries)
+        order = np.argsort(tokens, kind="stable")
+        holders = np.repeat(np.arange(len(queries)), sizes)[order]      # queries by token: posting lists
+        tokens = tokens[order]
+        stack = [(self.root, np.zeros(len(queries), np.int64))]
+        while stack and not settled():
+            (run, depth, small, large, ends, children, _, _), overlap = stack.pop()
             if len(run):
-                overlap += len(own.intersection(run.tolist()))
-            # every set below has at most large - depth more tokens, and q at most those after the run's last token
-            rest = n - int(np.searchsorted(q, run[-1], "right")) if len(run) else n - overlap
-            if overlap + min(rest, large - depth) < overlap_for(n, max(small, needed(n))):
+                low, high = np.searchsorted(tokens, run, "left").tolist(), np.searchsorted(tokens, run, "right").tolist()
+                hit = [holders[x:y] for x, y in zip(low, high, strict=True) if y > x]
+                if hit:
+                    overlap = overlap + np.bincount(np.concatenate(hit), minlength=len(queries))
+            reach = overlap + np.minimum(sizes - overlap, large - depth)
+            alive = (large * DEN >= NUM * sizes) & (sizes * DEN >= NUM * small) & (reach >= overlap_for(sizes, np.maximum(small, needed(sizes))))
+            if not alive.any():
                 continue
             for i in ends:
-                if linked(overlap, n, len(self.sets[i])):
-                    yield i, overlap
+                found = np.flatnonzero(alive & (DEN * overlap >= NUM * (sizes + len(self.sets[i]) - overlap)))
+                if len(found):
+                    yield i, found
             stack.extend((c, overlap) for c in children)
 
 
 def family_links(sets: list[np.ndarray], against: list[np.ndarray] | None = None, joined: list[int] | None = None) -> list[tuple[int, int]]:
-    """Spanning links of the sets (or, with ``against``, between the two lists, whose numbers follow those of ``sets``).
+    """Links that span the components of the sets (or, with ``against``, of the links between the two lists,
+    whose numbers follow those of ``sets``).
 
     ``joined``: a component number per set where some are known to be linked already.
     """
     every = sets if against is None else sets + against
-    parent = list(range(len(every)))
-
-    def root(i):
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    left = len(every)
-    if joined is not None:
-        firsts: dict[int, int] = {}
-        for i, c in enumerate(joined):
-            x, y = root(i), root(firsts.setdefault(c, i))
-            if x != y:
-                parent[x] = y
-                left -= 1
-    tree = PrefixTree(sets if against is None else against)
-    shift = 0 if against is None else len(sets)
+    if not every:
+        return []
+    label = np.arange(len(every)) if joined is None else np.unique(np.array(joined), return_inverse=True)[1].reshape(-1)
+    left = len(np.unique(label))
+    # ranks stand for tokens: smaller and in the same order
+    names = np.unique(np.concatenate(every))
+    ranked = [np.searchsorted(names, x) for x in every]
+    tree, shift = (PrefixTree(ranked), 0) if against is None else (PrefixTree(ranked[len(sets):]), len(sets))
+    for i, found in tree.links(ranked[:len(sets)], lambda: left == 1):
+        meet = np.unique(np.append(label[found], label[shift + i]))
+        if len(meet) > 1:
+            label[np.isin(label, meet)] = meet[0]
+            left -= len(meet) - 1
+    first = np.full(int(label.max()) + 1, -1)
     out = []
-    uniform: dict[tuple[int, int], int] = {}         # ranges of the tree whose members are all in one component
-
-    def skip_for(i):
-        def skip(a, b):
-            mine = root(i)
-            known = uniform.get((a, b))
-            if known is not None:
-                return root(known) == mine
-            if b - a <= 64 or left <= 2:
-                if all(root(shift + m) == mine for m in tree.order[a:b]):
-                    uniform[a, b] = mine
-                    return True
-            return False
-        return skip
-
-    for i, q in enumerate(sets):
-        if left == 1:
-            break
-        for m, _ in tree.links(q, skip_for(i)):
-            x, y = root(i), root(shift + m)
-            if x != y:
-                parent[x] = y
-                left -= 1
-                out.append((i, shift + m))
+    for i, c in enumerate(label.tolist()):
+        if first[c] < 0:
+            first[c] = i
+        else:
+            out.append((int(first[c]), i))
     return out
 
 
@@ -387,7 +374,20 @@ def _as_set(raw: bytes) -> np.ndarray:
 
 
 def _edges(sigs: list[int], links: list[tuple[int, int]]) -> pa.Table:
-    return pa.table([pa.array([sigs[a] for a, _ in links], pa.int64()), pa.array([sigs[b] for _, b in links], pa.int64())], ["a", "b"])
+    """The links' components as stars around their least class."""
+    parent: dict[int, int] = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        x, y = root(sigs[a]), root(sigs[b])
+        parent[max(x, y)] = min(x, y)
+    rows = [(x, root(x)) for x in list(parent) if root(x) != x]
+    return pa.table([pa.array([a for a, _ in rows], pa.int64()), pa.array([b for _, b in rows], pa.int64())], ["a", "b"])
 
 
 EDGES = "a long, b long"
