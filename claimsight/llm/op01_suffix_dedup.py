@@ -36,6 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -106,7 +107,7 @@ def _stack(frame: pa.Table, column: str, kind: str) -> np.ndarray:
     return np.concatenate([_from_planes(x, kind) for x in frame[column].to_pylist()] or [np.zeros(0, kind)])
 
 
-# one schema for both outputs of the anchor scan: bucket >= 0 is a packed bucket, -1 known repeats
+# one schema, and one shuffle, for both outputs of the anchor scan: bucket >= 0 is a packed bucket, others hold known repeats
 ANCHORS = "bucket int, hashes binary, known binary, docs binary, copies binary, at binary"
 
 
@@ -132,9 +133,9 @@ def _anchor_rows(rows: DataFrame, n_buckets: int) -> DataFrame:
                 some = send[cuts[b]: cuts[b + 1]]
                 rows.append((int(b), _planes(mixed[some] >> U(32), "<u4"), repeated[some].astype(np.uint8).tobytes(),
                              _planes(docs[some], "<i8"), _planes(copies[some], "<u4"), _planes(at[some], "<u4")))
-            for some in np.array_split(np.flatnonzero(repeated), max(1, int(repeated.sum()) // 65536)):
+            for some in np.array_split(np.flatnonzero(repeated), max(1, int(repeated.sum()) // 16384)):
                 if len(some):
-                    rows.append((-1, b"", b"", _planes(docs[some], "<i8"), _planes(copies[some], "<u4"), _planes(at[some], "<u4")))
+                    rows.append((-1 - int(mixed[some[0]] % U(n_buckets)), b"", b"", _planes(docs[some], "<i8"), _planes(copies[some], "<u4"), _planes(at[some], "<u4")))
             columns = list(zip(*rows, strict=True))
             return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])],
                                               ["bucket", "hashes", "known", "docs", "copies", "at"])
@@ -163,7 +164,12 @@ def _places(docs, copies, at) -> pa.RecordBatch:
 
 
 def _meet(frame: pa.Table) -> pa.Table:
-    """A bucket's anchors whose gram hash came from two tasks, or twice from one; known ones were sent already."""
+    """A bucket's anchors whose gram hash came from two tasks, or twice from one; known ones were sent already.
+
+    A negative bucket holds known ones: they only change their form.
+    """
+    if frame["bucket"][0].as_py() < 0:
+        return pa.Table.from_batches([_places(_stack(frame, "docs", "<i8"), _stack(frame, "copies", "<u4"), _stack(frame, "at", "<u4"))])
     hashes = _stack(frame, "hashes", "<u4")
     known = np.frombuffer(b"".join(frame["known"].to_pylist()), np.uint8)
     _, which, counts = np.unique(hashes, return_inverse=True, return_counts=True)
@@ -172,12 +178,6 @@ def _meet(frame: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_places(_stack(frame, "docs", "<i8")[keep], _stack(frame, "copies", "<u4")[keep], _stack(frame, "at", "<u4")[keep])])
 
 
-def _known(batches) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for d, c, a in zip(*(batch.column(x).to_pylist() for x in ("docs", "copies", "at")), strict=True):
-            yield _places(_from_planes(d, "<i8"), _from_planes(c, "<u4"), _from_planes(a, "<u4"))
-
-
 # ------------------------------------------------------------------ suffixes
 def suffix(text: bytes, at: int) -> tuple[bytes, int]:
     """(100 bytes from the anchor on, then the bytes before it backwards; length of the first part)."""
@@ -191,7 +191,7 @@ def cover(n_right, n_left):
 
 
 COVERS = "doc long, copy long, from_ int, till int"
-# one schema for both outputs of the suffix scan: part >= 0 is a piece of a run, -1 covers known already
+# one schema, and one shuffle, for both outputs of the suffix scan: part >= 0 is a piece of a run, others hold covers known already
 RUNS = "part int, lcps binary, lengths binary, rights binary, tails binary, docs binary, copies binary, at binary, from_ binary, till binary"
 
 
@@ -214,6 +214,7 @@ def _suffix_runs(splits: list[bytes]):
     def run(batches) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[bytes, int], list[tuple[int, int, int]]] = {}
         waiting = 0
+        pack = zstandard.ZstdCompressor(level=3)
 
         def flush():
             keys = sorted(held)
@@ -240,11 +241,11 @@ def _suffix_runs(splits: list[bytes]):
                 some = lines[a:b]
                 where = np.array(places[a:b], np.int64).reshape(-1, 3)
                 rows.append((part, lcps.astype(np.uint8).tobytes(), bytes(len(k) for k, _ in some), bytes(r for _, r in some),
-                             b"".join(k[n:] for (k, _), n in zip(some, lcps.tolist(), strict=True)),
+                             pack.compress(b"".join(k[n:] for (k, _), n in zip(some, lcps.tolist(), strict=True))),
                              _planes(where[:, 0], "<i8"), _planes(where[:, 1], "<u4"), _planes(where[:, 2], "<u4"), b"", b""))
-            for at in range(0, len(covered), 65536):
-                some = np.array(covered[at: at + 65536], np.int64)
-                rows.append((-1, b"", b"", b"", b"", _planes(some[:, 0], "<i8"), _planes(some[:, 1], "<u4"), b"",
+            for at in range(0, len(covered), 16384):
+                some = np.array(covered[at: at + 16384], np.int64)
+                rows.append((-1 - int(some[0, 0] + some[0, 2]) % (len(splits) + 1), b"", b"", b"", b"", _planes(some[:, 0], "<i8"), _planes(some[:, 1], "<u4"), b"",
                              _planes(some[:, 2], "<u4"), _planes(some[:, 3], "<u4")))
             columns = list(zip(*rows, strict=True))
             return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])],
@@ -266,7 +267,7 @@ def _suffix_runs(splits: list[bytes]):
 
 def _read_run(row: dict) -> tuple[list[bytes], list[int], bytes, np.ndarray]:
     """(keys, LCPs, lengths of first parts, places) of one front-coded run."""
-    keys, at, last, tails = [], 0, b"", row["tails"]
+    keys, at, last, tails = [], 0, b"", zstandard.ZstdDecompressor().decompress(row["tails"])
     lcps = list(row["lcps"])
     for n, size in zip(lcps, row["lengths"], strict=True):
         last = last[:n] + tails[at: at + size - n]
@@ -401,6 +402,9 @@ def repeats(keys: list[bytes], lcps: np.ndarray, rights: np.ndarray, places: np.
 
 
 def _merge_range(frame: pa.Table) -> pa.Table:
+    """A range's covers by merging its runs; a negative part holds known covers, which only change their form."""
+    if frame["part"][0].as_py() < 0:
+        return pa.Table.from_batches([_covers(_stack(frame, "docs", "<i8"), _stack(frame, "copies", "<u4"), _stack(frame, "from_", "<u4"), _stack(frame, "till", "<u4"))])
     runs = [_read_run(r) for r in frame.to_pylist()]
     keys, lcps, rights, places = [], [], [], []
     for r, i, n in merge([(k, n) for k, n, *_ in runs]):
@@ -418,12 +422,6 @@ def _covers(docs, copies, start, till) -> pa.RecordBatch:
                                        pa.array(start.astype(np.int32), pa.int32()), pa.array(till.astype(np.int32), pa.int32())], ["doc", "copy", "from_", "till"])
 
 
-def _known_covers(batches) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for d, c, a, b in zip(*(batch.column(x).to_pylist() for x in ("docs", "copies", "from_", "till")), strict=True):
-            yield _covers(_from_planes(d, "<i8"), _from_planes(c, "<u4"), _from_planes(a, "<u4"), _from_planes(b, "<u4"))
-
-
 # ------------------------------------------------------------------ the operator
 def split_points(rows: DataFrame, parts: int) -> list[bytes]:
     """Grams that cut the suffixes into about even ranges, from the anchors of a bounded sample of documents."""
@@ -454,14 +452,12 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // BUCKET_TEXT + 1)
 
     found = _anchor_rows(rows, parts)
-    met = found.where("bucket >= 0").groupBy("bucket").applyInArrow(_meet, PLACES)
-    places = met.unionByName(found.where("bucket < 0").mapInArrow(_known, PLACES))
+    places = found.groupBy("bucket").applyInArrow(_meet, PLACES)
     by_doc = places.groupBy("doc", "copy").agg(F.collect_list("at").alias("places"))
-    # one shuffle of the texts, which the last join uses again
-    texts = rows.select("doc_id", "doc", "copy", "text").repartition("doc", "copy")
-    runs = texts.join(by_doc, ["doc", "copy"]).select("doc", "copy", "text", "places").mapInArrow(_suffix_runs(split_points(rows, parts)), RUNS)
-    covers = (runs.where("part >= 0").groupBy("part").applyInArrow(_merge_range, COVERS)
-              .unionByName(runs.where("part < 0").mapInArrow(_known_covers, COVERS)))
+    # both joins read the same columns, so the texts are shuffled once and the second join uses that shuffle again
+    texts = rows.select("doc_id", "doc", "copy", "text")
+    runs = texts.join(by_doc, ["doc", "copy"]).select("doc_id", "doc", "copy", "text", "places").mapInArrow(_suffix_runs(split_points(rows, parts)), RUNS)
+    covers = runs.groupBy("part").applyInArrow(_merge_range, COVERS)
     spans = covers.groupBy("doc", "copy").agg(F.collect_list(F.struct("from_", "till")).alias("spans"))
     return texts.join(spans, ["doc", "copy"], "left").select("doc_id", "text", "spans")
 
@@ -500,9 +496,9 @@ def digests(docs: DataFrame) -> DataFrame:
 #: The same in DuckDB over all windows, as hexadecimal text.
 SQL = """
 WITH d AS (SELECT row_number() OVER () AS r, coalesce(doc_id, 9223372036854775807) AS k, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
-w AS (SELECT r, k, s, md5_number(substr(x, 2 * s + 1, 200)) AS h FROM d, unnest(range(0, greatest(length(x) // 2 - 99, 0))) AS u(s)),
+w AS MATERIALIZED (SELECT r, k, s, hash(substr(x, 2 * s + 1, 200)) AS h FROM d, unnest(range(0, greatest(length(x) // 2 - 99, 0))) AS u(s)),
 m AS (SELECT h, min(k) AS k FROM w GROUP BY h HAVING count(*) > 1),
-o AS (SELECT r, h, min(s) AS s FROM w GROUP BY r, h),
+o AS (SELECT r, h, min(s) AS s FROM w SEMI JOIN m USING (h) GROUP BY r, h),
 p AS (SELECT w.r, w.s FROM w JOIN m ON m.h = w.h JOIN o ON o.h = w.h AND o.r = w.r WHERE w.k > m.k OR w.s > o.s),
 g AS (SELECT r, s, CASE WHEN s <= lag(s) OVER (PARTITION BY r ORDER BY s) + 100 THEN 0 ELSE 1 END AS new FROM p),
 i AS (SELECT r, s, sum(new) OVER (PARTITION BY r ORDER BY s ROWS UNBOUNDED PRECEDING) AS n FROM g),
