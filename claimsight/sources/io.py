@@ -92,7 +92,10 @@ def order_days(spark: SparkSession, path: str) -> bool:
     files.sort(key=lambda f: (f.split("/day=")[1], f))
     last = int(_dt.datetime.now().timestamp()) * 1000
     # whole seconds, the last file now: some stores keep no finer times
-    return all(store.set_time(f, last - (len(files) - 1 - i) * 1000) for i, f in enumerate(files))
+    times = [last - (len(files) - 1 - i) * 1000 for i in range(len(files))]
+    if not all(store.set_time(f, t) for f, t in zip(files, times, strict=True)):
+        return False
+    return not files or (store.time_of(files[0]) == times[0] and store.time_of(files[-1]) == times[-1])
 
 
 def export_csv(df: DataFrame, path: str) -> None:

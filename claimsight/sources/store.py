@@ -28,22 +28,21 @@ class Store:
 
     def files(self, p: str) -> list[str]:
         """All files below a folder, recursively, as full paths."""
-        out, todo = [], [self.path(p)]
-        while todo:
-            for s in self._fs.listStatus(todo.pop()):
-                if s.isDirectory():
-                    todo.append(s.getPath())
-                else:
-                    out.append(s.getPath().toString())
+        out, found = [], self._fs.listFiles(self.path(p), True)
+        while found.hasNext():
+            out.append(found.next().getPath().toString())
         return sorted(out)
 
     def delete(self, p: str) -> None:
         self._fs.delete(self.path(p), True)
 
     def set_time(self, p: str, millis: int) -> bool:
-        """Set a file's modification time; False where the store does not keep one."""
+        """Set a file's modification time; False where the store refuses."""
         try:
             self._fs.setTimes(self.path(p), millis, -1)
         except Exception:  # noqa: BLE001 - object stores refuse in different ways
             return False
-        return self._fs.getFileStatus(self.path(p)).getModificationTime() == millis
+        return True
+
+    def time_of(self, p: str) -> int:
+        return self._fs.getFileStatus(self.path(p)).getModificationTime()
