@@ -25,6 +25,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+BATCH_ROWS = 2_000
+
+
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """``df``, with Arrow batches of at most ``BATCH_ROWS`` rows in its session: long texts otherwise fill a task's memory."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return df
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors share: the cluster's ``spark.checkpoint.dir``.
 

@@ -40,7 +40,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BASE, BASE_INVERSE, MIX2, U, mix, powers, slices, utf8
+from .common import BASE, BASE_INVERSE, MIX2, U, bounded_batches, mix, powers, slices, utf8
 
 WINDOW = 100
 GRAM = 40
@@ -444,7 +444,7 @@ def split_points(rows: DataFrame, parts: int) -> list[bytes]:
 def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id``, ``text`` and ``spans`` (array of from, till in bytes; may overlap) of every row."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = bounded_batches(docs).select(F.col(key).alias("doc_id"), F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     # rows of one id are told apart by their text, only where ids repeat
     repeated_ids = rows.groupBy("doc").count().where("count > 1").limit(1).count() > 0
     rows = rows.withColumn("copy", F.crc32(F.encode("text", "UTF-8")) if repeated_ids else F.lit(0).cast("long"))

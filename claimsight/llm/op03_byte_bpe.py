@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from .common import slices
+from .common import bounded_batches, slices
 
 CHUNK_CHARS = 1 << 15
 OVERLAP = 1 << 10
@@ -138,7 +138,7 @@ def stitch(codec: Codec, chunks: list[tuple[int, str]], chunk_chars: int) -> byt
 def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",),
            chunk_chars: int = CHUNK_CHARS, overlap: int = OVERLAP, out: str = "token_ids") -> DataFrame:
     """``keep`` columns and ``out``: the ids of the whole text as little-endian unsigned 32-bit (binary)."""
-    rows = docs.select(*[F.col(c) for c in keep], F.coalesce(F.col(text), F.lit("")).alias("__text"))
+    rows = bounded_batches(docs).select(*[F.col(c) for c in keep], F.coalesce(F.col(text), F.lit("")).alias("__text"))
     fields = [rows.schema[c] for c in keep]
     result = StructType([*fields, StructField(out, BinaryType())])
     names = [f.name for f in result]

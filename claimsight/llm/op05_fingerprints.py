@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from .common import U, lowest, range_of, ranges, shingle_hashes, slices, utf8
+from .common import U, bounded_batches, lowest, range_of, ranges, shingle_hashes, slices, utf8
 
 K = 128
 WIDTH = 5
@@ -120,7 +120,7 @@ def neighbours(docs: DataFrame, fn, schema: StructType, key: str = "doc_id", tex
     The row after the last is the first.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = bounded_batches(docs).select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     splits = ranges(rows, "id", MAX_RANGES, ROWS_EACH)
     ranged = range_of(rows, "id", splits, "range")
     # the first id of each range (at most MAX_RANGES + 2 of them) is the next of the range before it

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from .common import slices, stored
+from .common import bounded_batches, slices, stored
 
 MAX_TRAINING_ROWS = 8_000
 MAX_ENTRIES = 2_000
@@ -229,7 +229,7 @@ def score(docs: DataFrame, lexicon: Lexicon, text: str = "text", keep: tuple[str
     """``keep`` columns with score (0 to 1), words and places of the whole text, named by ``out`` (which replaces columns named so)."""
     keep = tuple(c for c in keep if c not in out)
     taken = list(dict.fromkeys([*keep, text]))
-    rows = docs.select(*[F.col(f"`{c}`") for c in taken])
+    rows = bounded_batches(docs).select(*[F.col(f"`{c}`") for c in taken])
     schema = StructType([*(rows.schema[c] for c in keep), StructField(out[0], DoubleType()), StructField(out[1], LongType()), StructField(out[2], LongType())])
 
     def run(batches):

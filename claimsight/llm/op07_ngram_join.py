@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import MIX1, U, distinct_sorted, mix, shingle_hashes, slices, stored, utf8
+from .common import MIX1, U, bounded_batches, distinct_sorted, mix, shingle_hashes, slices, stored, utf8
 from .graph import components
 
 WIDTH = 5
@@ -110,27 +110,36 @@ def token_sets(column: pa.Array, hot: np.ndarray | None) -> tuple[np.ndarray, np
 
 
 def _summaries(docs: DataFrame) -> DataFrame:
-    """kind 0: (doc_id, hash of the text, n, sig) of each document; kind 1: (token, count) of shingles frequent in a batch."""
+    """kind 0: (doc_id, hash of the text, n, sig) of each document; kind 1: (token, count) of shingles frequent among a million of a task."""
     out = StructType.fromDDL("text_hash long, kind int, n long, sig long")
     out = StructType([docs.schema["doc_id"], *out.fields])
 
     def run(batches):
-        for batch in batches:
-            seen = []
-            for part in slices(batch, "text"):
-                h, bounds, sizes, signs = token_sets(part.column(1), None)
-                seen.append(h)
-                zero = np.zeros(len(sizes), np.int32)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(zero), pa.array(sizes.astype(np.int64)), pa.array(signs)], out.names)
+        seen, waiting = [], 0
+
+        def frequent():
             every = np.sort(np.concatenate(seen)) if seen else np.zeros(0, U)
             first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])) if len(every) else np.zeros(0, int)
             counts = np.diff(np.append(first, len(every)))
             often = counts >= 8
             if often.any():
                 tokens, counts = every[first[often]].view(np.int64), counts[often].astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.nulls(len(tokens), batch.schema.field(0).type), pa.nulls(len(tokens), pa.int64()), pa.array(np.ones(len(tokens), np.int32)),
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(tokens), kind), pa.nulls(len(tokens), pa.int64()), pa.array(np.ones(len(tokens), np.int32)),
                                                   pa.array(counts), pa.array(tokens)], out.names)
 
+        for batch in batches:
+            kind = batch.schema.field(0).type
+            for part in slices(batch, "text"):
+                h, bounds, sizes, signs = token_sets(part.column(1), None)
+                seen.append(h)
+                waiting += len(h)
+                zero = np.zeros(len(sizes), np.int32)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(zero), pa.array(sizes.astype(np.int64)), pa.array(signs)], out.names)
+            if waiting >= FLUSH_ROWS:
+                yield from frequent()
+                seen, waiting = [], 0
+        yield from frequent()
+
     return docs.select("doc_id", "text", text_hash().alias("text_hash")).mapInArrow(run, out)
 
 
@@ -460,7 +469,7 @@ def groups(docs: DataFrame, family_tokens: int = FAMILY_TOKENS, hot_tokens: int
     ``component`` numbers the linked groups (null for an empty set); ``component_id`` is the smallest id of one.
     """
     spark = docs.sparkSession
-    rows = docs.select("doc_id", "text")
+    rows = bounded_batches(docs).select("doc_id", "text")
     seen = stored(_summaries(rows), "ngram-sets")
     by_doc = seen.where("kind = 0").select("doc_id", "text_hash", "n", "sig")
     # bounded by hot_tokens

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
 
-from .common import slices
+from .common import bounded_batches, slices
 
 # The contract's phrases and labels.
 BASE_PHRASES = {
@@ -172,7 +172,7 @@ RESULT = [StructField("n_words", LongType()), StructField("n_base", LongType()),
 
 def scan(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns and what the scan found in the whole text of each row."""
-    rows = docs.select(*keep, text)
+    rows = bounded_batches(docs).select(*keep, text)
     schema = StructType([*(rows.schema[c] for c in keep), *RESULT])
     names = [f.name for f in schema]
     place = pa.struct([("word", pa.int64()), ("label", pa.string())])
