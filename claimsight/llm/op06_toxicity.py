@@ -9,10 +9,13 @@ clean) does not count.  The sum of the weights is normalised by the length and
 turned into a score by a logistic fit on the same training rows.
 
 The lexicon, its weights, the exceptions and the logistic fit are learned from
-labelled rows only, at most ``MAX_TRAINING_ROWS`` of them (the first in a
-hashed order, so the same rows whatever the partitioning).  Entries are counted
+labelled rows only, at most ``MAX_TRAINING_ROWS`` of them, drawn per class (the
+first of each in a hashed order, so the same rows whatever the partitioning; a
+rare class comes in with up to half of the rows, and the fit's constant is set
+back to the share that the class has in all labelled rows).  Entries are counted
 by Spark tasks over their share of the sample; only counts of candidate entries
-(at most ``MAX_ENTRIES`` survive) reach the driver.
+(at most ``MAX_ENTRIES`` survive) reach the driver.  What makes an entry is a
+significance test, the same at every size and share of the classes.
 
 Results: null and empty texts have no hits and score as a text without any
 entry; repeated rows score alike; without any labelled row (or only one class)
@@ -40,8 +43,9 @@ MAX_TRAINING_ROWS = 8_000
 MAX_ENTRIES = 2_000
 #: word beginnings of these lengths are candidates beside whole words
 STEMS = (4, 5, 6, 7, 8, 10)
-#: an entry is in this many training documents of the toxic class at least
-MIN_TOXIC_DOCS = 8
+#: an entry is in two training documents of the toxic class at least, and its documents lean to that class by a
+#: likelihood ratio (G) test: chi-square of one degree of freedom at p = 0.001
+MIN_TOXIC_DOCS, MIN_G = 2, 10.83
 
 # Homoglyphs as pairs of look-alike and Latin letter.
 HOMOGLYPHS = ("аa вb еe кk мm нh оo рp сc тt уy хx іi јj ѕs ԁd ԛq ԝw ɡg ɑa αa βb εe ιi κk νv οo ρp τt υu χx ıi ł1 øo "
@@ -123,18 +127,34 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.5) -> tuple[float,
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAINING_ROWS, held_out: Column | None = None) -> DataFrame:
-    """text and label of the bounded sample; ``held_out`` rows never enter."""
+    """text, label and stands_for (labelled ids of the class for one drawn) of the bounded sample; ``held_out`` rows never enter."""
     if held_out is None:
         held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
-    ids = (labels.where(~held_out & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
-           .groupBy("doc_id").agg(F.max("toxic").alias("label"))
-           .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
+    known = (labels.where(~held_out & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
+             .groupBy("doc_id").agg(F.max("toxic").alias("label")))
+    is_toxic = F.col("label") == 1
+    clean, toxic = known.agg(F.count_if(~is_toxic), F.count_if(is_toxic)).first()
+    quota = {True: min(toxic, max(most // 2, most - clean))}
+    quota[False] = min(clean, most - quota[True])
+    first = lambda y: (known.where(is_toxic if y else ~is_toxic).orderBy(F.xxhash64("doc_id"), "doc_id").limit(quota[y])
+                       .withColumn("stands_for", F.lit((toxic if y else clean) / max(quota[y], 1))))
+    ids = first(True).unionByName(first(False))
     # at most ``most`` ids: a proven bound for the broadcast; the sample's texts are written once and read for each pass
-    return stored(docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("text", "label"), "toxicity-sample")
+    return stored(docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("text", "label", "stands_for"), "toxicity-sample")
+
+
+def _g(a: Column, b: Column, n_a: int, n_b: int) -> Column:
+    """G statistic of ``a`` of ``n_a`` documents against ``b`` of ``n_b``."""
+    with_, total = a + b, float(n_a + n_b)
+    cell = lambda seen, n, all_: F.when(seen > 0, seen * F.log(seen * F.lit(total) / (F.lit(float(n)) * all_))).otherwise(0.0)
+    without = F.lit(total) - with_
+    return 2 * (cell(a, n_a, with_) + cell(b, n_b, with_) + cell(F.lit(n_a) - a, n_a, without) + cell(F.lit(n_b) - b, n_b, without))
 
 
 def learn(sample: DataFrame) -> Lexicon:
-    """Lexicon, exceptions and fit from rows of (text, label 0/1)."""
+    """Lexicon, exceptions and fit from rows of (text, label 0/1[, stands_for])."""
+    if "stands_for" not in sample.columns:
+        sample = sample.withColumn("stands_for", F.lit(1.0))
     schema = StructType([StructField("entry", sample.schema["text"].dataType), StructField("label", LongType()),
                          StructField("docs", LongType()), StructField("places", LongType())])
 
@@ -174,36 +194,39 @@ def learn(sample: DataFrame) -> Lexicon:
     spread = F.log((F.col("docs1") + 0.5) / F.lit(all_["docs1"] + 1.0)) - F.log((F.col("docs0") + 0.5) / F.lit(all_["docs0"] + 1.0))
     found = (table.where((F.col("entry") != "") & (F.col("docs1") >= MIN_TOXIC_DOCS))
              .withColumn("weight", F.least(F.log(rate(1)) - F.log(rate(0)), F.lit(6.0))).withColumn("spread", spread)
-             .where((F.col("weight") > 1.0) & (F.col("spread") > 1.0))
+             .where((F.col("weight") > 1.0) & (F.col("spread") > 1.0) & (_g(F.col("docs1"), F.col("docs0"), all_["docs1"], all_["docs0"]) >= MIN_G))
              .withColumn("gain", F.col("spread") * F.sqrt("docs1")).orderBy(F.desc("gain"), "entry").limit(MAX_ENTRIES).collect())
     lexicon = Lexicon({r["entry"]: r["weight"] for r in found})
     _add_exceptions(lexicon, sample)
     found_by = lexicon.automaton
-    score_schema = StructType([StructField("label", LongType()), StructField("words", LongType()), StructField("weight", DoubleType())])
+    score_schema = StructType([StructField("label", LongType()), StructField("words", LongType()), StructField("weight", DoubleType()), StructField("stands_for", DoubleType())])
 
     def measure(batches):
         automaton = found_by()
         for batch in batches:
             out = [hits(fold(t or ""), automaton) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([w for w, *_ in out], pa.int64()), pa.array([x for _, x, _ in out], pa.float64())],
-                                             score_schema.names)
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([w for w, *_ in out], pa.int64()), pa.array([x for _, x, _ in out], pa.float64()),
+                                              batch.column(2)], score_schema.names)
 
-    rows = sample.select("text", F.col("label").cast("long").alias("label")).mapInArrow(measure, score_schema).collect()
+    rows = sample.select("text", F.col("label").cast("long").alias("label"), "stands_for").mapInArrow(measure, score_schema).collect()
     x = features([r["words"] for r in rows], [r["weight"] for r in rows])
-    lexicon.fit = _logistic(x, np.array([float(r["label"] == 1) for r in rows]))
+    constant, *slopes = _logistic(x, np.array([float(r["label"] == 1) for r in rows]))
+    # the sample is drawn per class: back to the odds of the labelled rows
+    stand = {y: max(r["stands_for"] for r in rows if (r["label"] == 1) == y) for y in (True, False)}
+    lexicon.fit = (constant + math.log(stand[True] / stand[False]), *slopes)
     return lexicon
 
 
 def _add_exceptions(lexicon: Lexicon, sample: DataFrame, min_docs: int = 5) -> None:
-    """Two-word phrases with an entry that occur in ``min_docs`` clean training texts and at most a fifth as many toxic ones."""
+    """Two-word phrases with an entry that occur in ``min_docs`` clean training texts and, by the labelled rows that the texts stand for, at most a fifth as many toxic ones."""
     automaton_of = lexicon.automaton
-    schema = StructType([StructField("phrase", sample.schema["text"].dataType), StructField("label", LongType())])
+    schema = StructType([StructField("phrase", sample.schema["text"].dataType), StructField("label", LongType()), StructField("stands_for", DoubleType())])
 
     def pairs(batches):
         automaton = automaton_of()
         for batch in batches:
-            phrases, labels = [], []
-            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            phrases, labels, stand = [], [], []
+            for text, label, each in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 line, own = fold(text or ""), set()
                 for end, (size, _, _) in automaton.iter(line) if automaton else ():
                     at = end - size + 1
@@ -215,11 +238,13 @@ def _add_exceptions(lexicon: Lexicon, sample: DataFrame, min_docs: int = 5) -> N
                         own.add(line[before: close + 1])
                 phrases += own
                 labels += [int(label)] * len(own)
-            yield pa.RecordBatch.from_arrays([pa.array(phrases, pa.string()), pa.array(labels, pa.int64())], schema.names)
+                stand += [each] * len(own)
+            yield pa.RecordBatch.from_arrays([pa.array(phrases, pa.string()), pa.array(labels, pa.int64()), pa.array(stand, pa.float64())], schema.names)
 
-    rows = (sample.select("text", F.col("label").cast("long").alias("label")).mapInArrow(pairs, schema).groupBy("phrase")
-            .agg(F.sum(F.when(F.col("label") == 1, 0).otherwise(1)).alias("clean"), F.sum(F.when(F.col("label") == 1, 1).otherwise(0)).alias("toxic"))
-            .where((F.col("clean") >= min_docs) & (F.col("toxic") * 5 <= F.col("clean")))
+    of = lambda y, c: F.sum(F.when((F.col("label") == 1) == F.lit(y), c).otherwise(0))
+    rows = (sample.select("text", F.col("label").cast("long").alias("label"), "stands_for").mapInArrow(pairs, schema).groupBy("phrase")
+            .agg(of(False, F.lit(1)).alias("clean"), of(False, F.col("stands_for")).alias("all_clean"), of(True, F.col("stands_for")).alias("all_toxic"))
+            .where((F.col("clean") >= min_docs) & (F.col("all_toxic") * 5 <= F.col("all_clean")))
             .orderBy(F.desc("clean"), "phrase").limit(MAX_ENTRIES).collect())
     lexicon.exceptions = [r["phrase"] for r in rows]
 

@@ -255,6 +255,21 @@ def test_op6_folding_is_linear_and_keeps_plain_text():
     assert len(op06_toxicity.fold("0" * 300000 + "a" * 300000)) > 0
 
 
+def test_op6_rare_class_is_learned_from_a_bounded_sample(spark):
+    rng = random.Random(66)
+    vocab = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 8))) for _ in range(300)]
+    made = lambda toxic: " ".join([rng.choice(vocab) for _ in range(40)] + ["nastiest vilestuff"] * toxic)
+    rows = [(i, made(i % 100 == 0)) for i in range(2000)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 100 == 0)) for i in range(1600)], "doc_id long, toxic int")
+    sample = op06_toxicity.training_rows(d, labels, most=60, held_out=F.lit(False))
+    assert {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()} == {1: 16, 0: 44}
+    got = {r["doc_id"]: r["score"] for r in op06_toxicity.score(d, op06_toxicity.learn(sample)).collect()}
+    assert all((got[i] >= 0.5) == (i % 100 == 0) for i in got)
+    # a text without entries scores by the labelled share of the class, not by the sample's
+    assert sorted(got.values())[1000] < 0.05
+
+
 # ------------------------------------------------------------------ op7
 def plain_components(rows):
     sets = [shingles(t) for _, t, *_ in rows]

@@ -67,6 +67,14 @@ def test_pipeline_stages(spark):
     assert {r["doc_id"]: r["decoded_sha256"] for r in ids.collect()} == {i: hashlib.sha256(t.encode()).hexdigest() for i, t in before}
 
 
+def test_pipeline_rejects_toxic_documents_of_a_small_table(spark):
+    docs = table(spark, SF, "documents")
+    toxic = {r["doc_id"] for r in table(spark, SF, "labels").where("toxic = 1").collect()}
+    kept = {r["doc_id"] for r in dict(corpus_pipeline.STAGES)["toxicity"](spark, docs, SF).select("doc_id").collect()}
+    # 4 of the 11 hold no word that other toxic documents have
+    assert len(toxic) == 11 and len(toxic - kept) >= 7
+
+
 def test_pipeline_runs_and_reruns_agree(spark):
     a = corpus_pipeline.run(spark, SF).select("doc_id", "ids_sha256").groupBy("doc_id", "ids_sha256").count()
     b = corpus_pipeline.run(spark, SF).select("doc_id", "ids_sha256").groupBy("doc_id", "ids_sha256").count()
