@@ -127,20 +127,26 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.5) -> tuple[float,
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAINING_ROWS, held_out: Column | None = None) -> DataFrame:
-    """text, label and stands_for (labelled ids of the class for one drawn) of the bounded sample; ``held_out`` rows never enter."""
+    """text, label and stands_for (labelled rows of the class for one drawn) of the bounded sample, a row for each (doc_id, text); ``held_out`` rows never enter."""
     if held_out is None:
         held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
     known = (labels.where(~held_out & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
              .groupBy("doc_id").agg(F.max("toxic").alias("label")))
+    # the bound is on rows of different (id, text) that are there: neither ids without document nor repeated rows use it up
+    text_hash = F.xxhash64(F.coalesce("text", F.lit("")))
+    there = docs.where(F.col("doc_id").isNotNull()).select("doc_id", text_hash.alias("text_hash")).distinct()
+    known = stored(there.join(known, "doc_id"), "toxicity-labelled")
     is_toxic = F.col("label") == 1
     clean, toxic = known.agg(F.count_if(~is_toxic), F.count_if(is_toxic)).first()
     quota = {True: min(toxic, max(most // 2, most - clean))}
     quota[False] = min(clean, most - quota[True])
-    first = lambda y: (known.where(is_toxic if y else ~is_toxic).orderBy(F.xxhash64("doc_id"), "doc_id").limit(quota[y])
+    first = lambda y: (known.where(is_toxic if y else ~is_toxic).orderBy(F.xxhash64("doc_id"), "doc_id", "text_hash").limit(quota[y])
                        .withColumn("stands_for", F.lit((toxic if y else clean) / max(quota[y], 1))))
-    ids = first(True).unionByName(first(False))
-    # at most ``most`` ids: a proven bound for the broadcast; the sample's texts are written once and read for each pass
-    return stored(docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("text", "label", "stands_for"), "toxicity-sample")
+    rows = first(True).unionByName(first(False))
+    # at most ``most`` rows: a proven bound for the broadcast; the sample's texts are written once and read for each pass
+    taken = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("text_hash", F.xxhash64("text"))
+             .join(F.broadcast(rows), ["doc_id", "text_hash"]).select("doc_id", "text", "label", "stands_for").distinct())
+    return stored(taken.select("text", "label", "stands_for"), "toxicity-sample")
 
 
 def _g(a: Column, b: Column, n_a: int, n_b: int) -> Column:

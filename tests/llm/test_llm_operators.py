@@ -270,6 +270,18 @@ def test_op6_rare_class_is_learned_from_a_bounded_sample(spark):
     assert sorted(got.values())[1000] < 0.05
 
 
+def test_op6_the_bound_is_on_rows_of_the_sample(spark):
+    rows = [(i, f"text {i}") for i in range(20)] + [(3, "text 3")] * 50 + [(4, f"other {k}") for k in range(30)] + [(5, None), (5, "")]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)] + [(i, 1) for i in range(100, 400)], "doc_id long, toxic int")
+    none_held = {"held_out": F.lit(False)}
+    every = op06_toxicity.training_rows(d, labels, **none_held)
+    assert sorted(r["text"] for r in every.collect()) == sorted(t for _, t in {(i, t or "") for i, t in rows})
+    for most in (8, 30):
+        sample = op06_toxicity.training_rows(d, labels, most=most, **none_held)
+        assert sample.count() == most and {r["label"] for r in sample.collect()} == {0, 1}
+
+
 # ------------------------------------------------------------------ op7
 def plain_components(rows):
     sets = [shingles(t) for _, t, *_ in rows]
