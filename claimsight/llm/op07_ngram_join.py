@@ -475,7 +475,9 @@ def groups(docs: DataFrame, family_tokens: int = FAMILY_TOKENS, hot_tokens: int
     # bounded by hot_tokens
     hot = seen.where("kind = 1").groupBy("sig").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "sig").limit(hot_tokens).select("sig").collect()
     hot = np.sort(np.array([r[0] for r in hot], np.int64).view(U)) if hot else np.zeros(0, U)
-    classes = by_doc.where("n > 0").groupBy("sig", "n").agg(F.min("doc_id").alias("rep"))
+    # a representative with an id where there is one; documents without id have their text's hash
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    classes = by_doc.where("n > 0").groupBy("sig", "n").agg(F.min("doc_id").alias("rep"), F.min(order).alias("carrier"))
     total = by_doc.agg(F.sum("n")).first()[0] or 0
     n_buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(total * 0.3 * 20 / BUCKET_BYTES) + 1)
 
@@ -486,18 +488,19 @@ def groups(docs: DataFrame, family_tokens: int = FAMILY_TOKENS, hot_tokens: int
     families = stored(components(spanning, "ngram-families"), "ngram-families")
 
     # one document of each surviving class carries its set
-    wanted = families.join(classes, families["node"] == classes["sig"]).select("rep", "sig", F.col("component").alias("family")).where("rep is not null")
-    wanted = wanted.withColumnRenamed("rep", "doc_id")
+    wanted = families.join(classes, families["node"] == classes["sig"]).select(
+        F.col("carrier.doc_id").alias("__id"), F.col("carrier.text_hash").alias("__hash"), "sig", F.col("component").alias("family"))
 
     def shingle(batches):
         for batch in (part for b in batches for part in slices(b, "text")):
             h, bounds, sizes, signs = token_sets(batch.column("text"), hot)
-            same = np.array(batch.column("sig").to_pylist(), np.int64) == signs     # a repeated id may have other texts too
+            same = np.array(batch.column("sig").to_pylist(), np.int64) == signs     # equal hashes of other texts
             at = np.flatnonzero(same)
             yield pa.RecordBatch.from_arrays([batch.column("sig").take(pa.array(at)), batch.column("family").take(pa.array(at)), pa.array(sizes[at].astype(np.int64)),
                                               pa.array([h[bounds[i]: bounds[i + 1]].tobytes() for i in at], pa.binary())], ["sig", "family", "n", "tokens"])
 
-    sets = rows.join(wanted, "doc_id").select("sig", "family", "text").mapInArrow(shingle, "sig long, family long, n long, tokens binary")
+    carried = F.col("doc_id").eqNullSafe(F.col("__id")) & (text_hash() == F.col("__hash"))
+    sets = rows.join(wanted, carried).select("sig", "family", "text").mapInArrow(shingle, "sig long, family long, n long, tokens binary")
     sets = stored(sets.dropDuplicates(["sig"]), "ngram-survivors")
     weight = sets.groupBy("family").agg(F.sum("n").alias("tokens_in"), F.count("*").alias("members")).where("members > 1")
     small = sets.join(weight.where(F.col("tokens_in") <= family_tokens).select("family"), "family")

@@ -317,6 +317,22 @@ def test_op7_one_of_each_group(docs, rows, none):
     assert op07_ngram_join.join(none).collect() == []
 
 
+def test_op7_null_ids_link_by_their_own_texts(spark):
+    run = lambda c, n: [f"{c}{i}" for i in range(n)]
+    one, bridge, alone = run("w", 200), run("b", 100), run("z", 50)
+    near = ["x" if i == 20 else w for i, w in enumerate(one)]
+    rows = [(1, one), (None, near), (2, bridge + run("l", 15)), (None, bridge), (3, run("r", 15) + bridge), (None, alone), (None, alone + ["y"])]
+    rows = [(i, " ".join(t)) for i, t in rows] + [(4, None), (None, "")]
+    left, right = shingles(rows[2][1]), shingles(rows[4][1])
+    assert 100 * len(left & right) < 80 * len(left | right)          # 2 and 3 link by the text without id only
+    expected = plain_components(rows)
+    assert expected[1][2] == 1 and expected[4][2] == 2
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    same(op07_ngram_join.join(d).collect(), expected)
+    kept = [(r["doc_id"], r["text"]) for r in op07_ngram_join.one_of_each(d).collect()]
+    assert sorted(i for i, t in kept if t and i) == [1, 2] and sum(1 for i, t in kept if i is None and t) == 1
+
+
 def test_components_of_a_long_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(200)] + [(1000, 1000 + i) for i in range(1, 300)] + [(7, 7)]
     got = dict(map(tuple, graph.components(spark.createDataFrame(edges, "a long, b long")).collect()))
