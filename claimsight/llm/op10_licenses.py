@@ -58,7 +58,9 @@ NOTICE_PHRASES = {
 }
 BASE_WEIGHT, TAG_WEIGHT = 0.7, 0.9
 TAG_WORDS = "spdx license identifier"
-TAG = re.compile(r"spdx-license-identifier\s*:[ \t]*([^\r\n]{0,400})", re.IGNORECASE)
+TAG = re.compile(r"spdx-license-identifier\s*:[ \t]*", re.IGNORECASE)
+#: an expression's tokens; the end of its line is one
+TOKEN = re.compile(r"[()\r\n]|[A-Za-z0-9][A-Za-z0-9.+:-]*|\S")
 #: families by the start of an identifier, longest first, with how freely a corpus may use them
 FAMILIES = {
     "cc-by-nc": 0.2, "cc-by-nd": 0.2, "cc-by-sa": 0.6, "cc-by": 0.8, "cc0": 1.0, "agpl": 0.2, "lgpl": 0.5, "gpl": 0.4,
@@ -93,15 +95,25 @@ def family(identifier: str) -> str:
 
 
 def postfix(expression: str) -> list[str]:
-    """Shunting-yard: the tokens of a licence expression in postfix order; it stops before what can't continue it.
+    """Shunting-yard: the tokens of a licence expression in postfix order; ValueError without any licence."""
+    out, _ = read_expression(expression, 0)
+    if not out:
+        raise ValueError("no licence")
+    return out
+
+
+def read_expression(text: str, at: int) -> tuple[list[str], int]:
+    """The expression from ``at`` on in postfix order, and where it stops: the line's end or before what can't continue it.
 
-    ``with`` binds closer than ``and``, ``and`` closer than ``or``.  Raises ValueError without any licence.
+    ``with`` binds closer than ``and``, ``and`` closer than ``or``.
     """
     rank = {"or": 1, "and": 2, "with": 3}
     out: list[str] = []
     waiting: list[str] = []
     operand = True                                   # whether an operand may come next
-    for token in re.findall(r"[()]|[A-Za-z0-9][A-Za-z0-9.+:-]*|\S", expression):
+    end = at
+    for m in TOKEN.finditer(text, at):
+        token = m[0]
         low = token.lower()
         if operand and token == "(":
             waiting.append("(")
@@ -119,12 +131,11 @@ def postfix(expression: str) -> list[str]:
             waiting.pop()
         else:
             break
+        end = m.end()
     if operand and waiting and waiting[-1] != "(":    # an operator without its right side
         waiting.pop()
     out += [t for t in reversed(waiting) if t != "("]
-    if not out:
-        raise ValueError("no licence")
-    return out
+    return out, end
 
 
 def evaluate(tokens: list[str]) -> tuple[float, set[str]]:
@@ -133,7 +144,12 @@ def evaluate(tokens: list[str]) -> tuple[float, set[str]]:
     for t in tokens:
         if t in ("and", "or", "with") and len(stack) > 1:
             (rv, rl), (lv, ll) = stack.pop(), stack.pop()
-            stack.append((lv, ll) if t == "with" else ((min if t == "and" else max)(lv, rv), ll | rl))
+            if t == "with":
+                stack.append((lv, ll))
+            else:
+                few, many = sorted((ll, rl), key=len)
+                many |= few
+                stack.append(((min if t == "and" else max)(lv, rv), many))
         else:
             stack.append((FAMILIES.get(family(t), UNKNOWN_OPENNESS), {family(t)}))
     return stack[-1]
@@ -152,11 +168,12 @@ def scan_text(raw: bytes, found: ahocorasick.Automaton) -> tuple:
                 tagged = True
             else:
                 labels[label] = max(weight, labels.get(label, 0.0))
-    for m in TAG.finditer(raw.decode("utf-8")) if tagged else ():
-        try:
-            value, named = evaluate(postfix(m[1]))
-        except ValueError:
+    text, at = raw.decode("utf-8") if tagged else "", 0
+    while m := TAG.search(text, at):
+        tokens, at = read_expression(text, m.end())
+        if not tokens:
             continue
+        value, named = evaluate(tokens)
         openness = value if openness is None else min(openness, value)
         for label in named:
             labels[label] = max(TAG_WEIGHT, labels.get(label, 0.0))

@@ -422,6 +422,18 @@ def test_op10_places_and_expressions(spark, docs, rows, none):
     assert op10_licenses.digests(none).collect() == [] and op10_licenses.digests(docs).count() == len(rows)
 
 
+def test_op10_expressions_of_any_length():
+    found = op10_licenses.automaton()
+    tag = "SPDX-License-Identifier: "
+    long = tag + "MIT AND " * 100_000 + "GPL-2.0-only\nAND Apache-2.0"
+    _, _, labels, openness = op10_licenses.scan_text(long.encode(), found)
+    assert set(labels) == {"mit", "gpl"} and openness == 0.4
+    _, _, labels, openness = op10_licenses.scan_text((tag + "(MIT) */ " + "x" * 500 + " " + tag + "\n" + tag + "EPL-2.0").encode(), found)
+    assert set(labels) == {"mit", "epl"} and openness == 0.6
+    _, _, labels, _ = op10_licenses.scan_text((" OR ".join(f"{tag}X-{i}" for i in range(20_000))).encode(), found)
+    assert len(labels) > 1
+
+
 @pytest.mark.parametrize(("text", "tokens"), [
     ("MIT OR Apache-2.0 AND BSD-3-Clause", ["MIT", "Apache-2.0", "BSD-3-Clause", "and", "or"]),
     ("(MIT OR Apache-2.0) AND BSD-3-Clause", ["MIT", "Apache-2.0", "or", "BSD-3-Clause", "and"]),
