@@ -36,6 +36,8 @@ CARD = r"[0-9](?:[\x20-]?+[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 # The method's own patterns.
 IBAN = r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?"
+#: where one may start: a match that turns out too long must not hide the next
+IBAN_START, IBAN_CHARS = r"[A-Z]{2}[0-9]{2}(?=(?:\x20?[A-Z0-9]{4}){2})", 43
 TEL = r"\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}"
 
 
@@ -107,6 +109,21 @@ def _apart(text: Column, start: Column, end: Column) -> Column:
                      F.substring(text, end + 1, F.lit(1))).rlike(r"[A-Za-z0-9+]|[.-]\x20")
 
 
+def ibans(text: Column, sign: str) -> Column:
+    """Spans as of ``positions``: from each start the longest prefix of the pattern, cut at a blank, that stands apart and passes mod-97."""
+    def longest(x):
+        groups = F.split(F.regexp_extract(F.substring(text, x["start"] + 1, F.lit(IBAN_CHARS)), "^" + IBAN, 0), " ")
+        tried = F.transform(F.sequence(F.lit(1), F.size(groups)), lambda n: F.array_join(F.slice(groups, F.lit(1), n), " "))
+        valid = F.filter(tried, lambda v: (F.length(F.regexp_replace(v, " ", "")) >= 12) & mod97(F.regexp_replace(v, " ", ""))
+                         & _apart(text, x["start"], x["start"] + F.length(v)))
+        return F.transform(F.slice(F.reverse(valid), 1, 1), lambda v: F.struct(
+            x["start"].alias("start"), (x["start"] + F.length(v)).alias("end"), v.alias("value")))
+    found = F.flatten(F.transform(positions(text, IBAN_START, sign), longest))
+    # none starts inside the one before
+    return F.aggregate(found, F.array().cast("array<struct<start:int,end:int,value:string>>"), lambda acc, x: F.when(
+        F.exists(F.slice(F.reverse(acc), 1, 1), lambda y: y["end"] > x["start"]), acc).otherwise(F.concat(acc, F.array(x))))
+
+
 def _confirmed(kind: str, value: Column) -> Column:
     if kind == "ip":
         return F.forall(F.split(value, r"\."), lambda p: p.cast("double") <= 255)
@@ -130,7 +147,7 @@ def findings(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD,
     """``docs`` with ``out``: array<struct<kind, start, end, value, score>>, by kind as listed, then start."""
     body = F.coalesce(F.col(text), F.lit(""))
     names = [f"__pii_{k.name}" for k in KINDS]
-    df = docs.select("*", *[positions(body, k.pattern, k.sign).alias(n) for k, n in zip(KINDS, names, strict=True)])
+    df = docs.select("*", *[(ibans(body, k.sign) if k.name == "iban" else positions(body, k.pattern, k.sign)).alias(n) for k, n in zip(KINDS, names, strict=True)])
 
     def scored(k: Kind, spans: Column) -> Column:
         sure = F.filter(spans, lambda x: _confirmed(k.name, x["value"]) & (

@@ -403,6 +403,17 @@ def test_op9_against_plain_patterns(spark, docs, rows, none):
     assert op09_pii.redacted(docs).columns == docs.columns and op09_pii.digests(none).collect() == []
 
 
+def test_op9_ibans_before_other_groups(spark):
+    cases = {
+        "iban BE68 5390 0754 7034 2024": [(5, 24)], "iban AT61 1904 3002 3457 3201 BANK": [(5, 29)], "iban BE68539007547034 2024 AB": [(5, 21)],
+        "konto BE68 5390 0754 7034 AT61 1904 3002 3457 3201": [(6, 25), (26, 50)], "iban AB12 3456 7890 DE89 3704 0044 0532 0130 00.": [(20, 47)],
+        "iban BE685390075470342024": [], "iban BE68 5390 0754 7035 2024": [], "iban BE68 5390 0754 7034": [(5, 24)], "": [], None: [],
+    }
+    df = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    for r in op09_pii.findings(df).collect():
+        assert [(x["start"], x["end"]) for x in r["findings"] if x["kind"] == "iban"] == cases[r["text"]], r
+
+
 # ------------------------------------------------------------------ op10
 def test_op10_places_and_expressions(spark, docs, rows, none):
     cases = {
