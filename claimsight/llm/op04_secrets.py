@@ -15,7 +15,7 @@ least ``MIN_CHARS`` characters is a candidate.  The forest judges it by
 
 The forest learns from labelled findings (text, start, end, label).  Where the
 caller has none, ``planted_findings`` derives them from a bounded sample of the
-corpus: derived random strings in the contexts of secrets and, as false
+corpus (the dictionary and the common pairs are counted over all of it): derived random strings in the contexts of secrets and, as false
 positives, digests and ids in harmless contexts, paths, compounds of corpus
 words, placeholders, numbers and the corpus's own long words.
 
@@ -32,12 +32,13 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import stored
 from .op09_pii import positions
 
 MIN_CHARS = 16
 CANDIDATE = r"(?:\G|(?<![A-Za-z0-9+/_=-]))[A-Za-z0-9+/_=-]{16,}+"
 NEAR_CHARS = 40
-#: documents that the dictionary, the common pairs and the planted findings come from, at most
+#: documents that the planted findings come from, at most
 SAMPLE_DOCS = 600
 DICTIONARY_WORDS, COMMON_PAIRS = 300, 80
 TREES, DEPTH = 24, 8
@@ -57,10 +58,10 @@ def sample_docs(docs: DataFrame, most: int = SAMPLE_DOCS) -> DataFrame:
     return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"])   # at most ``most`` ids
 
 
-def vocabulary(sample: DataFrame) -> tuple[list[str], list[str]]:
-    """(frequent words of 4 letters and more, common letter pairs) of the sample; both of bounded size."""
-    words = (sample.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{4,}"), F.lit(0))).alias("w"))
-             .groupBy("w").count())
+def vocabulary(docs: DataFrame) -> tuple[list[str], list[str]]:
+    """(frequent words of 4 letters and more, common letter pairs) of all documents; both of bounded size."""
+    words = stored(docs.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{4,}"), F.lit(0))).alias("w"))
+                   .groupBy("w").count(), "secrets-words")
     top = words.orderBy(F.desc("count"), "w").limit(DICTIONARY_WORDS)
     pairs = (words.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("w") - 1), lambda i: F.substring("w", i, F.lit(2)))).alias("p"), "count")
              .groupBy("p").agg(F.sum("count").alias("n")).orderBy(F.desc("n"), "p").limit(COMMON_PAIRS))
@@ -167,7 +168,7 @@ def scan(docs: DataFrame, model: RandomForestClassificationModel | None, words:
 def digests(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row for each document: candidates, secrets, their spans (start:end, code points) and the highest score."""
     sample = sample_docs(docs)
-    words, pairs = vocabulary(sample)
+    words, pairs = vocabulary(docs)
     model = train(planted_findings(sample), words, pairs)
     found = scan(docs, model, words, pairs)
     # rows of equal id and text share a group; their number is counted and they are dealt out again

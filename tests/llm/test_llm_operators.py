@@ -188,6 +188,18 @@ def test_op4_finds_tokens_and_spares_digests(spark, none):
     assert op04_secrets.digests(none).collect() == []
 
 
+def test_op4_counts_the_words_of_all_documents(spark, monkeypatch):
+    rows = [(i, "common plain words") for i in range(op04_secrets.SAMPLE_DOCS + 100)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    sampled = {r["doc_id"] for r in op04_secrets.sample_docs(d).collect()}
+    out = next(i for i, _ in rows if i not in sampled)
+    d = d.withColumn("text", F.when(F.col("doc_id") == out, "jargon " * 900).otherwise(F.col("text")))
+    used = {}
+    monkeypatch.setattr(op04_secrets, "train", lambda findings, words, pairs: used.update(words=words, pairs=pairs))
+    assert op04_secrets.digests(d).count() == len(rows)
+    assert used["words"] == ["jargon", "common", "plain", "words"] and {"ja", "rg"} <= set(used["pairs"])
+
+
 # ------------------------------------------------------------------ op5
 def test_op5_edits_and_likeness(docs, rows, none):
     order = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
