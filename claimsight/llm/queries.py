@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import op01_suffix_dedup, op02_mixing, op03_byte_bpe, op04_secrets, op05_fingerprints, op06_toxicity, op07_ngram_join, op08_vantage_points, op09_pii
 from . import op10_licenses as op10_licenses_
+from . import op12_collocations as op12_collocations_
 from . import op13_url_filters as op13_url_filters_
 from .common import table
 
@@ -64,6 +65,11 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_licenses_.digests(table(spark, sf_dir, "documents"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 collocations of each lang."""
+    return op12_collocations_.digests(table(spark, sf_dir, "documents"))
+
+
 def op13_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict of every page's url, by rule or by what its url is an alias of."""
     return op13_url_filters_.digests(table(spark, sf_dir, "pages"))
@@ -80,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_vantage_points": op8_vantage_points,
     "op9_pii": op9_pii,
     "op10_licenses": op10_licenses,
+    "op12_collocations": op12_collocations,
     "op13_url_filters": op13_url_filters,
 }
 
@@ -90,5 +97,6 @@ SQL: dict[str, str] = {
     "op7_ngram_join": op07_ngram_join.SQL,
     "op8_vantage_points": op08_vantage_points.SQL,
     "op9_pii": op09_pii.oracle_sql(),
+    "op12_collocations": op12_collocations_.SQL,
     "op13_url_filters": op13_url_filters_.oracle_sql(),
 }
