@@ -6,17 +6,18 @@ row (place, item) for every occurrence of a phrase of k words: places number the
 words of a chunk in order and skip one between pieces, so that neighbours in a
 piece, and only those, stand at adjacent places.  Relations are persisted sorted
 by place, as two arrays for each chunk of about ``CHUNK_BYTES`` of text, with the
-chunk's phrase table (item, phrase, count).  For each length:
+chunk's item table (item, what it stands for, count).  For each length:
 
-* group-count: the phrase tables are shuffled by (lang, phrase) and summed; a hot
-  phrase is one row for each chunk, never one for each occurrence;
+* group-count: the item tables are shuffled by what the items stand for (a word of
+  a lang, then the pair of a phrase's head and tail) and summed; a hot phrase is one
+  row for each chunk, never one for each occurrence;
 * semi-join: what occurs ``support`` times goes back to its chunks, and the
   chunk's relation keeps the occurrences of those items;
 * merge-join: the kept relation meets itself at adjacent places, which gives the
   occurrences of the next length, whose phrases have only frequent parts.
 
-The counts of a phrase's first and last parts travel along with the frequent
-items, so no join on single words, which a third of all phrases may share, is needed.
+A frequent phrase is named by the first chunk and item that it has there, so longer
+ones are pairs of numbers; texts and counts are joined to the frequent phrases only.
 
 A phrase cut after k words has l (count of its first part), r (count of the
 rest) and the score floor(SCALE * a / (l + r)), by decimals of 38 digits; the
@@ -36,7 +37,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -49,7 +49,7 @@ TOP = 2_000
 SHARE = 80
 SCALE = 2_000_000
 #: text bytes of a chunk: it bounds what a task holds, and how often a phrase is shuffled
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 16 << 20
 
 # What ends a piece, and what parts the words of a piece.
 PIECE_ENDS, BLANKS = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
@@ -61,19 +61,16 @@ _blank[list(BLANKS)] = True
 _lower = np.arange(256, dtype=np.uint8)
 _lower[0x41:0x5B] += 32
 
-#: a chunk's relation, or one item of its phrase table (with place and items null)
-RELATION = "chunk long, places binary, items binary, item int, lang string, phrase string, n long, l array<long>, r array<long>"
-NAMES = [field.split()[0] for field in RELATION.split(", ")]
+#: a chunk's number is its task's times this and its own in the task; a name is a chunk's number times this and its item
+CHUNKS_OF_A_TASK, ITEMS_OF_A_CHUNK = 1 << 14, 1 << 29
 
+#: a chunk's relation in one row, then its item table (places and items null)
+WORDS = "chunk long, places binary, items binary, item int, n long, lang string, word string"
+PAIRS = "chunk long, places binary, items binary, item int, n long, head long, tail long"
 
-def _table(chunk: int, places: np.ndarray, items: np.ndarray, lang: pa.Array, phrase: pa.Array, n: np.ndarray,
-           left: list[np.ndarray], right: list[np.ndarray]) -> pa.Table:
-    """A chunk's relation (one row) and its phrase table; places are stored as steps, which compress well."""
-    def longs(columns):
-        flat = np.stack(columns, 1).ravel() if columns else np.zeros(0, np.int64)
-        offsets = np.arange(len(n) + 1, dtype=np.int32) * len(columns)
-        return pa.concat_arrays([pa.nulls(1, pa.list_(pa.int64())), pa.ListArray.from_arrays(offsets, pa.array(flat, pa.int64()))])
 
+def _table(chunk: int, places: np.ndarray, items: np.ndarray, n: np.ndarray, names: list[str], meaning: list[pa.Array]) -> pa.Table:
+    """A chunk's relation (one row) and its item table; places are stored as steps, which compress well."""
     def column(first, rest, kind):
         return pa.concat_arrays([pa.array([first], kind), rest if isinstance(rest, pa.Array) else pa.array(rest, kind)])
 
@@ -82,8 +79,8 @@ def _table(chunk: int, places: np.ndarray, items: np.ndarray, lang: pa.Array, ph
     return pa.table([
         pa.array(np.full(m + 1, chunk, np.int64)),
         column(steps.tobytes(), pa.nulls(m, pa.binary()), pa.binary()), column(items.astype("<i4").tobytes(), pa.nulls(m, pa.binary()), pa.binary()),
-        column(None, np.arange(m, dtype=np.int32), pa.int32()), column(None, lang, pa.string()), column(None, phrase, pa.string()),
-        column(None, n, pa.int64()), longs(left), longs(right)], names=NAMES)
+        column(None, np.arange(m, dtype=np.int32), pa.int32()), column(None, n, pa.int64()),
+        *[column(None, x, x.type) for x in meaning]], names=["chunk", "places", "items", "item", "n", *names])
 
 
 def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
@@ -122,7 +119,7 @@ def _first_relation(chunk: int, texts: pa.Array, langs: pa.Array) -> pa.Table:
     n_langs = max(1, len(lang.dictionary))
     both = codes.indices.to_numpy(zero_copy_only=False).astype(np.int64) * n_langs + lang.indices.to_numpy(zero_copy_only=False)[rows]
     known, items, n = np.unique(both, return_inverse=True, return_counts=True)
-    return _table(chunk, places, items, lang.dictionary.take(pa.array(known % n_langs)), codes.dictionary.take(pa.array(known // n_langs)), n, [], [])
+    return _table(chunk, places, items, n, ["lang", "word"], [lang.dictionary.take(pa.array(known % n_langs)), codes.dictionary.take(pa.array(known // n_langs))])
 
 
 def _cut_long(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
@@ -162,17 +159,17 @@ def _gathered(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[list[pa.
 
 
 def occurrences(docs: DataFrame, text: str = "text", lang: str = "lang", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """The relation of single words of each chunk, with its phrase table."""
+    """The relation of single words of each chunk, with its item table."""
     rows = docs.select(F.col(text).alias("text"), F.coalesce(F.col(lang), F.lit("und")).alias("lang"))
 
     def run(batches):
         from pyspark import TaskContext
-        base = TaskContext.get().partitionId() << 32
+        base = TaskContext.get().partitionId() * CHUNKS_OF_A_TASK
         for k, parts in enumerate(_gathered(batches, chunk_bytes)):
             both = pa.Table.from_batches(parts).combine_chunks()
             yield from _first_relation(base + k, both["text"].combine_chunks(), both["lang"].combine_chunks()).to_batches()
 
-    return rows.where("length(text) > 0").mapInArrow(run, RELATION)
+    return rows.where("length(text) > 0").mapInArrow(run, WORDS)
 
 
 def _extended(relation: pa.Table, frequent: pa.Table) -> pa.Table:
@@ -187,36 +184,43 @@ def _extended(relation: pa.Table, frequent: pa.Table) -> pa.Table:
     places, kept = places[kept >= 0], kept[kept >= 0]
     # merge-join: both sides are sorted by place, so the next place, if it is there, is the next row
     next_to = np.flatnonzero(places[1:] == places[:-1] + 1)
-    pairs = kept[next_to] * max(1, frequent.num_rows) + kept[next_to + 1]
-    known, new, n = np.unique(pairs, return_inverse=True, return_counts=True)
-    head, tail = pa.array(known // max(1, frequent.num_rows)), pa.array(known % max(1, frequent.num_rows))
-    phrase = frequent["phrase"].combine_chunks()
-    last = pc.replace_substring_regex(phrase, r"^.*\x20", "")
-    joined = pc.binary_join_element_wise(phrase.take(head), last.take(tail), " ")
-    f = frequent["f"].to_numpy()
-    cuts = len(frequent["l"][0]) if frequent.num_rows else 0
-    parts = [np.reshape(pc.list_flatten(frequent[c]).to_numpy(), (frequent.num_rows, cuts)) for c in ("l", "r")]
-    left = [*(parts[0][head, k] for k in range(cuts)), f[head]]
-    right = [f[tail], *(parts[1][tail, k] for k in range(cuts))]
-    return _table(first["chunk"], places[next_to], new, frequent["lang"].combine_chunks().take(head), joined, n, left, right)
+    known, new, n = np.unique(kept[next_to] * frequent.num_rows + kept[next_to + 1], return_inverse=True, return_counts=True)
+    name = frequent["name"].to_numpy()
+    return _table(first["chunk"], places[next_to], new, n, ["head", "tail"],
+                  [pa.array(name[known // frequent.num_rows]), pa.array(name[known % frequent.num_rows])])
 
 
 def extended(relation: DataFrame, frequent: DataFrame) -> DataFrame:
     """The relations of the next length, chunk by chunk, from the last ones and their frequent items."""
+    none = pa.schema([("chunk", pa.int64()), ("places", pa.binary()), ("items", pa.binary()), ("item", pa.int32()), ("n", pa.int64()),
+                      ("head", pa.int64()), ("tail", pa.int64())]).empty_table()
+
     def run(left, right):
-        return _extended(left, right).cast(target) if left.num_rows and right.num_rows else target.empty_table()
+        return _extended(left, right) if left.num_rows and right.num_rows else none
 
-    target = pa.schema([("chunk", pa.int64()), ("places", pa.binary()), ("items", pa.binary()), ("item", pa.int32()), ("lang", pa.string()),
-                        ("phrase", pa.string()), ("n", pa.int64()), ("l", pa.list_(pa.int64())), ("r", pa.list_(pa.int64()))])
     places = relation.where("places is not null").select("chunk", "places", "items")
-    return places.groupBy("chunk").cogroup(frequent.groupBy("chunk")).applyInArrow(run, RELATION)
+    return places.groupBy("chunk").cogroup(frequent.select("chunk", "item", "name").groupBy("chunk")).applyInArrow(run, PAIRS)
+
+
+def counted(relation: DataFrame, by: tuple[str, str], support: int) -> DataFrame:
+    """chunk, item and name of the items that occur ``support`` times in all chunks; once for each name, also f (that count) and what it stands for."""
+    whole = Window.partitionBy(*by)
+    own = F.col("chunk") * ITEMS_OF_A_CHUNK + F.col("item")
+    rows = (relation.where("places is null").select("chunk", "item", "n", *by)
+            .select("chunk", "item", *by, F.sum("n").over(whole).alias("f"), F.min(own).over(whole).alias("name")).where(F.col("f") >= support))
+    return rows.select("chunk", "item", "name", *[F.when(F.col("name") == own, F.col(c)).alias(c) for c in ("f", *by)])
 
 
-def counted(relation: DataFrame, support: int) -> DataFrame:
-    """chunk, item, lang, phrase, l, r and f (the count over all chunks) of the phrases that occur ``support`` times."""
-    whole = Window.partitionBy("lang", "phrase")
-    return (relation.where("phrase is not null").select("chunk", "item", "lang", "phrase", "n", "l", "r")
-            .withColumn("f", F.sum("n").over(whole)).where(F.col("f") >= support).drop("n"))
+def worded(pairs: DataFrame, parts: DataFrame) -> DataFrame:
+    """name, lang, phrase, last (word), f, and the arrays l and r of all cuts, of the phrases ``pairs`` (name, head, tail, f) of the shorter ``parts``.
+
+    A word that starts or ends many phrases makes its key large in these joins, which adaptive execution splits.
+    """
+    head = parts.select(F.col("name").alias("head"), "lang", "phrase", "l", F.col("f").alias("__head_f"))
+    tail = parts.select(F.col("name").alias("tail"), "last", "r", F.col("f").alias("__tail_f"))
+    both = pairs.join(head, "head").join(tail, "tail")
+    return both.select("name", "lang", F.concat_ws(" ", "phrase", "last").alias("phrase"), "last", "f",
+                       F.concat("l", F.array("__head_f")).alias("l"), F.concat(F.array("__tail_f"), "r").alias("r"))
 
 
 def score_of(a: Column, part: Column, rest: Column) -> Column:
@@ -254,19 +258,21 @@ def mine(docs: DataFrame, text: str = "text", lang: str = "lang", support: int =
 
     ``longest`` is at most 4.
     """
-    relation = stored(occurrences(docs, text, lang, chunk_bytes), "collocation-1")
-    totals = relation.where("phrase is not null").groupBy("lang").agg(F.sum("n").alias("n"))
-    candidates = None
+    relation, by = stored(occurrences(docs, text, lang, chunk_bytes), "collocation-1"), ("lang", "word")
+    totals = relation.where("places is null").groupBy("lang").agg(F.sum("n").alias("n"))
+    none = F.array().cast("array<long>")
+    candidates, phrases = None, None
     for words in range(1, longest + 1):
-        frequent = counted(relation, support)
-        if words < longest:
-            frequent = stored(frequent, f"collocation-{words}-frequent")
-        if words > 1:
-            level = frequent.groupBy("lang", "phrase").agg(F.first("f").alias("a"), F.first("l").alias("l"), F.first("r").alias("r"))
-            level = level.withColumn("words", F.lit(words))
+        frequent = stored(counted(relation, by, support), f"collocation-{words}-frequent")
+        level = frequent.where("f is not null")
+        if words == 1:
+            phrases = level.select("name", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f", none.alias("l"), none.alias("r"))
+        else:
+            phrases = stored(worded(level.select("name", "head", "tail", "f"), phrases), f"collocation-{words}-phrases")
+            level = phrases.select("lang", "phrase", F.lit(words).alias("words"), F.col("f").alias("a"), "l", "r")
             candidates = level if candidates is None else candidates.unionByName(level)
         if words < longest:
-            relation = stored(extended(relation, frequent), f"collocation-{words + 1}")
+            relation, by = stored(extended(relation, frequent), f"collocation-{words + 1}"), ("head", "tail")
     # read twice: as candidates and as those that hold others
     candidates = stored(best_cut(candidates), "collocation-candidates")
     return not_inside(candidates, share), totals
