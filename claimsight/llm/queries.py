@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import op01_suffix_dedup, op02_mixing, op03_byte_bpe, op04_secrets, op05_fingerprints, op06_toxicity, op07_ngram_join, op08_vantage_points, op09_pii
 from . import op10_licenses as op10_licenses_
+from . import op11_alignment as op11_alignment_
 from . import op12_collocations as op12_collocations_
 from . import op13_url_filters as op13_url_filters_
 from .common import table
@@ -65,6 +66,13 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_licenses_.digests(table(spark, sf_dir, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links between the tokens that byte_bpe_50k and piece_bpe_32k give every document."""
+    import public_tokenizers
+    return op11_alignment_.digests(table(spark, sf_dir, "documents"),
+                                   public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first 2,000 collocations of each lang."""
     return op12_collocations_.digests(table(spark, sf_dir, "documents"))
@@ -86,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_vantage_points": op8_vantage_points,
     "op9_pii": op9_pii,
     "op10_licenses": op10_licenses,
+    "op11_alignment": op11_alignment,
     "op12_collocations": op12_collocations,
     "op13_url_filters": op13_url_filters,
 }
