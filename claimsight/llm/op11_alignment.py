@@ -29,25 +29,25 @@ ignored unless listed in ``keep``.
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType
 from pyspark.sql.window import Window
 
-from .common import slices, stored
+from .common import slices, stored, utf8
 
 #: text bytes of a chunk: it bounds what a task holds, and how often a pair is shuffled
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 #: units and their bytes kept per worker; beyond either the store starts anew (memory only, never results)
-KEPT_UNITS, KEPT_BYTES = 200_000, 8 << 20
+KEPT_UNITS, KEPT_BYTES = 200_000, 32 << 20
+#: units are encoded together in texts of about so many characters
+RUN_CHARS = 1 << 16
 CHUNKS_OF_A_TASK = 1 << 20
-#: a unit ends between a non-space and a blank, unless only blanks follow
-UNIT = re.compile(r"(?<=\S)(?= +[^ ])")
 
 
 class CSR:
@@ -78,26 +78,33 @@ class CSR:
         rows = np.repeat(np.arange(len(self.indptr) - 1), np.diff(self.indptr))
         width = np.diff(other.indptr)[self.indices]
         at = np.repeat(other.indptr[self.indices] - np.concatenate([[0], np.cumsum(width)[:-1]]), width) + np.arange(int(width.sum()))
-        cells = np.unique(np.repeat(rows, width) * other.n_columns + other.indices[at])
+        cells = np.sort(np.repeat(rows, width) * other.n_columns + other.indices[at], kind="stable")     # nearly in order as they come
+        cells = cells[np.concatenate([[True], cells[1:] != cells[:-1]])] if len(cells) else cells
         counts = np.bincount(cells // other.n_columns, minlength=len(self.indptr) - 1) if len(cells) else np.zeros(len(self.indptr) - 1, np.int64)
         return CSR(np.concatenate([[0], np.cumsum(counts)]), cells % max(1, other.n_columns), other.n_columns)
 
 
 class Tokenizers:
-    """Both tokenizers of a worker process, with the bytes of their tokens."""
+    """Both tokenizers of a worker process, with the bytes of their tokens and the units aligned so far."""
 
     _kept: dict[tuple[str, str], Tokenizers] = {}
 
     def __init__(self, path_a: str, path_b: str):
+        import os
+
         import sentencepiece
         from tokenizers import Tokenizer
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"      # a task has one core
         self.a = Tokenizer.from_file(path_a)
         self.a.encode_special_tokens = True
         # byte-level: printable Latin-1 stands for itself, the other bytes for the code points from 256 on
         plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         odd = [x for x in range(256) if x not in plain]
         byte_of = {chr(x): x for x in plain} | {chr(256 + k): x for k, x in enumerate(odd)}
-        self.bytes_a = {i: bytes(byte_of[c] for c in t) if all(c in byte_of for c in t) else t.encode() for t, i in self.a.get_vocab().items()}
+        vocabulary = self.a.get_vocab()
+        self.bytes_a = [b""] * (max(vocabulary.values()) + 1)
+        for t, i in vocabulary.items():
+            self.bytes_a[i] = bytes(byte_of[c] for c in t) if all(c in byte_of for c in t) else t.encode()
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
@@ -111,81 +118,132 @@ class Tokenizers:
             cls._kept[path_a, path_b] = cls(path_a, path_b)
         return cls._kept[path_a, path_b]
 
-    def split(self, text: str) -> list[str]:
-        """Units of a blank and the text."""
-        return UNIT.split(" " + text) if self.by_units else [" " + text]
+    def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]] | None]:
+        """Ids of each text (it begins with a blank) by A and B; None where the bytes of either are not the text."""
+        a = [x.ids for x in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+        b = self.b.encode([t[1:] for t in texts], num_threads=1)
+        out = []
+        for t, x, y in zip(texts, a, b, strict=True):
+            raw = t.encode()
+            same = b"".join(map(self.bytes_a.__getitem__, x)) == raw == b"".join(map(self.bytes_b.__getitem__, y))
+            out.append((x, y) if same else None)
+        return out
+
+    def encode_units(self, units: list[str]) -> list[tuple[list[str], list[int] | None, list[int] | None]]:
+        """(units, ids of A, ids of B) in runs; ids are None for a single unit whose bytes are not kept.
+
+        Units that end with a non-space are encoded side by side, as in a text.
+        """
+        runs, alone, size = [[]], [], 0
+        for u in units:
+            if not self.by_units or "▁" in u or u[-1].isspace():
+                alone.append(u)
+                continue
+            if size > RUN_CHARS:
+                runs.append([])
+                size = 0
+            runs[-1].append(u)
+            size += len(u)
+        out = []
+        for run, ids in zip(runs, self.encode(["".join(r) for r in runs]), strict=True) if runs[0] else ():
+            if ids is None:
+                alone += run
+            else:
+                out.append((run, *ids))
+        return out + [([u], *(ids or (None, None))) for u, ids in zip(alone, self.encode(alone), strict=True)]
+
 
+def _unit_bounds(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where units begin in texts that each begin with a blank, and the end of all.
 
-def _spans(sizes: list[int]) -> np.ndarray:
-    return np.cumsum(np.asarray(sizes, np.int64))
+    A unit begins where a text does, and at a blank behind a non-space unless only blanks follow in its text.
+    """
+    blank = data == 0x20
+    first = blank.copy()
+    first[1:] &= ~blank[:-1]
+    at = np.flatnonzero(first)
+    at = at[at >= 3]
+    one, two, three = data[at - 1], data[at - 2], data[at - 3]
+    space = (one < 0x20) | (two == 0xC2) & ((one == 0x85) | (one == 0xA0)) | (three == 0xE1) & (two == 0x9A) & (one == 0x80)
+    space |= (three == 0xE2) & (two == 0x80) & ((one <= 0x8A) | (one == 0xA8) | (one == 0xA9) | (one == 0xAF))
+    space |= (three == 0xE2) & (two == 0x81) & (one == 0x9F) | (three == 0xE3) & (two == 0x80) & (one == 0x80)
+    at = at[~space]
+    solid = np.flatnonzero(~blank)
+    behind = np.append(solid, len(data))[np.searchsorted(solid, at)]
+    row_end = offsets[np.searchsorted(offsets, at, "right")]
+    starts = offsets[:-1][np.diff(offsets) > 0]
+    return np.unique(np.concatenate([starts, at[behind < row_end], offsets[-1:]]))
 
 
 class Units:
-    """Units by number: ids, whether their bytes join to the unit, groups as text, and the pairs of their links.
+    """Units by number: whether their bytes are kept, numbers of tokens and groups, groups as text, and the pairs of their links.
 
-    ``pairs`` has an entry for each overlap link (A id * 2**32 + B id), in order.
+    ``pairs`` has an entry for each overlap link (A id * 2**32 + B id), unit by unit up to ``pair_ends``.
     """
 
+    COUNTS = ("n_a", "n_b", "n_groups", "n_shared")
+
     def __init__(self, tokenizers: Tokenizers):
         self.tokenizers = tokenizers
+        # an id with what follows it: the next id of its side, the other side, the next group, or nothing
+        a, b = (list(map(str, range(len(x)))) for x in (tokenizers.bytes_a, tokenizers.bytes_b))
+        self.spelled = [x + end for ids, ends in ((a, ",|"), (b, ",;")) for end in ends for x in ids] + b
+        self.size_a, self.size_b = (np.array(list(map(len, x)), np.int64) for x in (tokenizers.bytes_a, tokenizers.bytes_b))
         self.clear()
 
     def clear(self) -> None:
         self.number: dict[str, int] = {}
-        self.good: list[bool] = []
-        self.n_a: list[int] = []
-        self.n_b: list[int] = []
-        self.n_groups: list[int] = []
-        self.n_shared: list[int] = []
         self.groups: list[str] = []
-        self.pairs: list[np.ndarray] = []
+        self.good = np.zeros(0, bool)
+        self.counts = {n: np.zeros(0, np.int64) for n in self.COUNTS}
+        self.pair_ends = np.zeros(1, np.int64)
+        self.pairs = np.zeros(0, np.int64)
         self.size = 0
 
     def add(self, units: list[str]) -> None:
         """Encode and align units that are not known yet."""
-        t = self.tokenizers
-        a = [x.ids for x in t.a.encode_batch(units, add_special_tokens=False)]
-        b = t.b.encode([u[1:] for u in units], num_threads=1)
-        for k, (u, x, y) in enumerate(zip(units, a, b, strict=True)):
-            raw = u.encode()
-            if b"".join(map(t.bytes_a.__getitem__, x)) != raw or b"".join(map(t.bytes_b.__getitem__, y)) != raw:
-                a[k], b[k] = [], []
-                self.good.append(False)
-            else:
-                self.good.append(True)
-            self.number[u] = len(self.number)
-        ids_a, ids_b = (np.array([i for ids in side for i in ids], np.int64) for side in (a, b))
-        ends_a, ends_b = _spans([len(t.bytes_a[i]) for i in ids_a.tolist()]), _spans([len(t.bytes_b[i]) for i in ids_b.tolist()])
-        matrix_a, matrix_b = CSR.of_spans(ends_a), CSR.of_spans(ends_b)
-        links = matrix_a.times(matrix_b.transposed())
+        found = self.tokenizers.encode_units(units)
+        order = [u for run, _, _ in found for u in run]
+        good = np.array([a is not None for run, a, _ in found for _ in run])
+        ids_a, ids_b = (np.array([i for f in found for i in f[side] or ()], np.int64) for side in (1, 2))
+        ends_a, ends_b = np.cumsum(self.size_a[ids_a]), np.cumsum(self.size_b[ids_b])
+        ends = np.cumsum(np.where(good, [len(u.encode()) for u in order], 0))
+        links = CSR.of_spans(ends_a).times(CSR.of_spans(ends_b).transposed())
         pairs = np.repeat(ids_a, np.diff(links.indptr)) << 32 | ids_b[links.indices]
-        cuts = np.intersect1d(ends_a, ends_b)
+        cuts = ends_a[np.isin(ends_a, ends_b, assume_unique=True)]
         group_a, group_b = np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b)
         shared = CSR.of_labels(group_a, len(cuts)).times(CSR.of_labels(group_b, len(cuts)).transposed())
-        text_a, text_b = list(map(str, ids_a.tolist())), list(map(str, ids_b.tolist()))
-        at_a, at_b = np.searchsorted(group_a, np.arange(len(cuts) + 1)).tolist(), np.searchsorted(group_b, np.arange(len(cuts) + 1)).tolist()
-        spelled = [",".join(text_a[at_a[g]: at_a[g + 1]]) + "|" + ",".join(text_b[at_b[g]: at_b[g + 1]]) for g in range(len(cuts))]
-        i = g = 0
-        for k, u in enumerate(units):
-            j, h = i + len(a[k]), int(group_a[i + len(a[k]) - 1]) + 1 if a[k] else g
-            self.n_a.append(len(a[k]))
-            self.n_b.append(len(b[k]))
-            self.n_groups.append(h - g)
-            self.n_shared.append(int(shared.indptr[j] - shared.indptr[i]))
-            self.groups.append(";".join(spelled[g:h]))
-            self.pairs.append(pairs[links.indptr[i]: links.indptr[j]])
-            self.size += len(u) + 16 * (j - i)
-            i, g = j, h
-
-    def of(self, texts: list[list[str]]) -> list[list[int]]:
-        """Numbers of the units of each text."""
-        new = set().union(*texts).difference(self.number)
+        at_a, at_b, at_group = (np.concatenate([[0], np.searchsorted(x, ends, "right")]) for x in (ends_a, ends_b, cuts))
+        self._spell(ids_a, ids_b, ends_a, ends_b, cuts, group_a, group_b, ends, at_a + at_b)
+        for u in order:
+            self.number[u] = len(self.number)
+        self.size += int(ends[-1]) + 8 * len(pairs)
+        self.good = np.concatenate([self.good, good])
+        for name, new in zip(self.COUNTS, (np.diff(at_a), np.diff(at_b), np.diff(at_group), np.diff(shared.indptr[at_a])), strict=True):
+            self.counts[name] = np.concatenate([self.counts[name], new])
+        self.pair_ends = np.concatenate([self.pair_ends, self.pair_ends[-1] + links.indptr[at_a[1:]]])
+        self.pairs = np.concatenate([self.pairs, pairs])
+
+    def _spell(self, ids_a, ids_b, ends_a, ends_b, cuts, group_a, group_b, ends, at) -> None:
+        """Append the groups of each unit as text: every id with what follows it, in the order of groups, A before B."""
+        na, nb = len(self.tokenizers.bytes_a), len(self.tokenizers.bytes_b)
+        last_a, last_b = np.isin(ends_a, cuts, assume_unique=True), np.isin(ends_b, cuts, assume_unique=True)
+        of_unit = np.isin(ends_b, ends)
+        codes = np.concatenate([ids_a + na * last_a, 2 * na + ids_b + nb * last_b + nb * of_unit])
+        place = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
+        parts = list(map(self.spelled.__getitem__, codes[place].tolist()))
+        bounds = at.tolist()
+        self.groups += ["".join(parts[i:j]) for i, j in zip(bounds[:-1], bounds[1:], strict=True)]
+
+    def of(self, units: list[str]) -> np.ndarray:
+        """Numbers of distinct units."""
+        new = [u for u in units if u not in self.number]
         if new and (len(self.number) > KEPT_UNITS or self.size > KEPT_BYTES):
             self.clear()
-            new = set().union(*texts)
+            new = units
         if new:
-            self.add(sorted(new))
-        return [list(map(self.number.__getitem__, t)) for t in texts]
+            self.add(new)
+        return np.array(list(map(self.number.__getitem__, units)), np.int64)
 
 
 def _gathered(batches: Iterator[pa.RecordBatch], text: str, most: int) -> Iterator[list[pa.RecordBatch]]:
@@ -202,38 +260,38 @@ def _gathered(batches: Iterator[pa.RecordBatch], text: str, most: int) -> Iterat
         yield held
 
 
-def _expanded(units: Units, numbers: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, pair) of every link of the units."""
-    used, at = np.unique(numbers, return_inverse=True)
-    lists = [units.pairs[u] for u in used.tolist()]
-    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-    flat = np.concatenate(lists) if lists else np.zeros(0, np.int64)
-    starts = np.concatenate([[0], np.cumsum(sizes)])[:-1]
-    width = sizes[at]
-    place = np.repeat(starts[at] - np.concatenate([[0], np.cumsum(width)[:-1]]), width) + np.arange(int(width.sum())) if len(at) else np.zeros(0, np.int64)
-    return np.repeat(rows, width), flat[place]
-
-
-def _figures(tokenizers: Tokenizers, texts: list[str]) -> tuple[list[tuple], tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """((n_a, n_b, n_groups, n_links, n_shared, groups_sha256) of each text, (row, pair, links) of its distinct pairs)."""
-    units = tokenizers.units
-    numbers = units.of([tokenizers.split(t) if t else [] for t in texts])
-    for k, own in enumerate(numbers):
-        if not all(map(units.good.__getitem__, own)):
-            numbers[k] = []
-    rows = np.repeat(np.arange(len(texts)), list(map(len, numbers)))
-    row, pair = _expanded(units, np.array([u for own in numbers for u in own], np.int64), rows)
-    order = np.lexsort((pair, row))
-    row, pair = row[order], pair[order]
-    first = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (pair[1:] != pair[:-1])])) if len(row) else np.zeros(0, np.int64)
-    times = np.diff(np.append(first, len(row)))
-    links = np.bincount(row, minlength=len(texts)).tolist()
-    said = []
-    for own, n in zip(numbers, links, strict=True):
-        spelled = hashlib.sha256(";".join(map(units.groups.__getitem__, own)).encode()).hexdigest() if own else ""
-        said.append((*(sum(map(column.__getitem__, own)) for column in (units.n_a, units.n_b, units.n_groups)), n,
-                     sum(map(units.n_shared.__getitem__, own)), spelled))
-    return said, (row[first], pair[first], times)
+def _expanded(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places start, start + 1, ... of each size, one list after the other."""
+    return np.repeat(starts - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(int(sizes.sum())) if len(sizes) else np.zeros(0, np.int64)
+
+
+def _figures(tokenizers: Tokenizers, texts: pa.Array) -> tuple[list[pa.Array], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(columns of ``FIGURES``, distinct pairs, and row, place among these and number of links of each text's distinct pairs)."""
+    units, n = tokenizers.units, len(texts)
+    full = pc.if_else(pc.equal(texts, ""), "", pc.binary_join_element_wise(" ", texts, ""))
+    data, offsets = utf8(full)
+    bounds = _unit_bounds(data, offsets) if tokenizers.by_units else np.unique(offsets)
+    count = max(0, len(bounds) - 1)
+    every = pa.LargeStringArray.from_buffers(count, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data)))
+    known = every.dictionary_encode()
+    number = units.of(known.dictionary.to_pylist())
+    unit, row = known.indices.to_numpy(zero_copy_only=False), np.searchsorted(offsets, bounds[:count], "right") - 1
+    good = np.bincount(row, ~units.good[number][unit], minlength=n) == 0
+    unit, row = unit[good[row]], row[good[row]]
+    sums = {c: np.bincount(row, units.counts[c][number][unit], minlength=n).astype(np.int64) for c in units.COUNTS}
+    # the pairs of the distinct units, then of every unit
+    size = np.diff(units.pair_ends)[number]
+    distinct, place = np.unique(units.pairs[_expanded(units.pair_ends[number], size)], return_inverse=True)
+    at = np.concatenate([[0], np.cumsum(size)])[:-1]
+    links = place[_expanded(at[unit], size[unit])]
+    cells, times = np.unique(np.repeat(row, size[unit]) * max(1, len(distinct)) + links, return_counts=True)
+    listed = pa.ListArray.from_arrays(np.searchsorted(row, np.arange(n + 1)).astype(np.int32), pa.array([units.groups[i] for i in number.tolist()], pa.large_string()).take(pa.array(unit)))
+    spelled, ends = utf8(pc.binary_join(listed, pa.scalar(";", pa.large_string())))
+    raw = memoryview(np.ascontiguousarray(spelled))
+    digest = [hashlib.sha256(raw[i:j]).hexdigest() if j > i else "" for i, j in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+    n_links = np.bincount(row, size[unit], minlength=n).astype(np.int64)
+    columns = [pa.array(x) for x in (sums["n_a"], sums["n_b"], sums["n_groups"], n_links, sums["n_shared"])] + [pa.array(digest, pa.string())]
+    return columns, distinct, cells // max(1, len(distinct)), cells % max(1, len(distinct)), times
 
 
 FIGURES = [("n_a", LongType()), ("n_b", LongType()), ("n_groups", LongType()), ("n_links", LongType()), ("n_shared", LongType()),
@@ -255,21 +313,17 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, text: str = "text", keep:
         tokenizers = Tokenizers.get(path_a, path_b)
         base = TaskContext.get().partitionId() * CHUNKS_OF_A_TASK
         for k, parts in enumerate(_gathered(batches, "__text", chunk_bytes)):
-            done = [_figures(tokenizers, p.column(len(keep)).to_pylist()) for p in parts]
-            all_pairs = np.concatenate([pair for _, (_, pair, _) in done])
-            table, place, n = np.unique(all_pairs, return_inverse=True, return_counts=True)
-            at = 0
-            for p, (said, (row, pair, times)) in zip(parts, done, strict=True):
-                own, at = place[at: at + len(pair)].astype("<i4"), at + len(pair)
-                ends = np.searchsorted(row, np.arange(p.num_rows + 1))
-                pieces = [[x[i:j].astype("<i4").tobytes() for i, j in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)] for x in (own, times)]
-                arrays = [*(p.column(i) for i in range(len(keep))), *(pa.array(c, f.type) for c, f in zip(zip(*said, strict=True), list(schema)[len(keep):], strict=False))]
-                yield pa.RecordBatch.from_arrays([
-                    *arrays, pa.array(np.full(p.num_rows, base + k)), *(pa.array(c, pa.binary()) for c in pieces),
-                    pa.nulls(p.num_rows, pa.binary()), pa.nulls(p.num_rows, pa.binary())], schema=schema)
+            chunk = pa.Table.from_batches(parts).combine_chunks()
+            m = chunk.num_rows
+            figures, pairs, row, place, times = _figures(tokenizers, chunk["__text"].combine_chunks())
+            ends = np.searchsorted(row, np.arange(m + 1)).tolist()
+            split = [pa.array([x[i:j].tobytes() for i, j in zip(ends[:-1], ends[1:], strict=True)], pa.binary()) for x in (place.astype("<i4"), times.astype("<i4"))]
+            number, none = pa.array(np.full(m, base + k)), pa.nulls(m, pa.binary())
+            yield from pa.Table.from_arrays([*(chunk[c].combine_chunks() for c in keep), *figures, number, *split, none, none], schema=schema).to_batches()
+            docs = np.bincount(place, minlength=len(pairs))
             yield pa.RecordBatch.from_arrays([
-                *(pa.nulls(1, f.type) for f in list(schema)[: len(keep) + len(FIGURES)]), pa.array([base + k], pa.int64()), pa.nulls(1, pa.binary()),
-                pa.nulls(1, pa.binary()), pa.array([table.astype("<i8").tobytes()], pa.binary()), pa.array([n.astype("<i4").tobytes()], pa.binary())], schema=schema)
+                *(pa.nulls(1, f.type) for f in list(schema)[: len(keep) + len(FIGURES)]), number[:1], none[:1], none[:1],
+                pa.array([pairs.astype("<i8").tobytes()], pa.binary()), pa.array([docs.astype("<i4").tobytes()], pa.binary())], schema=schema)
 
     return rows.mapInArrow(run, result)
 

@@ -49,7 +49,7 @@ TOP = 2_000
 SHARE = 80
 SCALE = 2_000_000
 #: text bytes of a chunk: it bounds what a task holds, and how often a phrase is shuffled
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 
 # What ends a piece, and what parts the words of a piece.
 PIECE_ENDS, BLANKS = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
@@ -258,23 +258,23 @@ def mine(docs: DataFrame, text: str = "text", lang: str = "lang", support: int =
 
     ``longest`` is at most 4.
     """
-    relation, by = stored(occurrences(docs, text, lang, chunk_bytes), "collocation-1"), ("lang", "word")
+    relation, by = stored(occurrences(docs, text, lang, chunk_bytes), "collocation-1", "zstd"), ("lang", "word")
     totals = relation.where("places is null").groupBy("lang").agg(F.sum("n").alias("n"))
     none = F.array().cast("array<long>")
     candidates, phrases = None, None
     for words in range(1, longest + 1):
-        frequent = stored(counted(relation, by, support), f"collocation-{words}-frequent")
+        frequent = stored(counted(relation, by, support), f"collocation-{words}-frequent", "zstd")
         level = frequent.where("f is not null")
         if words == 1:
             phrases = level.select("name", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f", none.alias("l"), none.alias("r"))
         else:
-            phrases = stored(worded(level.select("name", "head", "tail", "f"), phrases), f"collocation-{words}-phrases")
+            phrases = stored(worded(level.select("name", "head", "tail", "f"), phrases), f"collocation-{words}-phrases", "zstd")
             level = phrases.select("lang", "phrase", F.lit(words).alias("words"), F.col("f").alias("a"), "l", "r")
             candidates = level if candidates is None else candidates.unionByName(level)
         if words < longest:
-            relation, by = stored(extended(relation, frequent), f"collocation-{words + 1}"), ("head", "tail")
+            relation, by = stored(extended(relation, frequent), f"collocation-{words + 1}", "zstd"), ("head", "tail")
     # read twice: as candidates and as those that hold others
-    candidates = stored(best_cut(candidates), "collocation-candidates")
+    candidates = stored(best_cut(candidates), "collocation-candidates", "zstd")
     return not_inside(candidates, share), totals
 
 
