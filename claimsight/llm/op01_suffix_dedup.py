@@ -132,10 +132,10 @@ def _anchor_rows(rows: DataFrame, n_buckets: int) -> DataFrame:
             for b in np.flatnonzero(np.diff(cuts)):
                 some = send[cuts[b]: cuts[b + 1]]
                 rows.append((int(b), _planes(mixed[some] >> U(32), "<u4"), repeated[some].astype(np.uint8).tobytes(),
-                             _planes(docs[some], "<i8"), _planes(copies[some], "<u4"), _planes(at[some], "<u4")))
+                             _planes(docs[some], "<i8"), _planes(copies[some], "<i8"), _planes(at[some], "<u4")))
             for some in np.array_split(np.flatnonzero(repeated), max(1, int(repeated.sum()) // 16384)):
                 if len(some):
-                    rows.append((-1 - int(mixed[some[0]] % U(n_buckets)), b"", b"", _planes(docs[some], "<i8"), _planes(copies[some], "<u4"), _planes(at[some], "<u4")))
+                    rows.append((-1 - int(mixed[some[0]] % U(n_buckets)), b"", b"", _planes(docs[some], "<i8"), _planes(copies[some], "<i8"), _planes(at[some], "<u4")))
             columns = list(zip(*rows, strict=True))
             return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])],
                                               ["bucket", "hashes", "known", "docs", "copies", "at"])
@@ -169,13 +169,13 @@ def _meet(frame: pa.Table) -> pa.Table:
     A negative bucket holds known ones: they only change their form.
     """
     if frame["bucket"][0].as_py() < 0:
-        return pa.Table.from_batches([_places(_stack(frame, "docs", "<i8"), _stack(frame, "copies", "<u4"), _stack(frame, "at", "<u4"))])
+        return pa.Table.from_batches([_places(_stack(frame, "docs", "<i8"), _stack(frame, "copies", "<i8"), _stack(frame, "at", "<u4"))])
     hashes = _stack(frame, "hashes", "<u4")
     known = np.frombuffer(b"".join(frame["known"].to_pylist()), np.uint8)
     _, which, counts = np.unique(hashes, return_inverse=True, return_counts=True)
     keep = (counts[which] > 1) & (known == 0)
     # a known representative alone tells nothing new; with any other, those others are repeats
-    return pa.Table.from_batches([_places(_stack(frame, "docs", "<i8")[keep], _stack(frame, "copies", "<u4")[keep], _stack(frame, "at", "<u4")[keep])])
+    return pa.Table.from_batches([_places(_stack(frame, "docs", "<i8")[keep], _stack(frame, "copies", "<i8")[keep], _stack(frame, "at", "<u4")[keep])])
 
 
 # ------------------------------------------------------------------ suffixes
@@ -242,10 +242,10 @@ def _suffix_runs(splits: list[bytes]):
                 where = np.array(places[a:b], np.int64).reshape(-1, 3)
                 rows.append((part, lcps.astype(np.uint8).tobytes(), bytes(len(k) for k, _ in some), bytes(r for _, r in some),
                              pack.compress(b"".join(k[n:] for (k, _), n in zip(some, lcps.tolist(), strict=True))),
-                             _planes(where[:, 0], "<i8"), _planes(where[:, 1], "<u4"), _planes(where[:, 2], "<u4"), b"", b""))
+                             _planes(where[:, 0], "<i8"), _planes(where[:, 1], "<i8"), _planes(where[:, 2], "<u4"), b"", b""))
             for at in range(0, len(covered), 16384):
                 some = np.array(covered[at: at + 16384], np.int64)
-                rows.append((-1 - int(some[0, 0] + some[0, 2]) % (len(splits) + 1), b"", b"", b"", b"", _planes(some[:, 0], "<i8"), _planes(some[:, 1], "<u4"), b"",
+                rows.append((-1 - int(some[0, 0] + some[0, 2]) % (len(splits) + 1), b"", b"", b"", b"", _planes(some[:, 0], "<i8"), _planes(some[:, 1], "<i8"), b"",
                              _planes(some[:, 2], "<u4"), _planes(some[:, 3], "<u4")))
             columns = list(zip(*rows, strict=True))
             return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])],
@@ -273,7 +273,7 @@ def _read_run(row: dict) -> tuple[list[bytes], list[int], bytes, np.ndarray]:
         last = last[:n] + tails[at: at + size - n]
         at += size - n
         keys.append(last)
-    return keys, lcps, row["rights"], np.stack([_from_planes(row["docs"], "<i8"), _from_planes(row["copies"], "<u4").astype(np.int64),
+    return keys, lcps, row["rights"], np.stack([_from_planes(row["docs"], "<i8"), _from_planes(row["copies"], "<i8"),
                                                 _from_planes(row["at"], "<u4").astype(np.int64)], 1)
 
 
@@ -404,7 +404,7 @@ def repeats(keys: list[bytes], lcps: np.ndarray, rights: np.ndarray, places: np.
 def _merge_range(frame: pa.Table) -> pa.Table:
     """A range's covers by merging its runs; a negative part holds known covers, which only change their form."""
     if frame["part"][0].as_py() < 0:
-        return pa.Table.from_batches([_covers(_stack(frame, "docs", "<i8"), _stack(frame, "copies", "<u4"), _stack(frame, "from_", "<u4"), _stack(frame, "till", "<u4"))])
+        return pa.Table.from_batches([_covers(_stack(frame, "docs", "<i8"), _stack(frame, "copies", "<i8"), _stack(frame, "from_", "<u4"), _stack(frame, "till", "<u4"))])
     runs = [_read_run(r) for r in frame.to_pylist()]
     keys, lcps, rights, places = [], [], [], []
     for r, i, n in merge([(k, n) for k, n, *_ in runs]):
@@ -445,9 +445,9 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     """``doc_id``, ``text`` and ``spans`` (array of from, till in bytes; may overlap) of every row."""
     spark = docs.sparkSession
     rows = bounded_batches(docs).select(F.col(key).alias("doc_id"), F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    # rows of one id are told apart by their text, only where ids repeat
+    # rows of one id (or without one) are told apart by a 64-bit hash of their text, only where ids repeat
     repeated_ids = rows.groupBy("doc").count().where("count > 1").limit(1).count() > 0
-    rows = rows.withColumn("copy", F.crc32(F.encode("text", "UTF-8")) if repeated_ids else F.lit(0).cast("long"))
+    rows = rows.withColumn("copy", F.xxhash64("text") if repeated_ids else F.lit(0).cast("long"))
     total = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // BUCKET_TEXT + 1)
 

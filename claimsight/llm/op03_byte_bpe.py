@@ -21,6 +21,7 @@ result; other columns of the input are ignored unless listed in ``keep``.
 from __future__ import annotations
 
 import base64
+import hashlib
 import itertools
 import re
 
@@ -28,9 +29,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StructField, StructType
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from .common import bounded_batches, slices
+from .common import slices
 
 CHUNK_CHARS = 1 << 15
 OVERLAP = 1 << 10
@@ -49,13 +51,13 @@ class Codec:
         import regex
         import tiktoken
         with open(path, "rb") as file:
-            self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
-        self.bpe = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=self.ranks, special_tokens={})
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+        self.bpe = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.general = regex.compile(pattern)
         self.fast, self.odd = _ascii_class_pattern(pattern, regex)
         self.pieces: dict[str, bytes] = {}
-        self.bytes_of: list[bytes] = [b""] * (max(self.ranks.values()) + 1)
-        for token, rank in self.ranks.items():
+        self.bytes_of: list[bytes] = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
             self.bytes_of[rank] = token
 
     @classmethod
@@ -135,19 +137,26 @@ def stitch(codec: Codec, chunks: list[tuple[int, str]], chunk_chars: int) -> byt
     return b"".join(out)
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",),
-           chunk_chars: int = CHUNK_CHARS, overlap: int = OVERLAP, out: str = "token_ids") -> DataFrame:
-    """``keep`` columns and ``out``: the ids of the whole text as little-endian unsigned 32-bit (binary)."""
-    rows = bounded_batches(docs).select(*[F.col(c) for c in keep], F.coalesce(F.col(text), F.lit("")).alias("__text"))
-    fields = [rows.schema[c] for c in keep]
-    result = StructType([*fields, StructField(out, BinaryType())])
+def _with_ids(docs: DataFrame, ranks_path: str, pattern: str, text: str, keep: tuple[str, ...], chunk_chars: int, overlap: int, fields: list[StructField], more) -> DataFrame:
+    """``keep`` columns and ``fields``: what ``more`` makes of the codec and each text's ids."""
+    rows = docs.select(*[F.col(c) for c in keep], F.coalesce(F.col(text), F.lit("")).alias("__text"))
+    result = StructType([*[rows.schema[c] for c in keep], *fields])
     names = [f.name for f in result]
 
+    def arrays(codec, ids):
+        return [pa.array(c, to_arrow_type(f.dataType)) for f, c in zip(fields, zip(*[more(codec, x) for x in ids], strict=True), strict=True)]
+
     def whole(batches):
         codec = Codec.get(ranks_path, pattern)
         for batch in (part for b in batches for part in slices(b, "__text")):
-            ids = [codec.ids(codec.split(t)) for t in batch.column(len(keep)).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), pa.array(ids, pa.binary())], names)
+            ids, last = [], None
+            for t in batch.column(len(keep)).to_pylist():
+                if t != last or not ids:              # a mix repeats a document in rows that follow each other
+                    ids.append(codec.ids(codec.split(t)))
+                else:
+                    ids.append(ids[-1])
+                last = t
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), *arrays(codec, ids)], names)
 
     short = rows.where(F.length("__text") <= chunk_chars).mapInArrow(whole, result)
 
@@ -160,12 +169,29 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", k
         frame = frame.sort_by("__k")
         parts = list(zip(frame["__k"].to_pylist(), frame["__text"].to_pylist(), strict=True))
         first = frame.slice(0, 1)
-        return pa.table([*(first[c] for c in keep), pa.array([stitch(codec, parts, chunk_chars)], pa.binary())], names)
+        return pa.table([*(first[c] for c in keep), *arrays(codec, [stitch(codec, parts, chunk_chars)])], names)
 
     stitched = long.groupBy("__row").applyInArrow(join, result)
     return short.unionByName(stitched)
 
 
+def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",),
+           chunk_chars: int = CHUNK_CHARS, overlap: int = OVERLAP, out: str = "token_ids") -> DataFrame:
+    """``keep`` columns and ``out``: the ids of the whole text as little-endian unsigned 32-bit (binary)."""
+    return _with_ids(docs, ranks_path, pattern, text, keep, chunk_chars, overlap, [StructField(out, BinaryType())], lambda codec, ids: (ids,))
+
+
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",), with_ids: bool = True,
+               chunk_chars: int = CHUNK_CHARS, overlap: int = OVERLAP) -> DataFrame:
+    """``keep`` columns, n_tokens, token_ids (on request) and the SHA-256 of the ids and of the decoded bytes, in one pass over slices."""
+    def more(codec, ids):
+        return (len(ids) // 4, *((ids,) if with_ids else ()), hashlib.sha256(ids).hexdigest(), hashlib.sha256(codec.decode(ids)).hexdigest())
+
+    fields = [StructField("n_tokens", LongType()), *([StructField("token_ids", BinaryType())] if with_ids else []),
+              StructField("ids_sha256", StringType()), StructField("decoded_sha256", StringType())]
+    return _with_ids(docs, ranks_path, pattern, text, keep, chunk_chars, overlap, fields, more)
+
+
 def decode(df: DataFrame, ranks_path: str, pattern: str, ids: str = "token_ids", out: str = "decoded") -> DataFrame:
     """``df`` with ``out``: the bytes that the ids of the binary column ``ids`` stand for (null: empty)."""
     schema = StructType([*df.schema.fields, StructField(out, BinaryType())])
@@ -174,7 +200,7 @@ def decode(df: DataFrame, ranks_path: str, pattern: str, ids: str = "token_ids",
 
     def run(batches):
         codec = Codec.get(ranks_path, pattern)
-        for batch in batches:
+        for batch in (part for b in batches for part in slices(b, ids)):
             raw = pa.array([codec.decode(x or b"") for x in batch.column(at).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, raw], names)
 
@@ -183,6 +209,4 @@ def decode(df: DataFrame, ranks_path: str, pattern: str, ids: str = "token_ids",
 
 def digests(docs: DataFrame, ranks_path: str, pattern: str, **options) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row of ``docs``."""
-    both = decode(encode(docs, ranks_path, pattern, **options), ranks_path, pattern)
-    return both.select("doc_id", (F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"),
-                       F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return round_trip(docs, ranks_path, pattern, with_ids=False, **options)

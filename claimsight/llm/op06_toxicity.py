@@ -99,9 +99,16 @@ def hits(line: str, found: ahocorasick.Automaton | None) -> tuple[int, float, in
             spared.append((at, end))
         elif abs(weight) > abs(best.get(at, 0.0)):
             best[at] = weight
-    for a, b in spared:
-        for at in [x for x in best if a <= x < b]:
-            del best[at]
+    if spared:
+        # both in order, so each place and each exception is passed once
+        places, left, reach = sorted(best), sorted(spared), 0
+        k = 0
+        for at in places:
+            while k < len(left) and left[k][0] <= at:
+                reach = max(reach, left[k][1])
+                k += 1
+            if at < reach:
+                del best[at]
     return words, sum(best.values()), len(best)
 
 

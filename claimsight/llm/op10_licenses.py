@@ -75,7 +75,7 @@ TO_WORDS = _words.tobytes()
 
 
 def automaton() -> ahocorasick.Automaton:
-    """Phrases between blanks; each entry is (kind, label, weight, words)."""
+    """Phrases between blanks; each entry is its number of blanks and [(kind, label, weight)]."""
     entries: dict[str, list] = {}
     for phrase, label in BASE_PHRASES.items():
         entries.setdefault(phrase, []).append(("base", label, BASE_WEIGHT))
@@ -84,7 +84,7 @@ def automaton() -> ahocorasick.Automaton:
     entries.setdefault(TAG_WORDS, []).append(("tag", "", 0.0))
     found = ahocorasick.Automaton()
     for phrase, kinds in entries.items():
-        found.add_word(f" {phrase} ", (len(phrase) + 2, kinds))
+        found.add_word(f" {phrase} ", (phrase.count(" ") + 2, kinds))
     found.make_automaton()
     return found
 
@@ -160,10 +160,12 @@ def scan_text(raw: bytes, found: ahocorasick.Automaton) -> tuple:
     words = raw.translate(TO_WORDS).split()
     line = " " + b" ".join(words).decode("latin-1") + " "
     base, labels, openness, tagged = [], {}, None, False
-    for end, (size, kinds) in found.iter(line):
+    blanks = counted = 0                              # blanks up to the end of the hit: ends never descend, so each is counted once
+    for end, (inner, kinds) in found.iter(line):
+        blanks, counted = blanks + line.count(" ", counted, end + 1), end + 1
         for kind, label, weight in kinds:
             if kind == "base":
-                base.append((line.count(" ", 0, end - size + 1), label))
+                base.append((blanks - inner, label))
             if kind == "tag":
                 tagged = True
             else:

@@ -139,7 +139,7 @@ def _cut_long(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
         while begin < len(data):
             inside = int(np.searchsorted(cuts, begin + most, "right")) - 1
             stop = int(cuts[inside]) if inside >= 0 and cuts[inside] > begin else int(next(iter(cuts[inside + 1: inside + 2]), len(data)))
-            yield pa.RecordBatch.from_arrays([pa.array([data[begin:stop].tobytes().decode()], pa.string()), name], ["text", "lang"])
+            yield pa.RecordBatch.from_arrays([pa.array([data[begin:stop].tobytes().decode()], pa.string()), name], schema=batch.schema)
             begin = stop
         at += 1
 

@@ -1,17 +1,23 @@
 """Each operator against a plain version, and the hard cases: nulls, empty and long texts, ties, repeats, empty tables, clashing columns."""
 
+import collections
 import hashlib
+import itertools
 import random
 import re
 import zlib
 
+import ahocorasick
 import numpy as np
+import public_tokenizers
 import pytest
+import sentencepiece
+import tokenizers
 from pyspark.sql import functions as F
 
 from claimsight.llm import (
     graph, op01_suffix_dedup, op02_mixing, op03_byte_bpe, op04_secrets, op05_fingerprints, op06_toxicity, op07_ngram_join, op08_vantage_points,
-    op09_pii, op10_licenses)
+    op09_pii, op10_licenses, op11_alignment, op12_collocations, op13_url_filters)
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, score double, findings string, copy int, text_hash long"
 
@@ -465,3 +471,183 @@ def test_op10_expressions_of_any_length():
 ])
 def test_op10_shunting_yard(text, tokens):
     assert op10_licenses.postfix(text) == tokens
+
+
+def test_op1_rows_of_one_id_with_equal_checksums(spark):
+    rng, seen, pair = random.Random(3), {}, None
+    while pair is None:
+        t = "".join(rng.choices("abcdefgh", k=137))
+        other = seen.setdefault(zlib.crc32(t.encode()), t)
+        pair = (other, t) if other != t else None
+    rows = [(1, pair[1], "x"), (None, pair[0], "x"), (None, pair[1], "x")]
+    got = op01_suffix_dedup.digests(spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")).collect()
+    same(got, plain_suffix_dedup(rows))
+
+
+# ------------------------------------------------------------------ dense hits in long texts
+def test_dense_hits_take_linear_time():
+    import time
+    t0 = time.perf_counter()
+    found = op10_licenses.automaton()
+    n, base, _, _ = op10_licenses.scan_text(b"mit license, x " * 200_000, found)
+    assert n == 600_000 and [w for w, _ in base] == list(range(0, 600_000, 3))
+    lexicon = ahocorasick.Automaton()
+    for word, entry in ((" bad", (4, 1.0, False)), (" not bad", (8, 0.0, True))):
+        lexicon.add_word(word, entry)
+    lexicon.make_automaton()
+    assert op06_toxicity.hits(" bad not bad x" * 100_000 + " ", lexicon) == (400_000, 100_000.0, 100_000)
+    assert time.perf_counter() - t0 < 30
+
+
+# ------------------------------------------------------------------ op11
+A11, B11 = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+
+
+def plain_alignment(rows):
+    """Both tokenizers on whole texts, links by walking the byte ranges."""
+    a_tok = tokenizers.Tokenizer.from_file(A11)
+    a_tok.encode_special_tokens = True
+    b_tok = sentencepiece.SentencePieceProcessor(model_file=B11)
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte_of = {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(x for x in range(256) if x not in printable)}
+    docs = []
+    for i, t in rows:
+        a, b = (a_tok.encode(" " + t, add_special_tokens=False).ids, b_tok.encode(t)) if t else ([], [])
+        raw_a = [bytes(byte_of[c] for c in a_tok.id_to_token(x)) for x in a]
+        raw_b = [bytes([int(b_tok.id_to_piece(x)[3:5], 16)]) if b_tok.is_byte(x) else b_tok.id_to_piece(x).replace("▁", " ").encode() for x in b]
+        if not t or not b"".join(raw_a) == b"".join(raw_b) == (" " + t).encode():
+            docs.append((i, [], [], [], []))
+            continue
+        ends_a, ends_b = list(itertools.accumulate(map(len, raw_a))), list(itertools.accumulate(map(len, raw_b)))
+        groups, links, p, q = [], [], 0, 0
+        for cut in sorted(set(ends_a) & set(ends_b)):
+            p2, q2 = ends_a.index(cut, p) + 1, ends_b.index(cut, q) + 1
+            groups.append((a[p:p2], b[q:q2]))
+            links += [(a[x], b[y]) for x in range(p, p2) for y in range(q, q2)
+                      if ends_a[x] - len(raw_a[x]) < ends_b[y] and ends_b[y] - len(raw_b[y]) < ends_a[x]]
+            p, q = p2, q2
+        docs.append((i, a, b, groups, links))
+    count = collections.Counter(link for *_, links in docs for link in set(links))
+    highest = {}
+    for (x, _), n in count.items():
+        highest[x] = max(highest.get(x, 0), n)
+    return [(i, len(a), len(b), len(g), len(ls), sum(count[x] == highest[x[0]] for x in ls), sum(count[x] for x in ls),
+             hashlib.sha256(";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in g).encode()).hexdigest() if a else "",
+             sum(len(x) * len(y) for x, y in g)) for i, a, b, g, ls in docs]
+
+
+def test_op11_against_whole_texts(spark, rows, docs, none):
+    same(op11_alignment.digests(docs, A11, B11).collect(), plain_alignment([(i, t) for i, t, _ in rows]))
+    assert op11_alignment.digests(none, A11, B11).collect() == []
+    assert op11_alignment.links(docs, A11, B11, keep=("doc_id", "size", "findings")).columns[:3] == ["doc_id", "size", "findings"]
+
+
+def test_op11_units_are_exact_on_odd_texts(spark):
+    rng = random.Random(5)
+    parts = ["a", "the", "  ", " ", "\n", "\t", "\x1c", "\u00a0", "\u2009", "\u3000", "é", "日本", "'s", "12", "…", "▁", "<s>", "<|endoftext|>", "\x00", "👍🏽", " \n ", "ﬁ"]
+    odd = [(k, "".join(rng.choice(parts) for _ in range(rng.randint(0, 30)))) for k in range(1500)] + [(9000, None), (9001, "   "), (9002, "x" * 90_000), (9002, "x" * 90_000)]
+    got = op11_alignment.digests(spark.createDataFrame(odd, "doc_id long, text string").repartition(3), A11, B11, chunk_bytes=3000).collect()
+    same(got, plain_alignment(odd))
+
+
+def test_op11_row_products():
+    rng = np.random.default_rng(1)
+    for _ in range(30):
+        x, y = (rng.random((rng.integers(1, 8), 5)) < 0.4 for _ in range(2))
+        a, b = (op11_alignment.CSR(np.concatenate([[0], np.cumsum(m.sum(1))]), np.nonzero(m)[1], 5) for m in (x, y))
+        c = a.times(b.transposed())
+        got = np.zeros((len(x), len(y)), bool)
+        got[np.repeat(np.arange(len(x)), np.diff(c.indptr)), c.indices] = True
+        assert (got == (x.astype(int) @ y.T.astype(int) > 0)).all()
+
+
+# ------------------------------------------------------------------ op12
+def plain_collocations(rows, support=30, top=2000):
+    f, n = collections.Counter(), collections.Counter()
+    for _, t, lang in rows:
+        lang = "und" if lang is None else lang
+        low = re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
+        for piece in re.split("[.,;:!?\\x0a-\\x0d]", low):
+            w = re.findall("[^\\x20\\x09]+", piece)
+            n[lang] += len(w)
+            f.update((lang, tuple(w[i:i + k])) for k in range(1, 5) for i in range(len(w) - k + 1))
+    found = {}
+    for (lang, p), a in f.items():
+        if len(p) > 1 and a >= support:
+            found[lang, p] = min((2_000_000 * a // (f[lang, p[:k]] + f[lang, p[k:]]), k) for k in range(1, len(p)))
+    out = []
+    for (lang, p), (score, k) in found.items():
+        a = f[lang, p]
+        if not any(100 * f[lang, q] >= 80 * a for other, q in found if other == lang and len(q) > len(p) and any(q[i:i + len(p)] == p for i in range(len(q)))):
+            out.append((lang, -score, -a, " ".join(p).encode(), f[lang, p[:k]], f[lang, p[k:]]))
+    ranked, last, rank = [], None, 0
+    for lang, score, a, phrase, left, right in sorted(out):
+        last, rank = lang, rank + 1 if lang == last else 1
+        if rank <= top:
+            ranked.append((lang, rank, phrase.decode(), -a, left, right, n[lang], -score))
+    return ranked
+
+
+def collocation_rows():
+    rng = random.Random(11)
+    vocab = ["New", "york", "times", "sq", "the", "of", "É", "x\x1fy", "a\u00a0b"]
+    text = lambda m: "".join(rng.choice(vocab) + rng.choice([" ", " ", " ", "  ", "\t", ". ", "\n", "; ", ","]) for _ in range(m))
+    rows = [(i, text(rng.randint(0, 60)), rng.choice(["en", "en", None, "und", ""])) for i in range(250)]
+    rows += [(i, "new york times " * 20, "en") for i in range(3)] + [(7, None, "en"), (8, "", "fr"), (9, "...", "de"), (10, "z " * 9000, "en"), (None, "z z", None)]
+    return rows
+
+
+@pytest.mark.parametrize("chunk", [100, 5000, 8 << 20])
+def test_op12_against_all_phrases(spark, chunk):
+    rows = collocation_rows()
+    df = spark.createDataFrame([(i, t, x, 5, "z") for i, t, x in rows], "doc_id long, text string, lang string, n int, phrase string").repartition(3)
+    got = op12_collocations.digests(df, chunk_bytes=chunk).collect()
+    assert len(got) > 20
+    same(got, plain_collocations(rows))
+    assert op12_collocations.digests(df.limit(0)).collect() == []
+    assert op12_collocations.digests(df, support=10**6).collect() == []
+
+
+def test_op12_score_is_exact_beyond_64_bits(spark):
+    big = 9_000_000_000_000_000_003
+    row = spark.createDataFrame([(big, big, big - 2)], "a long, l long, r long").select(op12_collocations.score_of(*map(F.col, "alr")).alias("s")).first()
+    assert row["s"] == 2_000_000 * big // (2 * big - 2)
+
+
+# ------------------------------------------------------------------ op13
+PAGES = [
+    (1, "http://a.net/x", "<html><head><link rel=\"canonical\" href='http://b.com/de/1?q=2&amp;r=3'></head>"),
+    (2, "https://B.com/de/1?q=2&r=3#f", None),                                       # blocked by rule
+    (3, "http://c.net/y", "<meta http-equiv='refresh' content='0; url=//a.net/x'>"),   # alias of 1
+    (4, "http://c.net/dir/z", "<LINK href=w REL=canonical />"),                        # relative
+    (5, "http://c.net/dir/w", ""), (6, None, "<link rel=canonical href=http://b.com/de/1>"), (7, "nourl", None),
+    (8, "http://example.org/es/1", "<link rel=canonical href=/en/22>"),                # a block and an allow in one class
+    (9, "http://example.org/en/22", "x"),
+    (10, "http://d.net/?a", "<!-- <link rel=canonical href=http://b.com/de/9> -->"),
+    (11, "http://e.net/q", "<script>x='<link rel=canonical href=http://fine.net/>'</script><link rel=canonical href=http://b.com/de/9>"),
+    (12, "http://b.com/de/7", "<link rel=canonical href=http://x.net/>"), (13, "http://x.net/", ""), (13, "http://x.net/", ""),
+    (14, "http://org", "x"), (15, "http://a.example.org/en/1?x", "x"), (16, "http://a.example.org:80/en/1?x", "x"), (17, "http://U@ORG/en", "x"),
+    (18, "a://b://c/org/", "x"), (19, "http://h.net/a/b/c", "<meta http-equiv=refresh content=5>"), (20, "http://notorg/", ""),
+    (21, "http://y.net/p", "<link rel=canonical href=http://x.com/fr/>"), (22, "http://y.net/q", "<link rel=canonical href=/p><link rel=canonical href=http://b.com/de/3>"),
+]
+VERDICTS = {1: "block", 2: "block", 3: "block", 8: "block", 9: "allow", 11: "block", 12: "block", 13: "block", 15: "block", 21: "allow", 22: "allow"}
+
+
+def test_op13_decisions_and_duckdb(spark):
+    import duckdb
+    df = spark.createDataFrame(PAGES, "page_id long, url string, html string").withColumns({"host": F.lit("x"), "rule": F.lit(1), "node": F.lit(2)})
+    got = op13_url_filters.digests(df).collect()
+    assert {r["page_id"]: r["verdict"] for r in got} == {i: VERDICTS.get(i, "allow") for i, *_ in PAGES}
+    assert {r["page_id"]: r["rule"] for r in got if r["rule"]} == {2: "com/de/", 8: "example.org/es/", 9: "org/", 12: "com/de/", 15: "example.org/en/1"}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?, ?)", PAGES)
+    same(got, con.execute(op13_url_filters.oracle_sql()).fetchall())
+    assert op13_url_filters.digests(df.limit(0)).collect() == []
+
+
+def test_op13_crawled_redirects_and_dots(spark):
+    pages = spark.createDataFrame([(1, "http://a.net/1", ""), (2, "http://a.net/2", "<link rel=canonical href='../x/./y'>"), (3, "http://a.net/x/y", "")], "page_id long, url string, html string")
+    moved = spark.createDataFrame([("http://a.net/1", "https://b.com/de/"), (None, "http://z.net/"), ("http://a.net/x/y", "http://a.net/1")], "source string, target string")
+    assert {r["page_id"]: r["verdict"] for r in op13_url_filters.judge(pages, redirects=moved).collect()} == {1: "block", 2: "block", 3: "block"}
+    assert {r["verdict"] for r in op13_url_filters.judge(pages, redirects=moved, html=None).collect() if r["page_id"] == 2} == {"allow"}
