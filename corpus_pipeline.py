@@ -45,9 +45,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, n_tokens, token_ids (little-endian unsigned 32-bit) and the digests of the ids and of the decoded bytes."""
     import public_tokenizers
     how = (public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
-    both = op03_byte_bpe.decode(op03_byte_bpe.encode(docs, *how, keep=("doc_id", "source")), *how)
-    return both.select("doc_id", "source", (F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"), "token_ids",
-                       F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return op03_byte_bpe.round_trip(docs, *how, keep=("doc_id", "source"))
 
 
 STAGES = [("toxicity", drop_toxic), ("ngram_join", drop_near_copies), ("pii", redact), ("mixing", mix), ("byte_bpe", encode)]
