@@ -53,5 +53,5 @@ def load_all() -> dict[str, Query]:
     """Import every module that registers queries and return the registry."""
     from .operators import quality, gate, fraud, writes  # noqa: F401
     from .plans import models, features, reports, training  # noqa: F401
-    from .streaming import jobs  # noqa: F401
+    from .streaming import jobs, keyed_state  # noqa: F401
     return REGISTRY

@@ -125,7 +125,7 @@ def test_dead_letters_split(spark, rel):
     n = rel.claims.count()
     assert good.count() + bad.count() == n and bad.count() > 0
     assert set(r.error_message.split(":")[0] for r in bad.select("error_message").distinct().collect()) <= {
-        "missing key", "unparseable JSON", "missing or invalid"}
+        "missing key", "unparseable JSON", "missing or invalid", "invalid"}
 
 
 def test_member_spread_windows_batch(rel):
@@ -193,7 +193,7 @@ def test_ingest_sink_routes_good_rows_and_dead_letters(spark, rel, scratch):
     good, bad = spark.read.parquet(good_p), spark.read.parquet(bad_p)
     assert good.count() + bad.count() == rel.claims.count() and bad.count() > 0
     assert {r.error_message.split(":")[0] for r in bad.select("error_message").distinct().collect()} == {
-        "missing key", "unparseable JSON", "missing or invalid"}
+        "missing key", "unparseable JSON", "missing or invalid", "invalid"}
 
 
 def test_restart_from_checkpoint_processes_only_new_files(spark, rel, scratch):
@@ -225,3 +225,33 @@ def test_restart_from_checkpoint_processes_only_new_files(spark, rel, scratch):
     landed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path) \
         .filter(F.col("path").endswith(".json")).count()
     assert log.count() == log.distinct().count() == landed and first and second
+
+
+def test_keyed_state_equals_batch_over_triggers_and_a_restart(spark, rel, scratch):
+    from claimsight.streaming.jobs import r08_batch
+    from claimsight.streaming.keyed_state import duplicate_claims_keyed, provider_spread_keyed, run_keyed, state_sizes
+    path, late = os.path.join(scratch, "claims"), F.col("submitted_at") >= F.lit("1997-06-01").cast("timestamp_ntz")
+    claims = rel.claims.withColumn("_month", F.trunc(F.to_date("submitted_at"), "month"))
+    last = rel.claims.agg(F.max("submitted_at")).first()[0]
+    progress = {}
+    for part, mode in ((claims.filter(~late), "overwrite"), (claims.filter(late), "append")):
+        if mode == "overwrite":
+            write_replay(part, "_month", path)
+        else:                                                   # lands while the streams are stopped
+            part.withColumn("day", F.col("_month")).coalesce(1).sortWithinPartitions("_month").write.mode("append").partitionBy("day").json(path)
+            from claimsight.sources.io import order_days
+            order_days(spark, path)
+        for name, detector in (("spread", lambda s: provider_spread_keyed(s, 3)), ("pairs", lambda s: duplicate_claims_keyed(s, 720, 0.2))):
+            stream = read_replay(spark, path, "claims", 30)
+            progress.setdefault(name, []).extend(run_keyed(stream, detector, os.path.join(scratch, name), os.path.join(scratch, name + "_ck")))
+    got = {(r.member_id, str(r.window_end), r.providers) for r in spark.read.parquet(os.path.join(scratch, "spread")).collect()}
+    truth = _closed(member_spread_windows(rel.claims, 3, ts="submitted_at"), "window_end", last)
+    assert got == {(r.member_id, str(r.window_end), r.providers) for r in truth.collect()} and len(got) > 100
+    assert spark.read.parquet(os.path.join(scratch, "spread")).count() == len(got)
+    pairs = spark.read.parquet(os.path.join(scratch, "pairs"))
+    assert sorted(map(tuple, pairs.collect())) == sorted(map(tuple, r08_batch(rel, 720, 0.2).collect())) and pairs.count() > 0
+    for name, steps in progress.items():
+        sizes = state_sizes(steps)
+        assert len(sizes) >= 3 and max(sizes) > 0, name
+        # what is held is what open windows need, far below all claims, and it falls when timers expire
+        assert sizes[-1] < max(sizes) < rel.claims.count() / 2, (name, sizes)
