@@ -46,39 +46,75 @@ def rolling_counts(df: DataFrame, key, ts_col: str, windows: dict[str, int], id_
     return x.filter(F.col("_shift") == 0).drop("_shift")
 
 
+def rolling_counts_by_slot(df: DataFrame, key: str, ts_col: str, windows: dict[str, int], at: str, slot: int = 3600) -> DataFrame:
+    """(key, ``at``: second, counts): number of rows of ``key`` with time in ``[at - w, at]``
+    for each named window ``w``, a multiple of ``slot`` seconds.
+
+    Two levels: rows are counted per second and per slot.  A window starts at the
+    same place in its first slot as the row has in its own, so its count is the
+    own slot up to the row, plus the totals of the slots before it back to the
+    first one, less the first slot's seconds before that place.  Slot totals are
+    differences of running sums over the key's slots (bounded by the calendar);
+    the two edge slots meet in one (key, slot) partition of at most ``slot``
+    seconds for each window and one more, however many rows the key has.  All
+    frames grow from the partition's start, so each row is added once.  Rows
+    without key or time are left out.
+    """
+    if any(w <= 0 or w % slot for w in windows.values()):
+        raise ValueError("windows must be multiples of the slot")
+    shifts = {name: w // slot for name, w in windows.items()}
+    t = F.unix_seconds(F.col(ts_col).cast("timestamp"))
+    seconds = (df.select(key, t.alias(at)).where(F.col(key).isNotNull() & F.col(at).isNotNull())
+               .groupBy(key, at).agg(F.count(F.lit(1)).alias("_n")))
+    seconds = seconds.withColumn("_s", F.floor(F.col(at) / slot)).withColumn("_o", F.col(at) - F.col("_s") * slot)
+    # a slot's seconds are data of their own slot and of the slots whose windows start in it
+    rows = seconds.select(key, at, "_o", "_n", "_s", F.explode(F.array(*[F.lit(m) for m in sorted({0, *shifts.values()})])).alias("_m"))
+    rows = rows.select(key, at, "_o", "_n", "_m", (F.col("_s") + F.col("_m")).alias("_s"))
+    place = Window.partitionBy(key, "_s").orderBy("_o")
+    upto, before = (place.rangeBetween(Window.unboundedPreceding, x) for x in (0, -1))
+
+    def of(m: int):
+        return F.when(F.col("_m") == m, F.col("_n")).otherwise(0)
+
+    edges = rows.select(key, at, "_s", "_m", F.sum(of(0)).over(upto).alias("_own"),
+                        *[F.sum(of(m)).over(before).alias(f"_first_{name}") for name, m in shifts.items()]).where("_m = 0")
+    slots = Window.partitionBy(key).orderBy("_s")
+
+    def running(last: int):
+        return F.coalesce(F.sum("_n").over(slots.rangeBetween(Window.unboundedPreceding, last)), F.lit(0))
+
+    totals = seconds.groupBy(key, "_s").agg(F.sum("_n").alias("_n")).select(
+        key, "_s", *[(running(-1) - running(-m - 1)).alias(f"_slots_{name}") for name, m in shifts.items()])
+    return edges.join(totals, [key, "_s"]).select(
+        key, at, *[(F.col("_own") + F.col(f"_slots_{name}") - F.coalesce(f"_first_{name}", F.lit(0))).alias(name) for name in windows])
+
+
 def asof_rate(events: DataFrame, probes: DataFrame, key: str, ev_ts: str, probe_ts: str, flag: str,
               probe_id: str, cast: str = "int") -> DataFrame:
     """For each probe: (events of its key strictly before probe time, flagged
     ones among them) - no event from the future leaks into a feature.  With
     another ``cast`` than int, ``flag`` is a value and the second its sum.
 
-    Month blocks: totals per (key, month) are prefix-summed over months, rows
-    of the probe's own month are counted in a (key, month) partition.
+    Day blocks: totals per (key, day) are prefix-summed over the key's days with
+    events or probes (bounded by the calendar), rows of the probe's own day are
+    counted in a (key, day) partition, where events of one instant are one row.
     """
-    e = events.select(key, F.col(ev_ts).alias("_t"), F.col(flag).cast(cast).alias("_f"))
-    e = e.withColumn("_m", F.trunc(F.to_date("_t"), "month"))
-    mt = e.groupBy(key, "_m").agg(F.count(F.lit(1)).alias("_mn"), F.sum("_f").alias("_mf"))
-    p = probes.select(key, probe_id, F.col(probe_ts).alias("_t")).withColumn("_m", F.trunc(F.to_date("_t"), "month"))
-    # within the month: probes sort before events of the same instant (strictly before)
-    u = (e.select(key, "_m", "_t", F.lit(1).alias("_ord"), F.lit(None).cast("string").alias(probe_id), "_f")
-         .unionByName(p.select(key, "_m", "_t", F.lit(0).alias("_ord"), probe_id, F.lit(0).cast(cast).alias("_f"))))
-    w = Window.partitionBy(key, "_m").orderBy("_t", "_ord").rowsBetween(Window.unboundedPreceding, 0)
-    u = u.select(key, "_m", "_ord", probe_id, F.sum("_ord").over(w).alias("_in"), F.sum("_f").over(w).alias("_inf"))
-    u = u.filter(F.col("_ord") == 0)
-    # month totals exist only for months with events; months without events take the last earlier total
-    mt_all = mt.select(key, "_m", "_mn", "_mf")
-    cum = mt_all.select(key, "_m", F.sum("_mn").over(Window.partitionBy(key).orderBy("_m")
-                                                    .rowsBetween(Window.unboundedPreceding, 0)).alias("_cn"),
-                        F.sum("_mf").over(Window.partitionBy(key).orderBy("_m")
-                                          .rowsBetween(Window.unboundedPreceding, 0)).alias("_cf"))
-    # prior-month totals for a probe month = cumulative total of the last event month before it
-    pm = u.select(key, "_m").distinct().join(cum.withColumnRenamed("_m", "_em"), key) \
-        .filter(F.col("_em") < F.col("_m")).groupBy(key, "_m") \
-        .agg(F.max_by(F.struct("_cn", "_cf"), "_em").alias("c"))
-    out = u.join(pm, [key, "_m"], "left").select(
-        probe_id, (F.coalesce(F.col("c._cn"), F.lit(0)) + F.col("_in")).alias("prior_events"),
-        (F.coalesce(F.col("c._cf"), F.lit(0)) + F.col("_inf")).alias("prior_flagged"))
-    return out
+    e = events.select(key, F.col(ev_ts).alias("_t"), F.col(flag).cast(cast).alias("_f")).where("_t is not null") \
+        .groupBy(key, "_t").agg(F.count(F.lit(1)).alias("_n"), F.sum("_f").alias("_f"))
+    e = e.withColumn("_d", F.to_date("_t"))
+    p = probes.select(key, probe_id, F.col(probe_ts).alias("_t"), F.to_date(F.col(probe_ts)).alias("_d"))
+    kind = e.schema["_f"].dataType
+    # probes sort before events of the same instant (strictly before)
+    u = (e.select(key, "_d", "_t", F.lit(1).alias("_ord"), F.lit(None).cast("string").alias(probe_id), "_n", "_f")
+         .unionByName(p.select(key, "_d", "_t", F.lit(0).alias("_ord"), probe_id, F.lit(0).cast("long").alias("_n"), F.lit(0).cast(kind).alias("_f"))))
+    w = Window.partitionBy(key, "_d").orderBy("_t", "_ord").rowsBetween(Window.unboundedPreceding, 0)
+    day = u.groupBy(key, "_d").agg(F.sum("_n").alias("_n"), F.sum("_f").alias("_f"))
+    past = Window.partitionBy(key).orderBy("_d").rowsBetween(Window.unboundedPreceding, -1)
+    prior = day.select(key, "_d", F.sum("_n").over(past).alias("_pn"), F.sum("_f").over(past).alias("_pf"))
+    u = u.select(key, "_d", "_ord", probe_id, F.sum("_n").over(w).alias("_in"), F.sum("_f").over(w).alias("_inf")).filter(F.col("_ord") == 0)
+    return u.join(prior, [key, "_d"]).select(
+        probe_id, (F.coalesce("_pn", F.lit(0)) + F.col("_in")).alias("prior_events"),
+        (F.coalesce("_pf", F.lit(0)) + F.coalesce("_inf", F.lit(0))).alias("prior_flagged"))
 
 
 def running_sum_by_day(df: DataFrame, key: str, date_col: str, tie_col: str, value: str, reset_col=None) -> DataFrame:

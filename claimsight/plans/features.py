@@ -2,14 +2,14 @@
 when the claim is submitted (X02 over earlier days, X04 evidence recorded by
 then, X08 and X10 verdicts and approvals before it).
 
-Rolling counts over time use a *time-bucketed* window layout
-(:func:`rolling_counts`): rows are keyed by (entity, bucket of the largest
-window) and copied once into the next bucket, so a RANGE frame never needs
-more than two buckets of one entity.  A provider holding a third of all
-claims is therefore split into many bounded partitions instead of one giant
-sorted partition.  The as-of fraud history (:func:`asof_rate`) uses the same
-idea with month blocks: month totals are prefix-summed (one row per month)
-and only the current month is scanned row by row.
+Counts of a provider's claims over time come from two levels
+(:func:`rolling_counts_by_slot`): hour totals as running sums, and the seconds
+of the two edge hours, so a provider holding a third of all claims is split
+into partitions of bounded size.  Distinct counts use a *time-bucketed* window
+layout (:func:`rolling_counts`): rows are keyed by (entity, bucket of the
+largest window) and copied once into the next bucket.  The as-of fraud history
+(:func:`asof_rate`) prefix-sums day totals and scans only the current day row
+by row.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ HOUR = 3600
 DAY = 86400
 
 
-from ..operators.windows import asof_rate, days_since_previous, rolling_counts  # noqa: F401
+from ..operators.windows import asof_rate, days_since_previous, rolling_counts, rolling_counts_by_slot  # noqa: F401
 
 
 # --------------------------------------------------------------- features
@@ -59,21 +59,21 @@ def claim_features(rel) -> DataFrame:
     c = c.join(evid, "claim_id", "left").withColumn("has_matching_vitals", F.col("_v") <= F.col("submitted_at")) \
         .withColumn("has_matching_prescription", F.col("_rx") <= F.col("submitted_at"))
     # Provider rolling counts on submitted_at
-    pf = rolling_counts(c, "provider_id", "submitted_at",
-                        {"provider_claims_1h": HOUR, "provider_claims_6h": 6 * HOUR, "provider_claims_24h": DAY,
-                         "provider_claims_7d": 7 * DAY, "provider_claims_30d": 30 * DAY}, "claim_id")
+    pf = rolling_counts_by_slot(rel.claims, "provider_id", "submitted_at",
+                                {"provider_claims_1h": HOUR, "provider_claims_6h": 6 * HOUR, "provider_claims_24h": DAY,
+                                 "provider_claims_7d": 7 * DAY, "provider_claims_30d": 30 * DAY}, "_submitted_s")
     # Distinct providers of the member in the 7 days up to the claim
-    mp = rolling_counts(c.withColumn("_d", F.col("date_of_service").cast("timestamp")), "member_id", "_d",
+    mp = rolling_counts(rel.claims.withColumn("_d", F.col("date_of_service").cast("timestamp")), "member_id", "_d",
                         {"member_provider_count_7d": 6 * DAY}, "claim_id", distinct_col="provider_id")
     # Amounts of the member's service year whose approval came before this claim was submitted (its own
     # approval never counts), over the plan's annual limit
     lim = rel.members.select("member_id", "plan_code").join(rel.plans.select("plan_code", "annual_limit_kes"), "plan_code")
-    year = c.withColumn("_k", F.concat_ws("|", "member_id", F.year("date_of_service")))
+    year = rel.claims.withColumn("_k", F.concat_ws("|", "member_id", F.year("date_of_service")))
     ytd = asof_rate(year.filter(F.col("amount_approved").isNotNull()), year, "_k", "updated_at", "submitted_at", "amount_approved",
                     "claim_id", cast="decimal(15,2)").select("claim_id", F.col("prior_flagged").alias("_ytd"))
     own = F.when(F.col("updated_at") < F.col("submitted_at"), F.coalesce("amount_approved", F.lit(0))).otherwise(F.lit(0))
     # X11: days since the member's previous claim (velocity = its mean per member, see member_velocity)
-    gap = days_since_previous(c, "member_id", "date_of_service", "claim_id").select("claim_id", F.col("gap").alias("_gap"))
+    gap = days_since_previous(rel.claims, "member_id", "date_of_service", "claim_id").select("claim_id", F.col("gap").alias("_gap"))
     c = c.join(lim.select("member_id", "annual_limit_kes"), "member_id", "left").join(ytd, "claim_id").join(gap, "claim_id")
     out = c.select(
         "claim_id", "member_id", "provider_id", "clinical_category", "days_to_submit",
@@ -83,8 +83,8 @@ def claim_features(rel) -> DataFrame:
         F.coalesce("has_matching_vitals", F.lit(False)).alias("has_matching_vitals"),
         F.coalesce("has_matching_prescription", F.lit(False)).alias("has_matching_prescription"),
         ((F.col("_ytd") - own).cast("double") / F.col("annual_limit_kes").cast("double")).alias("member_ytd_utilisation_pct"),
-        F.col("_gap").alias("days_since_prev_claim"))
-    out = out.join(pf, ["claim_id", "provider_id"]).join(mp.drop("member_id"), "claim_id")
+        F.col("_gap").alias("days_since_prev_claim"), F.unix_seconds(F.col("submitted_at").cast("timestamp")).alias("_submitted_s"))
+    out = out.join(mp.drop("member_id"), "claim_id").join(pf, ["provider_id", "_submitted_s"], "left").drop("_submitted_s")
     # Last 24 h against the provider's mean daily volume over 30 days
     return out.withColumn("provider_24h_vs_30d_mean",
                           F.col("provider_claims_24h") / (F.col("provider_claims_30d") / F.lit(30.0)))

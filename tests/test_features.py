@@ -1,9 +1,10 @@
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
-from claimsight.plans.features import asof_rate, rolling_counts
+from claimsight.operators.windows import asof_rate, rolling_counts, rolling_counts_by_slot
 
 
 def test_rolling_counts_match_brute_force(spark):
@@ -18,6 +19,41 @@ def test_rolling_counts_match_brute_force(spark):
         assert got[cid] == exp
 
 
+@pytest.mark.parametrize("slot", [60, 3600])
+def test_slot_counts_match_brute_force(spark, slot):
+    """A hot provider, ties, rows at the very start and end of slots and windows, times before 1970, no key, no time."""
+    rnd = random.Random(11)
+    base = dt.datetime(1969, 12, 30)
+    at = [base + dt.timedelta(seconds=rnd.choice([0, 1, 59, 60, 3599]) + 3600 * rnd.randrange(24 * 5)) for _ in range(250)]
+    rows = [(f"p{max(0, rnd.randrange(6) - 3)}", t) for t in at] + [("p0", at[0])] * 20
+    df = spark.createDataFrame([*rows, (None, at[0]), ("p0", None)], "k string, ts timestamp_ntz")
+    windows = {"h1": 3600, "h6": 6 * 3600, "d1": 86400, "d4": 4 * 86400}
+    got = {(r.k, r.at): (r.h1, r.h6, r.d1, r.d4) for r in rolling_counts_by_slot(df, "k", "ts", windows, "at", slot).collect()}
+    epoch = dt.datetime(1970, 1, 1)
+    expected = {(k, int((t - epoch).total_seconds())): tuple(
+        sum(1 for q, u in rows if q == k and t - dt.timedelta(seconds=w) <= u <= t) for w in windows.values()) for k, t in rows}
+    assert got == expected
+    assert rolling_counts_by_slot(df.limit(0), "k", "ts", windows, "at").collect() == []
+    with pytest.raises(ValueError):
+        rolling_counts_by_slot(df, "k", "ts", {"odd": 90 * 60}, "at")
+
+
+def test_asof_rate_matches_brute_force(spark):
+    """Repeated instants, sums with another type, keys without events, events without time."""
+    rnd = random.Random(12)
+    base = dt.datetime(2001, 1, 1)
+    def when():
+        return base + dt.timedelta(hours=6 * rnd.randrange(40))
+    events = [(f"p{rnd.randrange(2)}", when(), rnd.choice([None, 1, 2, 5])) for _ in range(120)]
+    probes = [(f"c{i}", f"p{rnd.randrange(3)}", when()) for i in range(80)]
+    ev = spark.createDataFrame([*events, ("p0", None, 7)], "k string, t timestamp_ntz, v int")
+    pr = spark.createDataFrame(probes, "id string, k string, ts timestamp_ntz")
+    got = {r.id: (r.prior_events, int(r.prior_flagged)) for r in asof_rate(ev, pr, "k", "t", "ts", "v", "id", cast="decimal(15,2)").collect()}
+    for i, k, t in probes:
+        before = [v for q, u, v in events if q == k and u < t]
+        assert got[i] == (len(before), sum(v or 0 for v in before))
+
+
 def test_asof_rate_uses_only_earlier_events(spark):
     base = dt.datetime(2001, 1, 31, 12)
     ev = spark.createDataFrame([("p", base - dt.timedelta(days=40), True), ("p", base, True),
