@@ -14,7 +14,8 @@ chunk's item table (item, what it stands for, count).  For each length:
 * semi-join: what occurs ``support`` times goes back to its chunks, and the
   chunk's relation keeps the occurrences of those items;
 * merge-join: the kept relation meets itself at adjacent places, which gives the
-  occurrences of the next length, whose phrases have only frequent parts.
+  occurrences of the next length, whose phrases have only frequent parts; packed
+  hashes are summed over all chunks first, to leave out pairs that cannot be frequent.
 
 A frequent phrase is named by the first chunk and item that it has there, so longer
 ones are pairs of numbers; texts and counts are joined to the frequent phrases only.
@@ -37,11 +38,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import stored, utf8
+from .common import BASE, U, mix, stored, utf8
 
 SUPPORT = 30
 LONGEST = 4
@@ -50,6 +52,8 @@ SHARE = 80
 SCALE = 2_000_000
 #: text bytes of a chunk: it bounds what a task holds, and how often a phrase is shuffled
 CHUNK_BYTES = 8 << 20
+#: occurrences of frequent items for each range of hashes: it bounds the pairs that are sifted together
+PAIRS_EACH = 1 << 20
 
 # What ends a piece, and what parts the words of a piece.
 PIECE_ENDS, BLANKS = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
@@ -172,9 +176,9 @@ def occurrences(docs: DataFrame, text: str = "text", lang: str = "lang", chunk_b
     return rows.where("length(text) > 0").mapInArrow(run, WORDS)
 
 
-def _extended(relation: pa.Table, frequent: pa.Table) -> pa.Table:
-    """A chunk's relation of the next length: its frequent items merge-joined at adjacent places."""
-    first = relation.slice(0, 1).to_pylist()[0]
+def _pairs(relation: pa.Table, frequent: pa.Table) -> tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A chunk's frequent items merge-joined at adjacent places: its number, places, the pair at each, then head, tail and count of each pair."""
+    first = relation.filter(pc.is_valid(relation["places"])).to_pylist()[0]
     places = np.cumsum(np.frombuffer(first["places"], "<i4"), dtype=np.int64)
     items = np.frombuffer(first["items"], "<i4")
     # semi-join: items are renumbered by the table of those that are frequent
@@ -184,22 +188,86 @@ def _extended(relation: pa.Table, frequent: pa.Table) -> pa.Table:
     places, kept = places[kept >= 0], kept[kept >= 0]
     # merge-join: both sides are sorted by place, so the next place, if it is there, is the next row
     next_to = np.flatnonzero(places[1:] == places[:-1] + 1)
-    known, new, n = np.unique(kept[next_to] * frequent.num_rows + kept[next_to + 1], return_inverse=True, return_counts=True)
+    known, pair, n = np.unique(kept[next_to] * frequent.num_rows + kept[next_to + 1], return_inverse=True, return_counts=True)
     name = frequent["name"].to_numpy()
-    return _table(first["chunk"], places[next_to], new, n, ["head", "tail"],
-                  [pa.array(name[known // frequent.num_rows]), pa.array(name[known % frequent.num_rows])])
+    return first["chunk"], places[next_to], pair, name[known // frequent.num_rows], name[known % frequent.num_rows], n
 
 
-def extended(relation: DataFrame, frequent: DataFrame) -> DataFrame:
-    """The relations of the next length, chunk by chunk, from the last ones and their frequent items."""
-    none = pa.schema([("chunk", pa.int64()), ("places", pa.binary()), ("items", pa.binary()), ("item", pa.int32()), ("n", pa.int64()),
-                      ("head", pa.int64()), ("tail", pa.int64())]).empty_table()
+def _hashed(head: np.ndarray, tail: np.ndarray, ranges: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order by hash, range of each in that order, 32 further bits of each in that order) of a chunk's pairs."""
+    h = mix(mix(head.astype(U)) + tail.astype(U) * BASE)
+    order = np.argsort(h, kind="stable")
+    h = h[order]
+    return order, ((h >> U(32)) * U(ranges)) >> U(32), (h & U(0xFFFFFFFF)).astype("<u4")
 
-    def run(left, right):
-        return _extended(left, right) if left.num_rows and right.num_rows else none
 
+def _counts_of_ranges(relation: pa.Table, frequent: pa.Table, ranges: int, support: int) -> pa.Table:
+    """For each range of hashes the hashes of a chunk's pairs in it, with their counts (``support`` says enough)."""
+    chunk, _, _, head, tail, n = _pairs(relation, frequent)
+    order, at, bits = _hashed(head, tail, ranges)
+    n = np.minimum(n[order], support).astype("<u4")
+    present, begin = np.unique(at, return_index=True)
+    end = np.append(begin[1:], len(at))
+    return pa.table([
+        pa.array(np.full(len(present), chunk, np.int64)), pa.array(present.astype(np.int64)),
+        pa.array([bits[i:j].tobytes() for i, j in zip(begin, end)], pa.binary()),
+        pa.array([n[i:j].tobytes() for i, j in zip(begin, end)], pa.binary())], names=["chunk", "range", "hashes", "counts"])
+
+
+def _enough(counts: pa.Table, support: int) -> pa.Table:
+    """For each chunk one bit for each pair of a range: whether all pairs of its hash together occur ``support`` times."""
+    hashes = [np.frombuffer(x.as_py(), "<u4") for x in counts["hashes"]]
+    _, which = np.unique(np.concatenate(hashes), return_inverse=True)
+    total = np.bincount(which, weights=np.concatenate([np.frombuffer(x.as_py(), "<u4") for x in counts["counts"]]))
+    flags = np.split((total >= support)[which], np.cumsum([len(x) for x in hashes])[:-1])
+    return pa.table([counts["chunk"], counts["range"], pa.array([np.packbits(x).tobytes() for x in flags], pa.binary())], names=["chunk", "range", "enough"])
+
+
+def _extended(relation: pa.Table, frequent: pa.Table, ranges: int) -> pa.Table:
+    """A chunk's relation of the next length, without the pairs whose hash is not frequent."""
+    chunk, places, pair, head, tail, n = _pairs(relation, frequent)
+    order, at, _ = _hashed(head, tail, ranges)
+    bits = {x["range"]: x["enough"] for x in relation.filter(pc.is_valid(relation["enough"])).select(["range", "enough"]).to_pylist()}
+    present, size = np.unique(at, return_counts=True)
+    keep = np.zeros(len(n), bool)
+    if len(n):
+        keep[order] = np.concatenate([np.unpackbits(np.frombuffer(bits[int(r)], np.uint8), count=int(m)) for r, m in zip(present, size)]).astype(bool)
+    item = np.cumsum(keep) - 1
+    there = keep[pair]
+    return _table(chunk, places[there], item[pair[there]], n[keep], ["head", "tail"], [pa.array(head[keep]), pa.array(tail[keep])])
+
+
+def extended(relation: DataFrame, frequent: DataFrame, support: int, pairs_each: int = PAIRS_EACH) -> DataFrame:
+    """The relations of the next length, chunk by chunk, from the last ones and their frequent items.
+
+    Most pairs of frequent items are rare, and nearly each stands in one chunk only.
+    Before they are counted by name, chunks exchange packed hashes and counts by range
+    of hashes, and get back a bit for each of their pairs: pairs of a hash whose total
+    is below ``support`` cannot be frequent and are left out.  What stays is counted
+    exactly, so a clash of hashes only lets a rare pair through.
+    """
+    total = frequent.agg(F.sum("f")).first()[0] or 0
+    ranges = max(1, -(-total // pairs_each))
+    names = frequent.select("chunk", "item", "name").groupBy("chunk")
     places = relation.where("places is not null").select("chunk", "places", "items")
-    return places.groupBy("chunk").cogroup(frequent.select("chunk", "item", "name").groupBy("chunk")).applyInArrow(run, PAIRS)
+
+    def count(left, right):
+        out = _counts_of_ranges(left, right, ranges, support) if left.num_rows and right.num_rows else None
+        return out if out is not None else pa.schema([("chunk", pa.int64()), ("range", pa.int64()), ("hashes", pa.binary()), ("counts", pa.binary())]).empty_table()
+
+    def enough(table):
+        return _enough(table, support)
+
+    def extend(left, right):
+        if left.num_rows and right.num_rows:
+            return _extended(left, right, ranges)
+        return pa.schema([("chunk", pa.int64()), ("places", pa.binary()), ("items", pa.binary()), ("item", pa.int32()), ("n", pa.int64()),
+                          ("head", pa.int64()), ("tail", pa.int64())]).empty_table()
+
+    counts = places.groupBy("chunk").cogroup(names).applyInArrow(count, "chunk long, range long, hashes binary, counts binary")
+    bits = counts.groupBy("range").applyInArrow(enough, "chunk long, range long, enough binary")
+    both = places.unionByName(bits, allowMissingColumns=True)
+    return both.groupBy("chunk").cogroup(names).applyInArrow(extend, PAIRS)
 
 
 def counted(relation: DataFrame, by: tuple[str, str], support: int) -> DataFrame:
@@ -253,7 +321,7 @@ def not_inside(phrases: DataFrame, share: int = SHARE) -> DataFrame:
 
 
 def mine(docs: DataFrame, text: str = "text", lang: str = "lang", support: int = SUPPORT, longest: int = LONGEST, share: int = SHARE,
-         chunk_bytes: int = CHUNK_BYTES) -> tuple[DataFrame, DataFrame]:
+         chunk_bytes: int = CHUNK_BYTES, pairs_each: int = PAIRS_EACH) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, words, a, l, r, score of every collocation; lang and n, its number of words).
 
     ``longest`` is at most 4.
@@ -272,7 +340,7 @@ def mine(docs: DataFrame, text: str = "text", lang: str = "lang", support: int =
             level = phrases.select("lang", "phrase", F.lit(words).alias("words"), F.col("f").alias("a"), "l", "r")
             candidates = level if candidates is None else candidates.unionByName(level)
         if words < longest:
-            relation, by = stored(extended(relation, frequent), f"collocation-{words + 1}", "zstd"), ("head", "tail")
+            relation, by = stored(extended(relation, frequent, support, pairs_each), f"collocation-{words + 1}", "zstd"), ("head", "tail")
     # read twice: as candidates and as those that hold others
     candidates = stored(best_cut(candidates), "collocation-candidates", "zstd")
     return not_inside(candidates, share), totals

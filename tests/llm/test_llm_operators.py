@@ -597,17 +597,34 @@ def collocation_rows():
     return rows
 
 
-@pytest.mark.parametrize("chunk", [100, 5000, 8 << 20])
-def test_op12_against_all_phrases(spark, chunk):
+@pytest.mark.parametrize("chunk,each", [(100, 16), (5000, 500), (8 << 20, 1 << 20)])
+def test_op12_against_all_phrases(spark, chunk, each):
     rows = collocation_rows()
     df = spark.createDataFrame([(i, t, x, 5, "z") for i, t, x in rows], "doc_id long, text string, lang string, n int, phrase string").repartition(3)
-    got = op12_collocations.digests(df, chunk_bytes=chunk).collect()
+    got = op12_collocations.digests(df, chunk_bytes=chunk, pairs_each=each).collect()
     assert len(got) > 20
     same(got, plain_collocations(rows))
     assert op12_collocations.digests(df.limit(0)).collect() == []
     assert op12_collocations.digests(df, support=10**6).collect() == []
 
 
+@pytest.mark.parametrize("each", [16, 1 << 20])
+def test_op12_leaves_out_rare_pairs_before_they_are_counted(spark, each):
+    """Every pair that occurs often enough comes out with its whole count, rare ones do not."""
+    df = spark.createDataFrame(collocation_rows(), "doc_id long, text string, lang string").repartition(3)
+    first = op12_collocations.occurrences(df, chunk_bytes=2000)
+    frequent = op12_collocations.counted(first, ("lang", "word"), 60)
+    word = {r["name"]: (r["lang"], r["word"]) for r in frequent.where("f is not null").collect()}
+    pairs = op12_collocations.extended(first, frequent, 60, each).where("places is null").groupBy("head", "tail").agg(F.sum("n").alias("n")).collect()
+    expected = collections.Counter()
+    for _, t, lang in collocation_rows():
+        for piece in re.split("[.,;:!?\\x0a-\\x0d]", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")):
+            w = re.findall("[^\\x20\\x09]+", piece)
+            expected.update((lang if lang is not None else "und", *p) for p in zip(w, w[1:]))
+    got = {(word[r["head"]][0], word[r["head"]][1], word[r["tail"]][1]): r["n"] for r in pairs}
+    assert got == {k: n for k, n in expected.items() if n >= 60} and len(got) < len(expected)
+
+
 def test_op12_score_is_exact_beyond_64_bits(spark):
     big = 9_000_000_000_000_000_003
     row = spark.createDataFrame([(big, big, big - 2)], "a long, l long, r long").select(op12_collocations.score_of(*map(F.col, "alr")).alias("s")).first()
