@@ -39,6 +39,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -73,16 +74,26 @@ WORDS = "chunk long, places binary, items binary, item int, n long, lang string,
 PAIRS = "chunk long, places binary, items binary, item int, n long, head long, tail long"
 
 
+def _packed(numbers: np.ndarray) -> bytes:
+    """Numbers of 32 bits by planes of bytes, compressed: small ones take little more than their low bytes."""
+    planes = np.ascontiguousarray(numbers, "<u4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.compress(planes.tobytes(), 3)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").reshape(-1).astype(np.int64)
+
+
 def _table(chunk: int, places: np.ndarray, items: np.ndarray, n: np.ndarray, names: list[str], meaning: list[pa.Array]) -> pa.Table:
-    """A chunk's relation (one row) and its item table; places are stored as steps, which compress well."""
+    """A chunk's relation (one row) and its item table; places are stored as steps, and both packed."""
     def column(first, rest, kind):
         return pa.concat_arrays([pa.array([first], kind), rest if isinstance(rest, pa.Array) else pa.array(rest, kind)])
 
-    steps = np.diff(places, prepend=0).astype("<i4")
-    m = len(n)
+    steps, m = np.diff(places, prepend=0), len(n)
     return pa.table([
         pa.array(np.full(m + 1, chunk, np.int64)),
-        column(steps.tobytes(), pa.nulls(m, pa.binary()), pa.binary()), column(items.astype("<i4").tobytes(), pa.nulls(m, pa.binary()), pa.binary()),
+        column(_packed(steps), pa.nulls(m, pa.binary()), pa.binary()), column(_packed(items), pa.nulls(m, pa.binary()), pa.binary()),
         column(None, np.arange(m, dtype=np.int32), pa.int32()), column(None, n, pa.int64()),
         *[column(None, x, x.type) for x in meaning]], names=["chunk", "places", "items", "item", "n", *names])
 
@@ -179,8 +190,7 @@ def occurrences(docs: DataFrame, text: str = "text", lang: str = "lang", chunk_b
 def _pairs(relation: pa.Table, frequent: pa.Table) -> tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """A chunk's frequent items merge-joined at adjacent places: its number, places, the pair at each, then head, tail and count of each pair."""
     first = relation.filter(pc.is_valid(relation["places"])).to_pylist()[0]
-    places = np.cumsum(np.frombuffer(first["places"], "<i4"), dtype=np.int64)
-    items = np.frombuffer(first["items"], "<i4")
+    places, items = np.cumsum(_unpacked(first["places"])), _unpacked(first["items"])
     # semi-join: items are renumbered by the table of those that are frequent
     number = np.full(int(items.max()) + 1 if len(items) else 0, -1, np.int64)
     number[frequent["item"].to_numpy()] = np.arange(frequent.num_rows)
@@ -194,31 +204,35 @@ def _pairs(relation: pa.Table, frequent: pa.Table) -> tuple[int, np.ndarray, np.
 
 
 def _hashed(head: np.ndarray, tail: np.ndarray, ranges: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(order by hash, range of each in that order, 32 further bits of each in that order) of a chunk's pairs."""
+    """(order by hash, range of each in that order, 24 bits of its place in the range) of a chunk's pairs; both ascend."""
     h = mix(mix(head.astype(U)) + tail.astype(U) * BASE)
     order = np.argsort(h, kind="stable")
     h = h[order]
-    return order, ((h >> U(32)) * U(ranges)) >> U(32), (h & U(0xFFFFFFFF)).astype("<u4")
+    # the top 64 bits but 32 of hash * ranges, without passing 64 bits
+    scaled = (h >> U(32)) * U(ranges) + (((h & U(0xFFFFFFFF)) * U(ranges)) >> U(32))
+    return order, scaled >> U(32), ((scaled & U(0xFFFFFFFF)) >> U(8)).astype(np.int64)
 
 
 def _counts_of_ranges(relation: pa.Table, frequent: pa.Table, ranges: int, support: int) -> pa.Table:
-    """For each range of hashes the hashes of a chunk's pairs in it, with their counts (``support`` says enough)."""
+    """For each range of hashes the hashes of a chunk's pairs in it (as steps), with their counts (``support`` says enough)."""
     chunk, _, _, head, tail, n = _pairs(relation, frequent)
     order, at, bits = _hashed(head, tail, ranges)
-    n = np.minimum(n[order], support).astype("<u4")
+    n = np.minimum(n[order], support)
     present, begin = np.unique(at, return_index=True)
     end = np.append(begin[1:], len(at))
+    steps = np.diff(bits, prepend=0)
+    steps[begin] = bits[begin]
     return pa.table([
         pa.array(np.full(len(present), chunk, np.int64)), pa.array(present.astype(np.int64)),
-        pa.array([bits[i:j].tobytes() for i, j in zip(begin, end)], pa.binary()),
-        pa.array([n[i:j].tobytes() for i, j in zip(begin, end)], pa.binary())], names=["chunk", "range", "hashes", "counts"])
+        pa.array([_packed(steps[i:j]) for i, j in zip(begin, end)], pa.binary()),
+        pa.array([_packed(n[i:j]) for i, j in zip(begin, end)], pa.binary())], names=["chunk", "range", "hashes", "counts"])
 
 
 def _enough(counts: pa.Table, support: int) -> pa.Table:
     """For each chunk one bit for each pair of a range: whether all pairs of its hash together occur ``support`` times."""
-    hashes = [np.frombuffer(x.as_py(), "<u4") for x in counts["hashes"]]
+    hashes = [np.cumsum(_unpacked(x.as_py())) for x in counts["hashes"]]
     _, which = np.unique(np.concatenate(hashes), return_inverse=True)
-    total = np.bincount(which, weights=np.concatenate([np.frombuffer(x.as_py(), "<u4") for x in counts["counts"]]))
+    total = np.bincount(which, weights=np.concatenate([_unpacked(x.as_py()) for x in counts["counts"]]))
     flags = np.split((total >= support)[which], np.cumsum([len(x) for x in hashes])[:-1])
     return pa.table([counts["chunk"], counts["range"], pa.array([np.packbits(x).tobytes() for x in flags], pa.binary())], names=["chunk", "range", "enough"])
 
@@ -227,7 +241,7 @@ def _extended(relation: pa.Table, frequent: pa.Table, ranges: int) -> pa.Table:
     """A chunk's relation of the next length, without the pairs whose hash is not frequent."""
     chunk, places, pair, head, tail, n = _pairs(relation, frequent)
     order, at, _ = _hashed(head, tail, ranges)
-    bits = {x["range"]: x["enough"] for x in relation.filter(pc.is_valid(relation["enough"])).select(["range", "enough"]).to_pylist()}
+    bits = {x["range"]: x["enough"] for x in relation["bits"][0].as_py() or []}
     present, size = np.unique(at, return_counts=True)
     keep = np.zeros(len(n), bool)
     if len(n):
@@ -249,7 +263,8 @@ def extended(relation: DataFrame, frequent: DataFrame, support: int, pairs_each:
     total = frequent.agg(F.sum("f")).first()[0] or 0
     ranges = max(1, -(-total // pairs_each))
     names = frequent.select("chunk", "item", "name").groupBy("chunk")
-    places = relation.where("places is not null").select("chunk", "places", "items")
+    # dealt by chunk once: the counts and the join below read one exchange
+    places = relation.where("places is not null").select("chunk", "places", "items").repartition("chunk")
 
     def count(left, right):
         out = _counts_of_ranges(left, right, ranges, support) if left.num_rows and right.num_rows else None
@@ -266,7 +281,8 @@ def extended(relation: DataFrame, frequent: DataFrame, support: int, pairs_each:
 
     counts = places.groupBy("chunk").cogroup(names).applyInArrow(count, "chunk long, range long, hashes binary, counts binary")
     bits = counts.groupBy("range").applyInArrow(enough, "chunk long, range long, enough binary")
-    both = places.unionByName(bits, allowMissingColumns=True)
+    sent = bits.groupBy("chunk").agg(F.collect_list(F.struct("range", "enough")).alias("bits"))
+    both = places.join(sent, "chunk", "left").select(F.col("chunk").alias("chunk"), "places", "items", "bits")
     return both.groupBy("chunk").cogroup(names).applyInArrow(extend, PAIRS)
 
 
