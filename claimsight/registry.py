@@ -52,6 +52,6 @@ def finalize(df: DataFrame) -> DataFrame:
 def load_all() -> dict[str, Query]:
     """Import every module that registers queries and return the registry."""
     from .operators import quality, gate, fraud, writes  # noqa: F401
-    from .plans import models, features, oversampling, reports, training  # noqa: F401
-    from .streaming import jobs, keyed_state  # noqa: F401
+    from .plans import models, features, oversampling, reports, sketches, training  # noqa: F401
+    from .streaming import in_force, jobs, keyed_state  # noqa: F401
     return REGISTRY

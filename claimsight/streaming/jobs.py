@@ -376,12 +376,17 @@ def enriched_claims(rel, claims: DataFrame | None = None) -> DataFrame:
         .select("claim_id", "member_id", "plan_code", "member_county", "provider_id", "accreditation_status")
 
 
+def promoted_version(model_log: DataFrame) -> str | None:
+    """The version of the newest promoted row, if there is one."""
+    row = model_log.filter(F.col("promoted")).agg(
+        F.max_by("model_version", F.struct("evaluation_date", "log_id")).alias("v")).first()
+    return row.v
+
+
 def score_batch(batch: DataFrame, model_log: DataFrame, models: dict, features) -> DataFrame:
     """Score a micro-batch with the newest promoted model and record its version."""
     from ..plans.training import score
-    row = model_log.filter(F.col("promoted")).agg(
-        F.max_by("model_version", F.struct("evaluation_date", "log_id")).alias("v")).first()
-    version = row.v if row else None
+    version = promoted_version(model_log)
     if version is None or version not in models:
         raise LookupError("no promoted model available")
     return score(models[version], batch, features).withColumn("model_version", F.lit(version))
