@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions.exprs import lit_date, lit_ts
 from ..registry import register
+from ..sources.mapping import stored_spine
 
 AS_OF = K.AS_OF
 TS = K.AS_OF_SQL
@@ -54,8 +55,9 @@ def gate_checks(rel, as_of: _dt.datetime = AS_OF, events_as_of: _dt.datetime = K
     aggregates map-side) and joined to one claim spine on ``claim_id``, so the
     claims are shuffled once for nine checks; investigations and outcomes are
     one left join for two checks.  The remaining checks are single scans or
-    anti joins on other keys.
+    anti joins on other keys.  All read one stored claim spine.
     """
+    rel = stored_spine(rel)
     c, m, p = rel.claims, rel.members, rel.providers
     spine = c.select("claim_id", "member_id", "provider_id", "status", "amount_claimed", "amount_approved",
                      "date_of_service", "date_submitted", "submitted_at", "_loaded_at")
@@ -207,6 +209,7 @@ LOADED = (*_COUNTED, "icd10_codes", "drug_formulary", "stock_levels")
 
 def post_load_summary(rel) -> DataFrame:
     """(check_name, status, value, detail): 11 row counts, 4 integrity checks, gate criticals."""
+    rel = stored_spine(rel)
     parts = [rel.__getattribute__(t).agg(F.count(F.lit(1)).alias("n"))
              .select(F.lit(f"row_count.{_COUNT_NAMES.get(t, t)}").alias("check_name"), F.lit("OK").alias("status"),
                      F.col("n").cast("string").alias("value"), F.lit(t).alias("detail"))
