@@ -14,25 +14,30 @@ from pyspark.sql import functions as F
 
 
 def rolling_counts(df: DataFrame, key, ts_col: str, windows: dict[str, int], id_col: str,
-                   distinct_col: str | None = None, forward: bool = False) -> DataFrame:
+                   distinct_col: str | None = None, forward: bool = False, span: int = 1) -> DataFrame:
     """For every row: number of rows of the same ``key`` with time in
     ``[t - w, t]`` (current row and ties included) for each named window ``w``
     (seconds); with ``distinct_col`` the number of distinct values instead;
     with ``forward`` the frame is ``[t, t + w]``.
 
-    Layout: bucket width = largest window; each row is a probe in its own
-    bucket and data in its own and the next bucket (2x rows), so every frame
-    fits in one (key, bucket) partition.  A forward frame is a backward frame
+    Layout: bucket width = ``span`` times the largest window; each row is a probe
+    in its own bucket and data there, and data in the next bucket when it lies in
+    the last window of its own (1 + 1 / ``span`` copies), so every frame fits in
+    one (key, bucket) partition.  A forward frame is a backward frame
     on the negated time axis.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    width = max(windows.values())
+    longest = max(windows.values())
+    width = span * longest
     t = F.unix_seconds(F.col(ts_col).cast("timestamp"))
     if forward:
         t = -t
     base = df.select(*keys, id_col, t.alias("_t"), *([distinct_col] if distinct_col else []))
     base = base.withColumn("_b", F.floor(F.col("_t") / width))
-    rows = base.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("_shift")) \
+    both = F.array(F.lit(0), F.lit(1))
+    if span > 1:                 # rows without time stay in their own bucket
+        both = F.when(F.col("_t") >= (F.col("_b") + 1) * width - longest, both).otherwise(F.array(F.lit(0)))
+    rows = base.select("*", F.explode(both).alias("_shift")) \
         .withColumn("_pb", F.col("_b") + F.col("_shift"))
     w = Window.partitionBy(*keys, "_pb").orderBy("_t")
     outs = []
@@ -50,43 +55,37 @@ def rolling_counts_by_slot(df: DataFrame, key: str, ts_col: str, windows: dict[s
     """(key, ``at``: second, counts): number of rows of ``key`` with time in ``[at - w, at]``
     for each named window ``w``, a multiple of ``slot`` seconds.
 
-    Two levels: rows are counted per second and per slot.  A window starts at the
-    same place in its first slot as the row has in its own, so its count is the
-    own slot up to the row, plus the totals of the slots before it back to the
-    first one, less the first slot's seconds before that place.  Slot totals are
-    differences of running sums over the key's slots (bounded by the calendar);
-    the two edge slots meet in one (key, slot) partition of at most ``slot``
-    seconds for each window and one more, however many rows the key has.  All
-    frames grow from the partition's start, so each row is added once.  Rows
-    without key or time are left out.
+    Rows are counted per second, then dealt by (key, block of four times the
+    longest window); seconds of a block's last window also go to the next block,
+    so 1.25 copies are shuffled.  Inside a block each second adds itself and, for
+    each window, a mark at the window's start: one running sum over seconds and
+    marks gives the count up to the second and the counts before its windows,
+    whose differences are the results.  The marks are made after the rows are
+    dealt, each row is added once, and a partition holds at most five windows of
+    one key in seconds, however many rows the key has.  Rows without key or time
+    are left out.
     """
     if any(w <= 0 or w % slot for w in windows.values()):
         raise ValueError("windows must be multiples of the slot")
-    shifts = {name: w // slot for name, w in windows.items()}
+    longest = max(windows.values())
+    block = 4 * longest
     t = F.unix_seconds(F.col(ts_col).cast("timestamp"))
     seconds = (df.select(key, t.alias(at)).where(F.col(key).isNotNull() & F.col(at).isNotNull())
                .groupBy(key, at).agg(F.count(F.lit(1)).alias("_n")))
-    seconds = seconds.withColumn("_s", F.floor(F.col(at) / slot)).withColumn("_o", F.col(at) - F.col("_s") * slot)
-    # a slot's seconds are data of their own slot and of the slots whose windows start in it
-    rows = seconds.select(key, at, "_o", "_n", "_s", F.explode(F.array(*[F.lit(m) for m in sorted({0, *shifts.values()})])).alias("_m"))
-    rows = rows.select(key, at, "_o", "_n", "_m", (F.col("_s") + F.col("_m")).alias("_s"))
-    place = Window.partitionBy(key, "_s").orderBy("_o")
-    upto, before = (place.rangeBetween(Window.unboundedPreceding, x) for x in (0, -1))
-
-    def of(m: int):
-        return F.when(F.col("_m") == m, F.col("_n")).otherwise(0)
-
-    edges = rows.select(key, at, "_s", "_m", F.sum(of(0)).over(upto).alias("_own"),
-                        *[F.sum(of(m)).over(before).alias(f"_first_{name}") for name, m in shifts.items()]).where("_m = 0")
-    slots = Window.partitionBy(key).orderBy("_s")
-
-    def running(last: int):
-        return F.coalesce(F.sum("_n").over(slots.rangeBetween(Window.unboundedPreceding, last)), F.lit(0))
-
-    totals = seconds.groupBy(key, "_s").agg(F.sum("_n").alias("_n")).select(
-        key, "_s", *[(running(-1) - running(-m - 1)).alias(f"_slots_{name}") for name, m in shifts.items()])
-    return edges.join(totals, [key, "_s"]).select(
-        key, at, *[(F.col("_own") + F.col(f"_slots_{name}") - F.coalesce(f"_first_{name}", F.lit(0))).alias(name) for name in windows])
+    own = F.floor(F.col(at) / block)
+    late = F.col(at) >= (own + 1) * block - longest
+    dealt = seconds.select(key, at, "_n", F.explode(F.when(late, F.array(own, own + 1)).otherwise(F.array(own))).alias("_b"))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = dealt.repartition(parts, key, "_b")
+    # (place, mark, rows): mark 0 is the second itself, mark i the start of window i; marks come before the seconds of their place
+    names = list(windows)
+    itself = F.struct(F.col(at).alias("p"), F.lit(0).alias("m"), F.col("_n").alias("n"))
+    starts = [F.struct((F.col(at) - windows[name]).alias("p"), F.lit(i).alias("m"), F.lit(0).cast("long").alias("n")) for i, name in enumerate(names, 1)]
+    places = dealt.select(key, "_b", at, F.inline(F.when(own == F.col("_b"), F.array(itself, *starts)).otherwise(F.array(itself))))
+    w = Window.partitionBy(key, "_b").orderBy("p", F.col("m") == 0).rowsBetween(Window.unboundedPreceding, 0)
+    sums = places.select(key, "_b", at, "m", F.sum("n").over(w).alias("_c"))
+    of = sums.where(own == F.col("_b")).groupBy(key, "_b", at).agg(*[F.max(F.when(F.col("m") == i, F.col("_c"))).alias(f"_c{i}") for i in range(len(names) + 1)])
+    return of.select(key, at, *[(F.col("_c0") - F.col(f"_c{i}")).alias(name) for i, name in enumerate(names, 1)])
 
 
 def asof_rate(events: DataFrame, probes: DataFrame, key: str, ev_ts: str, probe_ts: str, flag: str,

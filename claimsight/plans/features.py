@@ -2,10 +2,9 @@
 when the claim is submitted (X02 over earlier days, X04 evidence recorded by
 then, X08 and X10 verdicts and approvals before it).
 
-Counts of a provider's claims over time come from two levels
-(:func:`rolling_counts_by_slot`): hour totals as running sums, and the seconds
-of the two edge hours, so a provider holding a third of all claims is split
-into partitions of bounded size.  Distinct counts use a *time-bucketed* window
+Counts of a provider's claims over time (:func:`rolling_counts_by_slot`) are
+differences of running sums over seconds within blocks of time, so a provider
+holding a third of all claims is split into partitions of bounded size.  Distinct counts use a *time-bucketed* window
 layout (:func:`rolling_counts`): rows are keyed by (entity, bucket of the
 largest window) and copied once into the next bucket.  The as-of fraud history
 (:func:`asof_rate`) prefix-sums day totals and scans only the current day row
@@ -20,6 +19,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions.exprs import lit_date
 from ..registry import register
+from ..sources.mapping import stored_spine
 
 HOUR = 3600
 DAY = 86400
@@ -30,7 +30,8 @@ from ..operators.windows import asof_rate, days_since_previous, rolling_counts,
 
 # --------------------------------------------------------------- features
 def claim_features(rel) -> DataFrame:
-    """X01-X11 for every claim, one row per claim."""
+    """X01-X11 for every claim, one row per claim.  All parts read one stored claim spine."""
+    rel = stored_spine(rel)
     c = rel.claims.select("claim_id", "member_id", "provider_id", "diagnosis_code", "date_of_service", "date_submitted",
                           "amount_claimed", "amount_approved", "submitted_at", "updated_at")
     dx = rel.icd10_codes.select(F.col("icd10_code").alias("diagnosis_code"), "clinical_category")
@@ -56,6 +57,9 @@ def claim_features(rel) -> DataFrame:
     evid = (rel.vitals.select("claim_id", F.col("_loaded_at").alias("_v"), F.lit(None).cast("timestamp_ntz").alias("_rx"))
             .unionByName(rel.prescriptions.select("claim_id", F.lit(None).cast("timestamp_ntz").alias("_v"), F.col("_loaded_at").alias("_rx")))
             .groupBy("claim_id").agg(F.min("_v").alias("_v"), F.min("_rx").alias("_rx")))
+    # the join on the member comes before those on claim_id, which then share one shuffle of the claims
+    lim = rel.members.select("member_id", "plan_code").join(rel.plans.select("plan_code", "annual_limit_kes"), "plan_code")
+    c = c.join(lim.select("member_id", "annual_limit_kes"), "member_id", "left")
     c = c.join(evid, "claim_id", "left").withColumn("has_matching_vitals", F.col("_v") <= F.col("submitted_at")) \
         .withColumn("has_matching_prescription", F.col("_rx") <= F.col("submitted_at"))
     # Provider rolling counts on submitted_at
@@ -64,17 +68,16 @@ def claim_features(rel) -> DataFrame:
                                  "provider_claims_7d": 7 * DAY, "provider_claims_30d": 30 * DAY}, "_submitted_s")
     # Distinct providers of the member in the 7 days up to the claim
     mp = rolling_counts(rel.claims.withColumn("_d", F.col("date_of_service").cast("timestamp")), "member_id", "_d",
-                        {"member_provider_count_7d": 6 * DAY}, "claim_id", distinct_col="provider_id")
+                        {"member_provider_count_7d": 6 * DAY}, "claim_id", distinct_col="provider_id", span=8)
     # Amounts of the member's service year whose approval came before this claim was submitted (its own
     # approval never counts), over the plan's annual limit
-    lim = rel.members.select("member_id", "plan_code").join(rel.plans.select("plan_code", "annual_limit_kes"), "plan_code")
     year = rel.claims.withColumn("_k", F.concat_ws("|", "member_id", F.year("date_of_service")))
     ytd = asof_rate(year.filter(F.col("amount_approved").isNotNull()), year, "_k", "updated_at", "submitted_at", "amount_approved",
                     "claim_id", cast="decimal(15,2)").select("claim_id", F.col("prior_flagged").alias("_ytd"))
     own = F.when(F.col("updated_at") < F.col("submitted_at"), F.coalesce("amount_approved", F.lit(0))).otherwise(F.lit(0))
     # X11: days since the member's previous claim (velocity = its mean per member, see member_velocity)
     gap = days_since_previous(rel.claims, "member_id", "date_of_service", "claim_id").select("claim_id", F.col("gap").alias("_gap"))
-    c = c.join(lim.select("member_id", "annual_limit_kes"), "member_id", "left").join(ytd, "claim_id").join(gap, "claim_id")
+    c = c.join(ytd, "claim_id").join(gap, "claim_id")
     out = c.select(
         "claim_id", "member_id", "provider_id", "clinical_category", "days_to_submit",
         (F.col("days_to_submit") == 0).alias("is_same_day_submission"),

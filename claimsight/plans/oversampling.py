@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from ..registry import register
 from ..session import checkpoint_dir
+from ..sources.mapping import stored_spine
 from .features import FEATURE_COLUMNS, claim_features, label_set
 
 SEED = 42
@@ -120,8 +121,9 @@ def between(synthetic: DataFrame, df: DataFrame, features: list[str], key: str =
     return both.select("synthetic_id", F.coalesce(F.forall(F.array(*[inside(c) for c in features]), lambda x: x), F.lit(False)).alias("inside"))
 
 
-def _training(rel) -> DataFrame:
-    """Labelled features, written once: oversampling reads them several times."""
+def training_rows(rel) -> DataFrame:
+    """Labelled features, written once: oversampling and training read them several times."""
+    rel = stored_spine(rel)
     spark = rel.claims.sparkSession
     path = f"{checkpoint_dir(spark)}/labelled-{uuid.uuid4().hex}"
     rows = label_set(claim_features(rel), rel.fraud_investigation_outcomes).select("claim_id", "label", *FEATURE_COLUMNS)
@@ -132,7 +134,7 @@ def _training(rel) -> DataFrame:
 @register("train_x14_smote")
 def smote_rows(rel) -> DataFrame:
     """Synthetic rows of the rarer verdict up to the number of the other."""
-    return smote(_training(rel), FEATURE_COLUMNS)
+    return smote(training_rows(rel), FEATURE_COLUMNS)
 
 
 @register("train_x14_smote_summary", sql=(
@@ -143,7 +145,7 @@ def smote_rows(rel) -> DataFrame:
     "greatest(minority, majority) AS majority, CASE WHEN least(minority, majority) = 0 THEN 0 ELSE abs(majority - minority) END AS made FROM n)"))
 def smote_summary(rel) -> DataFrame:
     """X14 checked: class sizes, synthetic rows, those between two rare-class rows (all must be), and different ids."""
-    rows = _training(rel)
+    rows = training_rows(rel)
     made = smote(rows, FEATURE_COLUMNS)
     one, zero = F.count_if(F.col("label") == 1), F.count_if(F.col("label") == 0)
     sizes = rows.agg(F.least(one, zero).alias("minority"), F.greatest(one, zero).alias("majority"))

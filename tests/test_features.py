@@ -114,3 +114,23 @@ def test_features_know_nothing_after_submission(spark, rel):
     planted = SimpleNamespace(**{n: getattr(rel, n) for n in names} | {"claims": claims.unionByName(future), "vitals": vitals})
     a, b = claim_features(rel), claim_features(planted).filter(~F.col("claim_id").endswith("-later"))
     assert a.count() == b.count() and a.exceptAll(b.select(a.columns)).count() == 0
+
+
+@pytest.mark.parametrize("span", [1, 4])
+def test_distinct_counts_over_wide_buckets(spark, span):
+    rnd = random.Random(6)
+    base = dt.datetime(1969, 12, 1)
+    rows = [(f"c{i}", f"m{rnd.randrange(2)}", f"p{rnd.randrange(6)}", base + dt.timedelta(days=rnd.randrange(80))) for i in range(200)]
+    df = spark.createDataFrame([*rows, ("none", "m0", "p0", None)], "claim_id string, member_id string, provider_id string, ts timestamp_ntz")
+    got = [(r.claim_id, r.n) for r in rolling_counts(df, "member_id", "ts", {"n": 6 * 86400}, "claim_id", distinct_col="provider_id", span=span).collect()]
+    assert sorted(got) == sorted([(c, len({p for _, n, p, u in rows if n == m and t - dt.timedelta(days=6) <= u <= t})) for c, m, _, t in rows] + [("none", 1)])
+
+
+def test_slot_counts_shuffle_few_copies(spark):
+    """Rows are dealt 1.25 times on average, however many windows there are; the marks are made after that."""
+    df = spark.range(4000).selectExpr("concat('p', id % 3) as k", "timestamp_seconds(id * 3600) as ts")
+    out = rolling_counts_by_slot(df, "k", "ts", {f"w{n}": n * 3600 for n in (1, 2, 6, 24, 100)}, "at")
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "REPARTITION_BY_NUM" in plan and plan.index("REPARTITION_BY_NUM") > plan.index("inline(")     # the generate above the exchange
+    assert plan.count("Exchange hashpartitioning") == 2

@@ -6,6 +6,7 @@ import pytest
 
 from claimsight.operators.gate import gate_checks
 from claimsight.operators.quality import SUITE, run_suite
+from claimsight.plans.features import claim_features
 from claimsight.sources.mapping import SPINE_RELATIONS, Relations, stored_spine
 
 SF = "/root/testdata/sf0.001"
@@ -30,8 +31,8 @@ def test_stored_once(spark):
     assert stored_spine(once) is once and stored_spine(other := object()) is other
 
 
-@pytest.mark.parametrize("build", [run_suite, gate_checks, next(r for r in SUITE.rules if r.test_id == "CK10").spark],
-                         ids=["dq_suite_row_rules", "gate_checks", "dq_ck10"])
+@pytest.mark.parametrize("build", [run_suite, gate_checks, claim_features, next(r for r in SUITE.rules if r.test_id == "CK10").spark],
+                         ids=["dq_suite_row_rules", "gate_checks", "feat_x01_x11_claim_features", "dq_ck10"])
 def test_branches_do_not_join_again(spark, build):
     assert joins_of_lineitem(Relations(spark, SF).claims)[1] == 1     # what a branch costs without the stored spine
     assert joins_of_lineitem(build(Relations(spark, SF)))[1] == 0
