@@ -65,7 +65,7 @@ def publish(df: DataFrame, key: str) -> DataFrame:
     return df.select(F.col(key).cast("string").alias("key"), F.to_json(F.struct(*df.columns)).alias("value"))
 
 
-def write_replay(df: DataFrame, ts_col: str, path: str, from_date: _dt.date | None = None) -> None:
+def write_replay(df: DataFrame, ts_col: str, path: str, from_date: _dt.date | None = None, compression: str = "none") -> None:
     """Bucket rows by event day (missing date -> 0001-01-01), optional
     resume date, one directory per day so a file stream replays day by day.
 
@@ -78,11 +78,11 @@ def write_replay(df: DataFrame, ts_col: str, path: str, from_date: _dt.date | No
     out = df.withColumn("day", day)
     if from_date:
         out = out.filter(F.col("day") >= F.lit(from_date.isoformat()).cast("date"))
-    out.hint("rebalance", "day").write.mode("overwrite").partitionBy("day").json(path)
+    out.hint("rebalance", "day").write.mode("overwrite").partitionBy("day").json(path, compression=compression)
     if not order_days(df.sparkSession, path):
         days = [r[0] for r in out.select("day").distinct().orderBy("day").collect()]        # calendar days
         for i, d in enumerate(days):
-            out.filter(F.col("day") == F.lit(d)).write.mode("append" if i else "overwrite").partitionBy("day").json(path)
+            out.filter(F.col("day") == F.lit(d)).write.mode("append" if i else "overwrite").partitionBy("day").json(path, compression=compression)
 
 
 def order_days(spark: SparkSession, path: str) -> bool:

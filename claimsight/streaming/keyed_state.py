@@ -3,6 +3,12 @@
 State lives in the RocksDB store, so it is bounded by the executors' disks and
 checkpointed by changes; event-time timers drop what no later claim can meet.
 
+A processor is called once for each grouping key and trigger, and every call and
+state access crosses to the JVM, so the keys (members; member, provider and
+diagnosis) are dealt by hash over ``parts`` groups that share one state: the calls
+grow with the groups, and the rows of a group are compared as arrays.  ``parts``
+belongs to a checkpoint like the key itself; a restart takes the same number.
+
 * ``ProviderSpread`` keeps one entry for each (day, provider) of a member, where
   the windowed aggregate keeps every claim in seven sliding windows; a timer at
   the next window end reports all that the watermark has passed, and then drops
@@ -19,8 +25,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -36,8 +43,22 @@ SPREAD = "member_id string, window_start timestamp, window_end timestamp, provid
 PAIRS = "original_claim_id string, potential_duplicate_id string"
 
 
-def _utc(ms: int) -> pd.Timestamp:
-    return pd.Timestamp(ms, unit="ms")
+#: groups that share one state, and the claims that one of them is meant for
+PARTS, CLAIMS_PER_PART = 64, 50_000
+SEEN = ["member_id", "day", "provider_id"]
+WHO = ["member_id", "provider_id", "diagnosis_code"]
+RECENT = ["ts_ms", "claim_id", "amount", *WHO]
+
+
+def _held(state, columns: list[str]) -> pd.DataFrame:
+    return pd.DataFrame(list(state.get()), columns=columns)
+
+
+def _put(state, rows: pd.DataFrame) -> None:
+    if len(rows):
+        state.put(list(rows.itertuples(index=False, name=None)))
+    else:
+        state.clear()
 
 
 class ProviderSpread(StatefulProcessor):
@@ -48,38 +69,44 @@ class ProviderSpread(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.seen = handle.getListState("seen", "day long, provider string")
+        self.seen = handle.getListState("seen", "member_id string, day long, provider_id string")
         self.done = handle.getValueState("done", "end long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        held = set(self.seen.get())
-        fresh = {(int(d), p) for batch in rows for d, p in zip(batch["ts_ms"] // DAY_MS, batch["provider_id"], strict=True)} - held
-        if fresh:
-            self.seen.appendList(sorted(fresh))
-            self.handle.registerTimer((min(fresh)[0] + 1) * DAY_MS)
+        fresh = pd.concat([b.assign(day=b["ts_ms"] // DAY_MS)[SEEN].drop_duplicates() for b in rows]).drop_duplicates()
+        if len(fresh):
+            held = _held(self.seen, SEEN)
+            if len(held):
+                fresh = pd.concat([held, fresh]).drop_duplicates().iloc[len(held):]
+        if len(fresh):
+            self.seen.appendList(list(fresh.itertuples(index=False, name=None)))
+            self.handle.registerTimer((int(fresh["day"].min()) + 1) * DAY_MS)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         """Reports every window that has ended by the watermark and none before, then forgets days and waits for the next end."""
-        held, last = sorted(self.seen.get()), timerValues.getCurrentWatermarkInMs() // DAY_MS
+        last = timerValues.getCurrentWatermarkInMs() // DAY_MS
         done = self.done.get()[0] if self.done.exists() else 0
-        by_day: dict[int, set] = {}
-        for day, provider in held:
-            by_day.setdefault(day, set()).add(provider)
-        ends = sorted({e for day in by_day for e in range(max(day, done) + 1, min(day + WINDOW_DAYS, last) + 1)})
-        found = [(e, len(set().union(*(by_day.get(d, ()) for d in range(e - WINDOW_DAYS, e))))) for e in ends]
-        found = [(e, n) for e, n in found if n >= self.least]
-        kept = [x for x in held if x[0] + WINDOW_DAYS > last]
+        if done >= last:                        # another timer of this group has reported them
+            return
+        held = _held(self.seen, SEEN)
+        ends = pd.concat([held.assign(end=held["day"] + n) for n in range(1, WINDOW_DAYS + 1)])
+        ends = ends[(ends["end"] > done) & (ends["end"] <= last)].drop_duplicates(["member_id", "end", "provider_id"])
+        found = ends.groupby(["member_id", "end"], dropna=False).size()
+        found = found[found >= self.least].reset_index(name="providers")
+        kept = held[held["day"] + WINDOW_DAYS > last]
         if len(kept) < len(held):
-            self.seen.put(kept) if kept else self.seen.clear()
-        if kept:
+            _put(self.seen, kept)
+        if len(kept):
             self.done.update((last,))
-            self.handle.registerTimer(max(kept[0][0], last) * DAY_MS + DAY_MS)
+            self.handle.registerTimer(max(int(kept["day"].min()), last) * DAY_MS + DAY_MS)
         else:
             self.done.clear()
-        if found:
-            yield pd.DataFrame({"member_id": key[0], "window_start": [_utc((e - WINDOW_DAYS) * DAY_MS) for e, _ in found],
-                                "window_end": [_utc(e * DAY_MS) for e, _ in found], "providers": [n for _, n in found]})
+        if len(found):
+            end = found["end"].astype("int64")
+            yield pd.DataFrame({"member_id": found["member_id"].astype(object).where(found["member_id"].notna(), None),
+                                "window_start": pd.to_datetime((end - WINDOW_DAYS) * DAY_MS, unit="ms"),
+                                "window_end": pd.to_datetime(end * DAY_MS, unit="ms"), "providers": found["providers"]})
 
     def close(self) -> None:
         pass
@@ -93,51 +120,82 @@ class DuplicateClaims(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.recent = handle.getListState("recent", "ts_ms long, claim_id string, amount double")
+        self.recent = handle.getListState(
+            "recent", "ts_ms long, claim_id string, amount double, member_id string, provider_id string, diagnosis_code string")
+
+    def pairs(self, claims: pd.DataFrame, held: int) -> pd.DataFrame:
+        """Pairs of ``claims`` of which at least one is not among the first ``held`` rows.
+
+        Rows stand in order of key and time; a row meets its next, then its second next, and so
+        on, and leaves once that one has another key or is past the band.
+        """
+        who = claims.groupby(WHO, dropna=False, sort=False).ngroup().to_numpy()
+        ts, amount, name = claims["ts_ms"].to_numpy("int64"), claims["amount"].to_numpy("float64"), claims["claim_id"].to_numpy(object)
+        order = np.lexsort((ts, who))
+        who, ts, amount, name, fresh = who[order], ts[order], amount[order], name[order], order >= held
+        firsts, seconds = [], []
+        at, step = np.arange(len(order)), 0
+        while len(at):
+            step += 1
+            at = at[at + step < len(order)]
+            to = at + step
+            near = (who[at] == who[to]) & (ts[to] - ts[at] <= self.band)
+            at, to = at[near], to[near]
+            new = fresh[at] | fresh[to]
+            i, j = at[new], to[new]
+            swap = (name[j] < name[i]).astype(bool)
+            i, j = np.where(swap, j, i), np.where(swap, i, j)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                hit = (name[i] != name[j]).astype(bool) & (amount[i] != 0) & (np.abs(amount[i] - amount[j]) / amount[i] < self.gap)
+            firsts.append(name[i[hit]])
+            seconds.append(name[j[hit]])
+        return pd.DataFrame({"original_claim_id": np.concatenate(firsts), "potential_duplicate_id": np.concatenate(seconds)})
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        held, pairs, fresh = list(self.recent.get()), [], []
-        for batch in rows:
-            for new in batch[["ts_ms", "claim_id", "amount"]].itertuples(index=False, name=None):
-                for old in (*held, *fresh):
-                    first, second = sorted((old, new), key=lambda c: c[1])
-                    near = abs(old[0] - new[0]) <= self.band and first[1] != second[1]
-                    if near and first[2] and abs(first[2] - second[2]) / first[2] < self.gap:
-                        pairs.append((first[1], second[1]))
-                fresh.append(new)
-        if fresh:
-            self.recent.appendList(fresh)
-            # one timer for each key and hour of arrival
-            for hour in {(ts + self.band) // 3_600_000 + 1 for ts, _, _ in fresh}:
-                self.handle.registerTimer(hour * 3_600_000)
-        if pairs:
-            yield pd.DataFrame(pairs, columns=["original_claim_id", "potential_duplicate_id"])
+        fresh = pd.concat([b[RECENT] for b in rows])
+        if not len(fresh):
+            return
+        held = _held(self.recent, RECENT)
+        found = self.pairs(pd.concat([held, fresh], ignore_index=True) if len(held) else fresh.reset_index(drop=True), len(held))
+        self.recent.appendList(list(fresh.itertuples(index=False, name=None)))
+        self._wait(fresh)
+        if len(found):
+            yield found
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        until = expiredTimerInfo.getExpiryTimeInMs() - self.band
-        kept = [c for c in self.recent.get() if c[0] >= until]
-        if kept:
-            self.recent.put(kept)
-        else:
-            self.recent.clear()
+        held = _held(self.recent, RECENT)
+        kept = held[held["ts_ms"] + self.band >= timerValues.getCurrentWatermarkInMs()]
+        if len(kept) < len(held):
+            _put(self.recent, kept)
+            if len(kept):
+                self._wait(kept)
         return iter(())
 
+    def _wait(self, claims: pd.DataFrame) -> None:
+        """A timer at the end of the hour in which the first of these claims leaves the band."""
+        self.handle.registerTimer(((int(claims["ts_ms"].min()) + self.band) // 3_600_000 + 1) * 3_600_000)
+
     def close(self) -> None:
         pass
 
 
-def provider_spread_keyed(stream: DataFrame, least: int, ts: str = "submitted_at") -> DataFrame:
+def _part(keys: list[str], parts: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int").alias("part")
+
+
+def provider_spread_keyed(stream: DataFrame, least: int, ts: str = "submitted_at", parts: int = PARTS) -> DataFrame:
     """R07 over a stream with a watermark on ``ts``."""
-    keyed = stream.select("member_id", "provider_id", F.unix_millis(F.col(ts).cast("timestamp")).alias("ts_ms"), ts)
-    return keyed.groupBy("member_id").transformWithStateInPandas(
+    keyed = stream.select(_part(["member_id"], parts), "member_id", "provider_id",
+                          F.unix_millis(F.col(ts).cast("timestamp")).alias("ts_ms"), ts).where("ts_ms is not null")
+    return keyed.groupBy("part").transformWithStateInPandas(
         statefulProcessor=ProviderSpread(least), outputStructType=SPREAD, outputMode="Append", timeMode="EventTime")
 
 
-def duplicate_claims_keyed(stream: DataFrame, hours: int = 48, gap: float = 0.05, ts: str = "submitted_at") -> DataFrame:
+def duplicate_claims_keyed(stream: DataFrame, hours: int = 48, gap: float = 0.05, ts: str = "submitted_at", parts: int = PARTS) -> DataFrame:
     """R08 over a stream with a watermark on ``ts``: each pair when its second claim arrives."""
-    keyed = stream.select("member_id", "provider_id", "diagnosis_code", "claim_id", F.col("amount_claimed").cast("double").alias("amount"),
-                          F.unix_millis(F.col(ts).cast("timestamp")).alias("ts_ms"), ts).where("amount is not null")
-    return keyed.groupBy("member_id", "provider_id", "diagnosis_code").transformWithStateInPandas(
+    keyed = stream.select(_part(WHO, parts), *WHO, "claim_id", F.col("amount_claimed").cast("double").alias("amount"),
+                          F.unix_millis(F.col(ts).cast("timestamp")).alias("ts_ms"), ts).where("amount is not null and ts_ms is not null")
+    return keyed.groupBy("part").transformWithStateInPandas(
         statefulProcessor=DuplicateClaims(hours, gap), outputStructType=PAIRS, outputMode="Append", timeMode="EventTime")
 
 
@@ -164,12 +222,14 @@ def state_sizes(progress: list[dict]) -> list[int]:
 
 
 def _replayed(rel, detector, schema: str) -> DataFrame:
-    """The detector over all claims, landed by day and read in several triggers."""
+    """The detector (of a stream and its number of groups) over all claims, landed by day and read in several triggers."""
     spark: SparkSession = rel.claims.sparkSession
-    root = f"{checkpoint_dir(spark)}/keyed-{uuid.uuid4().hex}"
+    root, landed = f"{checkpoint_dir(spark)}/keyed-{uuid.uuid4().hex}", Observation()
     # a month of claims lands as one directory, so a trigger reads whole months
-    write_replay(rel.claims.withColumn("_month", F.trunc(F.to_date("submitted_at"), "month")), "_month", f"{root}/claims")
-    run_keyed(read_replay(spark, f"{root}/claims", "claims", 30), detector, f"{root}/out", f"{root}/checkpoint")
+    months = rel.claims.withColumn("_month", F.trunc(F.to_date("submitted_at"), "month")).observe(landed, F.count(F.lit(1)).alias("claims"))
+    write_replay(months, "_month", f"{root}/claims", compression="gzip")
+    parts = max(PARTS, landed.get["claims"] // CLAIMS_PER_PART)
+    run_keyed(read_replay(spark, f"{root}/claims", "claims", 30), lambda s: detector(s, parts), f"{root}/out", f"{root}/checkpoint")
     return spark.read.schema(schema).parquet(f"{root}/out")
 
 
@@ -180,7 +240,7 @@ def _replayed(rel, detector, schema: str) -> DataFrame:
     "FROM w, last WHERE ws + INTERVAL 7 DAY <= mark GROUP BY 1, 2, 3 HAVING COUNT(DISTINCT provider_id) >= 3"))
 def spread_keyed(rel) -> DataFrame:
     """R07 by keyed state over several triggers: every window that the watermark has closed."""
-    out = _replayed(rel, lambda s: provider_spread_keyed(s, 3), SPREAD)
+    out = _replayed(rel, lambda s, parts: provider_spread_keyed(s, 3, parts=parts), SPREAD)
     return out.select("member_id", F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                       F.col("window_end").cast("timestamp_ntz").alias("window_end"), "providers")
 
@@ -192,7 +252,7 @@ def spread_keyed(rel) -> DataFrame:
     "WHERE abs(CAST(a.amount_claimed AS DOUBLE) - CAST(b.amount_claimed AS DOUBLE)) / NULLIF(CAST(a.amount_claimed AS DOUBLE), 0) < 0.2"))
 def duplicates_keyed(rel) -> DataFrame:
     """R08 by keyed state over several triggers (30 days, 20 %): each pair once, when its second claim arrives."""
-    return _replayed(rel, lambda s: duplicate_claims_keyed(s, 720, 0.2), PAIRS)
+    return _replayed(rel, lambda s, parts: duplicate_claims_keyed(s, 720, 0.2, parts=parts), PAIRS)
 
 
 __all__ = ["DuplicateClaims", "ProviderSpread", "duplicate_claims_keyed", "provider_spread_keyed", "run_keyed", "state_sizes"]
