@@ -144,16 +144,11 @@ def days_since_previous(df: DataFrame, key: str, date_col: str, tie_col: str) ->
     return x.select(key, tie_col, gap.alias("gap"))
 
 
-def next_time_in_key(df: DataFrame, key: str, ts_col: str, tie_col: str) -> DataFrame:
-    """``lead(ts)`` per key in (ts, tie) order without a window over the whole
-    key: inside one (key, day) the next row's time; for the last row of a day
-    the first time of the key's next day with rows (a window over distinct
-    days - bounded by the calendar).  Returns (key, tie_col, next_ts)."""
-    d = F.to_date(F.col(ts_col))
-    x = df.select(key, ts_col, tie_col, d.alias("_d"))
-    days = x.groupBy(key, "_d").agg(F.min(F.struct(ts_col, tie_col)).alias("_first"))
-    nxt_day = days.select(key, "_d", F.lead(F.col("_first")[ts_col]).over(Window.partitionBy(key).orderBy("_d"))
-                          .alias("_next_day_first"))
-    wi = Window.partitionBy(key, "_d").orderBy(ts_col, tie_col)
-    y = x.select(key, "_d", tie_col, F.lead(ts_col).over(wi).alias("_in_day"))
-    return y.join(nxt_day, [key, "_d"]).select(key, tie_col, F.coalesce("_in_day", "_next_day_first").alias("next_ts"))
+def next_time_in_key(df: DataFrame, key: str, ts_col: str, tie_col: str, name: str = "next_ts") -> DataFrame:
+    """``df`` with the next ``ts`` of its key in (ts, tie) order as ``name``.
+
+    One shuffle of the rows on the key.  A key's rows are sorted (spilling) and
+    streamed, so this is for keys with few rows each, like the events of a claim.
+    """
+    w = Window.partitionBy(key).orderBy(ts_col, tie_col)
+    return df.withColumn(name, F.lead(ts_col).over(w))

@@ -785,11 +785,13 @@ def disease_patterns(rel) -> DataFrame:
     "FROM claim_events"))
 def status_history(rel) -> DataFrame:
     """Status intervals from the event log and the time spent in each
-    (next event per claim via day blocks - see :func:`next_time_in_key`)."""
+    (next event of the claim - see :func:`next_time_in_key`)."""
     from ..operators.windows import next_time_in_key
-    e = rel.claim_events.select("event_id", "claim_id", "new_status", "event_at")
-    nxt = next_time_in_key(e, "claim_id", "event_at", "event_id").select("event_id", F.col("next_ts").alias("left_at"))
-    return e.join(nxt, "event_id").select(
+    e = rel.claim_events.select("event_id", "claim_id", "new_status", "event_at").where("event_id is not null")
+    # an event id that repeats has every end of its rows on each of them
+    ends = F.collect_list(F.struct("left_at")).over(Window.partitionBy("claim_id", "event_id"))
+    return next_time_in_key(e, "claim_id", "event_at", "event_id", "left_at").withColumn("ends", ends).drop("left_at") \
+        .select("*", F.inline("ends")).select(
         "event_id", "claim_id", F.col("new_status").alias("status"), F.col("event_at").alias("entered_at"), "left_at",
         F.timestamp_diff("SECOND", F.col("event_at"), F.col("left_at")).alias("seconds_in_status"))
 

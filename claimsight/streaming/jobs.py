@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -158,9 +158,11 @@ def provider_bursts(claims: DataFrame, threshold: int = 40, length: str = "6 hou
     On a stream: ``window()`` under the caller's watermark (state per provider
     and open window).  In batch: claims are first counted per (provider,
     slide bucket) - a map-side partial aggregate, so a provider with a burst
-    of thousands of claims in one bucket is one row - and only those bucket
-    counts are expanded to the length/slide windows that contain them.  Both
-    give the windows of ``window(ts, length, slide)``.
+    of thousands of claims in one bucket is one row.  Bucket counts are dealt once
+    by (provider, block of window starts); a bucket whose neighbours within one
+    length on both sides do not reach the threshold lies in no such window, and
+    only the others are expanded to the windows of their block that contain them
+    and summed where they are.  Both give the windows of ``window(ts, length, slide)``.
     """
     if claims.isStreaming:
         g = claims.groupBy("provider_id", F.window(F.col(ts), length, slide).alias("w")).agg(F.count(F.lit(1)).alias("claims"))
@@ -171,8 +173,16 @@ def provider_bursts(claims: DataFrame, threshold: int = 40, length: str = "6 hou
     ttype = dict(claims.dtypes)[ts]
     b = claims.groupBy("provider_id", F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / step).alias("bk")) \
         .agg(F.count(F.lit(1)).alias("n"))
-    x = b.select("provider_id", F.explode(F.sequence(F.col("bk") - (k - 1), F.col("bk"))).alias("ws"), "n")
-    g = x.groupBy("provider_id", "ws").agg(F.sum("n").alias("claims")).filter(F.col("claims") >= threshold)
+    # a bucket goes to the block of its own window start and to the one before, if a window that holds it starts there
+    size = 16 * k
+    here, first = F.floor(F.col("bk") / size), F.floor((F.col("bk") - (k - 1)) / size)
+    x = b.where(F.col("bk").isNotNull()).select("provider_id", "bk", "n", F.explode(F.sequence(first, here)).alias("blk"))
+    around = Window.partitionBy("provider_id", "blk").orderBy("bk").rangeBetween(-(k - 1), k - 1)
+    x = x.withColumn("near", F.sum("n").over(around)).where(F.col("near") >= threshold)
+    from_ws = F.greatest(F.col("bk") - (k - 1), F.col("blk") * size)
+    to_ws = F.least(F.col("bk"), F.col("blk") * size + (size - 1))
+    x = x.select("provider_id", "blk", F.explode(F.sequence(from_ws, to_ws)).alias("ws"), "n")
+    g = x.groupBy("provider_id", "blk", "ws").agg(F.sum("n").alias("claims")).filter(F.col("claims") >= threshold)
     start = F.timestamp_seconds(F.col("ws") * step)
     return g.select("provider_id", start.cast(ttype).alias("window_start"),
                     (start + F.expr(f"INTERVAL {span} SECONDS")).cast(ttype).alias("window_end"), "claims")
