@@ -109,9 +109,12 @@ def latest_model_rows(log: DataFrame) -> DataFrame:
 
 
 def stg_fraud_predictions(preds: DataFrame, log: DataFrame) -> DataFrame:
-    """Predictions with the context of their model version."""
+    """Predictions with the context of their model version.
+
+    One row per version is broadcast: a join by version would send all
+    predictions of a version to one task."""
     return preds.select("prediction_id", "claim_id", "model_version", "fraud_probability", "risk_tier", "predicted_at") \
-        .join(latest_model_rows(log), "model_version", "left")
+        .join(F.broadcast(latest_model_rows(log)), "model_version", "left")
 
 
 register("stg_g04_predictions", sql=(
