@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from ..operators.writes import VersionedTable
 from ..registry import register
 from ..session import checkpoint_dir
+from ..sources.mapping import stored_spine
 from ..sources.store import Store
 from .jobs import enriched_claims, promoted_version, read_replay, score_batch
 
@@ -94,9 +95,10 @@ def score_sink(model: ModelInForce, features, out: str):
     return sink
 
 
-def land(df: DataFrame, day_col: str, path: str) -> None:
-    """Add rows to a landed topic, by month of ``day_col``."""
-    df.withColumn("day", F.trunc(day_col, "month")).hint("rebalance", "day").write.mode("append").partitionBy("day").json(path)
+def land(df: DataFrame, day_col: str, path: str, together: bool = False) -> None:
+    """Add rows to a landed topic, by month of ``day_col``; rows of a month that already lie ``together`` are not shuffled."""
+    days = df.withColumn("day", F.trunc(day_col, "month"))
+    (days if together else days.hint("rebalance", "day")).write.mode("append").partitionBy("day").json(path, compression="gzip")
 
 
 def run_landed(stream: DataFrame, sink, checkpoint: str) -> int:
@@ -116,9 +118,12 @@ def _halves(claims: DataFrame) -> tuple[DataFrame, DataFrame]:
     return claims.where(before), claims.where(~before)
 
 
-def _work(rel) -> tuple[SparkSession, str]:
+def _work(rel) -> tuple:
+    """The session, a folder, and ``rel`` with its claim spine stored by month of service, so that
+    each half of the claims lands without another join or shuffle; whether that holds."""
     spark = rel.claims.sparkSession
-    return spark, f"{checkpoint_dir(spark)}/in-force-{uuid.uuid4().hex}"
+    stored = stored_spine(rel, F.trunc("o_orderdate", "month"))
+    return spark, f"{checkpoint_dir(spark)}/in-force-{uuid.uuid4().hex}", stored, stored is not rel
 
 
 def moved(members: DataFrame) -> DataFrame:
@@ -134,12 +139,12 @@ def moved(members: DataFrame) -> DataFrame:
     "LEFT JOIN members m ON m.member_id = c.member_id LEFT JOIN providers p ON p.provider_id = c.provider_id WHERE c.date_of_service IS NOT NULL"))
 def r04_members_in_force(rel) -> DataFrame:
     """Members change between two runs of one stream; only the claims that land later show it."""
-    spark, root = _work(rel)
+    spark, root, rel, together = _work(rel)
     members, providers = VersionedTable(spark, "members", root), VersionedTable(spark, "providers", root)
     providers.commit(rel.providers)
     for landed, state in zip(_halves(rel.claims), (rel.members, moved(rel.members)), strict=True):
         members.commit(state)
-        land(landed, "date_of_service", f"{root}/claims")
+        land(landed, "date_of_service", f"{root}/claims", together)
         run_landed(read_replay(spark, f"{root}/claims", "claims", 30), enrich_sink(members, providers, f"{root}/out"), f"{root}/checkpoint")
     return spark.read.parquet(f"{root}/out").drop("batch")
 
@@ -166,16 +171,17 @@ LOG = "log_id string, model_version string, evaluation_date date, promoted boole
 def r11_model_in_force(rel) -> DataFrame:
     """A promotion between two runs of one stream; a newer row that is not promoted changes nothing."""
     from ..plans.training import train_gbt
-    spark, root = _work(rel)
+    spark, root, rel, together = _work(rel)
     store, log = ModelStore(spark, f"{root}/models"), VersionedTable(spark, "log", root)
-    train = labelled(rel)
+    labelled(rel).write.parquet(f"{root}/train")
+    train = spark.read.parquet(f"{root}/train")
     for version, rounds in (("v1", 2), ("v2", 4)):
         store.save(version, train_gbt(train, OWN_FEATURES, max_iter=rounds))
     first = [("a", "v1", _dt.date(1998, 1, 1), True), ("b", "v2", _dt.date(1998, 2, 1), False)]
     model = ModelInForce(log, store)
     for landed, rows in zip(_halves(rel.claims), (first, [*first, ("c", "v2", _dt.date(1998, 6, 1), True)]), strict=True):
         log.commit(spark.createDataFrame(rows, LOG))
-        land(landed, "date_of_service", f"{root}/claims")
+        land(landed, "date_of_service", f"{root}/claims", together)
         stream = own_features(read_replay(spark, f"{root}/claims", "claims", 30)).select("claim_id", "date_of_service", *OWN_FEATURES)
         run_landed(stream, score_sink(model, OWN_FEATURES, f"{root}/out"), f"{root}/checkpoint")
     out = spark.read.parquet(f"{root}/out")

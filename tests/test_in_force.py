@@ -66,3 +66,25 @@ def test_scores_come_from_the_promoted_model_which_is_loaded_once(spark, rel, sc
     log.commit(spark.createDataFrame([("e", "v9", dt.date(2001, 1, 1), True)], LOG))
     with pytest.raises(LookupError):            # promoted, but not stored
         sink(claims, 3)
+
+
+def test_months_that_lie_together_land_without_another_shuffle(spark, rel, scratch):
+    from claimsight.streaming.in_force import _halves, _work, land
+    from claimsight.streaming.jobs import read_replay
+    _, _, stored, together = _work(rel)
+    first, second = _halves(stored.claims)
+    assert together and "Exchange" not in first._jdf.queryExecution().executedPlan().toString()
+    for half in (first, second):
+        land(half, "date_of_service", f"{scratch}/claims", together)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{scratch}/claims").select("path").collect()
+    months = rel.claims.select(F.trunc("date_of_service", "month")).distinct().count()
+    assert all(f.path.endswith(".json.gz") for f in files) and len(files) <= 2 * months
+    landed = spark.read.schema(read_replay(spark, f"{scratch}/claims", "claims").drop("day", "_file").schema).json(f"{scratch}/claims")
+    assert landed.select("claim_id", "amount_claimed", "submitted_at").exceptAll(rel.claims.select("claim_id", "amount_claimed", "submitted_at")).count() == 0
+    assert landed.count() == rel.claims.count()
+
+
+def test_predictions_meet_their_model_version_where_they_are(rel):
+    from claimsight.plans.models import stg_fraud_predictions
+    plan = stg_fraud_predictions(rel.fraud_predictions, rel.model_performance_log)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning(model_version#" not in plan.split("BroadcastExchange")[0]
