@@ -145,10 +145,10 @@ def days_since_previous(df: DataFrame, key: str, date_col: str, tie_col: str) ->
 
 
 def next_time_in_key(df: DataFrame, key: str, ts_col: str, tie_col: str, name: str = "next_ts") -> DataFrame:
-    """``df`` with the next ``ts`` of its key in (ts, tie) order as ``name``.
+    """``df`` with the next ``ts`` of its key in (ts, tie) order as ``name``; rows without a key or a ts are left out.
 
     One shuffle of the rows on the key.  A key's rows are sorted (spilling) and
     streamed, so this is for keys with few rows each, like the events of a claim.
     """
     w = Window.partitionBy(key).orderBy(ts_col, tie_col)
-    return df.withColumn(name, F.lead(ts_col).over(w))
+    return df.where(F.col(key).isNotNull() & F.col(ts_col).isNotNull()).withColumn(name, F.lead(ts_col).over(w))

@@ -31,7 +31,8 @@ def test_bursts_equal_plain_windows(spark, threshold):
 
 def test_status_intervals_shuffle_the_events_once(spark):
     rows = [(f"e{i}", f"c{i % 4}", dt.datetime(2020, 1, 1 + i % 9), "x") for i in range(90)]
-    df = spark.createDataFrame(rows, "event_id string, claim_id string, event_at timestamp_ntz, new_status string")
+    odd = [("n1", "c1", None, "x"), ("n2", None, dt.datetime(2020, 1, 1), "x")]        # without a time, without a claim: left out
+    df = spark.createDataFrame(rows + odd, "event_id string, claim_id string, event_at timestamp_ntz, new_status string")
     got = next_time_in_key(df, "claim_id", "event_at", "event_id")
     assert exchanges(got) == 1
     by_claim = {}
