@@ -22,6 +22,7 @@ from .. import constants as K
 from ..functions.exprs import lit_ts, priority_of, stable_id
 from ..registry import register
 from ..session import checkpoint_dir
+from ..sources.mapping import dealt
 from ..sources.store import Store
 
 LOAD_TS = _dt.datetime(2001, 8, 2, 6, 0, 0)     # load time of the replayed batches in the registered queries
@@ -309,25 +310,29 @@ register("upsert_u03_claims", sql=_u03_sql())(u03_claims)
 
 
 # -------------------------------------------------------------- U04 events
-def append_events(target: DataFrame, batch: DataFrame, arrival: str = ARRIVAL) -> DataFrame:
+def append_events(target: DataFrame, batch: DataFrame, arrival: str = ARRIVAL, dealt: tuple[str, ...] = ()) -> DataFrame:
     """Insert events whose id is new; the first arrival of a repeated id wins.
 
-    Replays (the whole batch again, or a day twice) change nothing.
+    Replays (the whole batch again, or a day twice) change nothing.  Stored ids are
+    grouped with the batch, not joined to it.  ``dealt`` names columns of both that the
+    event id determines and that their rows are dealt by already: with them in the keys
+    no row is dealt again.
     """
-    cols = [c for c in target.columns]
-    first = batch.groupBy("event_id").agg(F.min_by(F.struct(*[c for c in cols if c != "event_id"]), arrival).alias("r")) \
-        .select("event_id", "r.*")
-    new = first.join(target.select("event_id"), "event_id", "left_anti")
-    return target.unionByName(new.select(*cols))
+    cols, key = target.columns, [*dealt, "event_id"]
+    stored = target.where("event_id is not null").select(*key, F.lit(True).alias("_stored"))
+    first = batch.unionByName(stored, allowMissingColumns=True).groupBy(*key).agg(
+        F.min_by(F.struct(*[c for c in cols if c not in key]), arrival).alias("r"), F.max("_stored").alias("_stored"))
+    return target.unionByName(first.where("_stored is null").select(*key, "r.*").select(*cols))
 
 
-def _event_batch(rel) -> tuple[DataFrame, DataFrame]:
-    e = rel.claim_events
+def _event_batch(e: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Events of two thirds of the claims are stored; all arrive, those of the others twice."""
     k = F.split_part(F.col("claim_id"), F.lit("-"), F.lit(1)).cast("bigint")
     target = e.filter(k % 3 != 0)
-    replay = e.select(*e.columns, F.lit(1).alias(ARRIVAL))
-    dup = e.filter(k % 3 == 0).withColumn("triggered_by", F.lit("api")).select(*e.columns, F.lit(2).alias(ARRIVAL))
-    return target, replay.unionByName(dup)
+    arrivals = F.array(F.struct(F.lit(1).alias(ARRIVAL), F.col("triggered_by").alias("_by")),
+                       F.when(k % 3 == 0, F.struct(F.lit(2).alias(ARRIVAL), F.lit("api").alias("_by"))))
+    batch = e.select("*", F.inline(F.filter(arrivals, lambda a: a.isNotNull()))).withColumn("triggered_by", F.col("_by")).drop("_by")
+    return target, batch
 
 
 @register("upsert_u04_events", sql=(
@@ -337,8 +342,8 @@ def _event_batch(rel) -> tuple[DataFrame, DataFrame]:
     "f AS (SELECT * EXCLUDE (a) FROM b QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY a) = 1) "
     "SELECT * FROM t UNION ALL SELECT * FROM f WHERE event_id NOT IN (SELECT event_id FROM t)"))
 def u04_events(rel) -> DataFrame:
-    t, b = _event_batch(rel)
-    return append_events(t, b)
+    (events,), by = dealt(rel, "claim_events")
+    return append_events(*_event_batch(events), dealt=by).drop(*by)
 
 
 # ----------------------------------------------------------- U05 formulary
