@@ -194,8 +194,20 @@ CLAIM_COLS = ["claim_id", "member_id", "provider_id", "date_of_service", "date_s
 MUTABLE = ("amount_approved", "prior_auth_number", "status", "updated_at")
 
 
+def split_by(target: DataFrame, touched: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``target`` whose key is in ``touched`` (distinct), and the others.
+
+    Rows that are dealt by a part of the key are marked by a window, as a join would deal them again.
+    """
+    if len(key) == 1:
+        return target.join(touched, key, "left_semi"), target.join(touched, key, "left_anti")
+    both = target.withColumn("_row", F.lit(True)).unionByName(touched.dropna(subset=key), allowMissingColumns=True)
+    marked = both.withColumn("_hit", F.count_if(F.col("_row").isNull()).over(Window.partitionBy(*key)) > 0).where("_row")
+    return marked.where("_hit").drop("_row", "_hit"), marked.where("not _hit").drop("_row", "_hit")
+
+
 def upsert_claims(target: DataFrame, batch: DataFrame, load_ts: _dt.datetime, arrival: str = ARRIVAL,
-                  block: int = 1 << 20) -> DataFrame:
+                  block: int = 1 << 20, dealt: tuple[str, ...] = ()) -> DataFrame:
     """Latest-state upsert with the recency guard, for any micro-batch split.
 
     Fold rule: rows of one claim are ordered by arrival (the stored row
@@ -203,15 +215,18 @@ def upsert_claims(target: DataFrame, batch: DataFrame, load_ts: _dt.datetime, ar
     earlier rows; status and updated_at come from the last accepted row,
     amount_approved and prior_auth_number are the last non-NULL among accepted
     rows (COALESCE new over old), every other column comes from the first row.
-    Only claims touched by the batch are shuffled; the rest pass through.
-    The running max is two-level - per (claim, arrival block) maxima prefixed
-    over blocks, plus the running max inside a block - so even a claim with
-    millions of updates is never one sorted partition.  A block is one file of a
-    replayed micro-batch, or ``block`` rows of a numbered batch.
+    Claims that the batch does not touch pass through.
+    The fold is two-level: per (claim, arrival block) the rows accepted within the
+    block are folded, then the blocks are, so even a claim with millions of updates
+    is never one sorted partition.  Within a block accepted rows never go back in
+    time, so the block's last one of a kind stays accepted iff its own time is no
+    earlier than all blocks before.  A block is one file of a replayed micro-batch,
+    or ``block`` rows of a numbered batch.
+
+    ``dealt`` names columns of both that the claim id determines and that their rows
+    are dealt by already: with them in the keys no row is dealt again.
     """
-    touched = batch.select("claim_id").distinct()
-    t = target.join(touched, "claim_id", "left_semi")
-    rest = target.join(touched, "claim_id", "left_anti")
+    key = [*dealt, "claim_id"]
     # arrival as (batch, day, file, row): a plain number becomes (block, row)
     if isinstance(batch.schema[arrival].dataType, StructType):
         at = F.struct(*[F.coalesce(F.col(arrival)[c].cast(k), F.lit("").cast(k)).alias(c) if k == "string" else F.col(arrival)[c].cast(k).alias(c)
@@ -220,55 +235,71 @@ def upsert_claims(target: DataFrame, batch: DataFrame, load_ts: _dt.datetime, ar
         n = F.col(arrival).cast("bigint")
         at = F.struct(F.floor(n / block).alias("batch"), F.lit("").alias("day"), F.lit("").alias("file"), n.alias("row"))
     stored = F.struct(F.lit(-1).cast("bigint").alias("batch"), F.lit("").alias("day"), F.lit("").alias("file"), F.lit(0).cast("bigint").alias("row"))
-    rows = (t.select(*CLAIM_COLS, stored.alias("_at"), F.lit(False).alias("_new"), F.col("_loaded_at").alias("_old_loaded"))
-            .unionByName(batch.select(*CLAIM_COLS, at.alias("_at"), F.lit(True).alias("_new"),
+    batch = batch.where("claim_id is not null")
+    t, rest = split_by(target, batch.select(*key).distinct(), key)
+    cols = [*dealt, *CLAIM_COLS]
+    rows = (t.select(*cols, stored.alias("_at"), F.lit(False).alias("_new"), F.col("_loaded_at").alias("_old_loaded"))
+            .unionByName(batch.select(*cols, at.alias("_at"), F.lit(True).alias("_new"),
                                       F.lit(None).cast("timestamp_ntz").alias("_old_loaded"))))
     arrival = "_at"
     rows = rows.withColumn("_blk", F.struct("_at.batch", "_at.day", "_at.file"))
-    bmax = rows.groupBy("claim_id", "_blk").agg(F.max("updated_at").alias("_bmax"))
-    wb = Window.partitionBy("claim_id").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    pblk = bmax.select("claim_id", "_blk", F.max("_bmax").over(wb).alias("_pmax"))     # one row per block
-    wi = Window.partitionBy("claim_id", "_blk").orderBy(arrival).rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("_imax", F.max("updated_at").over(wi)).join(pblk, ["claim_id", "_blk"])
-    prev = F.greatest(F.col("_pmax"), F.col("_imax"))      # NULL only when no earlier row exists
+    wi = Window.partitionBy(*key, "_blk").orderBy(arrival).rowsBetween(Window.unboundedPreceding, -1)
+    prev = F.max("updated_at").over(wi)                    # NULL only when no earlier row of the block has a time
     rows = rows.withColumn("_acc", prev.isNull() | (F.col("updated_at") >= prev))
     acc = F.col("_acc")
     fixed = [c for c in CLAIM_COLS if c not in MUTABLE and c != "claim_id"]
-    g = rows.groupBy("claim_id").agg(
-        F.min_by(F.struct(*fixed), arrival).alias("f"),
-        F.max_by(F.struct("status", "updated_at"), F.when(acc, F.col(arrival))).alias("s"),
-        F.max_by("amount_approved", F.when(acc & F.col("amount_approved").isNotNull(), F.col(arrival))).alias("amount_approved"),
-        F.max_by("prior_auth_number", F.when(acc & F.col("prior_auth_number").isNotNull(), F.col(arrival)))
-        .alias("prior_auth_number"),
-        F.max(F.when(acc & F.col("_new"), F.lit(1))).alias("_changed"),
+
+    def last(cond, *names):
+        """The block's last accepted row that meets ``cond``: its time and values."""
+        return F.max_by(F.struct(F.col("updated_at"), *names), F.when(acc & cond, F.col(arrival)))
+
+    has_amount, has_auth = F.col("amount_approved").isNotNull(), F.col("prior_auth_number").isNotNull()
+    blocks = rows.groupBy(*key, "_blk").agg(
+        F.min(arrival).alias("_first"), F.min_by(F.struct(*fixed), arrival).alias("f"), F.max("updated_at").alias("_bmax"),
+        last(F.lit(True), "status").alias("s"), last(has_amount, "amount_approved").alias("a"),
+        last(has_auth, "prior_auth_number").alias("p"), last(F.col("_new")).alias("n"), F.max("_old_loaded").alias("_old_loaded"))
+    wb = Window.partitionBy(*key).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_pmax", F.max("_bmax").over(wb))
+
+    def stays(name):
+        return F.col(name).isNotNull() & (F.col("_pmax").isNull() | (F.col(f"{name}.updated_at") >= F.col("_pmax")))
+
+    g = blocks.groupBy(*key).agg(
+        F.min_by("f", "_first").alias("f"),
+        F.max_by("s", F.when(stays("s"), F.col("_blk"))).alias("s"),
+        F.max_by("a.amount_approved", F.when(stays("a"), F.col("_blk"))).alias("amount_approved"),
+        F.max_by("p.prior_auth_number", F.when(stays("p"), F.col("_blk"))).alias("prior_auth_number"),
+        F.max(F.when(stays("n"), F.lit(1))).alias("_changed"),
         F.max("_old_loaded").alias("_old_loaded"))
-    new = g.select("claim_id", "f.*", "amount_approved", "prior_auth_number", "s.status", "s.updated_at",
+    new = g.select(*key, "f.*", "amount_approved", "prior_auth_number", "s.status", "s.updated_at",
                    F.when(F.col("_changed") == 1, lit_ts(load_ts)).otherwise(F.col("_old_loaded")).alias("_loaded_at"))
     return rest.unionByName(new.select(*target.columns))
 
 
-def claim_update_batch(rel) -> DataFrame:
+def claim_update_batch(c: DataFrame) -> DataFrame:
     """Replayed updates derived from the claims: newer, older (rejected by the
     guard), equal-timestamp and NULL-amount updates, plus two new claims."""
-    c = rel.claims
     k = F.split_part(F.col("claim_id"), F.lit("-"), F.lit(1)).cast("bigint")
     day = F.expr("INTERVAL 1 DAY")
-    u1 = (c.filter(k % 5 == 0).withColumn("status", F.lit("approved"))
-          .withColumn("updated_at", F.col("updated_at") + day).withColumn("amount_approved", F.lit(None).cast("decimal(15,2)"))
-          .select(*CLAIM_COLS, F.lit(1).alias(ARRIVAL)))
-    u2 = (c.filter(k % 10 == 0).withColumn("status", F.lit("rejected"))
-          .withColumn("updated_at", F.col("updated_at") - day * 2).select(*CLAIM_COLS, F.lit(2).alias(ARRIVAL)))
-    u3 = (c.filter(k % 15 == 0).withColumn("status", F.lit("paid")).withColumn("updated_at", F.col("updated_at") + day)
-          .withColumn("amount_approved", F.round(F.col("amount_claimed") * F.lit(0.9).cast("decimal(2,1)"), 2)
-                      .cast("decimal(15,2)"))
-          .withColumn("prior_auth_number", F.lit("PA-LATE")).withColumn("member_id", F.lit("ignored"))
-          .select(*CLAIM_COLS, F.lit(3).alias(ARRIVAL)))
-    n1 = c.filter(k % 20 == 0).withColumn("claim_id", F.concat("claim_id", F.lit("-n"))) \
-        .select(*CLAIM_COLS, F.lit(1).alias(ARRIVAL))
-    n2 = (c.filter(k % 20 == 0).withColumn("claim_id", F.concat("claim_id", F.lit("-n")))
-          .withColumn("status", F.lit("pending_review")).withColumn("updated_at", F.col("updated_at") - day)
-          .select(*CLAIM_COLS, F.lit(2).alias(ARRIVAL)))
-    return u1.unionByName(u2).unionByName(u3).unionByName(n1).unionByName(n2)
+    changed = ("claim_id", "member_id", "amount_approved", "prior_auth_number", "status", "updated_at", ARRIVAL)
+
+    def update(every, arrival, **new):
+        values = {ARRIVAL: F.lit(arrival)} | new
+        return F.when(k % every == 0, F.struct(*[values.get(x, F.col(x)).alias(x) for x in changed]))
+
+    money = "decimal(15,2)"
+    reduced = F.round(F.col("amount_claimed") * F.lit(0.9).cast("decimal(2,1)"), 2).cast(money)
+    again = F.concat("claim_id", F.lit("-n"))
+    updates = F.array(
+        update(5, 1, status=F.lit("approved"), updated_at=F.col("updated_at") + day, amount_approved=F.lit(None).cast(money)),
+        update(10, 2, status=F.lit("rejected"), updated_at=F.col("updated_at") - day * 2),
+        update(15, 3, status=F.lit("paid"), updated_at=F.col("updated_at") + day, amount_approved=reduced,
+               prior_auth_number=F.lit("PA-LATE"), member_id=F.lit("ignored")),
+        update(20, 1, claim_id=again),
+        update(20, 2, claim_id=again, status=F.lit("pending_review"), updated_at=F.col("updated_at") - day))
+    kept = [x for x in c.columns if x not in changed and x != "_loaded_at"]
+    # 10, 15 and 20 are multiples of 5
+    return c.where(k % 5 == 0).select(*kept, F.inline(F.filter(updates, lambda u: u.isNotNull())))
 
 
 def _u03_sql() -> str:
@@ -303,7 +334,8 @@ def _u03_sql() -> str:
 
 
 def u03_claims(rel) -> DataFrame:
-    return upsert_claims(rel.claims, claim_update_batch(rel), LOAD_TS)
+    (claims,), by = dealt(rel, "claims")
+    return upsert_claims(claims, claim_update_batch(claims), LOAD_TS, dealt=by).drop(*by)
 
 
 register("upsert_u03_claims", sql=_u03_sql())(u03_claims)

@@ -4,9 +4,11 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from claimsight.operators.writes import append_events, u04_events
+from claimsight.operators.writes import append_events, split_by, u03_claims, u04_events, upsert_claims
 from claimsight.sources.mapping import Relations
+from tests.test_writes import LOAD, SCHEMA, _row, _sequential
 
 
 @pytest.fixture()
@@ -38,7 +40,7 @@ class Plain:
         return getattr(self._rel, name)
 
 
-@pytest.mark.parametrize("query", [u04_events])
+@pytest.mark.parametrize("query", [u03_claims, u04_events])
 def test_writes_of_dealt_rows_shuffle_only_the_spine(tables, query):
     got, plain = query(tables), query(Plain(tables))
     assert dealings(got) == {"l_orderkey", "o_orderkey"}
@@ -46,9 +48,33 @@ def test_writes_of_dealt_rows_shuffle_only_the_spine(tables, query):
     assert sorted(map(str, got.collect())) == sorted(map(str, plain.collect())) != []
 
 
+def test_split_keeps_repeats_and_rows_without_a_key(spark):
+    rows = spark.createDataFrame([(1, "a", 5), (1, "a", 5), (1, None, 6), (2, "b", 7)], "k int, claim_id string, v int")
+    touched = spark.createDataFrame([(1, "a"), (1, None), (9, "z")], "k int, claim_id string")
+    for key in (["k", "claim_id"], ["claim_id"]):
+        hit, rest = split_by(rows, touched.select(*key), key)
+        assert sorted(r.v for r in hit.collect()) == [5, 5] and sorted(r.v for r in rest.collect()) == [6, 7]
+        assert sorted(hit.columns) == sorted(rows.columns)
+
+
 def test_events_without_an_id_are_appended_and_stored_ones_stay(spark):
     kind = "event_id string, claim_id string, event_type string"
     target = spark.createDataFrame([("e1", "c", "x"), ("e1", "c", "x"), (None, "c", "y")], kind)
     batch = spark.createDataFrame([("e1", "c", "late", 1), (None, "c", "z", 1), ("e2", "c", "b", 2), ("e2", "c", "a", 1)], kind + ", _arrival int")
     got = sorted(map(tuple, append_events(target, batch).collect()), key=str)
     assert got == sorted([("e1", "c", "x"), ("e1", "c", "x"), (None, "c", "y"), (None, "c", "z"), ("e2", "c", "a")], key=str)
+
+
+@pytest.mark.parametrize("block", [1, 3, 1000])
+def test_fold_by_blocks_equals_sequential(spark, block):
+    rng, t0 = random.Random(block), dt.datetime(2001, 1, 1)
+    stored = [_row(f"c{i}", "submitted", t0 + dt.timedelta(hours=i % 5)) for i in range(6)]
+    updates = [_row(f"c{rng.randrange(9)}", rng.choice(["approved", "paid"]), t0 + dt.timedelta(hours=rng.randrange(12)),
+                    rng.choice([None, 50]), rng.choice([None, "PA"]), member=f"m{n}") for n in range(150)]
+    target = spark.createDataFrame(stored, SCHEMA).withColumn("_loaded_at", F.lit(None).cast("timestamp_ntz"))
+    batch = spark.createDataFrame([(*u[:9], None, *u[10:], n, u[9]) for n, u in enumerate(updates)], SCHEMA + ", _arrival bigint, paid int") \
+        .withColumn("amount_approved", F.col("paid").cast("decimal(15,2)")).drop("paid")
+    got = [upsert_claims(target, batch, LOAD, block=block)]
+    got.append(upsert_claims(target.withColumn("k", F.substring("claim_id", 2, 9)), batch.withColumn("k", F.substring("claim_id", 2, 9)), LOAD, block=block, dealt=("k",)))
+    for state in got:
+        assert {r.claim_id: (r.amount_approved, r.status, r.prior_auth_number, r.updated_at, r.member_id) for r in state.collect()} == _sequential(stored, updates)
