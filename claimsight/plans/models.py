@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions.exprs import lit_date, lit_ts, safe_ratio, stable_id
 from ..registry import register
+from ..sources.mapping import dealt
 
 REFRESHED = _dt.datetime(2001, 8, 2, 7, 0, 0)
 REFRESHED_SQL = "TIMESTAMP '2001-08-02 07:00:00'"
@@ -420,13 +421,24 @@ def current_members(rel) -> DataFrame:
 
 
 # ================================================================ marts
-def fct_claims(rel) -> DataFrame:
-    """Claims with the newest prediction of each claim (``max_by``)."""
-    p = rel.fraud_predictions.groupBy("claim_id").agg(
-        F.max_by(F.struct("fraud_probability", "risk_tier"), F.struct("predicted_at", "prediction_id")).alias("p"))
-    c = rel.claims.select("claim_id", "member_id", "provider_id", "date_of_service", "date_submitted", "amount_claimed",
+def fct_claims(rel, dealt: tuple[str, ...] = ()) -> DataFrame:
+    """Claims with the newest prediction of each claim (``max_by``).
+
+    ``dealt`` names columns of both relations that the claim id determines and that their
+    rows are dealt by already: then a window finds the prediction, as a join would deal
+    them again.
+    """
+    key, newest = [*dealt, "claim_id"], F.max_by("_p", "_at")
+    p = rel.fraud_predictions.select(*key, F.struct("fraud_probability", "risk_tier").alias("_p"),
+                                     F.struct("predicted_at", "prediction_id").alias("_at"))
+    c = rel.claims.select(*key, "member_id", "provider_id", "date_of_service", "date_submitted", "amount_claimed",
                           "amount_approved", "status")
-    return c.join(p, "claim_id", "left").select(
+    if dealt:
+        both = c.withColumn("_claim", F.lit(True)).unionByName(p, allowMissingColumns=True)
+        scored = both.withColumn("p", newest.over(Window.partitionBy(*key))).where("_claim")
+    else:
+        scored = c.join(p.groupBy("claim_id").agg(newest.alias("p")), "claim_id", "left")
+    return scored.select(
         *c.columns, F.datediff("date_submitted", "date_of_service").alias("days_to_submit"),
         F.col("p.fraud_probability").alias("fraud_probability"), F.col("p.risk_tier").alias("risk_tier"),
         lit_ts(REFRESHED).alias("refreshed_at"))
@@ -741,13 +753,15 @@ class _With:
         return self._replaced[name] if name in self._replaced else getattr(self._rel, name)
 
 
-def merge_fct_claims(stored: DataFrame, rel, touched: DataFrame, version: int) -> DataFrame:
+def merge_fct_claims(stored: DataFrame, rel, touched: DataFrame, version: int, dealt: tuple[str, ...] = ()) -> DataFrame:
     """The next version of the mart - claims in ``touched`` are recomputed
     (only they are read and scored again), all others keep their stored row.
-    ``built_in`` is the version that computed a row."""
-    fresh = fct_claims(_With(rel, claims=rel.claims.join(touched, "claim_id", "left_semi"),
-                             fraud_predictions=rel.fraud_predictions.join(touched, "claim_id", "left_semi")))
-    return stored.join(touched, "claim_id", "left_anti").unionByName(fresh.withColumn("built_in", F.lit(version)))
+    ``built_in`` is the version that computed a row.  ``dealt`` as in :func:`fct_claims`."""
+    from ..operators.writes import split_by
+    key = [*dealt, "claim_id"]
+    fresh = fct_claims(_With(rel, claims=split_by(rel.claims, touched, key)[0],
+                             fraud_predictions=split_by(rel.fraud_predictions, touched, key)[0]), dealt).drop(*dealt)
+    return split_by(stored, touched.select("claim_id"), ["claim_id"])[1].unionByName(fresh.withColumn("built_in", F.lit(version)))
 
 
 @register("upsert_u09_fct_claims_merge", sql=(
@@ -759,9 +773,11 @@ def fct_claims_merge(rel) -> DataFrame:
     from ..operators.writes import VersionedTable
     is_new = F.col("model_version") == "v2.1"
     table = VersionedTable(rel.spark, f"fct_claims-{uuid.uuid4().hex}")
-    table.commit(fct_claims(_With(rel, fraud_predictions=rel.fraud_predictions.filter(~is_new))).withColumn("built_in", F.lit(1)))
-    touched = rel.fraud_predictions.filter(is_new).select("claim_id").distinct()
-    return merge_fct_claims(table.read(), rel, touched, 2)
+    (claims, predictions), by = dealt(rel, "claims", "fraud_predictions")
+    first = fct_claims(_With(rel, claims=claims, fraud_predictions=predictions.filter(~is_new)), by)
+    table.commit(first.drop(*by).withColumn("built_in", F.lit(1)))
+    touched = predictions.filter(is_new).select(*by, "claim_id").distinct()
+    return merge_fct_claims(table.read(), _With(rel, claims=claims, fraud_predictions=predictions), touched, 2, by)
 
 
 # ------------------------------------------------------ more intermediates

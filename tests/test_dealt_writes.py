@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from claimsight.operators.writes import append_events, split_by, u03_claims, u04_events, upsert_claims
+from claimsight.plans.models import _With, fct_claims, merge_fct_claims
 from claimsight.sources.mapping import Relations
 from tests.test_writes import LOAD, SCHEMA, _row, _sequential
 
@@ -48,6 +49,20 @@ def test_writes_of_dealt_rows_shuffle_only_the_spine(tables, query):
     assert sorted(map(str, got.collect())) == sorted(map(str, plain.collect())) != []
 
 
+def test_mart_merge_of_dealt_rows_equals_plain(tables):
+    from claimsight.sources.mapping import dealt
+    (claims, predictions), by = dealt(tables, "claims", "fraud_predictions")
+    both = _With(tables, claims=claims, fraud_predictions=predictions)
+    got, plain = fct_claims(both, by).drop(*by), fct_claims(tables)
+    assert dealings(got) == {"l_orderkey", "o_orderkey"}
+    assert sorted(map(str, got.collect())) == sorted(map(str, plain.collect())) != []
+    touched = predictions.where("model_version = 'v2.1'").select(*by, "claim_id").distinct()
+    stored = plain.withColumn("risk_tier", F.lit("old")).withColumn("built_in", F.lit(1))
+    merged = [merge_fct_claims(stored, both, touched, 2, by), merge_fct_claims(stored, tables, touched.select("claim_id"), 2)]
+    one, other = (sorted(map(str, m.collect())) for m in merged)
+    assert one == other and {r.built_in for r in merged[0].collect()} == {1, 2}
+
+
 def test_split_keeps_repeats_and_rows_without_a_key(spark):
     rows = spark.createDataFrame([(1, "a", 5), (1, "a", 5), (1, None, 6), (2, "b", 7)], "k int, claim_id string, v int")
     touched = spark.createDataFrame([(1, "a"), (1, None), (9, "z")], "k int, claim_id string")
