@@ -625,6 +625,20 @@ def test_op12_leaves_out_rare_pairs_before_they_are_counted(spark, each):
     assert got == {k: n for k, n in expected.items() if n >= 60} and len(got) < len(expected)
 
 
+def test_op12_item_tables_are_rows_of_ranges(spark):
+    """A chunk's items travel packed: a row for each range (and lang), however many words and pairs there are."""
+    rng = random.Random(5)
+    df = spark.createDataFrame([(" ".join(f"w{rng.randrange(120)}" for _ in range(400)), "en" if i % 2 else "de") for i in range(60)], "text string, lang string").coalesce(1)
+    first = op12_collocations.occurrences(df)
+    assert first.where("places is null").count() == 2
+    frequent = op12_collocations.counted(first, ("lang", "word"), 2)
+    assert frequent.where("f is not null").count() == 240 and frequent.where("f is null").count() == 2
+    second = op12_collocations.grown(first, frequent, 2)
+    assert second.count() == 2
+    pairs = op12_collocations.counted(second, ("head", "tail"), 2)
+    assert pairs.where("f is not null").count() > 1000 and pairs.where("f is null").count() == 1
+
+
 def test_op12_score_is_exact_beyond_64_bits(spark):
     big = 9_000_000_000_000_000_003
     row = spark.createDataFrame([(big, big, big - 2)], "a long, l long, r long").select(op12_collocations.score_of(*map(F.col, "alr")).alias("s")).first()
