@@ -18,7 +18,8 @@ to 64-bit hashes of shingles and sets); nothing is capped or sampled.
    Passages that many documents hold fall away here.
 4. *Families.*  Classes of like size that share a key are joined to families
    (buckets emit spanning edges only, then connected components).
-5. *Prefix trees.*  Only the survivors' texts are shingled again and meet by
+5. *Prefix trees.*  Only the survivors' texts are shuffled (but for those that a
+   bounded broadcast filter of their hashes lets through), shingled again and meet by
    family.  Their ordered sets form a path-compressed trie that all sets of the
    family walk together: the overlaps counted along a common prefix are shared by
    everything below it, and a set leaves a subtree when even all remaining tokens
@@ -53,6 +54,8 @@ HOT_TOKENS = 100_000
 BUCKET_BYTES = 8 << 20
 FLUSH_ROWS = 1 << 20
 FAMILY_TOKENS = 1 << 18
+#: at most 8 MB are broadcast; they steer the cost only
+FILTER_BITS = 1 << 26
 
 
 def needed(n):
@@ -147,6 +150,22 @@ def text_hash(text: str = "text"):
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
 
+def _likely(rows: DataFrame, key: list[str], wanted: DataFrame, other: list[str]) -> DataFrame:
+    """The rows whose ``key`` may be among the ``other`` columns of ``wanted``: most others stay out of the shuffle of their join.
+
+    A hash sets one bit of at most ``FILTER_BITS``, broadcast in parts of 32,768 (the size of Spark's bitmaps);
+    the more hashes for a bit, the more rows come through in vain.
+    """
+    bits = 1 << min(FILTER_BITS.bit_length() - 1, max(15, (16 * wanted.count()).bit_length()))
+    parts = wanted.select(F.xxhash64(*other).bitwiseAND(F.lit(bits - 1)).alias("at")).groupBy(F.shiftright("at", 15).alias("__part")).agg(
+        F.bitmap_construct_agg(F.col("at").bitwiseAND(F.lit(32767))).alias("__bits"))
+    at = rows.withColumn("__at", F.xxhash64(*key).bitwiseAND(F.lit(bits - 1)))
+    at = at.withColumn("__part", F.shiftright("__at", 15)).withColumn("__at", F.col("__at").bitwiseAND(F.lit(32767)).cast("int"))
+    byte = F.conv(F.hex(F.expr("substring(__bits, shiftright(__at, 3) + 1, 1)")), 16, 10).cast("int")
+    found = at.join(F.broadcast(parts), "__part").where(F.call_function("getbit", byte, F.expr("__at & 7")) == 1)
+    return found.select(rows.columns)
+
+
 # ------------------------------------------------------------------ packed shuffles
 PACKED = "bucket int, tokens binary, sigs binary, sizes binary, counts binary"
 
@@ -427,15 +446,12 @@ def _block_pair(frame: pa.Table) -> pa.Table:
     return _edges(sigs, family_links(a, b if len(b) else None, joined))
 
 
-def _large_families(sets: DataFrame, sizes: DataFrame, block_tokens: int) -> DataFrame:
-    """Edges of families too large for one task."""
-    pivots = sets.groupBy("family").agg(F.min("sig").alias("pivot_sig"))
-    pivots = (sets.join(pivots, "family").where(F.col("sig") == F.col("pivot_sig"))
-              .select("family", "pivot_sig", F.col("tokens").alias("pivot")).join(sizes, "family")
-              .withColumn("blocks", F.ceil(F.col("tokens_in") / block_tokens).cast("int")))
+def _large_families(sets: DataFrame, block_tokens: int) -> DataFrame:
+    """Edges of families too large for one task (``tokens_in`` all together)."""
+    members = sets.withColumn("blocks", F.ceil(F.col("tokens_in") / block_tokens).cast("int"))
+    pivots = members.groupBy("family").agg(F.min("sig").alias("pivot_sig"), F.min_by("tokens", "sig").alias("pivot"), F.first("blocks").alias("blocks"))
     # the pivot goes to every block of its family: no block holds more than a bounded share of it
     salted = pivots.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    members = sets.join(sizes, "family").withColumn("blocks", F.ceil(F.col("tokens_in") / block_tokens).cast("int"))
     members = members.withColumn("block", F.pmod(F.xxhash64("sig"), F.col("blocks")).cast("int"))
     compared = stored(members.join(salted.select("family", "block", "pivot", "pivot_sig"), ["family", "block"])
                       .select("sig", "family", "n", "tokens", "pivot", "pivot_sig")
@@ -487,27 +503,27 @@ def groups(docs: DataFrame, family_tokens: int = FAMILY_TOKENS, hot_tokens: int
     spanning = keys.groupBy("bucket").applyInArrow(_spanning, EDGES)
     families = stored(components(spanning, "ngram-families"), "ngram-families")
 
-    # one document of each surviving class carries its set
+    # one document of each surviving class carries its set; how many tokens its family has is known before the sets are made
     wanted = families.join(classes, families["node"] == classes["sig"]).select(
-        F.col("carrier.doc_id").alias("__id"), F.col("carrier.text_hash").alias("__hash"), "sig", F.col("component").alias("family"))
+        F.col("carrier.doc_id").alias("__id"), F.col("carrier.text_hash").alias("__hash"), "sig", "n", F.col("component").alias("family"))
+    weight = wanted.groupBy("family").agg(F.sum("n").alias("tokens_in"), F.count("*").alias("members")).where("members > 1")
+    wanted = stored(wanted.join(weight.select("family", "tokens_in"), "family").select("__id", "__hash", "sig", "family", "tokens_in"), "ngram-wanted")
 
     def shingle(batches):
         for batch in (part for b in batches for part in slices(b, "text")):
             h, bounds, sizes, signs = token_sets(batch.column("text"), hot)
             same = np.array(batch.column("sig").to_pylist(), np.int64) == signs     # equal hashes of other texts
             at = np.flatnonzero(same)
-            yield pa.RecordBatch.from_arrays([batch.column("sig").take(pa.array(at)), batch.column("family").take(pa.array(at)), pa.array(sizes[at].astype(np.int64)),
-                                              pa.array([h[bounds[i]: bounds[i + 1]].tobytes() for i in at], pa.binary())], ["sig", "family", "n", "tokens"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c).take(pa.array(at)) for c in ("sig", "family", "tokens_in")], pa.array(sizes[at].astype(np.int64)),
+                                              pa.array([h[bounds[i]: bounds[i + 1]].tobytes() for i in at], pa.binary())], ["sig", "family", "tokens_in", "n", "tokens"])
 
-    carried = F.col("doc_id").eqNullSafe(F.col("__id")) & (text_hash() == F.col("__hash"))
-    sets = rows.join(wanted, carried).select("sig", "family", "text").mapInArrow(shingle, "sig long, family long, n long, tokens binary")
+    carried = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash"))
+    carriers = _likely(rows.withColumn("text_hash", text_hash()), ["doc_id", "text_hash"], wanted, ["__id", "__hash"])
+    sets = carriers.join(wanted, carried).select("sig", "family", "tokens_in", "text").mapInArrow(shingle, "sig long, family long, tokens_in long, n long, tokens binary")
     sets = stored(sets.dropDuplicates(["sig"]), "ngram-survivors")
-    weight = sets.groupBy("family").agg(F.sum("n").alias("tokens_in"), F.count("*").alias("members")).where("members > 1")
-    small = sets.join(weight.where(F.col("tokens_in") <= family_tokens).select("family"), "family")
-    edges = small.groupBy("family").applyInArrow(_small_families, EDGES)
-    large = weight.where(F.col("tokens_in") > family_tokens).select("family", "tokens_in")
-    if large.limit(1).count():
-        edges = edges.unionByName(_large_families(sets.join(large.select("family"), "family"), large, max(1, family_tokens // 2)))
+    edges = sets.where(F.col("tokens_in") <= family_tokens).groupBy("family").applyInArrow(_small_families, EDGES)
+    if wanted.where(F.col("tokens_in") > family_tokens).limit(1).count():
+        edges = edges.unionByName(_large_families(sets.where(F.col("tokens_in") > family_tokens), max(1, family_tokens // 2)))
     linked_classes = components(edges, "ngram-components")
 
     # the smallest id of each component; a class without links is its own

@@ -357,6 +357,18 @@ def test_components_of_a_long_path_and_a_star(spark):
     assert all(got[i] == 0 for i in range(201)) and all(got[1000 + i] == 1000 for i in range(300))
 
 
+def test_op7_only_likely_carriers_are_shuffled(spark):
+    """No wanted row is lost, also without an id or repeated; of the others few come through, also of those with a wanted text."""
+    rows = [(i, f"text {i % 1500}") for i in range(3000)] + [(None, "text 5"), (None, "x"), (7, "text 7")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("text_hash", op07_ngram_join.text_hash())
+    wanted = docs.where("doc_id % 100 = 7 or (doc_id is null and text = 'x')").distinct().select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
+    got = op07_ngram_join._likely(docs, ["doc_id", "text_hash"], wanted, ["__id", "__hash"])
+    found = [(r["doc_id"], r["text"]) for r in got.collect()]
+    assert got.columns == docs.columns
+    assert [x for x in rows if (x[0] or 0) % 100 == 7 or x == (None, "x")] == [x for x in rows if x in set(found) and ((x[0] or 0) % 100 == 7 or x == (None, "x"))]
+    assert found.count((7, "text 7")) == 2 and len(found) < 60
+
+
 # ------------------------------------------------------------------ op8
 def test_op8_exact_and_relaxed(spark):
     rng = np.random.default_rng(8)
