@@ -38,3 +38,13 @@ def test_fused_rules_match_individual_rules(spark):
     fused = sorted((r.test_id, r.row_id) for r in fused_row_rules(df, "t", "id", rules).collect())
     single = sorted((r.test_id, x.id) for r in rules for x in df.filter(F.expr(r.pred)).collect())
     assert fused == single == [("R1", "2"), ("R2", "1"), ("R2", "3")]
+
+
+def test_rules_with_computed_columns_are_fused_too(spark):
+    from claimsight.operators.checks import Suite
+    plain = RowRule("R1", "t", "id", ("a",), "a < 0", "negative")
+    computed = RowRule("R2", "t", "id", ("a", "b"), "a >= b", "a not below b", extra=(("gap", "a - b", "a - b"),))
+    suite = Suite([plain, computed])
+    assert suite.row_rules_by_table() == {"t": [plain, computed]}
+    df = spark.createDataFrame([("1", 5, 3), ("2", -1, 4)], "id string, a int, b int")
+    assert sorted((r.test_id, r.row_id) for r in fused_row_rules(df, "t", "id", suite.rules).collect()) == [("R1", "2"), ("R2", "1")]
