@@ -1,11 +1,8 @@
 """SMOTE oversampling of the rare class, as joins and windows.
 
-The neighbours of a minority row come from locality-sensitive hashing inside the
-minority class (``BucketedRandomProjectionLSH`` on standardised features): rows of
-one bucket are put in order by their places on the other projections, and the ``k`` rows
-before and behind a row are its candidates, so a bucket is never compared in all
-pairs.  A bucket above ``most`` rows is dealt into parts by a hash of the id.
-The nearest ``k`` of the candidates of all tables count as neighbours.
+The neighbours of a minority row are its ``k`` nearest inside the minority class on
+standardised features, exactly: rows are searched in leaves of about ``most`` rows, and
+each row also in every other leaf that may hold a nearer one (:mod:`..operators.nearest`).
 
 A synthetic row lies at a seeded place on the line from its minority row to one
 of its neighbours; every choice is a hash of (id, copy, seed), so a rerun gives
@@ -21,15 +18,15 @@ import uuid
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.nearest import nearest
 from ..registry import register
 from ..session import checkpoint_dir
 from ..sources.mapping import stored_spine
 from .features import FEATURE_COLUMNS, claim_features, label_set
 
 SEED = 42
-#: rows of a bucket that are put in order together
+#: rows of a leaf that are searched together
 MOST = 10_000
-FINE = 64
 #: hash ranges of the exact share of additional copies; their counts are a table of this size
 RANGE_BITS = 10
 
@@ -39,33 +36,12 @@ def _hash_share(*parts: Column) -> Column:
     return F.pmod(F.xxhash64(*parts), F.lit(1 << 40)) / F.lit(float(1 << 40))
 
 
-def neighbours(rows: DataFrame, features: list[str], key: str, k: int = 5, tables: int = 4, bucket_length: float = 2.0, seed: int = SEED,
-               most: int = MOST) -> DataFrame:
-    """``key`` and ``near``: array<struct<distance, id, at array<double>>> of at most ``k`` neighbours, nearest first."""
-    from pyspark.ml.feature import BucketedRandomProjectionLSH, StandardScaler, VectorAssembler
-    from pyspark.ml.functions import vector_to_array
-    vectors = VectorAssembler(inputCols=features, outputCol="_raw").transform(rows.select(key, *features))
-    scaled = StandardScaler(inputCol="_raw", outputCol="_x", withMean=True).fit(vectors).transform(vectors)
-    # fine buckets: their number is the place on the projection, and FINE of them are one bucket
-    lsh = BucketedRandomProjectionLSH(inputCol="_x", outputCol="_h", bucketLength=bucket_length / FINE, numHashTables=tables, seed=seed).fit(scaled)
-    # a one-element vector for each table
-    hashed = lsh.transform(scaled).select(key, vector_to_array("_x").alias("_x"), "_h")
-    flat = hashed.select(key, "_x", *[vector_to_array(F.col("_h")[t])[0].cast("long").alias(f"_h{t}") for t in range(tables)])
-    entries = flat.select(key, "_x", F.explode(F.array(*[
-        F.struct(F.lit(t).alias("t"), F.floor(F.col(f"_h{t}") / FINE).alias("bucket"), F.array(*[F.col(f"_h{(t + j) % tables}") for j in range(1, tables)]).alias("order"))
-        for t in range(tables)])).alias("e")).select(key, "_x", "e.*")
-    sizes = entries.groupBy("t", "bucket").agg(F.ceil(F.count(F.lit(1)) / most).alias("_parts")).where("_parts > 1")
-    entries = entries.join(sizes, ["t", "bucket"], "left").withColumn(
-        "_part", F.pmod(F.xxhash64(key), F.coalesce("_parts", F.lit(1))))
-    near = Window.partitionBy("t", "bucket", "_part").orderBy("order", key)
-    me = F.struct(F.col(key).alias("id"), F.col("_x").alias("x"))
-    around = F.array(*[f(me, j).over(near) for f in (F.lag, F.lead) for j in range(1, k + 1)])
-    candidates = entries.select(key, "_x", around.alias("_around"))
-    candidates = candidates.select(key, "_x", F.explode(F.filter("_around", lambda c: c.isNotNull())).alias("c"))
-    squared = F.aggregate(F.zip_with("_x", "c.x", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda a, d: a + d)
-    best = candidates.groupBy(key, F.col("c.id").alias("_id")).agg(F.min(squared).alias("distance"))
-    # at most 2 * k * tables candidates of a row
-    return best.groupBy(key).agg(F.slice(F.array_sort(F.collect_list(F.struct("distance", F.col("_id").alias("id")))), 1, k).alias("near"))
+def neighbours(rows: DataFrame, features: list[str], key: str, k: int = 5, seed: int = SEED, most: int = MOST) -> DataFrame:
+    """``key`` and ``near``: array<struct<distance, id>> of the ``k`` nearest other rows (all, if fewer) on standardised features, nearest first."""
+    # nine digits of a deviation are the same on any partitioning
+    spread = [float(f"{s or 0.0:.9g}") for s in rows.agg(*[F.stddev_samp(F.when(F.abs(c) < float("inf"), F.col(c))) for c in features]).first()]
+    place = F.array(*[F.col(c) / F.lit(s) if s > 0 else F.lit(0.0) for c, s in zip(features, spread, strict=True)])
+    return nearest(rows.select(key, place.alias("_x")), key, "_x", k, most, seed)
 
 
 def copies_of(rows: DataFrame, key: str, minority: int, total: int, seed: int = SEED) -> DataFrame:
@@ -80,7 +56,7 @@ def copies_of(rows: DataFrame, key: str, minority: int, total: int, seed: int =
 
 
 def smote(df: DataFrame, features: list[str], key: str = "claim_id", label: str = "label", rare: int | None = None, ratio: float = 1.0, k: int = 5,
-          seed: int = SEED, **lsh) -> DataFrame:
+          seed: int = SEED, **search) -> DataFrame:
     """synthetic_id, base_id, neighbour_id, gap, the features and the label: as many rows as lift the rare class to ``ratio`` of the other.
 
     ``rare`` is the label of fewer rows where it is not given (of equal ones, 1).
@@ -95,7 +71,7 @@ def smote(df: DataFrame, features: list[str], key: str = "claim_id", label: str
     shape = "synthetic_id string, base_id string, neighbour_id string, gap double, " + ", ".join(f"`{c}` double" for c in features) + f", `{label}` int"
     if not total:
         return df.sparkSession.createDataFrame([], shape)
-    near = neighbours(mine, features, key, k, seed=seed, **lsh)
+    near = neighbours(mine, features, key, k, seed=seed, **search)
     base = copies_of(mine, key, minority, total, seed).join(near, key, "left")
     drawn = base.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     pick = F.floor(_hash_share(F.col(key), F.col("_copy"), F.lit(seed)) * F.size("near")).cast("int")

@@ -52,3 +52,25 @@ def test_neighbours_are_near(rows):
     found = sum(sum(far(k, n) for n in v) / len(v) for k, v in near.items())
     mean = sum(far(a, b) for a in at for b in at) / len(at)
     assert found < 0.2 * mean
+
+
+def test_neighbours_are_the_nearest(spark, monkeypatch):
+    """Every row has its nearest others, also past the edge of its leaf and beside crowds of equal rows."""
+    import numpy as np
+
+    from claimsight.operators import nearest
+    monkeypatch.setattr(nearest, "PROBES", 7)
+    rng = random.Random(9)
+    rows = [(f"a{i:03d}", rng.gauss(0, 1), float(rng.randrange(3))) for i in range(160)] + [(f"b{i:03d}", 0.25, 1.0) for i in range(40)]
+    rows += [(f"c{i}", 4.0 + i, 0.0) for i in range(3)] + [("odd", float("nan"), 0.0), (None, 0.0, 0.0)]
+    got = {r["claim_id"]: [(n["distance"], n["id"]) for n in r["near"]] for r in neighbours(
+        spark.createDataFrame(rows, "claim_id string, x double, y double").repartition(4), FEATURES, "claim_id", 5, most=16).collect()}
+    known = [r for r in rows if r[0] and r[1] == r[1]]
+    spread = [float(f"{s:.9g}") for s in (np.std([r[1] for r in rows if r[1] == r[1]], ddof=1), np.std([r[2] for r in rows], ddof=1))]
+    at = {r[0]: (r[1] / spread[0], r[2] / spread[1]) for r in known}
+    assert set(got) == set(at)
+    for i, p in at.items():
+        near = sorted((((p[0] - q[0]) ** 2 + (p[1] - q[1]) ** 2), j) for j, q in at.items() if j != i)[:5]
+        assert [n for _, n in got[i]] == [n for _, n in near] and [d for d, _ in got[i]] == pytest.approx([d for d, _ in near])
+    few = spark.createDataFrame([("p", 0.0, 0.0), ("q", 1.0, 0.0), ("p", 0.0, 0.0)], "claim_id string, x double, y double")
+    assert {r["claim_id"]: [n["id"] for n in r["near"]] for r in neighbours(few, FEATURES, "claim_id").collect()} == {"p": ["q"], "q": ["p"]}
