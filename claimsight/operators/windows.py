@@ -152,3 +152,59 @@ def next_time_in_key(df: DataFrame, key: str, ts_col: str, tie_col: str, name: s
     """
     w = Window.partitionBy(key).orderBy(ts_col, tie_col)
     return df.where(F.col(key).isNotNull() & F.col(ts_col).isNotNull()).withColumn(name, F.lead(ts_col).over(w))
+
+
+# ------------------------------------------------------ windows that rows carry
+def with_slot_counts(df: DataFrame, key: str, ts_col: str, windows: dict[str, int], slot: int = 3600) -> DataFrame:
+    """``df`` with the counts of :func:`rolling_counts_by_slot` at each row's own second; null for rows without key or time.
+
+    The rows themselves are dealt by (key, block), so nothing has to be joined back to them: a row adds itself
+    and a mark at the start of each window, and a row in a block's last window also goes to the next
+    block, there as its second alone.
+    """
+    if any(w <= 0 or w % slot for w in windows.values()):
+        raise ValueError("windows must be multiples of the slot")
+    longest = max(windows.values())
+    block = 4 * longest
+    others = [c for c in df.columns if c != key]
+    t, own = F.col("_t"), F.floor(F.col("_t") / block)
+    whole = F.struct(*others)
+    rows = df.withColumn("_t", F.unix_seconds(F.col(ts_col).cast("timestamp")))
+    here, there = F.struct(own.alias("_b"), whole.alias("_row")), F.struct((own + 1).alias("_b"), F.when(F.lit(False), whole).alias("_row"))
+    late = F.col(key).isNotNull() & (t >= (own + 1) * block - longest)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = rows.select(key, "_t", F.inline(F.when(late, F.array(here, there)).otherwise(F.array(here)))).repartition(parts, key, "_b")
+    row, none = F.col("_row"), F.when(F.lit(False), F.col("_row"))
+    itself = F.struct(t.alias("p"), F.lit(0).alias("m"), F.lit(1).alias("n"), row.alias("_row"))
+    # marks come before the seconds of their place
+    marks = [F.struct((t - w).alias("p"), F.lit(i).alias("m"), F.lit(0).alias("n"), none.alias("_row")) for i, w in enumerate(windows.values(), 1)]
+    places = spread.select(key, "_b", "_t", row.isNotNull().alias("_own"), F.inline(F.when(row.isNotNull(), F.array(itself, *marks)).otherwise(F.array(itself))))
+    past = Window.partitionBy(key, "_b").orderBy("p", F.col("m") == 0).rangeBetween(Window.unboundedPreceding, 0)
+    sums = places.withColumn("_c", F.sum("n").over(past)).where("_own")
+    second = Window.partitionBy(key, "_b", "_t")
+    counts = [(F.col("_c") - F.max(F.when(F.col("m") == i, F.col("_c"))).over(second)) for i in range(1, len(windows) + 1)]
+    known = F.col(key).isNotNull() & t.isNotNull()
+    return sums.select(key, "m", "_row", *[F.when(known, c).alias(name) for name, c in zip(windows, counts, strict=True)]) \
+        .where("m = 0").select(key, *[F.col(f"_row.{c}").alias(c) for c in others], *windows)
+
+
+def with_days_since_previous(df: DataFrame, key: str, date_col: str, tie_col: str, name: str) -> DataFrame:
+    """``df`` with the gap of :func:`days_since_previous` as ``name``; rows have a key and a date.  A key's rows are streamed through one task."""
+    before = F.lag(date_col).over(Window.partitionBy(key).orderBy(date_col, tie_col))
+    return df.withColumn(name, F.datediff(F.col(date_col), before))
+
+
+def with_distinct_in_days(df: DataFrame, key: str, date_col: str, value: str, days: int, name: str) -> DataFrame:
+    """``df`` with the number of distinct ``value`` of the key in the ``days`` days up to and with the row's own."""
+    frame = Window.partitionBy(key).orderBy(F.unix_date(date_col)).rangeBetween(1 - days, 0)
+    return df.withColumn(name, F.size(F.collect_set(value).over(frame)))
+
+
+def with_prior_sum(df: DataFrame, keys: list[str], ev_ts: str, probe_ts: str, value: str, name: str) -> DataFrame:
+    """``df`` with the sum of ``value`` over the rows of its ``keys`` whose ``ev_ts`` lies strictly before its ``probe_ts``
+    (its own, too); rows without ``probe_ts`` are left out, but count in the sums of others."""
+    at, no = F.col(probe_ts), F.lit(0).cast(df.schema[value].dataType)
+    entries = F.array(F.when(at.isNotNull(), F.struct(at.alias("_at"), F.lit(0).alias("_ord"), no.alias("_add"))),
+                      F.when(F.col(ev_ts).isNotNull() & F.col(value).isNotNull(), F.struct(F.col(ev_ts).alias("_at"), F.lit(1).alias("_ord"), F.col(value).alias("_add"))))
+    past = Window.partitionBy(*keys).orderBy("_at", "_ord").rowsBetween(Window.unboundedPreceding, 0)
+    return df.select("*", F.inline(F.array_compact(entries))).withColumn(name, F.sum("_add").over(past)).where("_ord = 0").drop("_at", "_ord", "_add")

@@ -2,95 +2,113 @@
 when the claim is submitted (X02 over earlier days, X04 evidence recorded by
 then, X08 and X10 verdicts and approvals before it).
 
-Counts of a provider's claims over time (:func:`rolling_counts_by_slot`) are
+Counts of a provider's claims over time (:func:`with_slot_counts`) are
 differences of running sums over seconds within blocks of time, so a provider
-holding a third of all claims is split into partitions of bounded size.  Distinct counts use a *time-bucketed* window
-layout (:func:`rolling_counts`): rows are keyed by (entity, bucket of the
-largest window) and copied once into the next bucket.  The as-of fraud history
-(:func:`asof_rate`) prefix-sums day totals and scans only the current day row
+holding a third of all claims is split into partitions of bounded size.  A member's
+claims are dealt once and streamed through its windows in one task.  The as-of fraud history
+of a provider (:func:`asof_rate`) prefix-sums day totals and scans only the current day row
 by row.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions.exprs import lit_date
 from ..registry import register
-from ..sources.mapping import stored_spine
+from ..session import checkpoint_dir
+from ..sources.mapping import dealt, dealt_spine
 
 HOUR = 3600
 DAY = 86400
 
 
-from ..operators.windows import asof_rate, days_since_previous, rolling_counts, rolling_counts_by_slot  # noqa: F401
+from ..operators.windows import (asof_rate, days_since_previous, with_days_since_previous, with_distinct_in_days,  # noqa: E402
+                                 with_prior_sum, with_slot_counts)
 
 
 # --------------------------------------------------------------- features
-def claim_features(rel) -> DataFrame:
-    """X01-X11 for every claim, one row per claim.  All parts read one stored claim spine."""
-    rel = stored_spine(rel)
-    c = rel.claims.select("claim_id", "member_id", "provider_id", "diagnosis_code", "date_of_service", "date_submitted",
-                          "amount_claimed", "amount_approved", "submitted_at", "updated_at")
-    dx = rel.icd10_codes.select(F.col("icd10_code").alias("diagnosis_code"), "clinical_category")
-    c = c.join(dx, "diagnosis_code", "left").withColumn("clinical_category", F.coalesce("clinical_category", F.lit("Other")))
-    c = c.withColumn("days_to_submit", F.datediff("date_submitted", "date_of_service"))
+def claim_features(rel, verdict: bool = False) -> DataFrame:
+    """X01-X11 for every claim, one row per claim; with ``verdict`` also ``label``, for the claims that :func:`label_set` keeps.
+
+    The claims' rows are dealt twice, by provider and time and by member, and take each feature along where they
+    are; evidence and verdicts meet them in the buckets of one stored claim spine.
+    """
+    rel = dealt_spine(rel)
+    relations = ["claims", "vitals", "prescriptions"] + ["fraud_investigation_outcomes"] * verdict
+    (claims, vitals, prescriptions, *outcomes), by = dealt(rel, *relations)
+    key = [*by, "claim_id"]
+    dx = F.broadcast(rel.icd10_codes.select(F.col("icd10_code").alias("diagnosis_code"), "clinical_category"))   # reference table
+    # Evidence recorded by the time of submission (first record per claim)
+    c = claims.select(*key, "member_id", "provider_id", "diagnosis_code", "date_of_service", "date_submitted", "amount_claimed",
+                      "amount_approved", "submitted_at", "updated_at")
+    beside = [vitals.select(*key, F.col("_loaded_at").alias("_v")), prescriptions.select(*key, F.col("_loaded_at").alias("_rx"))]
+    beside += [verdicts(o, by) for o in outcomes]
+    every = c.withColumn("_claim", F.lit(True))
+    for other in beside:
+        every = every.unionByName(other, allowMissingColumns=True)
+    of_claim = Window.partitionBy(*key)
+    found = {"_v": F.min("_v").over(of_claim), "_rx": F.min("_rx").over(of_claim)} | ({"label": F.max("label").over(of_claim)} if verdict else {})
+    c = every.withColumns(found).where("_claim").select(
+        *c.drop(*by).columns, F.coalesce(F.col("_v") <= F.col("submitted_at"), F.lit(False)).alias("has_matching_vitals"),
+        F.coalesce(F.col("_rx") <= F.col("submitted_at"), F.lit(False)).alias("has_matching_prescription"), *["label"] * verdict)
+    # Provider rolling counts on submitted_at
+    c = with_slot_counts(c, "provider_id", "submitted_at",
+                         {"provider_claims_1h": HOUR, "provider_claims_6h": 6 * HOUR, "provider_claims_24h": DAY,
+                          "provider_claims_7d": 7 * DAY, "provider_claims_30d": 30 * DAY})
+    parts = int(c.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    c = c.where(F.col("member_id").isNotNull() & F.col("date_of_service").isNotNull()).repartition(parts, "member_id")
+    # X11: days since the member's previous claim (velocity = its mean per member, see member_velocity)
+    c = with_days_since_previous(c, "member_id", "date_of_service", "claim_id", "_gap")
+    # Distinct providers of the member in the 7 days up to the claim
+    c = with_distinct_in_days(c, "member_id", "date_of_service", "provider_id", 7, "_providers")
+    # Amounts of the member's service year whose approval came before this claim was submitted (its own
+    # approval never counts), over the plan's annual limit
+    c = with_prior_sum(c.withColumn("_year", F.year("date_of_service")), ["member_id", "_year"], "updated_at", "submitted_at", "amount_approved", "_ytd")
+    # a claim id that repeats has the member's features of each of its rows on each of them
+    same = Window.partitionBy("member_id", "claim_id")
+    c = c.withColumns({"_times": F.count(F.lit(1)).over(same)} | {x: F.collect_list(F.struct(x)).over(same) for x in ("_gap", "_ytd", "_providers")})
+    n = F.col("_times")
+    c = c.select("*", F.explode(F.sequence(F.lit(0), (n * n * n - 1).cast("int"))).alias("_i"))
+    at = {"_gap": F.col("_i") % n, "_ytd": F.floor(F.col("_i") / n) % n, "_providers": F.floor(F.col("_i") / (n * n))}
+    c = c.withColumns({x: F.get(x, i.cast("int"))[x] for x, i in at.items()})
+    # the member's plan limit: rows stay where they are
+    lim = rel.members.select("member_id", "plan_code").join(F.broadcast(rel.plans.select("plan_code", "annual_limit_kes")), "plan_code")
+    c = c.join(lim.select("member_id", "annual_limit_kes"), "member_id", "left")
     # Z-score of the submission lag within the clinical category, over the claims submitted on
-    # earlier days: day totals (categories x calendar days) prefix-summed, then one equi-join back;
+    # earlier days: day totals (categories x calendar days, which bound the broadcast) prefix-summed, then one equi-join back;
     # exact integer sums, then one fixed double formula (same bits on any partitioning)
-    day = c.groupBy("clinical_category", "date_submitted").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("days_to_submit").alias("s"), F.sum(F.col("days_to_submit") * F.col("days_to_submit")).alias("s2"))
+    lag, category = F.datediff("date_submitted", "date_of_service"), F.coalesce("clinical_category", F.lit("Other"))
+    day = rel.claims.select("diagnosis_code", "date_submitted", lag.alias("_lag")).join(dx, "diagnosis_code", "left") \
+        .groupBy(category.alias("clinical_category"), "date_submitted").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("_lag").alias("s"), F.sum(F.col("_lag") * F.col("_lag")).alias("s2"))
     past = Window.partitionBy("clinical_category").orderBy("date_submitted").rowsBetween(Window.unboundedPreceding, -1)
     st = day.select("clinical_category", "date_submitted", *[F.sum(x).over(past).alias("_" + x) for x in ("n", "s", "s2")]).select(
         "clinical_category", "date_submitted", (F.col("_s") / F.col("_n")).alias("_mu"),
         F.sqrt((F.col("_s2") - F.col("_s") * F.col("_s") / F.col("_n")) / F.nullif(F.col("_n") - 1, F.lit(0))).alias("_sd"))
-    c = c.join(st, ["clinical_category", "date_submitted"], "left")
+    c = c.join(dx, "diagnosis_code", "left").withColumns({"clinical_category": category, "days_to_submit": lag}) \
+        .join(F.broadcast(st), ["clinical_category", "date_submitted"], "left")
     # Amount / nearest threshold at or above it
     a = F.col("amount_claimed")
     prox = None
     for t in sorted(K.THRESHOLDS_KES, reverse=True):
         prox = F.when(a <= t, a.cast("double") / t) if prox is None else F.when(a <= t, a.cast("double") / t).otherwise(prox)
-    # Evidence recorded by the time of submission (first record per claim, left join - no row multiplication);
-    # one aggregate over both evidence sources -> one join with the claims
-    evid = (rel.vitals.select("claim_id", F.col("_loaded_at").alias("_v"), F.lit(None).cast("timestamp_ntz").alias("_rx"))
-            .unionByName(rel.prescriptions.select("claim_id", F.lit(None).cast("timestamp_ntz").alias("_v"), F.col("_loaded_at").alias("_rx")))
-            .groupBy("claim_id").agg(F.min("_v").alias("_v"), F.min("_rx").alias("_rx")))
-    # the join on the member comes before those on claim_id, which then share one shuffle of the claims
-    lim = rel.members.select("member_id", "plan_code").join(rel.plans.select("plan_code", "annual_limit_kes"), "plan_code")
-    c = c.join(lim.select("member_id", "annual_limit_kes"), "member_id", "left")
-    c = c.join(evid, "claim_id", "left").withColumn("has_matching_vitals", F.col("_v") <= F.col("submitted_at")) \
-        .withColumn("has_matching_prescription", F.col("_rx") <= F.col("submitted_at"))
-    # Provider rolling counts on submitted_at
-    pf = rolling_counts_by_slot(rel.claims, "provider_id", "submitted_at",
-                                {"provider_claims_1h": HOUR, "provider_claims_6h": 6 * HOUR, "provider_claims_24h": DAY,
-                                 "provider_claims_7d": 7 * DAY, "provider_claims_30d": 30 * DAY}, "_submitted_s")
-    # Distinct providers of the member in the 7 days up to the claim
-    mp = rolling_counts(rel.claims.withColumn("_d", F.col("date_of_service").cast("timestamp")), "member_id", "_d",
-                        {"member_provider_count_7d": 6 * DAY}, "claim_id", distinct_col="provider_id", span=8)
-    # Amounts of the member's service year whose approval came before this claim was submitted (its own
-    # approval never counts), over the plan's annual limit
-    year = rel.claims.withColumn("_k", F.concat_ws("|", "member_id", F.year("date_of_service")))
-    ytd = asof_rate(year.filter(F.col("amount_approved").isNotNull()), year, "_k", "updated_at", "submitted_at", "amount_approved",
-                    "claim_id", cast="decimal(15,2)").select("claim_id", F.col("prior_flagged").alias("_ytd"))
     own = F.when(F.col("updated_at") < F.col("submitted_at"), F.coalesce("amount_approved", F.lit(0))).otherwise(F.lit(0))
-    # X11: days since the member's previous claim (velocity = its mean per member, see member_velocity)
-    gap = days_since_previous(rel.claims, "member_id", "date_of_service", "claim_id").select("claim_id", F.col("gap").alias("_gap"))
-    c = c.join(ytd, "claim_id").join(gap, "claim_id")
+    counts = [f"provider_claims_{w}" for w in ("1h", "6h", "24h", "7d", "30d")]
     out = c.select(
-        "claim_id", "member_id", "provider_id", "clinical_category", "days_to_submit",
+        "provider_id", "claim_id", "member_id", "clinical_category", "days_to_submit",
         (F.col("days_to_submit") == 0).alias("is_same_day_submission"),
         F.round((F.col("days_to_submit") - F.col("_mu")) / F.nullif(F.col("_sd"), F.lit(0.0)), 6).alias("days_to_submit_zscore"),
-        prox.alias("amount_vs_threshold_proximity"),
-        F.coalesce("has_matching_vitals", F.lit(False)).alias("has_matching_vitals"),
-        F.coalesce("has_matching_prescription", F.lit(False)).alias("has_matching_prescription"),
+        prox.alias("amount_vs_threshold_proximity"), "has_matching_vitals", "has_matching_prescription",
         ((F.col("_ytd") - own).cast("double") / F.col("annual_limit_kes").cast("double")).alias("member_ytd_utilisation_pct"),
-        F.col("_gap").alias("days_since_prev_claim"), F.unix_seconds(F.col("submitted_at").cast("timestamp")).alias("_submitted_s"))
-    out = out.join(mp.drop("member_id"), "claim_id").join(pf, ["provider_id", "_submitted_s"], "left").drop("_submitted_s")
-    # Last 24 h against the provider's mean daily volume over 30 days
-    return out.withColumn("provider_24h_vs_30d_mean",
-                          F.col("provider_claims_24h") / (F.col("provider_claims_30d") / F.lit(30.0)))
+        F.col("_gap").alias("days_since_prev_claim"), F.col("_providers").alias("member_provider_count_7d"), *counts,
+        # Last 24 h against the provider's mean daily volume over 30 days
+        (F.col("provider_claims_24h") / (F.col("provider_claims_30d") / F.lit(30.0))).alias("provider_24h_vs_30d_mean"), *["label"] * verdict)
+    return out.where("label is not null") if verdict else out
 
 
 FEATURE_COLUMNS = ["days_to_submit", "is_same_day_submission", "days_to_submit_zscore", "amount_vs_threshold_proximity",
@@ -206,12 +224,25 @@ def feature_snapshot(features: DataFrame, cols=None) -> DataFrame:
 register("feat_x12_snapshot", sql=None)(lambda rel: feature_snapshot(claim_features(rel)))
 
 
+def verdicts(outcomes: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """``claim_id`` and ``label`` (confirmed 1 / legitimate 0) of the claims whose last verdict is one of the two; ``by`` as in :func:`dealt`."""
+    last = outcomes.groupBy(*by, "claim_id").agg(F.max_by("final_label", F.struct("confirmed_at", "outcome_id")).alias("lbl"))
+    return last.filter(F.col("lbl").isin("confirmed_fraud", "legitimate")) \
+        .select(*by, "claim_id", (F.col("lbl") == "confirmed_fraud").cast("int").alias("label"))
+
+
 def label_set(features: DataFrame, outcomes: DataFrame) -> DataFrame:
     """Features with a verdict label (confirmed 1 / legitimate 0); unlabelled and inconclusive dropped."""
-    last = outcomes.groupBy("claim_id").agg(F.max_by("final_label", F.struct("confirmed_at", "outcome_id")).alias("lbl"))
-    lab = last.filter(F.col("lbl").isin("confirmed_fraud", "legitimate")) \
-        .select("claim_id", (F.col("lbl") == "confirmed_fraud").cast("int").alias("label"))
-    return features.join(lab, "claim_id")
+    return features.join(verdicts(outcomes), "claim_id")
+
+
+def training_rows(rel) -> DataFrame:
+    """Labelled features, written once: training and oversampling read them several times."""
+    rows = claim_features(rel, verdict=True).select("claim_id", "label", *FEATURE_COLUMNS)
+    spark = rows.sparkSession
+    path = f"{checkpoint_dir(spark)}/labelled-{uuid.uuid4().hex}"
+    rows.sort("claim_id").write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 @register("feat_x13_labels", sql=(

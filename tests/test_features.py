@@ -134,3 +134,60 @@ def test_slot_counts_shuffle_few_copies(spark):
     plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert "REPARTITION_BY_NUM" in plan and plan.index("REPARTITION_BY_NUM") > plan.index("inline(")     # the generate above the exchange
     assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_counts_carried_by_rows(spark):
+    """Each row has the counts at its second: a hot provider, ties, block ends, rows without key or time."""
+    from claimsight.operators.windows import with_slot_counts
+    rnd = random.Random(13)
+    base = dt.datetime(1969, 12, 30)
+    rows = [(f"c{i}", f"p{max(0, rnd.randrange(5) - 2)}", base + dt.timedelta(seconds=rnd.choice([0, 1, 3599]) + 3600 * rnd.randrange(24 * 6))) for i in range(200)]
+    rows += [("d", "p0", rows[0][2])] * 3 + [("k", None, rows[0][2]), ("t", "p0", None)]
+    windows = {"h1": 3600, "h6": 6 * 3600, "d1": 86400}
+    out = with_slot_counts(spark.createDataFrame(rows, "id string, k string, ts timestamp_ntz"), "k", "ts", windows)
+    expected = [(i, k, t, *[sum(1 for _, q, u in rows if q == k and u is not None and t - dt.timedelta(seconds=w) <= u <= t) if k and t else None for w in windows.values()])
+                for i, k, t in rows]
+    assert sorted(map(repr, expected)) == sorted(repr((r.id, r.k, r.ts, r.h1, r.h6, r.d1)) for r in out.collect())
+
+
+def test_member_windows_carried_by_rows(spark):
+    from claimsight.operators.windows import with_distinct_in_days, with_prior_sum
+    rnd = random.Random(14)
+    base = dt.datetime(2001, 1, 1)
+    rows = [(f"c{i}", f"m{rnd.randrange(3)}", f"p{rnd.randrange(5)}", base + dt.timedelta(days=rnd.randrange(30)), base + dt.timedelta(hours=6 * rnd.randrange(100)),
+             rnd.choice([None, 1, 2, 5])) for i in range(120)] + [("late", "m0", "p0", base, None, 7)]
+    df = spark.createDataFrame(rows, "id string, m string, p string, asked timestamp_ntz, known timestamp_ntz, v int").withColumn("day", F.to_date("asked"))
+    df = with_prior_sum(with_distinct_in_days(df, "m", "day", "p", 7, "n"), ["m"], "known", "asked", "v", "s")
+    got = {r.id: (r.n, r.s) for r in df.collect()}
+    assert got == {i: (len({q for _, n, q, u, _, _ in rows if n == m and dt.timedelta(0) <= a.replace(hour=0) - u.replace(hour=0) <= dt.timedelta(days=6)}),
+                       sum(w or 0 for _, n, _, _, u, w in rows if n == m and u is not None and u < a)) for i, m, _, a, _, _ in rows}
+
+
+def test_claims_are_dealt_twice(spark):
+    """Evidence and verdicts meet the claims in the buckets of the spine; the claims go to the providers and to the members, and nowhere else."""
+    import re
+
+    from claimsight.plans.features import claim_features, label_set, verdicts
+    from claimsight.sources.mapping import Relations, dealt, dealt_spine
+    rel = Relations(spark, "/root/testdata/sf0.001")
+    labelled = claim_features(rel, verdict=True)
+    plan = labelled._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan
+    assert len([x for x in re.findall(r"Exchange hashpartitioning\(([^)]*)", plan) if "claim_id" in x or "_b" in x]) == 1
+    assert len(re.findall("Exchange hashpartitioning", plan)) <= 8
+    plain = label_set(claim_features(rel), rel.fraud_investigation_outcomes)
+    assert labelled.count() == plain.count() > 0 and labelled.exceptAll(plain.select(labelled.columns)).count() == 0
+    (outcomes,), by = dealt(dealt_spine(rel), "fraud_investigation_outcomes")
+    assert by and "Exchange" not in verdicts(outcomes, by)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_repeated_claims(spark, rel):
+    """A claim that comes twice has the features of both its rows on each of them, as joins by its id gave it."""
+    from types import SimpleNamespace
+
+    from claimsight.plans.features import claim_features
+    one = rel.claims.orderBy("claim_id").limit(1)
+    names = ("members", "plans", "icd10_codes", "vitals", "prescriptions")
+    twice = SimpleNamespace(**{n: getattr(rel, n) for n in names} | {"claims": rel.claims.unionByName(one)})
+    features = claim_features(twice)
+    assert features.join(one, "claim_id", "left_semi").count() == 16 and features.join(one, "claim_id", "left_anti").count() == rel.claims.count() - 1
