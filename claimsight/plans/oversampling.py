@@ -13,16 +13,12 @@ is exact: each minority row gives ``total div minority`` of them, and the first
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.nearest import nearest
 from ..registry import register
-from ..session import checkpoint_dir
-from ..sources.mapping import stored_spine
-from .features import FEATURE_COLUMNS, claim_features, label_set
+from .features import FEATURE_COLUMNS, training_rows
 
 SEED = 42
 #: rows of a leaf that are searched together
@@ -97,16 +93,6 @@ def between(synthetic: DataFrame, df: DataFrame, features: list[str], key: str =
     return both.select("synthetic_id", F.coalesce(F.forall(F.array(*[inside(c) for c in features]), lambda x: x), F.lit(False)).alias("inside"))
 
 
-def training_rows(rel) -> DataFrame:
-    """Labelled features, written once: oversampling reads them several times."""
-    rel = stored_spine(rel)
-    spark = rel.claims.sparkSession
-    path = f"{checkpoint_dir(spark)}/labelled-{uuid.uuid4().hex}"
-    rows = label_set(claim_features(rel), rel.fraud_investigation_outcomes).select("claim_id", "label", *FEATURE_COLUMNS)
-    rows.write.parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
-
-
 @register("train_x14_smote")
 def smote_rows(rel) -> DataFrame:
     """Synthetic rows of the rarer verdict up to the number of the other."""

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..registry import register
-from .features import FEATURE_COLUMNS, claim_features, label_set, split_column
+from .features import FEATURE_COLUMNS, label_set, split_column, training_rows
 
 
 # ------------------------------------------------------------- training
@@ -60,7 +60,7 @@ def feature_importances(model, columns=tuple(FEATURE_COLUMNS)) -> DataFrame:
 @register("train_x16_gbt_test_scores")
 def gbt_test_scores(rel) -> DataFrame:
     """Train on the 70% split, score the 15% test split (rows-only check)."""
-    lab = label_set(claim_features(rel), rel.fraud_investigation_outcomes).withColumn("split", split_column())
+    lab = training_rows(rel).withColumn("split", split_column())
     model = train_gbt(lab.filter(F.col("split") == "train"))
     return score(model, lab.filter(F.col("split") == "test").select("claim_id", "label", *FEATURE_COLUMNS)) \
         .select("claim_id", "label", "score")
