@@ -195,19 +195,24 @@ def claims_enriched(rel) -> DataFrame:
     Payments are aggregated to one row per claim first; every other side is a
     dimension keyed lookup, so the result has exactly one row per claim.
     """
-    c = rel.claims.select("claim_id", "member_id", "provider_id", "diagnosis_code", "date_of_service", "amount_claimed",
-                          "amount_approved", "status")
+    (claims, payments), by = dealt(rel, "claims", "payments")
+    key = [*by, "claim_id"]
+    c = claims.select(*key, "member_id", "provider_id", "diagnosis_code", "date_of_service", "amount_claimed", "amount_approved", "status")
     m = rel.members.select("member_id", "plan_code", "employer_id", F.col("county").alias("member_county"))
     p = rel.providers.select("provider_id", "facility_type", F.col("county").alias("provider_county"), "accreditation_status")
     # reference tables (plans, employers, diagnosis codes) do not grow with claim volume: broadcast
-    pl = rel.plans.select("plan_code", "plan_tier", "annual_limit_kes")
-    e = rel.employers.select("employer_id", "employer_name")
-    dx = rel.icd10_codes.select(F.col("icd10_code").alias("diagnosis_code"), "clinical_category")
-    pay = rel.payments.groupBy("claim_id").agg(F.sum("amount_paid_kes").alias("total_paid"),
-                                               F.count(F.lit(1)).alias("payment_count"))
-    return (c.join(m, "member_id", "left").join(p, "provider_id", "left").join(pl, "plan_code", "left")
-            .join(e, "employer_id", "left").join(dx, "diagnosis_code", "left").join(pay, "claim_id", "left")
-            .withColumn("payment_count", F.coalesce("payment_count", F.lit(0))))
+    pl = F.broadcast(rel.plans.select("plan_code", "plan_tier", "annual_limit_kes"))
+    e = F.broadcast(rel.employers.select("employer_id", "employer_name"))
+    dx = F.broadcast(rel.icd10_codes.select(F.col("icd10_code").alias("diagnosis_code"), "clinical_category"))
+    both = c.withColumn("_claim", F.lit(True)).unionByName(
+        payments.select(*key, "amount_paid_kes", F.lit(1).alias("_paid")), allowMissingColumns=True)
+    of_claim = Window.partitionBy(*key)
+    paid = both.withColumns({"total_paid": F.sum("amount_paid_kes").over(of_claim), "payment_count": F.count("_paid").over(of_claim)}) \
+        .where("_claim").select("claim_id", *c.columns[len(key):], "total_paid", "payment_count")
+    out = paid.join(m, "member_id", "left").join(p, "provider_id", "left").join(pl, "plan_code", "left") \
+        .join(e, "employer_id", "left").join(dx, "diagnosis_code", "left")
+    facts = ["total_paid", "payment_count"]
+    return out.select("claim_id", *[x for x in out.columns if x not in ("claim_id", *facts)], *facts)
 
 
 _ENRICHED_SQL = (

@@ -50,3 +50,20 @@ def test_rows_without_a_near_one_leave(spark, band):
     got = [r.id for r in _with_near_neighbour(df, ["k"], "at", band, 4).collect()]
     assert sorted(got) == [i for i, k, at in rows if any(j != i and k == l and abs(at - to) <= band for j, l, to in rows)]
     assert got or band == 0
+
+
+def test_payments_meet_claims_where_they_are(spark):
+    """Payments are added where the orders' join put the claims; the reference tables are broadcast; other relations give the same rows."""
+    import re
+    from types import SimpleNamespace
+
+    from claimsight.plans.models import claims_enriched
+    from claimsight.sources.mapping import Relations
+    rel = Relations(spark, "/root/testdata/sf0.001")
+    out = claims_enriched(rel)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert not re.findall(r"Exchange hashpartitioning\((?:claim_id|employer_id|diagnosis_code)#", plan)
+    names = ("claims", "payments", "members", "providers", "plans", "employers", "icd10_codes")
+    plain = claims_enriched(SimpleNamespace(**{n: getattr(rel, n) for n in names}))
+    assert out.columns == plain.columns and out.count() == plain.count() == rel.claims.count()
+    assert out.exceptAll(plain).count() == 0
