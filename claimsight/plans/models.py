@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions.exprs import lit_date, lit_ts, safe_ratio, stable_id
 from ..registry import register
-from ..sources.mapping import dealt
+from ..sources.mapping import dealt, dealt_spine
 
 REFRESHED = _dt.datetime(2001, 8, 2, 7, 0, 0)
 REFRESHED_SQL = "TIMESTAMP '2001-08-02 07:00:00'"
@@ -778,7 +778,7 @@ def fct_claims_merge(rel) -> DataFrame:
     from ..operators.writes import VersionedTable
     is_new = F.col("model_version") == "v2.1"
     table = VersionedTable(rel.spark, f"fct_claims-{uuid.uuid4().hex}")
-    (claims, predictions), by = dealt(rel, "claims", "fraud_predictions")
+    (claims, predictions), by = dealt(dealt_spine(rel), "claims", "fraud_predictions")
     first = fct_claims(_With(rel, claims=claims, fraud_predictions=predictions.filter(~is_new)), by)
     table.commit(first.drop(*by).withColumn("built_in", F.lit(1)))
     touched = predictions.filter(is_new).select(*by, "claim_id").distinct()

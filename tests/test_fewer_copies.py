@@ -67,3 +67,11 @@ def test_payments_meet_claims_where_they_are(spark):
     plain = claims_enriched(SimpleNamespace(**{n: getattr(rel, n) for n in names}))
     assert out.columns == plain.columns and out.count() == plain.count() == rel.claims.count()
     assert out.exceptAll(plain).count() == 0
+
+
+def test_merge_reads_one_spine(spark):
+    """Lineitem meets orders once, when the spine is stored."""
+    from claimsight.plans.models import fct_claims_merge
+    from claimsight.sources.mapping import Relations
+    plan = fct_claims_merge(Relations(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner, (l_orderkey" not in plan and "l_orderkey" in plan
