@@ -6,7 +6,8 @@ checkpointed by changes; event-time timers drop what no later claim can meet.
 A processor is called once for each grouping key and trigger, and every call and
 state access crosses to the JVM, so the keys (members; member, provider and
 diagnosis) are dealt by hash over ``parts`` groups that share one state: the calls
-grow with the groups, and the rows of a group are compared as arrays.  ``parts``
+grow with the groups, and the rows of a group are compared as arrays and kept in the
+state as packed Arrow batches, not row by row.  ``parts``
 belongs to a checkpoint like the key itself; a restart takes the same number.
 
 * ``ProviderSpread`` keeps one entry for each (day, provider) of a member, where
@@ -27,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -48,15 +50,33 @@ PARTS, CLAIMS_PER_PART = 64, 50_000
 SEEN = ["member_id", "day", "provider_id"]
 WHO = ["member_id", "provider_id", "diagnosis_code"]
 RECENT = ["ts_ms", "claim_id", "amount", *WHO]
+SEEN_ROWS = pa.schema([("member_id", pa.string()), ("day", pa.int64()), ("provider_id", pa.string())])
+RECENT_ROWS = pa.schema([("ts_ms", pa.int64()), ("claim_id", pa.string()), ("amount", pa.float64()), *[(c, pa.string()) for c in WHO]])
 
 
-def _held(state, columns: list[str]) -> pd.DataFrame:
-    return pd.DataFrame(list(state.get()), columns=columns)
+#: a list state holds rows packed as Arrow batches of at most so many, because each element crosses to the JVM by itself
+PACKED, AT_ONCE = "rows binary", 10_000
 
 
-def _put(state, rows: pd.DataFrame) -> None:
+def _packed(rows: pd.DataFrame, schema: pa.Schema) -> list[tuple[bytes]]:
+    table = pa.Table.from_pandas(rows, schema, preserve_index=False)
+    packed = []
+    for batch in table.combine_chunks().to_batches(max_chunksize=AT_ONCE):
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+            writer.write_batch(batch)
+        packed.append((sink.getvalue().to_pybytes(),))
+    return packed
+
+
+def _held(state, schema: pa.Schema) -> pd.DataFrame:
+    tables = [pa.ipc.open_stream(bytes(b)).read_all() for b, in state.get()]
+    return pa.concat_tables(tables).to_pandas() if tables else schema.empty_table().to_pandas()
+
+
+def _put(state, rows: pd.DataFrame, schema: pa.Schema) -> None:
     if len(rows):
-        state.put(list(rows.itertuples(index=False, name=None)))
+        state.put(_packed(rows, schema))
     else:
         state.clear()
 
@@ -69,17 +89,17 @@ class ProviderSpread(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.seen = handle.getListState("seen", "member_id string, day long, provider_id string")
+        self.seen = handle.getListState("seen", PACKED)
         self.done = handle.getValueState("done", "end long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         fresh = pd.concat([b.assign(day=b["ts_ms"] // DAY_MS)[SEEN].drop_duplicates() for b in rows]).drop_duplicates()
         if len(fresh):
-            held = _held(self.seen, SEEN)
+            held = _held(self.seen, SEEN_ROWS)
             if len(held):
                 fresh = pd.concat([held, fresh]).drop_duplicates().iloc[len(held):]
         if len(fresh):
-            self.seen.appendList(list(fresh.itertuples(index=False, name=None)))
+            self.seen.appendList(_packed(fresh, SEEN_ROWS))
             self.handle.registerTimer((int(fresh["day"].min()) + 1) * DAY_MS)
         return iter(())
 
@@ -89,14 +109,14 @@ class ProviderSpread(StatefulProcessor):
         done = self.done.get()[0] if self.done.exists() else 0
         if done >= last:                        # another timer of this group has reported them
             return
-        held = _held(self.seen, SEEN)
+        held = _held(self.seen, SEEN_ROWS)
         ends = pd.concat([held.assign(end=held["day"] + n) for n in range(1, WINDOW_DAYS + 1)])
         ends = ends[(ends["end"] > done) & (ends["end"] <= last)].drop_duplicates(["member_id", "end", "provider_id"])
         found = ends.groupby(["member_id", "end"], dropna=False).size()
         found = found[found >= self.least].reset_index(name="providers")
         kept = held[held["day"] + WINDOW_DAYS > last]
         if len(kept) < len(held):
-            _put(self.seen, kept)
+            _put(self.seen, kept, SEEN_ROWS)
         if len(kept):
             self.done.update((last,))
             self.handle.registerTimer(max(int(kept["day"].min()), last) * DAY_MS + DAY_MS)
@@ -120,8 +140,7 @@ class DuplicateClaims(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.recent = handle.getListState(
-            "recent", "ts_ms long, claim_id string, amount double, member_id string, provider_id string, diagnosis_code string")
+        self.recent = handle.getListState("recent", PACKED)
 
     def pairs(self, claims: pd.DataFrame, held: int) -> pd.DataFrame:
         """Pairs of ``claims`` of which at least one is not among the first ``held`` rows.
@@ -155,18 +174,18 @@ class DuplicateClaims(StatefulProcessor):
         fresh = pd.concat([b[RECENT] for b in rows])
         if not len(fresh):
             return
-        held = _held(self.recent, RECENT)
+        held = _held(self.recent, RECENT_ROWS)
         found = self.pairs(pd.concat([held, fresh], ignore_index=True) if len(held) else fresh.reset_index(drop=True), len(held))
-        self.recent.appendList(list(fresh.itertuples(index=False, name=None)))
+        self.recent.appendList(_packed(fresh, RECENT_ROWS))
         self._wait(fresh)
         if len(found):
             yield found
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        held = _held(self.recent, RECENT)
+        held = _held(self.recent, RECENT_ROWS)
         kept = held[held["ts_ms"] + self.band >= timerValues.getCurrentWatermarkInMs()]
         if len(kept) < len(held):
-            _put(self.recent, kept)
+            _put(self.recent, kept, RECENT_ROWS)
             if len(kept):
                 self._wait(kept)
         return iter(())

@@ -29,3 +29,34 @@ def test_calls_grow_with_groups_not_with_keys(rel):
     claims = rel.claims.select(_part(keys, 7), *keys)
     assert claims.select("part").distinct().count() == 7 < claims.distinct().count() / 100
     assert claims.groupBy(*keys).agg(F.count_distinct("part").alias("n")).where("n > 1").count() == 0
+
+
+def test_state_is_packed(monkeypatch):
+    """A group's rows cross to the state in a few elements, and come back as they were, nulls too."""
+    from claimsight.streaming import keyed_state as ks
+
+    class State:
+        def __init__(self):
+            self.rows = []
+
+        def put(self, rows):
+            self.rows = list(rows)
+
+        def appendList(self, rows):
+            self.rows += rows
+
+        def get(self):
+            return iter(self.rows)
+
+        def clear(self):
+            self.rows = []
+    monkeypatch.setattr(ks, "AT_ONCE", 100)
+    rows = pd.DataFrame([(i, f"c{i}", i / 7, None if i % 3 else "m", "p", None) for i in range(250)], columns=ks.RECENT)
+    state = State()
+    ks._put(state, rows, ks.RECENT_ROWS)
+    state.appendList(ks._packed(rows, ks.RECENT_ROWS))
+    assert len(state.rows) == 6
+    pd.testing.assert_frame_equal(ks._held(state, ks.RECENT_ROWS), pd.concat([rows, rows], ignore_index=True), check_dtype=False)
+    ks._put(state, rows.head(0), ks.RECENT_ROWS)
+    held = ks._held(state, ks.RECENT_ROWS)
+    assert not state.rows and list(held.columns) == ks.RECENT and not len(held)
